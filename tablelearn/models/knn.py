@@ -16,6 +16,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.storagelevel import StorageLevel
 
 from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list, feature, long_array, to_col
@@ -115,38 +116,17 @@ def nearest_neighbours(
     )
     q = queries.select(to_col(query_key).alias("q_key"), feature_vector(queries, cols).alias("q_vec"))
     rows = train.count()
-    wanted = pivots or max(1, min(MAX_PIVOTS, rows // ROWS_PER_CELL))
-    centre = _pivots(s, wanted)
     q_type, s_type = dict(q.dtypes)["q_key"], dict(s.dtypes)["s_key"]
-    empty = f"query {q_type}, neighbour {s_type}, distance double, rank int" + (
+    names = f"query {q_type}, neighbour {s_type}, distance double, rank int" + (
         f", payload {dict(s.dtypes)['payload']}" if payload else ""
     )
-    if len(centre) == 0:
-        return train.sparkSession.createDataFrame([], empty)
-
-    placed = _with_cell(s, centre)
+    if rows == 0:
+        return train.sparkSession.createDataFrame([], names)
+    wanted = pivots or max(1, min(MAX_PIVOTS, rows // ROWS_PER_CELL))
     # a query's own row may be among the nearest to a pivot, so one more is needed
-    need = k + (1 if exclude_self else 0)
-    by_reach = Window.partitionBy("cell").orderBy("reach")
-    summary = (
-        placed.select("cell", "reach").groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high")).collect()
-    )  # one row per pivot
-    close = (
-        placed.select("cell", "reach").withColumn("r", F.row_number().over(by_reach)).filter(F.col("r") <= need).collect()
-    )  # at most k + 1 rows per pivot
-    size = len(centre)
-    count, low, high = np.zeros(size, "int64"), np.full(size, np.inf), np.full(size, -np.inf)
-    for r in summary:
-        count[r["cell"]], low[r["cell"]], high[r["cell"]] = r["n"], r["low"], r["high"]
-    near: list[list[float]] = [[] for _ in range(size)]
-    for r in close:
-        near[r["cell"]].append(r["reach"])
-
-    asked = _candidate_cells(q, centre, [np.array(x) for x in near], low, high, need)
-    loads = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    s_blocks = [max(1, math.ceil(int(c) / train_block)) for c in count]
-    q_blocks = [max(1, math.ceil(loads.get(j, 0) / query_block)) for j in range(size)]
+    placed, asked, counts, loads = _cells(s, q, rows, wanted, k + (1 if exclude_self else 0))
+    s_blocks = [max(1, math.ceil(c / train_block)) for c in counts]
+    q_blocks = [max(1, math.ceil(c / query_block)) for c in loads]
 
     def block_of(key: str, blocks: list[int]) -> Column:
         return F.pmod(F.xxhash64(key), F.get(long_array(blocks), F.col("cell"))).cast("int")
@@ -154,7 +134,7 @@ def nearest_neighbours(
     def copies(blocks: list[int]) -> Column:
         return F.explode(F.sequence(F.lit(0), (F.get(long_array(blocks), F.col("cell")) - 1).cast("int")))
 
-    left = placed.drop("reach").withColumn("sb", block_of("s_key", s_blocks)).withColumn("qb", copies(q_blocks))
+    left = placed.withColumn("sb", block_of("s_key", s_blocks)).withColumn("qb", copies(q_blocks))
     right = asked.withColumn("qb", block_of("q_key", q_blocks)).withColumn("sb", copies(s_blocks))
 
     fields = f"q_key {q_type}, s_key {s_type}, distance double" + (f", payload {dict(s.dtypes)['payload']}" if payload else "")
@@ -198,6 +178,40 @@ def nearest_neighbours(
     )
 
 
+def _cells(s: DataFrame, q: DataFrame, rows: int, wanted: int, need: int):
+    """Training rows with their cell, queries once per cell they need, and the rows of both per cell."""
+    if wanted == 1:
+        one = F.lit(0).alias("cell")
+        return s.select("*", one), q.select("*", one), [rows], [q.count()]
+    centre = _pivots(s, wanted)
+    size = len(centre)
+    placed = _with_cell(s, centre)
+    reaches = placed.select("cell", "reach").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        summary = (
+            reaches.groupBy("cell")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high"))
+            .collect()
+        )  # one row per pivot
+        by_reach = Window.partitionBy("cell").orderBy("reach")
+        close = (
+            reaches.withColumn("r", F.row_number().over(by_reach)).filter(F.col("r") <= need).collect()
+        )  # k or k + 1 rows per pivot
+    finally:
+        reaches.unpersist()
+    counts, low, high = [0] * size, np.full(size, np.inf), np.full(size, -np.inf)
+    for r in summary:
+        counts[r["cell"]], low[r["cell"]], high[r["cell"]] = r["n"], r["low"], r["high"]
+    near: list[list[float]] = [[] for _ in range(size)]
+    for r in close:
+        near[r["cell"]].append(r["reach"])
+    asked = _candidate_cells(q, centre, [np.array(x) for x in near], low, high, need)
+    loads = [0] * size
+    for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
+        loads[r["cell"]] = r["n"]
+    return placed.drop("reach"), asked, counts, loads
+
+
 class _NearestEstimator(TableEstimator):
     """Fitting keeps the training table; the work is done in ``transform``.
 

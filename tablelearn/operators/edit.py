@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import as_list, nan_to_null, quoted, resolve, to_col
+from ..functions.columns import as_list, long_array, nan_to_null, resolve, to_col
 from ..functions.typing import cast_columns, categorical_columns, infer_types, normalise_missing, numeric_columns
 from .position import positional, positional_with_count
 
@@ -129,7 +129,8 @@ def _row_numbers(rows, n: int) -> list[int]:
 
 
 def _wanted_rows(df: DataFrame, numbers: list[int], pos: str) -> DataFrame:
-    table = df.sparkSession.createDataFrame(list(enumerate(numbers)), f"out_pos bigint, {quoted(pos)} bigint")
+    listed = F.posexplode(long_array(numbers)).alias("out_pos", pos)
+    table = df.sparkSession.range(1).select(listed).withColumn("out_pos", F.col("out_pos").cast("bigint"))
     return F.broadcast(table) if len(numbers) <= BROADCAST_ROWS else table
 
 
