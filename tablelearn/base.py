@@ -31,6 +31,9 @@ class TableEstimator(Estimator):
 class TableModel(Model):
     """``transform(df)`` adds predictions. ``params`` says how it was set up, ``state`` what it learned."""
 
+    # whether ``transform`` computes columns from a row's own ones only, with no join or exchange
+    row_local = True
+
     def __init__(self, params: dict[str, Any], state: dict[str, Any], tables: dict[str, DataFrame] | None = None):
         super().__init__()
         self.params_ = params

@@ -56,14 +56,29 @@ def evaluate_folds(folded: DataFrame, estimator: TableEstimator, metrics=accurac
     """Train on the other folds and score on each, for a table that has a fold column."""
     ids = sorted(r[0] for r in folded.select(fold_col).distinct().collect())
     models = estimator.fit_folds(folded, fold_col, ids)
-    parts = [
-        models[i].transform(folded.filter(F.col(fold_col) == i)).select(
-            fold_col, *[to_col(c) for c in models[i].target_cols + models[i].prediction_cols]
-        )
-        for i in ids
-    ]
     first = models[ids[0]]
-    return score(reduce(DataFrame.unionByName, parts), first.target_cols, first.prediction_cols, metrics, [fold_col])
+    names = [fold_col, *first.target_cols, *first.prediction_cols]
+    if all(m.row_local for m in models.values()):
+        scored = _own_predictions(folded, models, fold_col)
+    else:
+        scored = reduce(
+            DataFrame.unionByName,
+            [m.transform(folded.filter(F.col(fold_col) == i)).select(*[to_col(c) for c in names]) for i, m in models.items()],
+        )
+    return score(scored, first.target_cols, first.prediction_cols, metrics, [fold_col])
+
+
+def _own_predictions(folded: DataFrame, models: dict[int, TableModel], fold_col: str) -> DataFrame:
+    """Every row scored by its own fold's model, in one pass over the table."""
+    targets = next(iter(models.values())).target_cols
+    names = next(iter(models.values())).prediction_cols
+    df, chosen = folded, {name: F.lit(None) for name in names}
+    for i, model in models.items():
+        before = df.columns
+        made = {name: f"__{name}_{i}" for name in names}
+        df = model.transform(df).withColumnsRenamed(made).select(*[to_col(c) for c in before], *made.values())
+        chosen = {n: F.when(F.col(fold_col) == i, F.col(made[n])).otherwise(c) for n, c in chosen.items()}
+    return df.select(fold_col, *[to_col(c) for c in targets], *[c.alias(n) for n, c in chosen.items()])
 
 
 def evaluate_baseline(

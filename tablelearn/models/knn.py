@@ -26,6 +26,8 @@ MAX_PIVOTS = 256
 ROWS_PER_CELL = 2_000
 TRAIN_BLOCK = 50_000
 QUERY_BLOCK = 10_000
+SMALL_BLOCK = 200
+MAX_TASKS = 20_000
 
 
 def feature_vector(df: DataFrame, cols: list[str]) -> Column:
@@ -126,7 +128,9 @@ def nearest_neighbours(
     # a query's own row may be among the nearest to a pivot, so one more is needed
     placed, asked, counts, loads = _cells(s, q, rows, wanted, k + (1 if exclude_self else 0))
     s_blocks = [max(1, math.ceil(c / train_block)) for c in counts]
-    q_blocks = [max(1, math.ceil(c / query_block)) for c in loads]
+    # few cells still make enough blocks for all cores
+    spread = math.ceil(train.sparkSession.sparkContext.defaultParallelism / len(loads))
+    q_blocks = [max(1, math.ceil(c / query_block), min(spread, c // SMALL_BLOCK)) for c in loads]
 
     def block_of(key: str, blocks: list[int]) -> Column:
         return F.pmod(F.xxhash64(key), F.get(long_array(blocks), F.col("cell"))).cast("int")
@@ -167,6 +171,9 @@ def nearest_neighbours(
         return pd.DataFrame(out)
 
     group = ["cell", "sb", "qb"]
+    # blocks are few bytes and much work, so their number, not their size, sets the tasks
+    tasks = min(MAX_TASKS, sum(a * b for a, b in zip(s_blocks, q_blocks)))
+    left, right = left.repartition(tasks, *group), right.repartition(tasks, *group)
     partial = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(best, fields)
     order = Window.partitionBy("q_key").orderBy("distance", "s_key")
     return (
@@ -262,6 +269,8 @@ class KNNRegressor(_NearestEstimator):
 
 
 class NearestModel(TableModel):
+    row_local = False
+
     def neighbours(self, df: DataFrame) -> DataFrame:
         p = self.params_
         return nearest_neighbours(

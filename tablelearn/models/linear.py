@@ -211,7 +211,7 @@ class _CoefTrainer(StepTrainer):
 
 class SquaredErrorTrainer(_CoefTrainer):
     def _fit(self, dataset: DataFrame) -> LinearModel:
-        placed, n, batches = self.batched(dataset)
+        placed, n, batches = self.batched(dataset, clustered=False)
         d = len(self.input_cols)
         if batches * (d + 2) ** 2 > MAX_REPLAY_NUMBERS:
             return super()._fit(dataset)

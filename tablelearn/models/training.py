@@ -18,7 +18,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list
-from ..operators.position import positional_with_count
+from ..operators.position import positional_with_count, rank_groups
 
 DEFAULT_BATCHES = 10
 MANY_STEPS = 1000
@@ -143,15 +143,24 @@ class StepTrainer(TableEstimator):
 
     # -- the loop --
 
-    def batched(self, df: DataFrame) -> tuple[DataFrame, int, int]:
-        """The training columns with ``batch_id``; the row count; the number of batches."""
+    def batched(self, df: DataFrame, clustered: bool = True) -> tuple[DataFrame, int, int]:
+        """The training columns with ``batch_id``; the row count; the number of batches.
+
+        ``clustered`` lays the rows of a batch together, for training that visits batches one by one.
+        """
         keyed = df.select(*[c.alias(n) for n, c in self.columns().items()], *[F.col(k).alias(f"__key_{k}") for k in self.row_key])
-        placed, n = positional_with_count(
-            keyed, [f"__key_{k}" for k in self.row_key], self.seed if self.shuffle else None, "__pos"
-        )
-        if n == 0:
-            raise ValueError("no rows to train on")
-        size = self.batch_size or max(1, math.ceil(n / DEFAULT_BATCHES))
+        keys, seed = [f"__key_{k}" for k in self.row_key], self.seed if self.shuffle else None
+
+        def size_for(n: int) -> int:
+            if n == 0:
+                raise ValueError("no rows to train on")
+            return self.batch_size or math.ceil(n / DEFAULT_BATCHES)
+
+        if not clustered:
+            placed, n = rank_groups(keyed, keys, seed, lambda n: range(size_for(n), n, size_for(n)), "batch_id")
+            return placed, n, math.ceil(n / size_for(n))
+        placed, n = positional_with_count(keyed, keys, seed, "__pos")
+        size = size_for(n)
         return placed.withColumn("batch_id", F.floor(F.col("__pos") / size).cast("bigint")), n, math.ceil(n / size)
 
     def _fit(self, dataset: DataFrame) -> TableModel:

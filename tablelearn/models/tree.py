@@ -39,15 +39,16 @@ def gini_of_split(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return impurity(left, n_left) * n_left / n + impurity(right, n_right) * n_right / n
 
 
-def value_ranges(df: DataFrame, d: int, depth: int | None = None) -> list[list[float]]:
-    """Per feature ``2**depth - 1`` ascending bounds of about equally many rows, from one aggregate.
+def range_depth(rows: int) -> int:
+    """How often the values of a feature are to be halved so that a task gets no more than it can sort."""
+    depth = 0
+    while depth < MAX_RANGE_DEPTH and rows / 2**depth > ROWS_PER_RANGE:
+        depth += 1
+    return depth
 
-    A small table needs none (depth 0).
-    """
-    if depth is None:
-        n, depth = df.count(), 0
-        while depth < MAX_RANGE_DEPTH and n / 2**depth > ROWS_PER_RANGE:
-            depth += 1
+
+def value_ranges(df: DataFrame, d: int, depth: int) -> list[list[float]]:
+    """Per feature ``2**depth - 1`` ascending bounds of about equally many rows, from one aggregate."""
     if depth == 0:
         return [[] for _ in range(d)]
     probs = F.array(*[F.lit(i / 2**depth) for i in range(1, 2**depth)])
@@ -183,7 +184,8 @@ class DecisionTreeClassifier(TableEstimator):
         return DecisionTreeModel(params, {"classes": classes, "nodes": _collapsed(nodes)})
 
     def _grow(self, rows: DataFrame, d: int, classes: int) -> list[dict[str, Any]]:
-        bounds = value_ranges(rows, d)
+        size = rows.count()
+        bounds = None
         nodes = [{"parent": None, "depth": 1, "feature": None}]
         open_nodes, depth = [0], 1
         while open_nodes:
@@ -194,9 +196,14 @@ class DecisionTreeClassifier(TableEstimator):
                 is_open = [1 if i in set(open_nodes) else 0 for i in range(len(nodes))]
                 placed = placed.filter(F.get(long_array(is_open), F.col("node")) == 1)
             histogram = class_histogram(placed, d, classes)
-            if bounds[0]:
-                histogram = histogram.persist(StorageLevel.MEMORY_AND_DISK)  # read twice, by values and by ranges
-            found = best_splits(split_scores(histogram, classes, bounds), classes).collect()
+            large = False
+            if range_depth(size) > 0:
+                # many rows may still have few values; the way by ranges reads the histogram twice
+                histogram = histogram.persist(StorageLevel.MEMORY_AND_DISK)
+                large = range_depth(histogram.count()) > 0
+                if large and bounds is None:
+                    bounds = value_ranges(rows, d, range_depth(size))
+            found = best_splits(split_scores(histogram, classes, bounds if large else [[]] * d), classes).collect()
             histogram.unpersist()
             following = []
             for r in sorted(found, key=lambda r: r["node"]):

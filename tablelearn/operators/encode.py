@@ -133,6 +133,8 @@ class OrdinalEncoder(TableEstimator):
 
 
 class OrdinalModel(TableModel):
+    row_local = False
+
     def dictionary(self, column: str) -> DataFrame:
         return self.tables[f"values_{self.input_cols.index(column)}"].select("value", "code")
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import as_list, resolve, to_col
-from .position import numbered_within, positional_with_count, shuffle_hash
+from .position import numbered_within, positional_with_count, rank_groups, shuffle_hash
 
 
 def assign_roles(df: DataFrame, target) -> tuple[list[str], list[str]]:
@@ -102,14 +102,16 @@ def epoch_plan(
 
 
 def train_test_split(
-    df: DataFrame, row_key, ratio: float = 0.8, shuffle: bool = True, seed: int = 42, pos: str = "pos"
+    df: DataFrame, row_key, ratio: float = 0.8, shuffle: bool = True, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """The first ``floor(ratio * n)`` rows of the (shuffled) order, and the rest; sizes are exact."""
+    """The first ``floor(ratio * n)`` rows of the (shuffled) order, and the rest; sizes are exact.
+
+    Both parts are filters on the key: no row is shuffled.
+    """
     if not 0.0 < ratio < 1.0:
         raise ValueError("ratio lies between 0 and 1")
-    placed, n = positional_with_count(df, row_key, seed if shuffle else None, pos)
-    size = math.floor(ratio * n)
-    return placed.filter(F.col(pos) < size).drop(pos), placed.filter(F.col(pos) >= size).drop(pos)
+    marked, _ = rank_groups(df, row_key, seed if shuffle else None, lambda n: [math.floor(ratio * n)], "__part")
+    return marked.filter("__part = 0").drop("__part"), marked.filter("__part = 1").drop("__part")
 
 
 def cross_val_folds(
@@ -120,20 +122,23 @@ def cross_val_folds(
     seed: int = 42,
     drop_remainder: bool = False,
     balanced: bool = False,
-    pos: str = "pos",
 ) -> DataFrame:
     """``fold_id`` by position, folds of ``n // folds`` rows; what remains is one more, short fold unless
     dropped. When n is small the full folds can outnumber ``folds``. ``balanced`` makes exactly ``folds`` folds
     that differ by at most one row."""
     if not isinstance(folds, int) or folds < 2:
         raise ValueError("there are at least 2 folds")
-    placed, n = positional_with_count(df, row_key, seed if shuffle else None, pos)
-    if n <= folds:
-        raise ValueError(f"{folds} folds for {n} rows")
-    if balanced:
-        return placed.withColumn("fold_id", F.floor(F.col(pos) * folds / n).cast("int")).drop(pos)
-    size = n // folds
-    out = placed.withColumn("fold_id", F.floor(F.col(pos) / size).cast("int"))
-    if drop_remainder:
-        out = out.filter(F.col("fold_id") < n // size)
-    return out.drop(pos)
+    full = 0
+
+    def starts(n: int):
+        nonlocal full
+        if n <= folds:
+            raise ValueError(f"{folds} folds for {n} rows")
+        if balanced:
+            return [math.ceil(i * n / folds) for i in range(1, folds)]
+        size = n // folds
+        full = n // size
+        return range(size, n, size)
+
+    out, _ = rank_groups(df, row_key, seed if shuffle else None, starts, "fold_id")
+    return out.filter(F.col("fold_id") < full) if drop_remainder and not balanced else out

@@ -9,6 +9,10 @@ stay the same under another partitioning or after a lost executor.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.columns import as_list, long_array, search_bucket, to_col
@@ -18,8 +22,11 @@ MAX_HEX_DIGITS = 4
 MAX_RANGE_DEPTH = 14
 SAMPLES_PER_BUCKET = 20
 
+MAX_STARTS = 100
+
 _BUCKET = "__bucket"
 _HASH = "__hash"
+_KEY = "__key"
 
 
 def shuffle_hash(seed, row_key: list[str], *middle: Column) -> Column:
@@ -36,12 +43,12 @@ def hex_bucket(hashed: Column, digits: int) -> Column:
     return F.conv(F.substring(hashed, 1, digits), 16, 10).cast("int")
 
 
-def _offsets(counts: dict[int, int], size: int) -> tuple[list[int], int]:
+def _offsets(counts: dict[int, int], size: int) -> list[int]:
     out, running = [], 0
     for b in range(size):
         out.append(running)
         running += counts.get(b, 0)
-    return out, running
+    return out
 
 
 def _check_key(df: DataFrame, row_key: list[str]) -> None:
@@ -60,7 +67,24 @@ def require_unique(df: DataFrame, row_key) -> None:
         raise ValueError(f"row_key {keys} repeats, so positions would not be reproducible")
 
 
-def _hashed(df: DataFrame, row_key: list[str], seed, pos: str) -> tuple[DataFrame, int]:
+@dataclass
+class _Buckets:
+    """Rows with a bucket that ascends with the wanted order, and the number of rows before each bucket."""
+
+    rows: DataFrame
+    offsets: list[int]
+    order: list[Column]
+    helpers: list[str]
+    n: int
+
+    def numbered(self, pos: str, only: list[int] | None = None) -> DataFrame:
+        rows = self.rows if only is None else self.rows.filter(F.col(_BUCKET).isin(only))
+        base = F.get(long_array(self.offsets), F.col(_BUCKET))
+        rank = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*self.order)) - 1
+        return rows.withColumn(pos, (rank + base).cast("bigint")).drop(_BUCKET, *self.helpers)
+
+
+def _hash_buckets(df: DataFrame, row_key: list[str], seed) -> _Buckets:
     hashed = df.withColumn(_HASH, shuffle_hash(seed, row_key))
     fine = hashed.groupBy(hex_bucket(F.col(_HASH), MAX_HEX_DIGITS).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     fine_counts = {r["b"]: r["n"] for r in fine.collect()}  # at most 16**4 rows
@@ -72,13 +96,12 @@ def _hashed(df: DataFrame, row_key: list[str], seed, pos: str) -> tuple[DataFram
     for b, c in fine_counts.items():
         coarse = b >> (4 * (MAX_HEX_DIGITS - digits))
         counts[coarse] = counts.get(coarse, 0) + c
-    offsets, _ = _offsets(counts, 16**digits)
-    bucketed = hashed.withColumn(_BUCKET, hex_bucket(F.col(_HASH), digits))
-    order = Window.partitionBy(_BUCKET).orderBy(F.col(_HASH), *[to_col(k) for k in row_key])
-    return _numbered(bucketed, offsets, order, pos).drop(_HASH), n
+    rows = hashed.withColumn(_BUCKET, hex_bucket(F.col(_HASH), digits))
+    order = [F.col(_HASH), *[to_col(k) for k in row_key]]
+    return _Buckets(rows, _offsets(counts, 16**digits), order, [_HASH], n)
 
 
-def _natural(df: DataFrame, row_key: list[str], pos: str) -> tuple[DataFrame, int]:
+def _range_buckets(df: DataFrame, row_key: list[str]) -> _Buckets:
     n = df.count()
     depth = 4
     while depth < MAX_RANGE_DEPTH and n / 2**depth > ROWS_PER_BUCKET:
@@ -96,21 +119,19 @@ def _natural(df: DataFrame, row_key: list[str], pos: str) -> tuple[DataFrame, in
         sample = sample.filter(F.pmod(F.xxhash64("k"), F.lit(stride)) == 0)
     texts = [r[0] for r in sample.sort("k").select(F.to_json("k")).collect()]
     if not texts:
-        return df.withColumn(pos, F.lit(0).cast("bigint")), n
+        return _Buckets(df.withColumn(_BUCKET, F.lit(0)), [0], [to_col(k) for k in row_key], [], n)
     picks = [texts[min(len(texts) - 1, (i * len(texts)) // buckets)] for i in range(1, buckets)]
     # the text form may round a bound (a timestamp's micros); any ascending bounds serve, as all passes share them
     bounds = F.from_json(F.lit("[" + ",".join(picks) + "]"), f"array<{ddl}>")
 
-    probed = search_bucket(df.withColumn("__key", key), F.col("__key"), lambda i: F.get(bounds, i), depth, _BUCKET)
-    counts = {r["b"]: r["n"] for r in probed.groupBy(F.col(_BUCKET).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, _ = _offsets(counts, buckets)
-    order = Window.partitionBy(_BUCKET).orderBy("__key")
-    return _numbered(probed, offsets, order, pos).drop("__key"), n
+    rows = search_bucket(df.withColumn(_KEY, key), F.col(_KEY), lambda i: F.get(bounds, i), depth, _BUCKET)
+    counted = rows.groupBy(F.col(_BUCKET).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return _Buckets(rows, _offsets({r["b"]: r["n"] for r in counted}, buckets), [F.col(_KEY)], [_KEY], n)
 
 
-def _numbered(df: DataFrame, offsets: list[int], order, pos: str) -> DataFrame:
-    base = F.get(long_array(offsets), F.col(_BUCKET))
-    return df.withColumn(pos, (F.row_number().over(order) - 1 + base).cast("bigint")).drop(_BUCKET)
+def _buckets(df: DataFrame, row_key: list[str], seed) -> _Buckets:
+    _check_key(df, row_key)
+    return _hash_buckets(df, row_key, seed) if seed is not None else _range_buckets(df, row_key)
 
 
 def positional(df: DataFrame, row_key, seed=None, pos: str = "pos") -> DataFrame:
@@ -126,9 +147,51 @@ def positional_with_count(df: DataFrame, row_key, seed=None, pos: str = "pos") -
     keys = as_list(row_key)
     if not keys and pos in df.columns:
         return df, df.count()
-    _check_key(df, keys)
     df = df.drop(pos) if pos in df.columns and pos not in keys else df
-    return _hashed(df, keys, seed, pos) if seed is not None else _natural(df, keys, pos)
+    found = _buckets(df, keys, seed)
+    return found.numbered(pos), found.n
+
+
+def rank_groups(
+    df: DataFrame, row_key, seed, starts: Callable[[int], Sequence[int]], out: str
+) -> tuple[DataFrame, int]:
+    """``out`` = how many of the ascending positions ``starts(n)`` are at or before the row's position; and n.
+
+    For splits, folds and large batches, which need no position of their own: the keys at the few start positions
+    are looked up, and then every row is placed by comparing its key with them. The rows themselves are not
+    shuffled; only the keys of the buckets that hold a start are.
+    """
+    keys = as_list(row_key)
+    found = _buckets(df.select(*[to_col(k) for k in keys]), keys, seed)
+    cuts = starts(found.n)
+    if len(cuts) > MAX_STARTS:
+        placed = _buckets(df, keys, seed).numbered("__pos")
+        if isinstance(cuts, range) and cuts.start == cuts.step:
+            group = F.floor(F.col("__pos") / cuts.step).cast("int")
+        else:
+            passed = F.transform(long_array(cuts), lambda c: F.when(F.col("__pos") >= c, 1).otherwise(0))
+            group = F.aggregate(passed, F.lit(0), lambda a, b: a + b)
+        return placed.withColumn(out, group).drop("__pos"), found.n
+    inside = [c for c in cuts if 0 < c < found.n]
+    at = {}
+    if inside:
+        only = sorted({bisect_right(found.offsets, c) - 1 for c in inside})
+        at = {r["__pos"]: r for r in found.numbered("__pos", only).filter(F.col("__pos").isin(inside)).collect()}
+    types = dict(df.dtypes)
+
+    def order_of(values: list[Column]) -> Column:
+        if seed is not None:
+            text = F.concat_ws(":", F.lit(str(seed)), *[v.cast("string") for v in values])
+            values = [F.md5(text.cast("binary")), *values]
+        return F.struct(*[v.alias(f"o{i}") for i, v in enumerate(values)])
+
+    placed = df.withColumn(_KEY, order_of([to_col(k) for k in keys]))
+    group = F.lit(sum(1 for c in cuts if c < found.n))
+    for i, cut in reversed(list(enumerate(cuts))):
+        if cut in at:
+            first = order_of([F.lit(at[cut][k]).cast(types[k]) for k in keys])
+            group = F.when(F.col(_KEY) < first, i).otherwise(group)
+    return placed.withColumn(out, group).drop(_KEY), found.n
 
 
 def file_position_key(df: DataFrame, path_col: str = "file_path", index_col: str = "row_index") -> DataFrame:

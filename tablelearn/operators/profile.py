@@ -18,25 +18,28 @@ MISSING_LABEL = "nan"
 def numeric_profile(df: DataFrame, key=None, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """One row per numeric column: type, non-missing count, mean, population deviation, min, exact quartiles, max."""
     cols = resolve(df, key) if key is not None else numeric_columns(df)
-    quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75], direct_rows)
     types = dict(df.dtypes)
     clean = nan_to_null(df.select(*[to_col(c) for c in cols]))
-    one = clean.agg(
+    row = clean.agg(
         *[
             F.struct(
-                F.lit(c).alias("column"),
-                F.lit(types[c]).alias("dtype"),
                 F.count(to_col(c)).alias("count"),
                 F.avg(to_col(c)).cast("double").alias("mean"),
                 F.stddev_pop(to_col(c)).alias("std_dev"),
                 F.min(to_col(c)).cast("double").alias("min"),
-                *[F.lit(q).cast("double").alias(name) for q, name in zip(quartiles[c], ("25%", "50%", "75%"))],
                 F.max(to_col(c)).cast("double").alias("max"),
             ).alias(f"s{i}")
             for i, c in enumerate(cols)
         ]
-    )
-    return one.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cols))])))
+    ).first()
+    stats = {c: row[f"s{i}"] for i, c in enumerate(cols)}
+    bounds = {c: (s["count"], s["min"], s["max"]) for c, s in stats.items()}
+    quartiles = exact_quantiles(clean, cols, [0.25, 0.5, 0.75], direct_rows, bounds)
+    rows = [
+        (c, types[c], s["count"], s["mean"], s["std_dev"], s["min"], *quartiles[c], s["max"]) for c, s in stats.items()
+    ]
+    fields = "column string, dtype string, count bigint, " + ", ".join(f"`{n}` double" for n in NUMERIC_STATS[1:])
+    return df.sparkSession.createDataFrame(rows, fields)  # one row per column
 
 
 def value_frequencies(df: DataFrame, key=None) -> DataFrame:

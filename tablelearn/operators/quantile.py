@@ -10,28 +10,39 @@ small aggregate, for all columns and ranks at once.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import present, to_col
 
-DIRECT_ROWS = 1_000_000
+DIRECT_ROWS = 100_000
 FETCH_ROWS = 10_000
 BINS = 1024
 
+# Fixed value: the largest finite double; infinities are searched for as if they were it.
+LARGEST = 1.7976931348623157e308
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], direct_rows: int = DIRECT_ROWS) -> dict[str, list]:
-    """Per column the quantiles of its non-missing values (None where there are none)."""
+
+def exact_quantiles(
+    df: DataFrame, cols: list[str], probs: list[float], direct_rows: int = DIRECT_ROWS, bounds: dict | None = None
+) -> dict[str, list]:
+    """Per column the quantiles of its non-missing values (None where there are none).
+
+    ``bounds``: per column ``(count, min, max)``, where the caller has them already.
+    """
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     values = df.select(*[present(c, dtypes[c]).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    bounds = values.agg(
-        *[
-            agg(f"v{i}").alias(f"{name}{i}")
-            for i in range(len(cols))
-            for name, agg in (("n", F.count), ("lo", F.min), ("hi", F.max))
-        ]
-    ).first()
-    if max(bounds[f"n{i}"] for i in range(len(cols))) <= direct_rows:
+    if bounds is None:
+        row = values.agg(
+            *[
+                agg(f"v{i}").alias(f"{name}{i}")
+                for i in range(len(cols))
+                for name, agg in (("n", F.count), ("lo", F.min), ("hi", F.max))
+            ]
+        ).first()
+        bounds = {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
+    if max(n for n, _, _ in bounds.values()) <= direct_rows:
         row = values.agg(
             *[F.percentile(f"v{i}", F.array(*[F.lit(p) for p in probs])).alias(f"q{i}") for i in range(len(cols))]
         ).first()
@@ -39,68 +50,98 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], direct_r
     return _narrowed(values, cols, probs, bounds)
 
 
-def _narrowed(values: DataFrame, cols: list[str], probs: list[float], bounds) -> dict[str, list]:
-    # an open search per wanted rank: column, rank from 0, values below the interval, interval, values inside
-    searches, found = {}, {}
+@dataclass
+class _Search:
+    """One wanted rank: its column, the interval that holds it, the values below that and inside."""
+
+    column: int
+    rank: int
+    below: int
+    interval: tuple[float, float]
+    inside: int
+
+
+def _narrowed(values: DataFrame, cols: list[str], probs: list[float], bounds: dict) -> dict[str, list]:
+    finite = values.select(
+        *[F.greatest(F.least(to_col(v), F.lit(LARGEST)), F.lit(-LARGEST)).alias(v) for v in values.columns]
+    )
+    wanted = set()
     for i, c in enumerate(cols):
-        n = bounds[f"n{i}"]
-        if n == 0:
-            continue
         for p in probs:
-            place = p * (n - 1)
-            for rank in {math.floor(place), math.ceil(place)}:
-                searches[(i, rank)] = [0, bounds[f"lo{i}"], bounds[f"hi{i}"], n]
+            place = p * (bounds[c][0] - 1)
+            wanted |= {(i, math.floor(place)), (i, math.ceil(place))} if bounds[c][0] else set()
+    searches = []
+    for i, rank in sorted(wanted):
+        n, lo, hi = bounds[cols[i]]
+        searches.append(_Search(i, rank, 0, (max(float(lo), -LARGEST), min(float(hi), LARGEST)), n))
+    found: dict[tuple[int, int], float] = {}
     while searches:
-        for key in [k for k, s in searches.items() if s[1] == s[2]]:
-            found[key] = searches.pop(key)[1]
-        small = {k: s for k, s in searches.items() if s[3] <= FETCH_ROWS}
+        found.update({(s.column, s.rank): s.interval[0] for s in searches if s.interval[0] == s.interval[1]})
+        searches = [s for s in searches if s.interval[0] != s.interval[1]]
+        small = [s for s in searches if s.inside <= FETCH_ROWS]
         if small:
-            row = values.agg(
-                *[
-                    F.sort_array(F.collect_list(F.when(to_col(f"v{k[0]}").between(s[1], s[2]), to_col(f"v{k[0]}")))).alias(f"f{j}")
-                    for j, (k, s) in enumerate(small.items())
-                ]
-            ).first()
-            for j, (k, s) in enumerate(small.items()):
-                found[k] = row[f"f{j}"][k[1] - s[0]]
-                del searches[k]
+            found.update(_fetched(finite, small))
+            searches = [s for s in searches if s.inside > FETCH_ROWS]
         if searches:
-            _one_round(values, searches)
+            _one_round(finite, searches)
+
+    def value(i: int, rank: int) -> float:
+        v = found[(i, rank)]
+        return math.copysign(math.inf, v) if abs(v) >= LARGEST else v
+
     out = {}
     for i, c in enumerate(cols):
-        n = bounds[f"n{i}"]
+        n = bounds[c][0]
         out[c] = []
         for p in probs:
             if n == 0:
                 out[c].append(None)
                 continue
             place = p * (n - 1)
-            low, high = found[(i, math.floor(place))], found[(i, math.ceil(place))]
+            low, high = value(i, math.floor(place)), value(i, math.ceil(place))
             part = place - math.floor(place)
-            out[c].append(low if part == 0 else low * (1 - part) + high * part)
+            out[c].append(low if part == 0 or low == high else low * (1 - part) + high * part)
     return out
 
 
-def _one_round(values: DataFrame, searches: dict) -> None:
-    keys = list(searches)
+def _intervals(searches: list[_Search]) -> list[tuple[int, tuple[float, float]]]:
+    """Ranks of one column often share an interval; each is scanned for once."""
+    return sorted({(s.column, s.interval) for s in searches})
+
+
+def _fetched(values: DataFrame, searches: list[_Search]) -> dict[tuple[int, int], float]:
+    spans = _intervals(searches)
+    row = values.agg(
+        *[
+            F.sort_array(F.collect_list(F.when(to_col(f"v{i}").between(lo, hi), to_col(f"v{i}")))).alias(f"f{j}")
+            for j, (i, (lo, hi)) in enumerate(spans)
+        ]
+    ).first()  # at most FETCH_ROWS values per interval
+    return {(s.column, s.rank): row[f"f{spans.index((s.column, s.interval))}"][s.rank - s.below] for s in searches}
+
+
+def _one_round(values: DataFrame, searches: list[_Search]) -> None:
+    spans = _intervals(searches)
     hits = []
-    for j, k in enumerate(keys):
-        _, lo, hi, _ = searches[k]
-        v = to_col(f"v{k[0]}")
+    for j, (i, (lo, hi)) in enumerate(spans):
+        v = to_col(f"v{i}")
         # halves before subtracting, so that an interval as wide as all doubles does not overflow
         share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
         b = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
-        hits.append(F.when(v.between(lo, hi), F.struct(F.lit(j).alias("j"), b.alias("b"), v.alias("v"))))
+        hits.append(F.struct(F.lit(j).alias("j"), F.when(v.between(lo, hi), b).alias("b"), v.alias("v")))
     rows = (
-        values.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
-        .groupBy("h.j", "h.b")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("h.v").alias("lo"), F.max("h.v").alias("hi"))
-        .collect()  # at most BINS rows per wanted rank
+        values.select(F.inline(F.array(*hits)))
+        .filter("b IS NOT NULL")
+        .groupBy("j", "b")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .collect()  # at most BINS rows per interval
     )
-    for j, k in enumerate(keys):
-        below = searches[k][0]
-        for r in sorted((r for r in rows if r["j"] == j), key=lambda r: r["b"]):
-            if below + r["n"] > k[1]:
-                searches[k] = [below, r["lo"], r["hi"], r["n"]]
+    bins: dict[int, list] = {}
+    for r in sorted(rows, key=lambda r: (r["j"], r["b"])):
+        bins.setdefault(r["j"], []).append(r)
+    for s in searches:
+        for r in bins[spans.index((s.column, s.interval))]:
+            if s.below + r["n"] > s.rank:
+                s.interval, s.inside = (r["lo"], r["hi"]), r["n"]
                 break
-            below += r["n"]
+            s.below += r["n"]
