@@ -219,8 +219,8 @@ def numbered_within(df: DataFrame, group: list[str], hashed: str, row_key: list[
     offsets = totals.select(*group, _BUCKET, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     inside = F.row_number().over(Window.partitionBy(*group, _BUCKET).orderBy(*order)) - 1
     return (
-        cut.withColumn("__rank", inside)
+        cut.withColumn("__inside", inside)
         .join(offsets, [*group, _BUCKET])
-        .withColumn(out, (F.col("__rank") + F.col("__off")).cast("bigint"))
-        .drop("__rank", "__off", _BUCKET)
+        .withColumn(out, (F.col("__inside") + F.col("__off")).cast("bigint"))
+        .drop("__inside", "__off", _BUCKET)
     )
