@@ -50,37 +50,48 @@ def infer_types(df: DataFrame, cols: list[str] | None = None, narrow_floats: boo
     ]
     if not fields:
         return {}
+    clean = normalise_missing(df.select(*[to_col(f.name) for f in fields]))
     aggs = []
     for i, f in enumerate(fields):
-        name = quoted(f.name)
-        as_double = F.expr(f"try_cast({name} AS DOUBLE)")
-        as_decimal = F.expr(f"try_cast({name} AS DECIMAL(38,0))")
+        as_double = F.expr(f"try_cast({quoted(f.name)} AS DOUBLE)")
         aggs += [
             F.count(to_col(f.name)).alias(f"cells{i}"),
             F.count(as_double).alias(f"numbers{i}"),
             F.min(as_double).alias(f"low{i}"),
             F.max(as_double).alias(f"high{i}"),
-            F.min(as_decimal).alias(f"dlow{i}"),
-            F.max(as_decimal).alias(f"dhigh{i}"),
-            F.count(as_decimal).alias(f"decimals{i}"),
             F.bool_and(as_double % 1 == 0).alias(f"integral{i}"),
         ]
-    row = normalise_missing(df.select(*[to_col(f.name) for f in fields])).agg(*aggs).first()
+    row = clean.agg(*aggs).first()
+
+    def whole(i: int) -> bool:
+        return 0 < row[f"cells{i}"] == row[f"numbers{i}"] and bool(row[f"integral{i}"])
+
+    def wide(i: int) -> bool:
+        return max(abs(row[f"low{i}"]), abs(row[f"high{i}"])) > EXACT_INTEGER_LIMIT
+
+    # doubles tell such numbers only roughly, so their ends are found once more as decimals
+    exact = {}
+    rough = [i for i in range(len(fields)) if whole(i) and wide(i)]
+    if rough:
+        decimals = {i: F.expr(f"try_cast({quoted(fields[i].name)} AS DECIMAL(38,0))") for i in rough}
+        ends = clean.agg(
+            *[agg(d).alias(f"{n}{i}") for i, d in decimals.items() for n, agg in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+        ).first()
+        exact = {i: (ends[f"n{i}"], ends[f"lo{i}"], ends[f"hi{i}"]) for i in rough}
 
     out = {}
     for i, f in enumerate(fields):
-        cells, numbers = row[f"cells{i}"], row[f"numbers{i}"]
-        if cells == 0:
+        if row[f"cells{i}"] == 0:
             out[f.name] = f.dataType.simpleString()
-        elif numbers < cells:
+        elif row[f"numbers{i}"] < row[f"cells{i}"]:
             out[f.name] = "string"
-        elif row[f"integral{i}"]:
-            if row[f"decimals{i}"] < cells:
-                out[f.name] = "string" if isinstance(f.dataType, T.StringType) else f.dataType.simpleString()
+        elif whole(i):
+            count, low, high = exact.get(i, (row[f"cells{i}"], row[f"low{i}"], row[f"high{i}"]))
+            if count < row[f"cells{i}"]:  # beyond any decimal
+                out[f.name] = f.dataType.simpleString()
                 continue
-            low, high = int(row[f"dlow{i}"]), int(row[f"dhigh{i}"])
             out[f.name] = next(
-                (spark for _, least, most, spark in INTEGER_RANGES if least <= low and high <= most),
+                (spark for _, least, most, spark in INTEGER_RANGES if least <= int(low) and int(high) <= most),
                 "decimal(38,0)",
             )
         elif narrow_floats and max(abs(row[f"low{i}"]), abs(row[f"high{i}"])) <= FLOAT32_MAX:

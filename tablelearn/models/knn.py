@@ -20,12 +20,12 @@ from pyspark.storagelevel import StorageLevel
 
 from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list, feature, long_array, to_col
-from ..operators.position import shuffle_hash
+from ..operators.position import lowest_hashes, shuffle_hash
 
 MAX_PIVOTS = 256
 ROWS_PER_CELL = 2_000
-TRAIN_BLOCK = 50_000
-QUERY_BLOCK = 10_000
+BLOCK_BYTES = 32 * 2**20
+BLOCK_ROWS = 50_000
 SMALL_BLOCK = 200
 MAX_TASKS = 20_000
 
@@ -53,9 +53,9 @@ def _pivot_distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.column_stack([_distances(points, p) for p in pivots])
 
 
-def _pivots(train: DataFrame, wanted: int) -> np.ndarray:
+def _pivots(train: DataFrame, wanted: int, n: int) -> np.ndarray:
     """Training rows with the smallest key hashes: at most ``MAX_PIVOTS`` rows, the same on every run."""
-    rows = train.withColumn("h", shuffle_hash("pivot", ["s_key"])).orderBy("h", "s_key").limit(wanted).collect()
+    rows = lowest_hashes(train.select("s_key", "s_vec"), shuffle_hash("pivot", ["s_key"]), ["s_key"], wanted, n)
     return np.array([r["s_vec"] for r in rows], dtype="float64")
 
 
@@ -101,8 +101,8 @@ def nearest_neighbours(
     exclude_self: bool = False,
     payload: str | None = None,
     pivots: int | None = None,
-    train_block: int = TRAIN_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    train_block: int | None = None,
+    query_block: int | None = None,
 ) -> DataFrame:
     """``(query, neighbour, distance, rank[, payload])`` for the k nearest training rows of every query.
 
@@ -117,13 +117,16 @@ def nearest_neighbours(
         *([to_col(payload).alias("payload")] if payload else []),
     )
     q = queries.select(to_col(query_key).alias("q_key"), feature_vector(queries, cols).alias("q_vec"))
-    rows = train.count()
+    size = s.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("s_vec")).alias("width")).first()
+    rows = size["n"]
     q_type, s_type = dict(q.dtypes)["q_key"], dict(s.dtypes)["s_key"]
     names = f"query {q_type}, neighbour {s_type}, distance double, rank int" + (
         f", payload {dict(s.dtypes)['payload']}" if payload else ""
     )
     if rows == 0:
         return train.sparkSession.createDataFrame([], names)
+    fits = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * max(1, size["width"]))))
+    train_block, query_block = train_block or fits, query_block or max(1, fits // 5)
     wanted = pivots or max(1, min(MAX_PIVOTS, rows // ROWS_PER_CELL))
     # a query's own row may be among the nearest to a pivot, so one more is needed
     placed, asked, counts, loads = _cells(s, q, rows, wanted, k + (1 if exclude_self else 0))
@@ -190,7 +193,7 @@ def _cells(s: DataFrame, q: DataFrame, rows: int, wanted: int, need: int):
     if wanted == 1:
         one = F.lit(0).alias("cell")
         return s.select("*", one), q.select("*", one), [rows], [q.count()]
-    centre = _pivots(s, wanted)
+    centre = _pivots(s, wanted, rows)
     size = len(centre)
     placed = _with_cell(s, centre)
     reaches = placed.select("cell", "reach").persist(StorageLevel.MEMORY_AND_DISK)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..base import TableModel
 from ..functions.columns import feature, to_col
 from ..functions.metrics import accuracy
-from ..operators.position import shuffle_hash
+from ..operators.position import lowest_hashes, shuffle_hash
 from .training import StepTrainer
 
 # Codebooks times inputs up to which distances are written out; above, numpy compares a batch with all codebooks.
@@ -76,7 +76,7 @@ class LVQ(StepTrainer):
         keys = [f"__key_{k}" for k in self.row_key]
         d, t = len(self.input_cols), len(self.target_cols)
         if self.init == "rows":
-            rows = df.orderBy(shuffle_hash(self.seed, keys), *keys).limit(wanted).collect()
+            rows = lowest_hashes(df, shuffle_hash(self.seed, keys), keys, wanted, n)
             return {
                 "codebooks": [[r[f"x{i}"] for i in range(d)] for r in rows],
                 "labels": [[r[f"y{i}"] for i in range(t)] for r in rows],
@@ -84,7 +84,7 @@ class LVQ(StepTrainer):
         cells = {}
         for name in [f"x{i}" for i in range(d)] + [f"y{i}" for i in range(t)]:
             order = shuffle_hash(f"{self.seed}:{name}", keys)
-            cells[name] = [r[name] for r in df.select(name, *keys).orderBy(order, *keys).limit(wanted).collect()]
+            cells[name] = [r[name] for r in lowest_hashes(df.select(name, *keys), order, keys, wanted, n)]
         size = len(cells["x0"])
         return {
             "codebooks": [[cells[f"x{i}"][j] for i in range(d)] for j in range(size)],

@@ -6,13 +6,18 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list, to_col
-from .position import positional_with_count
+from ..session import ensure_checkpoint_dir
+from .position import positional
 
 # A missing text cell is a category of its own, under this name.
 MISSING_LABEL = "nan"
 
 UNSEEN_RULES = ("error", "zero")
 
+# What an entry of a dictionary takes besides its text, and how much of a large dictionary may be broadcast.
+ENTRY_BYTES = 40
+HOT_BYTES = 8 * 2**20
+
 
 def category(df: DataFrame, name: str) -> Column:
     """The column as a category: a missing text cell is the category "nan"."""
@@ -97,39 +102,53 @@ class OneHotModel(TableModel):
 class OrdinalEncoder(TableEstimator):
     """Each distinct value becomes its rank among the sorted distinct values.
 
-    The dictionary is a table per column, so it may be larger than a driver. Up to ``broadcast_values`` entries it
-    is broadcast. Beyond that the rows whose value is among the most frequent ones use a small broadcast part, as
-    one value may fill a large share of the rows, and only the rest are shuffled to the dictionary.
+    The dictionary is a table per column, so it may be larger than a driver. It is checkpointed, as it is read at
+    every use. Up to ``broadcast_bytes`` it is broadcast. Beyond that the rows whose value is among the most
+    frequent ones use a small broadcast part, as one value may fill a large share of the rows, and only the rest
+    are shuffled to the dictionary.
     """
 
-    def __init__(self, input_cols, output_cols=None, broadcast_values: int = 200_000, hot_values: int = 1000):
+    def __init__(self, input_cols, output_cols=None, broadcast_bytes: int = 32 * 2**20, hot_values: int = 1000):
         super().__init__()
         self.input_cols = as_list(input_cols)
         self.output_cols = as_list(output_cols) or self.input_cols
         if len(self.output_cols) != len(self.input_cols):
             raise ValueError("one output column per input column")
-        self.broadcast_values = broadcast_values
+        self.broadcast_bytes = broadcast_bytes
         self.hot_values = hot_values
 
     def _fit(self, dataset: DataFrame) -> "OrdinalModel":
-        tables, sizes = {}, []
+        ensure_checkpoint_dir(dataset.sparkSession)
+        tables, sizes, hot = {}, [], []
         for i, c in enumerate(self.input_cols):
             counted = (
                 dataset.groupBy(category(dataset, c).alias("value"))
                 .agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("value").isNotNull())
             )
-            ranked, size = positional_with_count(counted, ["value"], pos="code")
+            # counted once, before it is numbered, so that the data is grouped once
+            ranked = positional(counted.checkpoint(), ["value"], pos="code").checkpoint()
             tables[f"values_{i}"] = ranked
-            sizes.append(size)
+            weight = F.octet_length(F.col("value").cast("string")) + ENTRY_BYTES
+            sizes.append(int(ranked.agg(F.sum(weight).alias("b")).first()["b"] or 0))
+            hot.append(self._hot_codes(ranked.withColumn("weight", weight)) if sizes[-1] > self.broadcast_bytes else [])
         params = {
             "input_cols": self.input_cols,
             "output_cols": self.output_cols,
             "target_cols": [],
-            "broadcast_values": self.broadcast_values,
-            "hot_values": self.hot_values,
+            "broadcast_bytes": self.broadcast_bytes,
         }
-        return OrdinalModel(params, {"sizes": sizes}, tables)
+        return OrdinalModel(params, {"bytes": sizes, "hot": hot}, tables)
+
+    def _hot_codes(self, weighed: DataFrame) -> list[int]:
+        """The codes of the most frequent values, as many as fit a broadcast."""
+        top = weighed.select("code", "n", "weight").orderBy(F.desc("n"), "code").limit(self.hot_values).collect()
+        out, left = [], HOT_BYTES
+        for r in top:
+            if r["weight"] <= left:
+                out.append(r["code"])
+                left -= r["weight"]
+        return out
 
 
 class OrdinalModel(TableModel):
@@ -144,12 +163,10 @@ class OrdinalModel(TableModel):
         pair = table.select(F.col(key).alias("__key"), F.col("code" if key == "value" else "value").alias(found))
         probed = df.withColumn("__probe", probe)
         on = F.col("__probe") == F.col("__key")
-        if self.state["sizes"][i] <= self.params_["broadcast_values"]:
+        if self.state["bytes"][i] <= self.params_["broadcast_bytes"]:
             return probed.join(F.broadcast(pair), on, "left").drop("__probe", "__key")
-        hot = (
-            table.orderBy(F.desc("n"), "code")
-            .limit(self.params_["hot_values"])
-            .select(F.col(key).alias("__hot_key"), F.col("code" if key == "value" else "value").alias("__hot"))
+        hot = table.filter(F.col("code").isin(self.state["hot"][i])).select(
+            F.col(key).alias("__hot_key"), F.col("code" if key == "value" else "value").alias("__hot")
         )
         split = probed.join(F.broadcast(hot), F.col("__probe") == F.col("__hot_key"), "left")
         quick = split.filter(F.col("__hot_key").isNotNull() | F.col("__probe").isNull())

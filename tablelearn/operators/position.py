@@ -13,7 +13,7 @@ from bisect import bisect_right
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from ..functions.columns import as_list, long_array, search_bucket, to_col
 
@@ -21,6 +21,7 @@ ROWS_PER_BUCKET = 250_000
 MAX_HEX_DIGITS = 4
 MAX_RANGE_DEPTH = 14
 SAMPLES_PER_BUCKET = 20
+SAMPLE_BYTES = 32 * 2**20
 
 MAX_STARTS = 100
 
@@ -102,9 +103,16 @@ def _hash_buckets(df: DataFrame, row_key: list[str], seed) -> _Buckets:
 
 
 def _range_buckets(df: DataFrame, row_key: list[str]) -> _Buckets:
-    n = df.count()
+    texts = [to_col(k) for k in row_key if isinstance(df.schema[k].dataType, T.StringType)]
+    lengths = [F.avg(F.octet_length(c)).alias(f"l{i}") for i, c in enumerate(texts)]
+    size = df.agg(F.count(F.lit(1)).alias("n"), *lengths).first()
+    n, key_bytes = size["n"], 16 * len(row_key) + sum(size[f"l{i}"] or 0 for i in range(len(texts)))
     depth = 4
-    while depth < MAX_RANGE_DEPTH and n / 2**depth > ROWS_PER_BUCKET:
+    while (
+        depth < MAX_RANGE_DEPTH
+        and n / 2**depth > ROWS_PER_BUCKET
+        and 2 ** (depth + 1) * SAMPLES_PER_BUCKET * key_bytes <= SAMPLE_BYTES
+    ):
         depth += 1
     buckets = 2**depth
     key = F.struct(*[to_col(k).alias(f"k{i}") for i, k in enumerate(row_key)])
@@ -194,6 +202,23 @@ def rank_groups(
     return placed.withColumn(out, group).drop(_KEY), found.n
 
 
+def lowest_hashes(df: DataFrame, hashed: Column, row_key: list[str], wanted: int, n: int) -> list[Row]:
+    """The ``wanted`` rows of least hash, out of n.
+
+    A bound on the hash lets a few times as many rows through, so that the final sort is as small as its result
+    and does not grow with the number of tasks.
+    """
+    order = [F.col(_HASH), *[to_col(k) for k in row_key]]
+    marked = df.withColumn(_HASH, hashed)
+    share = (4 * wanted + 100) / n if n else 1.0
+    if share < 1:
+        few = marked.filter(F.col(_HASH) < f"{int(share * 2**32):08x}")
+        rows = few.orderBy(*order).limit(wanted).collect()
+        if len(rows) == wanted:
+            return rows
+    return marked.orderBy(*order).limit(wanted).collect()
+
+
 def file_position_key(df: DataFrame, path_col: str = "file_path", index_col: str = "row_index") -> DataFrame:
     """A unique key for a file-backed table that has none: the file and the row's place in it."""
     return df.select(

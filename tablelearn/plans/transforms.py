@@ -103,7 +103,7 @@ def ordinal(spark, folder):
 def ordinal_large_dictionary(spark, folder):
     """The way of dictionaries too large to broadcast: frequent values apart, the rest by a shuffle."""
     df = table(spark, folder, "documents").select("doc_id", "text")
-    return OrdinalEncoder("text", "code", broadcast_values=0, hot_values=10).fit(df).transform(df).select("doc_id", "code")
+    return OrdinalEncoder("text", "code", broadcast_bytes=0, hot_values=10).fit(df).transform(df).select("doc_id", "code")
 
 
 @query("ordinal_reverse", "SELECT o_orderkey, o_orderpriority, o_custkey FROM orders")

@@ -15,6 +15,19 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def interpreted(request, spark):
+    """Hand-made tables are too small to be worth compiling a plan for; the registered queries run compiled."""
+    if request.module.__name__.endswith("test_oracle"):
+        yield
+        return
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
 def rows(df, *order):
     """Rows as a sorted list of tuples."""
     return sorted((tuple(r) for r in df.select(*order or df.columns).collect()), key=repr)

@@ -38,7 +38,7 @@ def test_classifiers_learn_the_flowers(flowers):
         NaiveBayesClassifier(INPUTS, "kind"),
         tree.DecisionTreeClassifier(INPUTS, "kind"),
         knn.KNNClassifier(INPUTS, "kind", "id"),
-        LVQ(INPUTS, "kind", "id", n_codebooks=9, learning_rate=0.01, epochs=5, shuffle=True, callbacks=[LearningRateScheduler()]),
+        LVQ(INPUTS, "kind", "id", n_codebooks=9, learning_rate=0.01, epochs=3, batch_size=40, shuffle=True, callbacks=[LearningRateScheduler()]),
     ):
         score = evaluate_model(flowers, estimator, "id").first()["accuracy"]
         assert score > 0.85, type(estimator).__name__

@@ -59,7 +59,7 @@ def test_ordinal_with_a_hot_value(spark, tmp_path, limit):
     df = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") == 1, None).otherwise(F.concat(F.lit("v"), "id")).alias("s")
     )
-    model = OrdinalEncoder("s", "code", broadcast_values=limit, hot_values=2).fit(df)
+    model = OrdinalEncoder("s", "code", broadcast_bytes=limit, hot_values=2).fit(df)
     out = model.transform(df)
     values = sorted({r["s"] or "nan" for r in df.collect()})
     want = {r["id"]: values.index(r["s"] or "nan") for r in df.collect()}
