@@ -106,16 +106,17 @@ def linear_two_targets(spark, folder):
 
 
 # Step-trained models: the same few steps written out as one SQL step after another. Half the rows make a batch.
-STEP_ROWS = f"""SELECT o_orderkey, o_custkey / 1000.0::DOUBLE AS a, o_totalprice / 100000.0::DOUBLE AS b,
-                       CAST(o_totalprice > 150000 + 100 * o_custkey AS INTEGER) AS y, o_totalprice / 50000.0::DOUBLE - 4 AS t,
-                       ({natural_pos('o_orderkey')}) // ((count(*) OVER () + 1) // 2) AS batch, count(*) OVER () AS n FROM orders"""
+STEP_ROWS = f"""SELECT o_orderkey, a, b, CAST(b > 1.5 + a AS INTEGER) AS y, b * 2 - 4 AS t, p // ((n + 1) // 2) AS batch, n
+                FROM (SELECT o_orderkey, o_custkey * 10.0::DOUBLE / count(*) OVER () AS a, o_totalprice / 100000.0::DOUBLE AS b,
+                             {natural_pos('o_orderkey')} AS p, count(*) OVER () AS n FROM orders)"""
 
 
 def step_table(spark, folder):
-    cust, price = F.col("o_custkey"), F.col("o_totalprice")
-    return table(spark, folder, "orders").select(
-        "o_orderkey", (cust / 1000.0).alias("a"), (price / 100000.0).alias("b"),
-        (price > 150000 + 100 * cust).cast("int").alias("y"), (price / 50000.0 - 4).alias("t"),
+    """Inputs of about the same size at every scale, so that a few steps stay in range."""
+    o = table(spark, folder, "orders")
+    a, b = F.col("o_custkey") * 10.0 / o.count(), F.col("o_totalprice") / 100000.0
+    return o.select(
+        "o_orderkey", a.alias("a"), b.alias("b"), (b > 1.5 + a).cast("int").alias("y"), (b * 2 - 4).alias("t")
     )
 
 

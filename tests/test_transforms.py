@@ -101,3 +101,13 @@ def test_errors_over_two_targets(spark):
     assert tuple(row) == pytest.approx((1.5, 2.5, (sst - sse) / sst))
     with pytest.raises(ValueError):
         metrics.precision(["a", "b"], ["pa", "pb"])
+
+
+def test_row_local_models_take_streams(spark, tmp_path):
+    df = spark.range(20).select("id", (F.col("id") * 1.5).alias("x"))
+    df.write.parquet(str(tmp_path / "in"))
+    model = Scaler("x").fit(df)
+    stream = model.transform(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
+    out = stream.writeStream.format("memory").queryName("scaled").trigger(availableNow=True).start()
+    out.awaitTermination(60)
+    assert rows(spark.table("scaled")) == rows(model.transform(df))
