@@ -526,7 +526,7 @@ def _codebook_rows(model, spark):
 
 @query(
     "lvq_codebooks",
-    """WITH t AS (SELECT o_orderkey, o_custkey / 1000.0::DOUBLE AS a, o_totalprice / 100000.0::DOUBLE AS b FROM orders),
+    f"""WITH t AS ({STEP_ROWS}),
             ra AS (SELECT a, row_number() OVER (ORDER BY md5('42:x0:' || o_orderkey), o_orderkey) - 1 AS i FROM t QUALIFY i < 6),
             rb AS (SELECT b, row_number() OVER (ORDER BY md5('42:x1:' || o_orderkey), o_orderkey) - 1 AS i FROM t QUALIFY i < 6)
        SELECT CAST(i AS INTEGER) AS codebook, round(a, 6) + 0.0 AS a, round(b, 6) + 0.0 AS b FROM ra JOIN rb USING (i)""",
