@@ -304,7 +304,7 @@ def neighbours_pruned(spark, folder):
     """The same through many cells and small blocks, as large tables take it."""
     e = table(spark, folder, "embeddings")
     out = nearest_neighbours(
-        e, e, "embedding", 5, "vec_id", "vec_id", exclude_self=True, pivots=12, train_block=40, query_block=60
+        e, e, "embedding", 5, "vec_id", "vec_id", exclude_self=True, pivots=12, train_block=120, query_block=200
     )
     return out.withColumn("distance", rounded("distance"))
 
