@@ -59,13 +59,34 @@ def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         yield start, len(sizes)
 
 
-def per_slice(batches: Iterator[pa.RecordBatch], work: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch | None], text: int = 1) -> Iterator[pa.RecordBatch]:
-    """Runs ``work`` on slices of bounded bytes of each batch; ``text`` is the position of its text column."""
+def per_slice(
+    batches: Iterator[pa.RecordBatch], work: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch | None], text: int = 1, limit: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Runs ``work`` on slices of about ``limit`` bytes of each batch; ``text`` is the position of its text column."""
     for batch in batches:
         sizes = batch.column(text).cast(pa.large_binary())
         lengths = np.diff(np.frombuffer(sizes.buffers()[1], np.int64)[sizes.offset : sizes.offset + len(sizes) + 1]) if len(sizes) else []
-        for i, j in slices([int(x) for x in lengths]):
+        for i, j in slices([int(x) for x in lengths], limit):
             part = batch.slice(i, j - i)
             out = work(part, texts_of(part.column(text)))
             if out is not None and out.num_rows:
                 yield out
+
+
+class Memo(dict):
+    """A bounded memo of ``make``: two generations of ``limit`` entries, so that what is used often stays."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int = 250_000, longest: int = 64) -> None:
+        super().__init__()
+        self.make, self.limit, self.longest, self.older = make, limit, longest, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value

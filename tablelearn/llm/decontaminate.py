@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import per_slice, require
 
 WINDOW, SHINGLE = 13, 5
+#: Documents are worked on in slices that stay in a core's cache.
+SLICE_BYTES = 2**18
 #: Windows go to the tasks in blocks of so many bytes at most; the documents are scanned once per block.
 BLOCK_BYTES = 32 * 2**20
 _WORD = np.uint64(0x9E3779B97F4A7C15)
@@ -148,7 +150,7 @@ def _frequencies(docs: DataFrame, shingles: dict[int, Lookup]) -> dict[int, np.n
                 found = x.find(words.shingles(n, hashes)[0])[1]
                 totals[n] += np.bincount(found, minlength=len(x.keys))
 
-        for _ in per_slice(batches, tally, 0):
+        for _ in per_slice(batches, tally, 0, SLICE_BYTES):
             pass
         for n, t in totals.items():
             at = np.flatnonzero(t)
@@ -228,7 +230,7 @@ def _search(docs: DataFrame, block: list[tuple[str, str]], key_type: str) -> Dat
             arrays = [part.column(0), pa.array(words.counts), pa.array(spans, spans_type), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
             return pa.RecordBatch.from_arrays(arrays, ["__key", "n_words", "spans", "items"])
 
-        yield from per_slice(batches, look)
+        yield from per_slice(batches, look, limit=SLICE_BYTES)
 
     return docs.select("__key", "__text").mapInArrow(work, SPANS_SCHEMA.format(key=key_type))
 

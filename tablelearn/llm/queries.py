@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, sharding, simhash, url_filter
+from . import bpe, chat, decontaminate, language, neighbours, sharding, simhash, token_store, url_filter
+from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +54,13 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id"""
 
 
+@query
+def op3_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    token_store.write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_store.with_crc32(token_store.read_tokens(spark, path))
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -91,6 +100,32 @@ SELECT page_id, host, path,
 FROM cut"""
 
 
+@query
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = bpe.encode(table(spark, folder, "documents"), path)
+    return bpe.decode(tokens, path).select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    net = language.fit_network(language.training_windows(docs))
+    found = language.identify(docs.select("doc_id", "text"), net)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 @query
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.byte_shards(table(spark, folder, "documents"))
