@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, language, neighbours, sharding, simhash, token_store, url_filter
+from . import bpe, chat, decontaminate, language, neighbours, repeats, sharding, simhash, token_store, url_filter
 from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,13 @@ SELECT page_id, host, path,
 FROM cut"""
 
 
+@query
+def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
