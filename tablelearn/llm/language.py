@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import per_slice, require
 
@@ -173,18 +173,18 @@ def training_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", l
     return [(r.lang, r.text) for r in cut.limit(bound).collect()]
 
 
-def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
     """``key``, ``lang_pred`` and ``score`` (its probability) of every row, from its whole text; nothing is shuffled.
 
+    With ``keep``, all columns of the table come along; own ones called ``lang_pred`` or ``score`` give way.
+
     A text that is null, has no letter, or meets a network without languages: ``und`` with score 0. Repeated rows get equal
     results. Ties go to the first language by name. Texts are scored in slices, so none needs more than its own bytes and
-    its windows' pooled values. Other columns are not read.
+    its windows' pooled values. Without ``keep``, other columns are not read.
     """
     require(docs, key, text)
-    shared = docs.sparkSession.sparkContext.broadcast(net)
-
+    rest = [c for c in docs.columns if keep and c not in ("lang_pred", "score")] or [key]
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
         scorer = Scorer(net) if net.languages else None
 
         def one(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
@@ -195,10 +195,11 @@ def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "te
                 p = scorer.texts([texts[i] for i in at])
                 for i, best, value in zip(at, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
                     lang[i], score[i] = net.languages[best], min(1.0, value)
-            return pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["__key", "lang_pred", "score"])
+            arrays = [*part.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+            return pa.RecordBatch.from_arrays(arrays, [*part.schema.names[1:], "lang_pred", "score"])
 
-        yield from per_slice(batches, one)
+        yield from per_slice(batches, one, 0)
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    return rows.mapInArrow(work, f"__key {kind}, lang_pred string, score double").withColumnRenamed("__key", key)
+    rows = docs.select(F.col(text).alias("__text"), *rest)
+    schema = T.StructType([*rows.schema.fields[1:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(work, schema)

@@ -26,9 +26,9 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import require, saved, texts_of
+from .common import require, saved, slices, texts_of
 
 LENGTH, ANCHOR = 50, 20
 CELL_BYTES, BUCKET_BYTES, STEP_BYTES = 8 * 2**20, 16 * 2**20, 2**20
@@ -136,33 +136,42 @@ class Cell:
         return hashes, list(number), least, (doc, place, begin, end), of
 
 
-def _cells(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _cells(docs: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
+    """Documents packed into cells; the columns to keep lie beside them as a batch of their own."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
 
-        def cell(keys: list[np.ndarray], texts: list[bytes]) -> pa.RecordBatch:
+        def cell(parts: list[pa.RecordBatch], texts: list[bytes]) -> pa.RecordBatch:
             nonlocal made
+            rows = pa.Table.from_batches(parts).combine_chunks()
             lengths = np.array([len(t) for t in texts], np.int64)
-            row = Cell(np.concatenate(keys), lengths, b"".join(texts))
+            row = Cell(np.asarray(rows.column(0).fill_null(NO_KEY)), lengths, b"".join(texts))
             made += 1
-            columns = [pa.array([part << 32 | made], pa.int64()), pa.array([row.packed()], pa.binary()), pa.array([len(row.buffer)], pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["cell", "docs", "bytes"])
-
-        keys, texts, size = [], [], 0
+            rest = pa.BufferOutputStream()
+            with pa.ipc.new_stream(rest, rows.schema) as out:
+                out.write_table(rows)
+            values = [part << 32 | made], [row.packed()], [len(row.buffer)], [rest.getvalue().to_pybytes()]
+            columns = [pa.array(v, t) for v, t in zip(values, (pa.int64(), pa.binary(), pa.int64(), pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, ["cell", "docs", "bytes", "rest"])
+
+        parts, texts, size = [], [], 0
         for batch in batches:
-            own = np.asarray(batch.column(0).fill_null(NO_KEY))
-            for i, t in enumerate(texts_of(batch.column(1))):
-                if texts and size + len(t) > CELL_BYTES:
-                    yield cell(keys, texts)
-                    keys, texts, size = [], [], 0
-                keys.append(own[i : i + 1])
-                texts.append(t)
+            rest = pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:]], [str(i) for i in range(batch.num_columns - 1)])
+            own = texts_of(batch.column(1))
+            begin = 0
+            for i, t in enumerate(own):
+                if (texts or i > begin) and size + len(t) > CELL_BYTES:
+                    yield cell([*parts, rest.slice(begin, i - begin)], texts + own[begin:i])
+                    parts, texts, size, begin = [], [], 0, i
                 size += len(t)
+            parts.append(rest.slice(begin))
+            texts += own[begin:]
         if texts:
-            yield cell(keys, texts)
+            yield cell(parts, texts)
 
-    rows = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"))
-    return rows.mapInArrow(work, "cell long, docs binary, bytes long")
+    rows = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"), *keep)
+    return rows.mapInArrow(work, "cell long, docs binary, bytes long, rest binary")
 
 
 def _shared_anchors(cells: DataFrame, buckets: int) -> DataFrame:
@@ -326,19 +335,21 @@ def _spans(cell: Cell, anchors: list[bytes] | None, repeats: list[bytes] | None)
     return np.cumsum(delta[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
     """Removes every byte covered by a string of 50 bytes that also starts in a document with a smaller key.
 
     Returns per document row: ``key``, ``n_bytes``, ``spans`` (maximal removed runs, first byte and the byte after the last) and
-    ``kept`` (the other bytes). Strings never cross documents and are judged on the input.
+    ``kept`` (the other bytes). Strings never cross documents and are judged on the input. With ``keep``, returns the table's own
+    columns instead, the text without what is removed; there a character is removed only if all its bytes are.
 
     ``key`` must be an integer. Null keys count as greater than all others and not smaller than each other. Rows with
     equal keys never make each other's strings repeats. Null text: no bytes. Texts below 50 bytes keep all. Equal texts: the
     least key keeps its own. Repeated rows get equal results. Texts of any length: they are worked on in overlapping steps.
-    Empty table: no rows. Other columns are not read.
+    Empty table: no rows. Without ``keep``, other columns are not read.
     """
     require(docs, key, text)
-    cells = saved(_cells(docs, key, text), "cells")
+    rest = [c for c in docs.columns if c != text] if keep else []
+    cells = saved(_cells(docs, key, text, rest), "cells")
     buckets = int((cells.agg(F.sum("bytes")).first()[0] or 0) // BUCKET_BYTES) + 8
     shared = saved(_shared_anchors(cells, buckets), "anchors")
     marked = cells.select("cell", "docs").join(shared, "cell")
@@ -366,33 +377,34 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     repeats = saved(met.groupBy("cell").agg(F.collect_list("repeats").alias("repeats")), "repeats")
 
     span_type = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+    own = T.StructType([T.StructField("__key", T.LongType()), T.StructField("n_bytes", T.LongType())])
+    span = T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())])
+    own = own.add("spans", T.ArrayType(span)).add("kept", T.BinaryType())
+    schema = T.StructType([docs.schema[c] if c != text else T.StructField(text, T.StringType()) for c in docs.columns]) if keep else own
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, anchors, repeats in zip(*[c.to_pylist() for c in batch.columns]):
+            for docs, others, anchors, repeats in zip(*[c.to_pylist() for c in batch.columns]):
                 cell = Cell.of(docs)
                 gone = _spans(cell, anchors, repeats)
                 raw = np.frombuffer(cell.buffer, np.uint8)
-                keys, sizes, spans, kept, size = [], [], [], [], 0
-                for k, n, z in zip(cell.keys.tolist(), cell.lengths.tolist(), cell.ends.tolist()):
-                    mark = gone[z - n : z]
-                    edge = np.flatnonzero(np.diff(mark.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()
-                    keys.append(None if k == NO_KEY else k)
-                    sizes.append(n)
-                    spans.append([{"first": a, "end": b} for a, b in edge])
-                    kept.append(raw[z - n : z][~mark].tobytes())
-                    size += n
-                    if size > STEP_BYTES:
-                        yield _cut_rows(keys, sizes, spans, kept, span_type)
-                        keys, sizes, spans, kept, size = [], [], [], [], 0
-                if keys:
-                    yield _cut_rows(keys, sizes, spans, kept, span_type)
-
-    whole = cells.select("cell", "docs").join(shared, "cell", "left").join(repeats, "cell", "left").select("docs", "anchors", "repeats")
-    out = whole.mapInArrow(cut, "__key long, n_bytes long, spans array<struct<first:long,end:long>>, kept binary")
-    return out.withColumn("__key", F.col("__key").cast(docs.schema[key].dataType)).withColumnRenamed("__key", key)
-
-
-def _cut_rows(keys: list, sizes: list, spans: list, kept: list, span_type: pa.DataType) -> pa.RecordBatch:
-    arrays = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, ["__key", "n_bytes", "spans", "kept"])
+                if keep and len(raw):  # whole characters: a byte 10xxxxxx goes on with the one before
+                    character = np.cumsum((raw & 0xC0) != 0x80)
+                    gone = ~(np.bincount(character, ~gone) > 0)[character]
+                table = pa.ipc.open_stream(others).read_all().combine_chunks()
+                bounds = np.r_[0, cell.ends]
+                for i, j in slices(cell.lengths.tolist(), STEP_BYTES):
+                    marks = [(raw[a:z], gone[a:z]) for a, z in zip(bounds[i:j].tolist(), bounds[i + 1 : j + 1].tolist())]
+                    kept = pa.array([r[~m].tobytes() for r, m in marks], pa.binary())
+                    part = table.slice(i, j - i)
+                    if keep:
+                        arrays = [kept.cast(pa.string()) if c == text else part.column(1 + rest.index(c)).combine_chunks() for c in schema.names]
+                    else:
+                        edges = [np.flatnonzero(np.diff(m.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist() for _, m in marks]
+                        spans = pa.array([[{"first": a, "end": b} for a, b in e] for e in edges], span_type)
+                        arrays = [part.column(0).combine_chunks(), pa.array(cell.lengths[i:j]), spans, kept]
+                    yield pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    whole = cells.select("cell", "docs", "rest").join(shared, "cell", "left").join(repeats, "cell", "left").select("docs", "rest", "anchors", "repeats")
+    out = whole.mapInArrow(cut, schema)
+    return out if keep else out.withColumn("__key", F.col("__key").cast(docs.schema[key].dataType)).withColumnRenamed("__key", key)
