@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
@@ -39,6 +41,11 @@ def require(df: DataFrame, *columns: str) -> None:
         raise KeyError(f"columns {missing} are not in the table")
 
 
+def hidden(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Columns under names that clash with none."""
+    return [df["`" + c.replace("`", "``") + "`"].alias(f"__kept_{i}") for i, c in enumerate(columns)]
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The UTF-8 bytes of each text; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -90,3 +97,12 @@ class Memo(dict):
                 self.clear()
             self[key] = value
         return value
+
+
+def kept_by_worker(kind: type, spec: str) -> object:
+    """``kind(spec)``, made once per Python worker: later tasks of the same worker find it with its memo."""
+    state = sys.modules.setdefault("_tablelearn_worker", types.ModuleType("_tablelearn_worker")).__dict__
+    name = f"{kind.__name__}-{hash(spec)}"
+    if name not in state:
+        state[name] = kind(spec)
+    return state[name]

@@ -15,7 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import per_slice, require
+from .common import hidden, per_slice, require
 
 WINDOW, EMBED, FILTERS, WIDTHS = 256, 8, 16, (2, 3, 4)
 #: The bound of the training sample: documents per language, and windows of each.
@@ -195,11 +195,10 @@ def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "te
                 p = scorer.texts([texts[i] for i in at])
                 for i, best, value in zip(at, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
                     lang[i], score[i] = net.languages[best], min(1.0, value)
-            arrays = [*part.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
-            return pa.RecordBatch.from_arrays(arrays, [*part.schema.names[1:], "lang_pred", "score"])
+            return pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64())], schema.names)
 
         yield from per_slice(batches, one, 0)
 
-    rows = docs.select(F.col(text).alias("__text"), *rest)
-    schema = T.StructType([*rows.schema.fields[1:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    rows = docs.select(F.col(text).alias("__text"), *hidden(docs, rest))
+    schema = T.StructType([*[docs.schema[c] for c in rest], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(work, schema)

@@ -28,7 +28,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import require, saved, slices, texts_of
+from .common import hidden, require, saved, slices, texts_of
 
 LENGTH, ANCHOR = 50, 20
 CELL_BYTES, BUCKET_BYTES, STEP_BYTES = 8 * 2**20, 16 * 2**20, 2**20
@@ -170,7 +170,7 @@ def _cells(docs: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
         if texts:
             yield cell(parts, texts)
 
-    rows = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"), *keep)
+    rows = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"), *hidden(docs, keep))
     return rows.mapInArrow(work, "cell long, docs binary, bytes long, rest binary")
 
 
