@@ -6,6 +6,9 @@ JSON-able. Whatever grows with the data, such as an encoder's dictionary, is kep
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import importlib
 import json
 from typing import Any
 
@@ -57,7 +60,8 @@ class TableModel(Model):
     def save(self, path: str) -> None:
         """Parameters as one line of JSON, tables as Parquet, under any path Spark writes."""
         spark = SparkSession.active()
-        text = json.dumps({**self.get_params(), "tables": sorted(self.tables)})
+        exported = {**self.get_params(), "module": type(self).__module__, "tables": sorted(self.tables)}
+        text = json.dumps(exported, default=_written)
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/params")
         for name, table in self.tables.items():
             table.write.mode("overwrite").parquet(f"{path}/table_{name}")
@@ -75,11 +79,31 @@ class TableModel(Model):
         return prediction_names(self.target_cols)
 
 
+_KINDS = {"date": datetime.date, "timestamp": datetime.datetime, "decimal": decimal.Decimal}
+
+
+def _written(value: Any) -> dict[str, str]:
+    """Class values that JSON has no form for."""
+    for kind in ("timestamp", "date", "decimal"):  # a timestamp is a date as well
+        if isinstance(value, _KINDS[kind]):
+            return {"__kind": kind, "value": str(value) if kind == "decimal" else value.isoformat()}
+    raise TypeError(f"cannot save {value!r}")
+
+
+def _read(value: dict) -> Any:
+    kind = value.get("__kind")
+    if kind is None:
+        return value
+    return decimal.Decimal(value["value"]) if kind == "decimal" else _KINDS[kind].fromisoformat(value["value"])
+
+
 def prediction_names(targets: list[str]) -> list[str]:
     return ["prediction"] if len(targets) == 1 else [f"prediction_{t}" for t in targets]
 
 
 def load_model(spark: SparkSession, path: str) -> TableModel:
-    exported = json.loads(spark.read.text(f"{path}/params").first()[0])
+    exported = json.loads(spark.read.text(f"{path}/params").first()[0], object_hook=_read)
+    if exported["model"] not in _MODELS:
+        importlib.import_module(exported["module"])
     tables = {name: spark.read.parquet(f"{path}/table_{name}") for name in exported["tables"]}
     return _MODELS[exported["model"]](exported["params"], exported["state"], tables)

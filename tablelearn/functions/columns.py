@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -28,12 +29,15 @@ def quoted(name: str) -> str:
 
 
 def resolve(df: DataFrame, key) -> list[str]:
-    """Column names for a name, an index (negatives count from the end), or a list of either."""
+    """Column names for a name, an index (negatives count from the end), a slice of indexes, or a list of these."""
     names = df.columns
     out = []
     for item in as_list(key):
+        if isinstance(item, slice):
+            out += names[item]
+            continue
         if isinstance(item, bool) or not isinstance(item, (int, str)):
-            raise TypeError(f"a column is given by name or index, got {item!r}")
+            raise TypeError(f"a column is given by name, index or slice, got {item!r}")
         if isinstance(item, int):
             if not -len(names) <= item < len(names):
                 raise IndexError(f"column index {item} is outside 0..{len(names) - 1}")
@@ -95,6 +99,18 @@ def long_array(values: Sequence[int]) -> Column:
     return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<bigint>")
 
 
+def constant_array(values: Sequence) -> Column:
+    """Values of one kind as one constant; text and numbers travel as one literal, other kinds as an array of literals."""
+    if values and all(isinstance(v, str) for v in values):
+        return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+    if values and all(isinstance(v, int) and not isinstance(v, bool) and -(2**63) <= v < 2**63 for v in values):
+        wide = any(not -(2**31) <= v < 2**31 for v in values)
+        return F.from_json(F.lit(json.dumps(list(values))), "array<bigint>" if wide else "array<int>")
+    if values and all(isinstance(v, float) and math.isfinite(v) for v in values):
+        return double_array(values)
+    return F.array(*[F.lit(v) for v in values])
+
+
 def search_bucket(df: DataFrame, probe: Column, bounds, depth: int, out: str) -> DataFrame:
     """``out`` = how many of the ``2**depth - 1`` sorted bounds are at or below ``probe``.
 

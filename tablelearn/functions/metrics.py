@@ -67,14 +67,16 @@ def f1_score(actual, predicted) -> Column:
 
 
 def r_squared(actual, predicted) -> Column:
-    """(SST - SSE) / SST, with SST from variances rather than from raw sums of squares."""
+    """(SST - SSE) / SST, with SST from variances rather than from raw sums of squares; over rows without a missing value."""
     pairs = _pairs(actual, predicted)
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for pair in pairs for c in pair])
+    pairs = [(F.when(whole, y), F.when(whole, p)) for y, p in pairs]
     sse = F.sum(_total([(y - p) * (y - p) for y, p in pairs]).cast("double"))
     within = _total([F.var_pop(y) for y, _ in pairs])
     if len(pairs) > 1:
         grand = _total([F.avg(y) for y, _ in pairs]) / len(pairs)
         within = within + _total([F.pow(F.avg(y) - grand, 2) for y, _ in pairs])
-    sst = within * F.count(F.lit(1))
+    sst = within * F.count(F.when(whole, 1))
     return F.try_divide(sst - sse, sst)
 
 
@@ -86,15 +88,21 @@ def confusion_cells(df: DataFrame, actual: str, predicted: str, by: list[str] |
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str, max_classes: int = 300) -> DataFrame:
-    """Rows are predicted, columns actual classes; the classes are those of either side, cells without rows are 0."""
+    """Rows are predicted, columns actual classes; the classes are those of either side, cells without rows are 0.
+
+    A missing label is a class of its own, the last one, with the column ``null``.
+    """
     cells = confusion_cells(df, actual, predicted)
     found = cells.limit(max_classes**2 + 1).collect()  # one job; classes, not rows, set its size
-    classes = sorted({c for r in found for c in (r["predicted"], r["actual"])})
+    classes = sorted({c for r in found for c in (r["predicted"], r["actual"])}, key=lambda c: (c is None, 0 if c is None else c))
     if len(classes) > max_classes:
         raise ValueError(f"more than {max_classes} classes; use confusion_cells")
     counts = {(r["predicted"], r["actual"]): r["n"] for r in found}
     schema = T.StructType(
-        [cells.schema["predicted"], *[T.StructField(str(c), T.LongType(), False) for c in classes]]
+        [
+            T.StructField("predicted", cells.schema["predicted"].dataType),
+            *[T.StructField("null" if c is None else str(c), T.LongType(), False) for c in classes],
+        ]
     )
     rows = [(p, *[counts.get((p, a), 0) for a in classes]) for p in classes]
     return df.sparkSession.createDataFrame(rows, schema)

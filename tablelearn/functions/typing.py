@@ -21,6 +21,9 @@ INTEGER_RANGES = (
     ("int64", -(2**63), 2**63 - 1, "bigint"),
 )
 
+# A number in text: what Spark's own casts read besides (suffixes as in 1d, hexadecimal floats) is no number here.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
+
 FLOAT32_MAX = 3.4028234663852886e38
 EXACT_INTEGER_LIMIT = 2**53
 
@@ -54,6 +57,8 @@ def infer_types(df: DataFrame, cols: list[str] | None = None, narrow_floats: boo
     aggs = []
     for i, f in enumerate(fields):
         as_double = F.expr(f"try_cast({quoted(f.name)} AS DOUBLE)")
+        if isinstance(f.dataType, T.StringType):
+            as_double = F.when(to_col(f.name).rlike(NUMBER), as_double)
         aggs += [
             F.count(to_col(f.name)).alias(f"cells{i}"),
             F.count(as_double).alias(f"numbers{i}"),
@@ -102,7 +107,8 @@ def infer_types(df: DataFrame, cols: list[str] | None = None, narrow_floats: boo
 
 
 def cast_columns(df: DataFrame, types: dict[str, str | T.DataType] | T.StructType | str) -> DataFrame:
-    """Explicit types for some columns, or for all through a schema; a bad cell fails the job."""
+    """Explicit types for some columns, or for all through a schema; a bad cell fails the job. So does text with a
+    fraction, such as "3.7", for an integer type."""
     if isinstance(types, str):
         types = T.StructType.fromDDL(types)
     if isinstance(types, T.StructType):
@@ -119,9 +125,14 @@ def cast_columns(df: DataFrame, types: dict[str, str | T.DataType] | T.StructTyp
             return to_col(field.name)
         name = target if isinstance(target, str) else target.simpleString()
         c = to_col(field.name)
-        if isinstance(field.dataType, T.StringType) and name in integer_names:
+        if isinstance(field.dataType, T.StringType) and (name in integer_names or name in ("float", "double") or name.startswith("decimal")):
+            bad = F.raise_error(F.concat(F.lit(f"column {field.name}: not a {name}: "), c))
+            number = F.when(c.rlike(NUMBER), c).when(c.isNotNull(), bad.cast("string"))
+            if name not in integer_names:
+                return number.cast(target).alias(field.name)
             # text such as "3.0" or "1e5" is a whole number, but no integer literal
-            return c.cast("decimal(38,0)").cast(name).alias(field.name)
+            whole = number.cast("decimal(38,18)")
+            return F.when(whole % 1 == 0, whole.cast(name)).when(whole.isNotNull(), bad.cast(name)).alias(field.name)
         return c.cast(target).alias(field.name)
 
     return df.select(*[cast(f) for f in df.schema.fields])

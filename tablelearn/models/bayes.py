@@ -7,9 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import as_list, feature, literal_table, to_col
+from ..functions.columns import as_list, constant_array, feature, literal_table, to_col
 
-# Classes times inputs up to which the scores are written out; above, they come from a constant table.
+# Classes times inputs up to which the scores are written out; above, they come from a constant table. Both add up the
+# same terms in the same order, so the size of a model changes no result.
 MAX_TERMS = 1000
 
 
@@ -29,7 +30,9 @@ class NaiveBayesClassifier(TableEstimator):
         self.std_floor = std_floor
         self.max_classes = max_classes
 
-    def _stats(self, df: DataFrame, extra: list[Column]) -> list:
+    def _stats(self, df: DataFrame, extra: list[Column], parts: int = 1) -> list:
+        """A row per class (and part). More rows than ``max_classes`` classes can have in ``parts`` parts are an error."""
+        most = self.max_classes * parts
         d = len(self.input_cols)
         rows = (
             df.select(
@@ -42,11 +45,11 @@ class NaiveBayesClassifier(TableEstimator):
                 *[F.avg(f"x{i}").alias(f"m{i}") for i in range(d)],
                 *[F.var_pop(f"x{i}").alias(f"v{i}") for i in range(d)],
             )
-            .limit(self.max_classes + 1 if not extra else 100 * self.max_classes)
+            .limit(most + 1)
             .collect()
         )
-        if len({r["y"] for r in rows}) > self.max_classes:
-            raise ValueError(f"more than {self.max_classes} classes")
+        if len(rows) > most or len({r["y"] for r in rows}) > self.max_classes:
+            raise ValueError(f"more than {self.max_classes} classes, or folds other than those given")
         if not rows:
             raise ValueError("no rows to train on")
         return rows
@@ -71,7 +74,7 @@ class NaiveBayesClassifier(TableEstimator):
     def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, "NaiveBayesModel"]:
         """One job for all folds: the moments of the other folds are merged, not subtracted from a total."""
         d = range(len(self.input_cols))
-        rows = self._stats(df, [to_col(fold_col).alias("f")])
+        rows = self._stats(df, [to_col(fold_col).alias("f")], len(folds))
         out = {}
         for i in folds:
             merged: dict = {}
@@ -97,15 +100,22 @@ class NaiveBayesModel(TableModel):
     def log_scores(self) -> list[Column]:
         """Per class the log of prior times densities, as plain arithmetic with the model as constants."""
         out = []
-        for prior, means, stds in zip(self.state["priors"], self.state["means"], self.state["stds"]):
-            score = F.lit(math.log(prior))
+        for base, means, stds in self._terms():
+            gap = F.lit(0.0)
             for c, mean, std in zip(self.input_cols, means, stds):
-                std = max(std, self.params_["std_floor"] or 0.0)
-                if std == 0:
-                    continue
-                gap = (feature(c) - F.lit(mean)) / F.lit(std)
-                score = score - F.lit(math.log(std) + 0.5 * math.log(2 * math.pi)) - gap * gap * 0.5
-            out.append(score)
+                if std > 0:
+                    z = (feature(c) - F.lit(mean)) / F.lit(std)
+                    gap = gap + z * z
+            out.append(F.lit(base) - gap * 0.5)
+        return out
+
+    def _terms(self) -> list[tuple[float, list[float], list[float]]]:
+        """Per class what doesn't depend on the row, the means, and the deviations (0: the input is left out)."""
+        out = []
+        for prior, means, stds in zip(self.state["priors"], self.state["means"], self.state["stds"]):
+            stds = [max(s, self.params_["std_floor"] or 0.0) for s in stds]
+            base = math.log(prior) - sum(math.log(s) + 0.5 * math.log(2 * math.pi) for s in stds if s > 0)
+            out.append((base, means, stds))
         return out
 
     def predict_proba(self, df: DataFrame, normalize: bool = False) -> DataFrame:
@@ -128,25 +138,21 @@ class NaiveBayesModel(TableModel):
         if len(self.state["classes"]) * len(self.input_cols) <= MAX_TERMS:
             ranked = [F.struct(s.alias("s"), F.lit(-i).alias("i")) for i, s in enumerate(self.log_scores())]
             return F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
-        rows = []
-        for i, (prior, means, stds) in enumerate(zip(self.state["priors"], self.state["means"], self.state["stds"])):
-            stds = [max(s, self.params_["std_floor"] or 0.0) for s in stds]
-            base = math.log(prior) - sum(math.log(s) + 0.5 * math.log(2 * math.pi) for s in stds if s > 0)
-            rows.append({"i": -i, "base": base, "m": means, "w": [1 / s if s > 0 else 0.0 for s in stds]})
-        table = literal_table(rows, "array<struct<i:int,base:double,m:array<double>,w:array<double>>>")
+        rows = [{"i": -i, "base": base, "m": means, "s": stds} for i, (base, means, stds) in enumerate(self._terms())]
+        table = literal_table(rows, "array<struct<i:int,base:double,m:array<double>,s:array<double>>>")
 
         def scored(row: Column) -> Column:
             gap = F.lit(0.0)
             for j, c in enumerate(self.input_cols):
-                z = (feature(c) - row["m"][j]) * row["w"][j]
-                gap = gap + z * z
+                z = (feature(c) - row["m"][j]) / row["s"][j]
+                gap = gap + F.when(row["s"][j] > 0, z * z).otherwise(0.0)
             return F.struct((row["base"] - gap * 0.5).alias("s"), row["i"].alias("i"))
 
         return F.array_max(F.transform(table, scored))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """The class of the highest score, the smallest class on ties."""
-        classes = F.array(*[F.lit(c) for c in self.state["classes"]])
+        classes = constant_array(self.state["classes"])
         return dataset.withColumn("__best", self._best()).withColumn(
             "prediction", F.get(classes, -F.col("__best")["i"])
         ).drop("__best")

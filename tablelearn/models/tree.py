@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import as_list, double_array, feature, long_array, search_bucket, to_col
+from ..functions.columns import as_list, constant_array, double_array, feature, long_array, search_bucket, to_col
 
 ROWS_PER_RANGE = 250_000
 MAX_RANGE_DEPTH = 10
@@ -193,7 +193,8 @@ class DecisionTreeClassifier(TableEstimator):
                 raise ValueError(f"more than {MAX_OPEN_NODES} nodes on a level; lower max_depth or raise min_samples")
             placed = descend(rows, [F.col(f"x{i}") for i in range(d)], nodes, "node")
             if depth > 1:
-                is_open = [1 if i in set(open_nodes) else 0 for i in range(len(nodes))]
+                still = set(open_nodes)
+                is_open = [1 if i in still else 0 for i in range(len(nodes))]
                 placed = placed.filter(F.get(long_array(is_open), F.col("node")) == 1)
             histogram = class_histogram(placed, d, classes)
             large = False
@@ -260,7 +261,7 @@ class DecisionTreeModel(TableModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """C5."""
-        labels = F.array(*[F.lit(self.state["classes"][n["label"]]) for n in self.state["nodes"]])
+        labels = constant_array([self.state["classes"][n["label"]] for n in self.state["nodes"]])
         return self.with_leaf(dataset).withColumn("prediction", F.get(labels, F.col("leaf"))).drop("leaf")
 
     def rules(self, spark) -> DataFrame:
@@ -292,7 +293,7 @@ class DecisionTreeModel(TableModel):
         target = to_col(self.target_cols[0])
         # few rows from here on: leaves times classes
         mix = self.with_leaf(df).groupBy("leaf", target.alias("y")).agg(F.count(F.lit(1)).alias("n"))
-        path = F.split(F.get(F.array(*[F.lit(p) for p in paths]), F.col("leaf")), ",").cast("array<int>")
+        path = F.split(F.get(constant_array(paths), F.col("leaf")), ",").cast("array<int>")
         per_node = mix.select(F.explode(path).alias("node"), "y", "n").groupBy("node", "y").agg(F.sum("n").alias("n"))
         rules = F.broadcast(self.rules(df.sparkSession))
         seen = per_node.join(rules.select("node", "label"), "node").groupBy("node").agg(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import as_list, long_array, nan_to_null, resolve, to_col
+from ..functions.columns import as_list, long_array, nan_to_null, resolve, search_bucket, to_col
 from ..functions.typing import cast_columns, categorical_columns, infer_types, normalise_missing, numeric_columns
-from .position import positional, positional_with_count
+from .position import positional, positional_part, positional_with_count
 
 # A list of row numbers comes from the driver; up to this many travel as a broadcast table.
 BROADCAST_ROWS = 1_000_000
+# Up to so many inserted rows, their places travel as one constant; more are sorted in with the table, with the same result.
+LISTED_INSERTS = 100_000
 
 
 # -- columns ---------------------------------------------------------------------------------------
@@ -140,7 +142,13 @@ def select_rows(df: DataFrame, rows, columns=None, row_key=None, pos: str = "pos
     The result carries ``pos``, its own 0-based order.
     """
     wanted = resolve(df, columns) if columns is not None else [c for c in df.columns if c != pos]
-    placed, n = positional_with_count(df, row_key, pos=pos)
+    if as_list(row_key):
+        def ranges(n: int) -> list[range]:
+            return [range(n)[rows]] if isinstance(rows, slice) else [range(r, r + 1) for r in _row_numbers(rows, n)]
+
+        placed, n = positional_part(df, row_key, ranges, pos)
+    else:
+        placed, n = positional_with_count(df, row_key, pos=pos)
     if isinstance(rows, slice):
         hit, new_pos = _slice_predicate(rows, n, pos)
         return placed.filter(hit).select(*[to_col(c) for c in wanted], new_pos.alias(pos))
@@ -154,18 +162,25 @@ def select_rows(df: DataFrame, rows, columns=None, row_key=None, pos: str = "pos
 
 
 def drop_rows(df: DataFrame, rows, delete: bool = True, row_key=None, pos: str = "pos") -> tuple[DataFrame, DataFrame]:
-    """``(what stays, what was taken)``; both keep the ``pos`` they had."""
+    """``(what stays, what was taken)``, each numbered anew from 0 in the old order.
+
+    A new position follows from the old one and the number of taken rows before it, so nothing is shuffled for it.
+    """
     placed, n = positional_with_count(df, row_key, pos=pos)
     if isinstance(rows, slice):
-        hit, _ = _slice_predicate(rows, n, pos)
-        return (placed.filter(~hit) if delete else placed), placed.filter(hit)
-    numbers = sorted(set(_row_numbers(rows, n)))
-    if len(numbers) == 1:
-        hit = F.col(pos) == numbers[0]
-        return (placed.filter(~hit) if delete else placed), placed.filter(hit)
-    table = _wanted_rows(df, numbers, pos).select(pos)
-    kept = placed.join(table, pos, "left_anti") if delete else placed
-    return kept, placed.join(table, pos, "left_semi")
+        taken = range(n)[rows]
+        taken = taken if taken.step > 0 else taken[::-1]
+        hit, _ = _slice_predicate(slice(taken.start, taken.stop, taken.step), n, pos)
+        before = F.greatest(F.lit(0), F.least(F.lit(len(taken)), F.ceil((F.col(pos) - taken.start) / taken.step))).cast("bigint")
+        placed = placed.withColumn("__before", before)
+    else:
+        numbers = sorted(set(_row_numbers(rows, n)))
+        depth = max(1, len(numbers).bit_length())
+        listed = long_array(numbers + [n] * (2**depth - len(numbers)))
+        placed = search_bucket(placed, F.col(pos) - 1, lambda i: F.get(listed, i), depth, "__before")
+        hit = F.get(listed, F.col("__before")) == F.col(pos)
+    kept = placed.filter(~hit).withColumn(pos, F.col(pos) - F.col("__before")) if delete else placed
+    return kept.drop("__before"), placed.filter(hit).withColumn(pos, F.col("__before").cast("bigint")).drop("__before")
 
 
 def add_rows(
@@ -196,11 +211,27 @@ def add_rows(
     place = F.when(place.between(0, n), place).otherwise(
         F.raise_error(F.lit(f"an insert position is outside 0..{n}")).cast("bigint")
     )
+    if m <= LISTED_INSERTS:
+        return _scattered(placed, fresh.select(*cells, place.alias("__at"), "__seq"), names, m, n, pos)
     old = placed.select(*[to_col(c) for c in names], F.col(pos).alias("__at"), F.lit(1).alias("__old"), F.lit(0).cast("bigint").alias("__seq"))
     new = fresh.select(*cells, place.alias("__at"), F.lit(0).alias("__old"), F.col("__seq"))
     return positional(old.unionByName(new), ["__at", "__old", "__seq"], pos=pos).drop("__at", "__old", "__seq")
 
 
+def _scattered(placed: DataFrame, fresh: DataFrame, names: list[str], m: int, n: int, pos: str) -> DataFrame:
+    """Old rows move by the inserts at or before them, looked up in the sorted list of insert places."""
+    ordered = fresh.select("__at", "__seq").sort("__at", "__seq").collect()  # LISTED_INSERTS rows at most
+    depth = max(1, m.bit_length())
+    places = long_array([r["__at"] for r in ordered] + [n + 1] * (2**depth - m))
+    moved = search_bucket(placed, F.col(pos), lambda i: F.get(places, i), depth, "__before")
+    old = moved.select(*[to_col(c) for c in names], (F.col(pos) + F.col("__before")).cast("bigint").alias(pos))
+    rank = [0] * m
+    for i, r in enumerate(ordered):
+        rank[r["__seq"]] = i
+    new_pos = F.col("__at") + F.get(long_array(rank), F.col("__seq").cast("int"))
+    return old.unionByName(fresh.select(*[to_col(c) for c in names], new_pos.cast("bigint").alias(pos)))
+
+
 def append_rows(top: DataFrame, bottom: DataFrame) -> DataFrame:
     """One table under the other, by column position, cast to the upper table's types. Duplicates stay."""
     if len(top.columns) != len(bottom.columns):

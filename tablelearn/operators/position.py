@@ -79,7 +79,11 @@ class _Buckets:
     n: int
 
     def numbered(self, pos: str, only: list[int] | None = None) -> DataFrame:
-        rows = self.rows if only is None else self.rows.filter(F.col(_BUCKET).isin(only))
+        rows = self.rows
+        if only is not None and only and only[-1] - only[0] == len(only) - 1:
+            rows = rows.filter(F.col(_BUCKET).between(only[0], only[-1]))
+        elif only is not None:
+            rows = rows.filter(F.col(_BUCKET).isin(only))
         base = F.get(long_array(self.offsets), F.col(_BUCKET))
         rank = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*self.order)) - 1
         return rows.withColumn(pos, (rank + base).cast("bigint")).drop(_BUCKET, *self.helpers)
@@ -150,16 +154,34 @@ def positional(df: DataFrame, row_key, seed=None, pos: str = "pos") -> DataFrame
 def positional_with_count(df: DataFrame, row_key, seed=None, pos: str = "pos") -> tuple[DataFrame, int]:
     """``positional`` and the number of rows, which its counting pass finds on the way.
 
-    Without ``row_key`` the table must already have ``pos``.
+    Without ``row_key`` the table must already have ``pos``, dense from 0: gaps, as a filter leaves them, are an error.
     """
     keys = as_list(row_key)
     if not keys and pos in df.columns:
-        return df, df.count()
+        found = df.agg(F.count(F.lit(1)).alias("n"), F.count(pos).alias("m"), F.min(pos).alias("low"), F.max(pos).alias("high")).first()
+        if found.n and (found.m, found.low, found.high) != (found.n, 0, found.n - 1):
+            raise ValueError(f"column {pos} isn't dense: {found.n} rows from {found.low} to {found.high}; give a row_key")
+        return df, found.n
     df = df.drop(pos) if pos in df.columns and pos not in keys else df
     found = _buckets(df, keys, seed)
     return found.numbered(pos), found.n
 
 
+def positional_part(df: DataFrame, row_key, wanted: Callable[[int], list[range]], pos: str = "pos") -> tuple[DataFrame, int]:
+    """The rows of the buckets that hold the positions in ``wanted(n)``, with ``pos``; and n.
+
+    Only those buckets are shuffled and numbered. Other rows of theirs come along; the caller filters by ``pos``.
+    """
+    keys = as_list(row_key)
+    found = _buckets(df.drop(pos) if pos in df.columns and pos not in keys else df, keys, None)
+    only = set()
+    for r in wanted(found.n):
+        if len(r):
+            first, last = (bisect_right(found.offsets, x) - 1 for x in (min(r[0], r[-1]), max(r[0], r[-1])))
+            only |= set(range(first, last + 1))
+    return found.numbered(pos, sorted(only)), found.n
+
+
 def rank_groups(
     df: DataFrame, row_key, seed, starts: Callable[[int], Sequence[int]], out: str
 ) -> tuple[DataFrame, int]:

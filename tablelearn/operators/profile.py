@@ -18,6 +18,9 @@ MISSING_LABEL = "nan"
 def numeric_profile(df: DataFrame, key=None, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """One row per numeric column: type, non-missing count, mean, population deviation, min, exact quartiles, max."""
     cols = resolve(df, key) if key is not None else numeric_columns(df)
+    fields = "column string, dtype string, count bigint, " + ", ".join(f"`{n}` double" for n in NUMERIC_STATS[1:])
+    if not cols:
+        return df.sparkSession.createDataFrame([], fields)
     types = dict(df.dtypes)
     clean = nan_to_null(df.select(*[to_col(c) for c in cols]))
     row = clean.agg(
@@ -38,7 +41,6 @@ def numeric_profile(df: DataFrame, key=None, direct_rows: int = DIRECT_ROWS) ->
     rows = [
         (c, types[c], s["count"], s["mean"], s["std_dev"], s["min"], *quartiles[c], s["max"]) for c, s in stats.items()
     ]
-    fields = "column string, dtype string, count bigint, " + ", ".join(f"`{n}` double" for n in NUMERIC_STATS[1:])
     return df.sparkSession.createDataFrame(rows, fields)  # one row per column
 
 
@@ -49,6 +51,8 @@ def value_frequencies(df: DataFrame, key=None) -> DataFrame:
     arrives as one row per map task.
     """
     cols = resolve(df, key) if key is not None else categorical_columns(df)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, value string, n bigint")
     pairs = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.coalesce(to_col(c).cast("string"), F.lit(MISSING_LABEL)).alias("value"))

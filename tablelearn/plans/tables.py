@@ -170,7 +170,7 @@ def drop_columns_taken(spark, folder):
 
 
 _DROPPED = f"""WITH t AS (SELECT o_orderkey, o_custkey, CAST({natural_pos('o_orderkey')} AS BIGINT) AS pos FROM orders)
-               SELECT * FROM t WHERE """
+               SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY pos) - 1 AS pos FROM t WHERE """
 
 
 @query("drop_rows_list", _DROPPED + "pos NOT IN (0, 5, 77)")
@@ -191,6 +191,45 @@ def drop_rows_taken(spark, folder):
     return edit.drop_rows(o, slice(10, None, 2), row_key="o_orderkey")[1]
 
 
+# After a removal, positions are dense again: what follows reads them as those of the rows that stayed.
+_LEFT = f"""WITH t AS (SELECT o_orderkey, o_custkey, {natural_pos('o_orderkey')} AS old FROM orders),
+                  k AS (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY old) - 1 AS pos FROM t
+                        WHERE old NOT IN (0, 1, 2) AND old % 5 <> 4),
+                  n AS (SELECT count(*) AS n FROM k) """
+
+
+def _left(spark, folder):
+    o = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    kept = edit.drop_rows(o, slice(4, None, 5), row_key="o_orderkey")[0]
+    return edit.drop_rows(kept, [0, 1, 2])[0]
+
+
+@query("drop_then_select", _LEFT + "SELECT o_orderkey, CAST(CASE WHEN pos = 0 THEN 0 WHEN pos = n - 1 THEN 1 ELSE 2 END AS BIGINT) AS pos FROM k, n WHERE pos IN (0, 7, n - 1)")
+def drop_then_select(spark, folder):
+    return edit.select_rows(_left(spark, folder), [0, -1, 7], ["o_orderkey"])
+
+
+@query("drop_then_join", _LEFT + "SELECT o_orderkey, o_custkey AS other, pos FROM k")
+def drop_then_join(spark, folder):
+    kept = _left(spark, folder)
+    return edit.join_columns(kept.drop("o_custkey"), kept.select(F.col("o_custkey").alias("other"), "pos"), None, None)
+
+
+@query(
+    "drop_then_batch",
+    _LEFT + "SELECT o_orderkey, pos, pos // 32 AS batch_id, CAST(pos % 32 AS INTEGER) AS batch_pos FROM k, n WHERE pos // 32 < n // 32",
+)
+def drop_then_batch(spark, folder):
+    from ..operators.layout import batch
+
+    return batch(_left(spark, folder).drop("o_custkey"), 32, drop_remainder=True)
+
+
+@query("drop_then_set_cells", _LEFT + "SELECT o_orderkey, CASE WHEN pos IN (0, n - 1) THEN -1 ELSE o_custkey END AS o_custkey, pos FROM k, n")
+def drop_then_set_cells(spark, folder):
+    return edit.set_cells(_left(spark, folder), [0, -1], ["o_custkey"], -1)
+
+
 @query(
     "add_columns",
     """SELECT s_suppkey, round(s_acctbal * 2, 4) AS "0", s_name, CAST(s_nationkey + 1 AS BIGINT) AS next_nation,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,10 +24,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode only."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None and spark.sparkContext.getCheckpointDir() is None:
-        configured = os.environ.get("TABLELEARN_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="tablelearn-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="tablelearn-")
     if configured is not None and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()

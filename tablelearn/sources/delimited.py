@@ -28,9 +28,14 @@ def load_delimited(
         .option("quote", "")
         .option("mode", "FAILFAST")
         .option("inferSchema", False)
+        .option("columnPruning", False)  # else a row of another width passes where not all columns are asked for
         .csv(path)
     )
     if header:
+        first = spark.read.text(path).where(F.trim("value") != "").first()
+        given = [x.strip() for x in first[0].strip().split(sep)] if first else []
+        if len(set(given)) < len(given):  # Spark has renamed them by now
+            raise ValueError(f"duplicate column names in {given}")
         names = [n.strip() if i in (0, len(df.columns) - 1) else n for i, n in enumerate(df.columns)]
     else:
         names = [str(i) for i in range(len(df.columns))]
