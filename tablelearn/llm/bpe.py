@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, pre_tokenizers
 
-from .common import Memo, per_slice, require
+from .common import Memo, kept_by_worker, per_slice, require
 
 SHORT = 48
 #: Fixed value: how the vocabulary's pre-tokenizer splits a text.
@@ -173,7 +173,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     spec = docs.sparkSession.sparkContext.broadcast(_spec(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(spec.value)
+        bpe = kept_by_worker(Bpe, spec.value)
 
         def one(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
             ids = [bpe.encode(t.decode()) for t in texts]
@@ -194,7 +194,7 @@ def decode(tokens: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
     spec = tokens.sparkSession.sparkContext.broadcast(_spec(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(spec.value)
+        bpe = kept_by_worker(Bpe, spec.value)
 
         def one(part: pa.RecordBatch, packed: list[bytes]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([bpe.decode(x) for x in packed], pa.string())], ["__key", "ids", "text"])

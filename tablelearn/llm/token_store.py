@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from .bpe import byte_alphabet
-from .common import Memo, per_slice, require
+from .common import Memo, kept_by_worker, per_slice, require
 
+MAX_FILES = 100_000
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 16 * 2**20, 64 * 2**10, 1000
 #: Below U+0300 (but for one capital that lowers to two characters) and in general punctuation, NFC changes nothing and
 #: lower-casing goes character by character, so such texts may be cut into words before they are normalised.
@@ -51,13 +52,14 @@ class Encoder:
         self.model = self.tokenizer.model
         self.by_word = splits_words(json.loads(spec))
         self.split = regex.compile(_WORD_SPLIT)
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.alphabet = dict(enumerate(byte_alphabet()))
         self.memo = Memo(self.chunk)
 
     def chunk(self, text: str) -> bytes:
         """A run without white space: its words' bytes, in the vocabulary's alphabet, straight to the library's model."""
         words = [w.encode().decode("latin-1").translate(self.alphabet) for w in self.split.findall(text.lower())]
-        return np.array([t.id for w in words for t in self.model.tokenize(w)], "<u4").tobytes()
+        return b"".join([self.packed[t.id] for w in words for t in self.model.tokenize(w)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [self.by_word and "<|" not in t and (t.isascii() or _PLAIN.fullmatch(t) is not None) and not _SEPARATORS.search(t) for t in texts]
@@ -91,7 +93,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = Encoder(spec.value), 0
+        encoder, start = kept_by_worker(Encoder, spec.value), 0
 
         def one(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
             nonlocal start
@@ -125,12 +127,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
 def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", keys: Sequence[int] | None = None, ids: bool = True) -> DataFrame:
     """The stored documents: ``key``, ``start`` (ids of all documents before it), ``n_tokens`` and, if wanted, ``ids``.
 
-    ``keys`` are pushed down to row groups and pages. Starts come from the files' totals, a row per file.
+    ``keys`` are pushed down to row groups and pages. Starts come from the files' totals, a row per file; these are sent to
+    the tasks as long as there are at most ``MAX_FILES`` files, so that ids are not shuffled.
     """
     stored = spark.read.parquet(path).withColumn("__file", F.col("_metadata.file_name"))
     totals = stored.groupBy("__file").agg(F.sum("n_tokens").alias("__n"))
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    if len(stored.inputFiles()) <= MAX_FILES:
+        offsets = F.broadcast(offsets)
     if keys is not None:
         stored = stored.where(F.col(key).isin(list(keys)))
     columns = [key, (F.col("__before") + F.col("start_in_file")).alias("start"), "n_tokens", *(["ids"] if ids else [])]
