@@ -54,12 +54,20 @@ class Encoder:
         self.split = regex.compile(_WORD_SPLIT)
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.alphabet = dict(enumerate(byte_alphabet()))
-        self.memo = Memo(self.chunk)
+        self.memo, self.words = Memo(self.chunk), Memo(self.word)
+
+    def word(self, word: str) -> bytes:
+        """A word's bytes, in the vocabulary's alphabet, straight to the library's model."""
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))])
 
     def chunk(self, text: str) -> bytes:
-        """A run without white space: its words' bytes, in the vocabulary's alphabet, straight to the library's model."""
-        words = [w.encode().decode("latin-1").translate(self.alphabet) for w in self.split.findall(text.lower())]
-        return b"".join([self.packed[t.id] for w in words for t in self.model.tokenize(w)])
+        """A run without white space: its words. Most runs are letters, or letters and one mark, and need no search."""
+        lower = text.lower()
+        if lower.isalpha():
+            return self.words[lower]
+        if lower[:-1].isalpha() and not lower[-1].isalnum():
+            return self.words[lower[:-1]] + self.words[lower[-1]]
+        return b"".join(map(self.words.__getitem__, self.split.findall(lower)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [self.by_word and "<|" not in t and (t.isascii() or _PLAIN.fullmatch(t) is not None) and not _SEPARATORS.search(t) for t in texts]
