@@ -13,7 +13,7 @@ import json
 from typing import Any
 
 from pyspark.ml import Estimator, Model
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from .functions.columns import as_list
 
@@ -66,6 +66,11 @@ class TableModel(Model):
         for name, table in self.tables.items():
             table.write.mode("overwrite").parquet(f"{path}/table_{name}")
 
+    @classmethod
+    def by_fold(cls, df: DataFrame, models: list["TableModel"], index: Column) -> DataFrame | None:
+        """``df`` with each row's prediction by the model that ``index`` numbers; None where a model has no such form."""
+        return None
+
     @property
     def input_cols(self) -> list[str]:
         return self.params_["input_cols"]

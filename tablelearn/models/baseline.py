@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import as_list, to_col
+from ..functions.columns import as_list, constant_array, to_col
 from ..operators.position import shuffle_hash
 from ..operators.quantile import exact_quantiles
 
@@ -58,7 +58,7 @@ class RandomFitted(TableModel):
             seed = self.params_["seed"] if j == 0 else f"{self.params_['seed']}.{j}"
             h = F.conv(F.substring(shuffle_hash(seed, self.params_["row_key"]), 1, 8), 16, 10).cast("bigint")
             draw = F.pmod(h, F.lit(len(values))).cast("int")
-            dataset = dataset.withColumn(name, F.get(F.array(*[F.lit(v) for v in values]), draw))
+            dataset = dataset.withColumn(name, F.get(constant_array(values), draw))
         return dataset
 
 
@@ -117,6 +117,11 @@ class ZeroRule(TableEstimator):
 
 
 class ZeroRuleFitted(TableModel):
+    @classmethod
+    def by_fold(cls, df: DataFrame, models: list["ZeroRuleFitted"], index: Column) -> DataFrame | None:
+        names = models[0].prediction_cols
+        return df.withColumns({n: F.get(constant_array([m.state["values"][j] for m in models]), index) for j, n in enumerate(names)})
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return dataset.withColumns(
             {name: F.lit(v) for name, v in zip(self.prediction_cols, self.state["values"])}

@@ -96,6 +96,22 @@ def _merge(a, b):
     return n, means, variances
 
 
+_CLASSES = "array<struct<i:int,base:double,m:array<double>,s:array<double>>>"
+
+
+def _best_of(input_cols: list[str], table: Column) -> Column:
+    """``(score, -class index)`` of the best class in a table of classes."""
+
+    def scored(row: Column) -> Column:
+        gap = F.lit(0.0)
+        for j, c in enumerate(input_cols):
+            z = F.try_divide(feature(c) - row["m"][j], row["s"][j])
+            gap = gap + F.when(row["s"][j] > 0, z * z).otherwise(0.0)
+        return F.struct((row["base"] - gap * 0.5).alias("s"), row["i"].alias("i"))
+
+    return F.array_max(F.transform(table, scored))
+
+
 class NaiveBayesModel(TableModel):
     def log_scores(self) -> list[Column]:
         """Per class the log of prior times densities, as plain arithmetic with the model as constants."""
@@ -133,22 +149,24 @@ class NaiveBayesModel(TableModel):
             values = [F.exp(c) for c in cols]
         return with_logs.withColumns(dict(zip(names, values))).drop(*[f"__log_{i}" for i in range(len(logs))])
 
+    def _rows(self) -> list[dict]:
+        return [{"i": -i, "base": base, "m": means, "s": stds} for i, (base, means, stds) in enumerate(self._terms())]
+
+    @classmethod
+    def by_fold(cls, df: DataFrame, models: list["NaiveBayesModel"], index: Column) -> DataFrame | None:
+        classes = sorted({c for m in models for c in m.state["classes"]})
+        number = {c: -i for i, c in enumerate(classes)}  # of any fold's class among all
+        rows = [[{**r, "i": number[m.state["classes"][-r["i"]]]} for r in m._rows()] for m in models]
+        tables = literal_table(rows, f"array<{_CLASSES}>")
+        best = _best_of(models[0].input_cols, F.get(tables, index))
+        return df.withColumn("prediction", F.get(constant_array(classes), -best["i"]))
+
     def _best(self) -> Column:
         """``(score, -class index)`` of the best class."""
         if len(self.state["classes"]) * len(self.input_cols) <= MAX_TERMS:
             ranked = [F.struct(s.alias("s"), F.lit(-i).alias("i")) for i, s in enumerate(self.log_scores())]
             return F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
-        rows = [{"i": -i, "base": base, "m": means, "s": stds} for i, (base, means, stds) in enumerate(self._terms())]
-        table = literal_table(rows, "array<struct<i:int,base:double,m:array<double>,s:array<double>>>")
-
-        def scored(row: Column) -> Column:
-            gap = F.lit(0.0)
-            for j, c in enumerate(self.input_cols):
-                z = (feature(c) - row["m"][j]) / row["s"][j]
-                gap = gap + F.when(row["s"][j] > 0, z * z).otherwise(0.0)
-            return F.struct((row["base"] - gap * 0.5).alias("s"), row["i"].alias("i"))
-
-        return F.array_max(F.transform(table, scored))
+        return _best_of(self.input_cols, literal_table(self._rows(), _CLASSES))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """The class of the highest score, the smallest class on ties."""

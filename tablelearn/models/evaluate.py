@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import to_col
+from ..functions.columns import constant_array, to_col
 from ..functions.metrics import accuracy, score
 from ..operators.layout import cross_val_folds, train_test_split
 from .baseline import RandomModel, ZeroRule
@@ -69,7 +69,16 @@ def evaluate_folds(folded: DataFrame, estimator: TableEstimator, metrics=accurac
 
 
 def _own_predictions(folded: DataFrame, models: dict[int, TableModel], fold_col: str) -> DataFrame:
-    """Every row scored by its own fold's model, in one pass over the table."""
+    """Every row scored by its own fold's model, in one pass over the table.
+
+    Models with a form by fold keep their numbers in one constant table, and a row is scored once. Of others, a row's own
+    fold's prediction is chosen among those of all.
+    """
+    first = next(iter(models.values()))
+    index = F.array_position(constant_array(list(models)), F.col(fold_col)).cast("int") - 1
+    scored = type(first).by_fold(folded.withColumn("__model", index), list(models.values()), F.col("__model"))
+    if scored is not None:
+        return scored.select(fold_col, *[to_col(c) for c in (*first.target_cols, *first.prediction_cols)])
     targets = next(iter(models.values())).target_cols
     names = next(iter(models.values())).prediction_cols
     df, chosen = folded, {name: F.lit(None) for name in names}

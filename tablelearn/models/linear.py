@@ -160,6 +160,16 @@ class LinearRegression(TableEstimator):
 
 
 class LinearModel(TableModel):
+    @classmethod
+    def by_fold(cls, df: DataFrame, models: list["LinearModel"], index: Column) -> DataFrame | None:
+        first, out = models[0], {}
+        for t, name in enumerate(first.prediction_cols):
+            z = F.get(double_array([m.state["bias"][t] for m in models]), index)
+            for j, c in enumerate(first.input_cols):
+                z = z + feature(c) * F.get(double_array([m.state["coefs"][j][t] for m in models]), index)
+            out[name] = z
+        return df.withColumns(out)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return dataset.withColumns(
             {

@@ -16,7 +16,9 @@ from ..models.linear import LinearRegression, LogisticClassifier, Perceptron
 from ..models.training import EarlyStopping, LearningRateScheduler, StepTrainer, TrainingContext
 from ..models.knn import KNNClassifier
 from ..models.tree import DecisionTreeClassifier
-from .learning import BAYES_COLS, BAYES_SQL, NEAR, half, step_sql, step_table, tree_table, TREE_COLS
+from .learning import (
+    BAYES_COLS, BAYES_SQL, NEAR, TREE_COLS, TREE_TARGET, grown_tree_sql, half, step_sql, step_table, tree_table,
+)
 from .registry import query, rounded, scratch, shuffled_pos, table
 
 _COEFS = """c AS (SELECT regr_slope(o_totalprice, o_custkey) AS w, regr_intercept(o_totalprice, o_custkey) AS b FROM orders),
@@ -112,13 +114,47 @@ def evaluate_folds_zero_rule(spark, folder):
     return out.withColumn("accuracy", rounded("accuracy", 8))
 
 
-@query("evaluate_folds_tree")
+_TREE_DESCENT = "CASE b.f WHEN 0 THEN t.x0 WHEN 1 THEN t.x1 ELSE t.x2 END < b.v THEN 2 * t.node ELSE 2 * t.node + 1 END AS node"
+
+
+@query(
+    "evaluate_folds_tree",
+    f"""WITH a AS (SELECT l_orderkey, max(l_quantity) AS x0, max(l_discount) AS x1, max(l_tax) AS x2, max({TREE_TARGET}) AS y FROM lineitem GROUP BY 1),
+             f AS (SELECT *, ({shuffled_pos('l_orderkey')}) // (count(*) OVER () // 2) AS fold_id, count(*) OVER () AS n FROM a QUALIFY fold_id < n // (n // 2)),
+             i AS (SELECT DISTINCT fold_id AS p FROM f), r AS (SELECT p, x0, x1, x2, y FROM f, i WHERE fold_id <> p),
+             {grown_tree_sql('r', 3, 'abc', 2, 5)},
+             t0 AS (SELECT fold_id AS p, x0, x1, x2, y, 1 AS node FROM f),
+             t1 AS (SELECT t.* REPLACE (CASE WHEN b.f IS NULL THEN t.node WHEN {_TREE_DESCENT}) FROM t0 t LEFT JOIN b0 b ON b.p = t.p AND b.node = t.node),
+             t2 AS (SELECT t.* REPLACE (CASE WHEN b.f IS NULL THEN t.node WHEN {_TREE_DESCENT}) FROM t1 t LEFT JOIN b1 b ON b.p = t.p AND b.node = t.node)
+        SELECT t.p AS fold_id, round(avg(CAST(t.y = e.label AS DOUBLE)), 8) + 0.0 AS accuracy
+        FROM t2 t JOIN ends e ON e.p = t.p AND e.leaf = t.node GROUP BY 1""",
+)
 def evaluate_folds_tree(spark, folder):
     """A model that is trained once per fold."""
     df = tree_table(spark, folder).groupBy("l_orderkey").agg(
-        *[F.avg(c).alias(c) for c in TREE_COLS], F.max("y").alias("y")
+        *[F.max(c).alias(c) for c in TREE_COLS], F.max("y").alias("y")
     )
-    return evaluate_model(df, DecisionTreeClassifier(TREE_COLS, "y", max_depth=2), "l_orderkey", sampling="cross_val", folds=2)
+    out = evaluate_model(df, DecisionTreeClassifier(TREE_COLS, "y", max_depth=2), "l_orderkey", sampling="cross_val", folds=2)
+    return out.withColumn("accuracy", rounded("accuracy", 8))
+
+
+@query(
+    "evaluate_folds_bayes_many",
+    f"""WITH f AS (SELECT *, ({shuffled_pos('o_orderkey')}) // (count(*) OVER () // 150) AS fold_id, count(*) OVER () AS n FROM orders
+                   QUALIFY fold_id < n // (n // 150)),
+             i AS (SELECT DISTINCT fold_id AS i FROM f), g AS (SELECT fold_id, o_orderkey, o_orderpriority AS y, o_custkey::DOUBLE AS a, o_totalprice AS b FROM f),
+             m AS (SELECT i, y AS class, count(*) / sum(count(*)) OVER (PARTITION BY i) AS prior, avg(a) AS ma, stddev_pop(a) AS sa,
+                          avg(b) AS mb, stddev_pop(b) AS sb FROM g, i WHERE fold_id <> i GROUP BY i, y),
+             p AS (SELECT fold_id, o_orderkey, y, arg_max(class, ln(prior) - ln(sa) - pow((a - ma) / sa, 2) / 2 - ln(sb) - pow((b - mb) / sb, 2) / 2) AS p
+                   FROM g JOIN m ON fold_id = i GROUP BY 1, 2, 3)
+        SELECT fold_id, round(avg(CAST(y = p AS DOUBLE)), 8) + 0.0 AS accuracy FROM p GROUP BY 1""",
+)
+def evaluate_folds_bayes_many(spark, folder):
+    """Very many folds, and no more classes allowed than there are: every group counts."""
+    o = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    model = NaiveBayesClassifier(["o_custkey", "o_totalprice"], "o_orderpriority", max_classes=5)
+    out = evaluate_model(o, model, "o_orderkey", sampling="cross_val", folds=150)
+    return out.withColumn("accuracy", rounded("accuracy", 8))
 
 
 _DRAW = "CAST(('0x' || substring(md5('42:' || o_orderkey), 1, 8))::BIGINT % len(v) AS INTEGER) + 1"

@@ -362,28 +362,53 @@ def tree_table(spark, folder):
     )
 
 
-def _splits_sql(rows: str, name: str) -> str:
+def _splits_sql(rows: str, name: str, keys: str = "node", inputs: int = 3, labels: str = "abc") -> str:
     """CTEs ``<name>`` with all candidate splits and ``<name>_best`` with each node's best, for ``rows(node, x0.., y)``."""
-    stacked = " UNION ALL ".join(f"SELECT node, {j} AS f, x{j} AS v, y FROM {rows}" for j in range(3))
-    counts = ", ".join(f"count(CASE WHEN y = '{k}' THEN 1 END) AS c_{k}" for k in "abc")
+    stacked = " UNION ALL ".join(f"SELECT {keys}, {j} AS f, x{j} AS v, y FROM {rows}" for j in range(inputs))
+    counts = ", ".join(f"count(CASE WHEN y = '{k}' THEN 1 END) AS c_{k}" for k in labels)
     left = ", ".join(
-        f"coalesce(sum(c_{k}) OVER (PARTITION BY node, f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS l_{k}"
-        for k in "abc"
+        f"coalesce(sum(c_{k}) OVER (PARTITION BY {keys}, f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS l_{k}"
+        for k in labels
     )
-    total = ", ".join(f"sum(c_{k}) OVER (PARTITION BY node, f)::DOUBLE AS t_{k}" for k in "abc")
+    total = ", ".join(f"sum(c_{k}) OVER (PARTITION BY {keys}, f)::DOUBLE AS t_{k}" for k in labels)
 
     def side(prefix: str) -> tuple[str, str]:
-        terms = [f"({c})" for c in ([f"l_{k}" for k in "abc"] if prefix == "l" else [f"t_{k} - l_{k}" for k in "abc"])]
+        terms = [f"({c})" for c in ([f"l_{k}" for k in labels] if prefix == "l" else [f"t_{k} - l_{k}" for k in labels])]
         n = " + ".join(terms)
         squares = " + ".join(f"{t} * {t}" for t in terms)
         return f"({n})", f"CASE WHEN ({n}) > 0 THEN 1 - ({squares}) / (({n}) * ({n})) ELSE 0 END"
 
     (nl, gl), (nr, gr) = side("l"), side("r")
-    return f"""{name}_h AS (SELECT node, f, v, {counts} FROM ({stacked}) GROUP BY 1, 2, 3),
-               {name}_c AS (SELECT node, f, v, {left}, {total} FROM {name}_h),
+    return f"""{name}_h AS (SELECT {keys}, f, v, {counts} FROM ({stacked}) GROUP BY ALL),
+               {name}_c AS (SELECT {keys}, f, v, {left}, {total} FROM {name}_h),
                {name} AS (SELECT *, ({gl}) * {nl} / ({nl} + {nr}) + ({gr}) * {nr} / ({nl} + {nr}) AS gini, {nl} AS n_left, {nl} + {nr} AS n
                           FROM {name}_c),
-               {name}_best AS (SELECT * FROM {name} QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gini, 12), f, v) = 1)"""
+               {name}_best AS (SELECT * FROM {name} QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY round(gini, 12), f, v) = 1)"""
+
+
+def grown_tree_sql(rows: str, inputs: int, labels: str, depth: int, min_samples: int) -> str:
+    """CTEs of whole trees with their stop rules, one per part ``p`` of ``rows(p, x0.., y)``.
+
+    Nodes are numbered from 1, the children of n are 2n and 2n + 1. ``g<depth>`` has the rows with their leaf, ``split`` the
+    splits made, ``ends`` for each leaf the node it collapses into, ``label`` what each of these predicts.
+    """
+    parts = [f"g0 AS MATERIALIZED (SELECT *, 1 AS node FROM {rows})"]
+    for k in range(depth):
+        parts.append(f"o{k} AS (SELECT * FROM g{k} WHERE node >= {2**k})")
+        parts.append(_splits_sql(f"o{k}", f"s{k}", "p, node", inputs, labels))
+        parts.append(f"b{k} AS MATERIALIZED (SELECT p, node, f, v, gini, n FROM s{k}_best WHERE n_left >= {min_samples} AND n - n_left >= {min_samples})")
+        x = "CASE b.f " + " ".join(f"WHEN {j} THEN g.x{j}" for j in range(inputs)) + " END"
+        parts.append(
+            f"""g{k + 1} AS MATERIALIZED (SELECT g.* REPLACE (CASE WHEN b.f IS NULL THEN g.node WHEN {x} < b.v THEN 2 * g.node ELSE 2 * g.node + 1 END AS node)
+                FROM g{k} g LEFT JOIN b{k} b ON b.p = g.p AND b.node = g.node)"""
+        )
+    parts.append("split AS (" + " UNION ALL ".join(f"SELECT * FROM b{k}" for k in range(depth)) + ")")
+    parts.append(f"leaf AS (SELECT p, node, arg_max(y, {{'n': n, 'y': -ascii(y)}}) AS label FROM (SELECT p, node, y, count(*) AS n FROM g{depth} GROUP BY ALL) GROUP BY ALL)")
+    above = f"unnest(range({depth + 1}))"
+    parts.append(f"up AS (SELECT p, node AS leaf, label, node >> j AS node FROM (SELECT *, {above} AS j FROM leaf) WHERE node >> j > 0)")
+    parts.append("same AS (SELECT p, node FROM up GROUP BY ALL HAVING count(DISTINCT label) = 1)")
+    parts.append("ends AS (SELECT p, leaf, min(node) AS node, any_value(label) AS label FROM up JOIN same USING (p, node) GROUP BY p, leaf)")
+    return ",\n".join(parts)
 
 
 @query(
@@ -475,11 +500,24 @@ def tree_report(spark, folder):
     return model.report(df).select("label", "samples", rounded("impurity", 9).alias("impurity"), "correct")
 
 
-@query("tree_deep")
+@query(
+    "tree_deep",
+    f"""WITH r AS (SELECT 0 AS p, l_quantity AS x0, l_discount AS x1, l_returnflag AS y FROM lineitem), {grown_tree_sql('r', 2, 'ANR', 3, 5)},
+        e AS (SELECT g.y, ends.node FROM g3 g JOIN ends ON ends.leaf = g.node),
+        mix AS (SELECT a AS node, y, count(*) AS n FROM (SELECT y, node >> j AS a FROM (SELECT *, unnest(range(4)) AS j FROM e) WHERE node >> j > 0) GROUP BY ALL),
+        top AS (SELECT node, y AS label FROM mix QUALIFY row_number() OVER (PARTITION BY node ORDER BY n DESC, y) = 1),
+        inner_nodes AS (SELECT DISTINCT node >> j AS node FROM (SELECT *, unnest(range(1, 4)) AS j FROM e) WHERE node >> j > 0)
+        SELECT CAST(floor(log2(node)) + 1 AS INTEGER) AS depth, CASE WHEN i.node IS NOT NULL THEN ['l_quantity', 'l_discount'][s.f + 1] END AS feature,
+               CASE WHEN i.node IS NOT NULL THEN s.v END AS threshold, label, CAST(sum(mix.n) AS BIGINT) AS samples,
+               round(1 - sum(mix.n * mix.n) / pow(sum(mix.n), 2), 9) + 0.0 AS impurity, CAST(sum(CASE WHEN y = label THEN mix.n ELSE 0 END) AS BIGINT) AS correct
+        FROM mix JOIN top USING (node) LEFT JOIN split s USING (node) LEFT JOIN inner_nodes i USING (node)
+        GROUP BY node, s.f, s.v, i.node, label""",
+)
 def tree_deep(spark, folder):
-    """Default stop rules on labels that the inputs cannot tell; checked against a brute-force tree in the tests."""
+    """Default stop rules on labels that the inputs cannot tell."""
     li = table(spark, folder, "lineitem")
-    return tree.DecisionTreeClassifier(["l_quantity", "l_discount"], "l_returnflag").fit(li).report(li)
+    nodes = tree.DecisionTreeClassifier(["l_quantity", "l_discount"], "l_returnflag").fit(li).report(li)
+    return nodes.select("depth", "feature", "threshold", "label", "samples", rounded("impurity", 9).alias("impurity"), "correct")
 
 
 # -- learning vector quantization ------------------------------------------------------------------
