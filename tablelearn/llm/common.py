@@ -7,8 +7,8 @@ import types
 import uuid
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
@@ -54,6 +54,18 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.to_pylist()]
 
 
+def lengths_of(column: pa.Array) -> list[int]:
+    """The bytes of each text; null has none."""
+    return pc.binary_length(column).fill_null(0).to_pylist()
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    """Rows as lists of Python values, one at a time: for rows that are large."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield [c[i].as_py() for c in batch.columns]
+
+
 def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges whose sizes add up to about ``limit`` at most; a longer row is a range of its own."""
     start = total = 0
@@ -71,9 +83,7 @@ def per_slice(
 ) -> Iterator[pa.RecordBatch]:
     """Runs ``work`` on slices of about ``limit`` bytes of each batch; ``text`` is the position of its text column."""
     for batch in batches:
-        sizes = batch.column(text).cast(pa.large_binary())
-        lengths = np.diff(np.frombuffer(sizes.buffers()[1], np.int64)[sizes.offset : sizes.offset + len(sizes) + 1]) if len(sizes) else []
-        for i, j in slices([int(x) for x in lengths], limit):
+        for i, j in slices(lengths_of(batch.column(text)), limit):
             part = batch.slice(i, j - i)
             out = work(part, texts_of(part.column(text)))
             if out is not None and out.num_rows:

@@ -183,7 +183,8 @@ def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "te
     its windows' pooled values. Without ``keep``, other columns are not read.
     """
     require(docs, key, text)
-    rest = [c for c in docs.columns if keep and c not in ("lang_pred", "score")] or [key]
+    rest = [c for c in docs.columns if c not in ("lang_pred", "score")] if keep else [key]
+    sent = rest if text in rest else [*rest, text]  # a text travels once
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net) if net.languages else None
 
@@ -195,10 +196,10 @@ def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "te
                 p = scorer.texts([texts[i] for i in at])
                 for i, best, value in zip(at, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
                     lang[i], score[i] = net.languages[best], min(1.0, value)
-            return pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64())], schema.names)
+            return pa.RecordBatch.from_arrays([*part.columns[: len(rest)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], schema.names)
 
-        yield from per_slice(batches, one, 0)
+        yield from per_slice(batches, one, sent.index(text))
 
-    rows = docs.select(F.col(text).alias("__text"), *hidden(docs, rest))
+    rows = docs.select(*hidden(docs, sent))
     schema = T.StructType([*[docs.schema[c] for c in rest], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(work, schema)

@@ -28,10 +28,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import hidden, require, saved, slices, texts_of
+from .common import hidden, lengths_of, require, rows_of, saved, slices, texts_of
 
 LENGTH, ANCHOR = 50, 20
-CELL_BYTES, BUCKET_BYTES, STEP_BYTES = 8 * 2**20, 16 * 2**20, 2**20
+CELL_BYTES, BUCKET_BYTES, STEP_BYTES = 4 * 2**20, 16 * 2**20, 2**18
 NO_KEY = np.iinfo(np.int64).max
 _SPAN = LENGTH - ANCHOR + 1
 _BASE, _LOW = 0x5851F42D4C957F2D, 22
@@ -158,15 +158,14 @@ def _cells(docs: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
         parts, texts, size = [], [], 0
         for batch in batches:
             rest = pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:]], [str(i) for i in range(batch.num_columns - 1)])
-            own = texts_of(batch.column(1))
-            begin = 0
-            for i, t in enumerate(own):
-                if (texts or i > begin) and size + len(t) > CELL_BYTES:
-                    yield cell([*parts, rest.slice(begin, i - begin)], texts + own[begin:i])
-                    parts, texts, size, begin = [], [], 0, i
-                size += len(t)
-            parts.append(rest.slice(begin))
-            texts += own[begin:]
+            lengths = lengths_of(batch.column(1))
+            for i, j in slices(lengths, STEP_BYTES):
+                if texts and size + sum(lengths[i:j]) > CELL_BYTES:
+                    yield cell(parts, texts)
+                    parts, texts, size = [], [], 0
+                parts.append(rest.slice(i, j - i))
+                texts += texts_of(batch.column(1).slice(i, j - i))
+                size += sum(lengths[i:j])
         if texts:
             yield cell(parts, texts)
 
@@ -178,24 +177,23 @@ def _shared_anchors(cells: DataFrame, buckets: int) -> DataFrame:
     """``cell``, ``anchors``: of each cell, the hashes of anchors that several documents have, in packed parts."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cell, docs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                c = Cell.of(docs)
-                h, doc, *_ = c.anchors()
-                h >>= np.uint64(8)
-                order = np.lexsort((c.keys[doc], h))
-                h, key = h[order], c.keys[doc][order]
-                first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
-                last = np.r_[first[1:], len(h)][: len(first)] - 1
-                once, several = h[first], key[first] != key[last]
-                bucket, rest = (once % np.uint64(buckets)).astype(np.int64), once // np.uint64(buckets)
-                order = np.argsort(bucket, kind="stable")
-                bucket, rest, several = bucket[order], rest[order], several[order]
-                edges = np.searchsorted(bucket, np.arange(buckets + 1))
-                rows = [(b, _packed(_rising(rest[i:j][~several[i:j]]), _rising(rest[i:j][several[i:j]]))) for b, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
-                if rows:
-                    arrays = [pa.array([r[0] for r in rows], pa.int64()), pa.array([cell] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "cell", "anchors"])
+        for cell, docs in rows_of(batches):
+            c = Cell.of(docs)
+            h, doc, *_ = c.anchors()
+            h >>= np.uint64(8)
+            order = np.lexsort((c.keys[doc], h))
+            h, key = h[order], c.keys[doc][order]
+            first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+            last = np.r_[first[1:], len(h)][: len(first)] - 1
+            once, several = h[first], key[first] != key[last]
+            bucket, rest = (once % np.uint64(buckets)).astype(np.int64), once // np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            bucket, rest, several = bucket[order], rest[order], several[order]
+            edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            rows = [(b, _packed(_rising(rest[i:j][~several[i:j]]), _rising(rest[i:j][several[i:j]]))) for b, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
+            if rows:
+                arrays = [pa.array([r[0] for r in rows], pa.int64()), pa.array([cell] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "cell", "anchors"])
 
     def meet(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
@@ -355,22 +353,21 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     marked = cells.select("cell", "docs").join(shared, "cell")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cell, docs, anchors in zip(*[c.to_pylist() for c in batch.columns]):
-                hashes, contexts, least, *_ = Cell.of(docs).contexts(np.concatenate([np.cumsum(_unpacked(v)[0], dtype=np.uint64) for v in anchors]))
-                bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                numbers, values = [], []
-                for b, (i, j) in enumerate(zip(edges, edges[1:])):
-                    if i < j:
-                        own = order[i:j]
-                        texts = [contexts[x] for x in own.tolist()]
-                        lengths = np.array([len(t) for t in texts], np.uint8)
-                        numbers.append(b)
-                        values.append(_packed(own, hashes[own], least[own], lengths, np.frombuffer(b"".join(texts), np.uint8)))
-                arrays = [pa.array(numbers, pa.int64()), pa.array([cell] * len(numbers), pa.int64()), pa.array(values, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "cell", "contexts"])
+        for cell, docs, anchors in rows_of(batches):
+            hashes, contexts, least, *_ = Cell.of(docs).contexts(np.concatenate([np.cumsum(_unpacked(v)[0], dtype=np.uint64) for v in anchors]))
+            bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            numbers, values = [], []
+            for b, (i, j) in enumerate(zip(edges, edges[1:])):
+                if i < j:
+                    own = order[i:j]
+                    texts = [contexts[x] for x in own.tolist()]
+                    lengths = np.array([len(t) for t in texts], np.uint8)
+                    numbers.append(b)
+                    values.append(_packed(own, hashes[own], least[own], lengths, np.frombuffer(b"".join(texts), np.uint8)))
+            arrays = [pa.array(numbers, pa.int64()), pa.array([cell] * len(numbers), pa.int64()), pa.array(values, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "cell", "contexts"])
 
     sent = marked.select("cell", "docs", "anchors").mapInArrow(send, "bucket long, cell long, contexts binary")
     met = sent.groupBy("bucket").applyInArrow(_repeats_met, "cell long, repeats binary")
@@ -383,27 +380,28 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     schema = T.StructType([docs.schema[c] if c != text else T.StructField(text, T.StringType()) for c in docs.columns]) if keep else own
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for docs, others, anchors, repeats in zip(*[c.to_pylist() for c in batch.columns]):
-                cell = Cell.of(docs)
-                gone = _spans(cell, anchors, repeats)
-                raw = np.frombuffer(cell.buffer, np.uint8)
-                if keep and len(raw):  # whole characters: a byte 10xxxxxx goes on with the one before
-                    character = np.cumsum((raw & 0xC0) != 0x80)
-                    gone = ~(np.bincount(character, ~gone) > 0)[character]
-                table = pa.ipc.open_stream(others).read_all().combine_chunks()
-                bounds = np.r_[0, cell.ends]
-                for i, j in slices(cell.lengths.tolist(), STEP_BYTES):
-                    marks = [(raw[a:z], gone[a:z]) for a, z in zip(bounds[i:j].tolist(), bounds[i + 1 : j + 1].tolist())]
-                    kept = pa.array([r[~m].tobytes() for r, m in marks], pa.binary())
-                    part = table.slice(i, j - i)
-                    if keep:
-                        arrays = [kept.cast(pa.string()) if c == text else part.column(1 + rest.index(c)).combine_chunks() for c in schema.names]
-                    else:
-                        edges = [np.flatnonzero(np.diff(m.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist() for _, m in marks]
-                        spans = pa.array([[{"first": a, "end": b} for a, b in e] for e in edges], span_type)
-                        arrays = [part.column(0).combine_chunks(), pa.array(cell.lengths[i:j]), spans, kept]
-                    yield pa.RecordBatch.from_arrays(arrays, schema.names)
+        for docs, others, anchors, repeats in rows_of(batches):
+            cell = Cell.of(docs)
+            gone = _spans(cell, anchors, repeats)
+            raw = np.frombuffer(cell.buffer, np.uint8)
+            if keep and len(raw):  # whole characters: a byte 10xxxxxx goes on with the one before
+                character = np.cumsum((raw & 0xC0) != 0x80, dtype=np.int32)
+                left = np.zeros(character[-1] + 1, bool)
+                left[character[~gone]] = True
+                gone = ~left[character]
+            table = pa.ipc.open_stream(others).read_all().combine_chunks()
+            bounds = np.r_[0, cell.ends]
+            for i, j in slices(cell.lengths.tolist(), STEP_BYTES):
+                marks = [(raw[a:z], gone[a:z]) for a, z in zip(bounds[i:j].tolist(), bounds[i + 1 : j + 1].tolist())]
+                kept = pa.array([r[~m].tobytes() for r, m in marks], pa.binary())
+                part = table.slice(i, j - i)
+                if keep:
+                    arrays = [kept.cast(pa.string()) if c == text else part.column(1 + rest.index(c)).combine_chunks() for c in schema.names]
+                else:
+                    edges = [np.flatnonzero(np.diff(m.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist() for _, m in marks]
+                    spans = pa.array([[{"first": a, "end": b} for a, b in e] for e in edges], span_type)
+                    arrays = [part.column(0).combine_chunks(), pa.array(cell.lengths[i:j]), spans, kept]
+                yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     whole = cells.select("cell", "docs", "rest").join(shared, "cell", "left").join(repeats, "cell", "left").select("docs", "rest", "anchors", "repeats")
     out = whole.mapInArrow(cut, schema)

@@ -58,7 +58,9 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """A word's bytes, in the vocabulary's alphabet, straight to the library's model."""
-        return b"".join([self.packed[t.id] for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))])
+        if not (word.isascii() and word.isprintable()):  # else each byte stands for itself
+            word = word.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(word)])
 
     def chunk(self, text: str) -> bytes:
         """A run without white space: its words. Most runs are letters, or letters and one mark, and need no search."""
