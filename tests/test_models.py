@@ -392,3 +392,50 @@ def test_metrics_are_callables(plane):
 
     row = evaluate(model, plane[2], [bias, metrics.r_squared]).first()
     assert row["bias"] == pytest.approx(0, abs=1e-9) and row["r_squared"] > 0.99
+
+
+def test_folds_lose_no_group_and_fold_scores_equal_each_model_s_own(spark):
+    random = np.random.default_rng(4)
+    data = [(i, i % 300, float(random.normal(i % 2 * 3, 1)), float(random.normal()), i % 2) for i in range(3000)]
+    df = spark.createDataFrame(data, "id bigint, fold_id int, a double, b double, y int")
+    model = NaiveBayesClassifier(["a", "b"], "y", max_classes=2).fit_folds(df, "fold_id", list(range(300)))[0]
+    rest = np.array([r[2] for r in data if r[1] != 0 and r[4] == 1])
+    assert math.isclose(model.state["means"][1][0], rest.mean(), rel_tol=1e-9) and model.state["priors"] == [1490 / 2990, 1500 / 2990]
+    with pytest.raises(ValueError):
+        NaiveBayesClassifier(["a", "b"], "y", max_classes=1).fit_folds(df, "fold_id", list(range(300)))
+    for estimator in (NaiveBayesClassifier(["a", "b"], "y"), ZeroRule("y"), linear.LinearRegression(["a", "b"], "y")):
+        few = df.withColumn("fold_id", F.col("fold_id") % 3)
+        models = estimator.fit_folds(few, "fold_id", [0, 1, 2])
+        index = F.col("fold_id")
+        got = {r["id"]: r["prediction"] for r in type(models[0]).by_fold(few, list(models.values()), index).collect()}
+        for i, m in models.items():
+            assert all(math.isclose(got[r["id"]], r["prediction"], rel_tol=1e-9) for r in m.transform(few.where(F.col("fold_id") == i)).collect())
+
+
+def test_r_squared_and_confusion_with_missing_values(spark):
+    pairs = [(1.0, 1.5), (2.0, 1.5), (4.0, 5.0), (7.0, 6.0)]
+    df = spark.createDataFrame(pairs + [(None, 3.0), (9.0, None)], "y double, p double")
+    y, p = np.array(pairs).T
+    want = 1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum()
+    assert math.isclose(df.agg(metrics.r_squared("y", "p")).first()[0], want)
+    labels = spark.createDataFrame([("a", "a"), ("b", None), (None, "a")], "y string, p string")
+    assert [tuple(r) for r in metrics.confusion_matrix(labels, "y", "p").collect()] == [("a", 1, 0, 1), ("b", 0, 0, 0), (None, 0, 1, 0)]
+
+
+def test_models_with_dated_and_decimal_classes_are_saved(spark, tmp_path):
+    import datetime
+    import decimal
+    import subprocess
+    import sys
+
+    for kind, values in (("date", [datetime.date(2020, 1, 2), datetime.date(2021, 1, 2)]), ("decimal(20,0)", [decimal.Decimal(1), decimal.Decimal(2)])):
+        df = spark.createDataFrame([(float(i), values[i % 2]) for i in range(10)], f"a double, y {kind}")
+        model = ZeroRule("y").fit(df)
+        model.save(str(tmp_path / kind[:4]))
+        assert load_model(spark, str(tmp_path / kind[:4])).state == model.state
+    code = (
+        "from tablelearn.session import local_session; from tablelearn.base import load_model; s = local_session(1);"
+        f"print(type(load_model(s, {str(tmp_path / 'date')!r})).__name__)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=str(__import__("pathlib").Path(__file__).parents[1]))
+    assert "ZeroRuleFitted" in out.stdout, out.stderr[-800:]

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -180,3 +181,90 @@ def test_quantiles_survive_odd_columns(spark, direct):
     assert got["none"] == [None] * 5 and got["same"] == [5.0] * 5
     for c in ("hot", "steep", "open"):
         assert got[c] == pytest.approx(list(want[c]))
+
+
+def test_quantiles_take_few_scans_whatever_the_distribution(spark, monkeypatch):
+    from tablelearn.operators import quantile
+
+    random = np.random.default_rng(0)
+    n = 5000
+    data = {
+        "uniform": random.random(n),
+        "wide": 10.0 ** random.uniform(-260, 260, n),
+        "half_one_value": np.where(random.random(n) < 0.5, 3.0, random.random(n) * 10),
+        "one_value": np.full(n, 7.0),
+        "endless": np.where(random.random(n) < 0.4, np.inf, random.standard_normal(n)),
+        "last_before_a_block": np.r_[np.arange(n // 2), np.full(n - n // 2, 1e9)].astype(float),
+        "gaps": np.where(random.random(n) < 0.3, np.nan, random.random(n)),
+    }
+    df = spark.createDataFrame(list(zip(*[v.tolist() for v in data.values()])), ", ".join(f"{c} double" for c in data))
+    probs, rounds, one_round = [0, 0.001, 0.25, 0.5, 0.75, 1.0], [], quantile._one_round
+    monkeypatch.setattr(quantile, "_one_round", lambda *a: rounds.append(1) or one_round(*a))
+    for accuracy, fetch, most in ((50_000, 10_000, 1), (200, 30, 4), (50, 5, 10)):
+        monkeypatch.setattr(quantile, "ACCURACY", accuracy)
+        monkeypatch.setattr(quantile, "FETCH_ROWS", fetch)
+        rounds.clear()
+        got = exact_quantiles(df, df.columns, probs, 10)
+        assert len(rounds) <= most
+        for c, v in data.items():
+            v = np.sort(v[~np.isnan(v)])
+            at = [p * (len(v) - 1) for p in probs]
+            low, high = [v[math.floor(a)] for a in at], [v[math.ceil(a)] for a in at]
+            want = [x if x == y else x * (1 - a % 1) + y * (a % 1) for x, y, a in zip(low, high, at)]
+            assert np.allclose(got[c], want, rtol=1e-12)
+
+
+def test_removed_rows_leave_dense_positions(spark):
+    df = spark.range(10)
+    kept, taken = edit.drop_rows(df, [0, 1, 2], row_key="id")
+    assert edit.select_rows(kept, 0).first()["id"] == 3 and edit.select_rows(kept, -1).first()["id"] == 9
+    assert sorted(map(tuple, taken.collect())) == [(0, 0), (1, 1), (2, 2)]
+    again = edit.drop_rows(kept, slice(6, 0, -2))[0]
+    assert sorted(map(tuple, again.collect())) == [(3, 0), (4, 1), (6, 2), (8, 3)]
+    joined = edit.join_columns(kept, kept.withColumnRenamed("id", "other"), None, None)
+    assert joined.count() == 7 and joined.where("id = other").count() == 7
+    with pytest.raises(ValueError, match="dense"):
+        edit.select_rows(kept.where("pos <> 2"), 0)
+
+
+def test_one_row_shuffles_only_its_bucket(spark):
+    plan = edit.select_rows(spark.range(1000).withColumn("v", F.lit("x")), 5, row_key="id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.rindex("Filter"), plan
+
+
+def test_column_slices(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, c int, d int")
+    assert edit.select_columns(df, slice(1, 3)).columns == ["b", "c"]
+    assert [x.columns for x in edit.drop_columns(df, slice(None, None, 2))] == [["b", "d"], ["a", "c"]]
+
+
+def test_numbers_are_read_strictly(spark):
+    df = spark.createDataFrame([("1d", "0x1p3", "3.0", "1e2", " 7 "), ("2f", "8", "4", "12", "-.5")], "a string, b string, c string, d string, e string")
+    assert typing.infer_types(df) == {"a": "string", "b": "string", "c": "smallint", "d": "smallint", "e": "double"}
+    assert typing.cast_columns(df, {"c": "int", "d": "bigint"}).select("c", "d").collect()[0] == (3, 100)
+    for column, kind in (("e", "int"), ("a", "double"), ("a", "int"), ("b", "decimal(10,2)")):
+        with pytest.raises(Exception, match="not a"):
+            typing.cast_columns(df, {column: kind}).collect()
+
+
+@pytest.mark.parametrize("infer", [True, False])
+def test_ragged_and_doubled_headers_fail(spark, tmp_path, infer):
+    (tmp_path / "ragged.csv").write_text("a,b,c\n1,2,3\n4,5\n")
+    with pytest.raises(Exception):
+        load_delimited(spark, str(tmp_path / "ragged.csv"), infer=infer).select("a").collect()
+    (tmp_path / "twice.csv").write_text("a,b,a\n1,2,3\n")
+    with pytest.raises(ValueError, match="duplicate"):
+        load_delimited(spark, str(tmp_path / "twice.csv"), infer=infer)
+
+
+def test_profiles_of_tables_without_such_columns(spark):
+    assert profile.numeric_profile(spark.createDataFrame([("a",)], "s string")).collect() == []
+    assert profile.categorical_profile(spark.range(3)).collect() == [] and profile.top_values(spark.range(3)).collect() == []
+
+
+def test_inserts_as_a_list_and_sorted_in_give_the_same(spark, monkeypatch):
+    df, new = spark.range(50), spark.createDataFrame([(100 + i, (i * 7) % 51) for i in range(20)], "id bigint, place bigint")
+    listed = sorted(map(tuple, edit.add_rows(df, new, "id", "id", at="place").select("pos", "id").collect()))
+    monkeypatch.setattr(edit, "LISTED_INSERTS", 0)
+    assert listed == sorted(map(tuple, edit.add_rows(df, new, "id", "id", at="place").select("pos", "id").collect()))
+    assert [p for p, _ in listed] == list(range(70))
