@@ -113,7 +113,7 @@ class Bpe:
         ids = {raw(t): i for t, i in model["vocab"].items() if t not in added}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.merges = Merges([(raw(a), raw(b)) for a, b in pairs], ids)
-        self.after_space = Memo(lambda word: self.chunk(" " + word))
+        self.after_space = Memo(lambda word: self.chunk(" " + word), 150_000)
         self.added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
         self.added_at = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.bytes_of = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in added.items()}

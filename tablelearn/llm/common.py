@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 import uuid
@@ -109,10 +110,26 @@ class Memo(dict):
         return value
 
 
+def _worker_state() -> dict:
+    """What a Python worker keeps between its tasks."""
+    module = sys.modules.setdefault("_tablelearn_worker", types.ModuleType("_tablelearn_worker"))
+    return module.__dict__.setdefault("kept", {})
+
+
 def kept_by_worker(kind: type, spec: str) -> object:
     """``kind(spec)``, made once per Python worker: later tasks of the same worker find it with its memo."""
-    state = sys.modules.setdefault("_tablelearn_worker", types.ModuleType("_tablelearn_worker")).__dict__
+    state = _worker_state()
     name = f"{kind.__name__}-{hash(spec)}"
     if name not in state:
+        state.clear()
         state[name] = kind(spec)
     return state[name]
+
+
+def lean_worker() -> None:
+    """Gives back what an encoder in an earlier job has kept in this worker; called by work that needs none."""
+    state = _worker_state()
+    if state:
+        state.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import per_slice, require
+from .common import lean_worker, per_slice, require
 
 WINDOW, SHINGLE = 13, 5
 #: Documents are worked on in slices that stay in a core's cache.
@@ -140,6 +140,7 @@ def _frequencies(docs: DataFrame, shingles: dict[int, Lookup]) -> dict[int, np.n
     shared = docs.sparkSession.sparkContext.broadcast({n: x.keys for n, x in shingles.items()})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         sets = {n: Lookup(k) for n, k in shared.value.items()}
         totals = {n: np.zeros(len(x.keys), np.int64) for n, x in sets.items()}
 
@@ -192,6 +193,7 @@ def _search(docs: DataFrame, block: list[tuple[str, str]], key_type: str) -> Dat
     spans_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         windows, owners, prefixes = shared.value
         lookups = {n: Lookup(p[0]) for n, p in prefixes.items()}
         lengths = np.array([w.count(b" ") + 1 for w in windows], np.int64)

@@ -15,7 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import hidden, per_slice, require
+from .common import hidden, lean_worker, per_slice, require
 
 WINDOW, EMBED, FILTERS, WIDTHS = 256, 8, 16, (2, 3, 4)
 #: The bound of the training sample: documents per language, and windows of each.
@@ -186,6 +186,7 @@ def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "te
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")] if keep else [key]
     sent = rest if text in rest else [*rest, text]  # a text travels once
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         scorer = Scorer(net) if net.languages else None
 
         def one(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:

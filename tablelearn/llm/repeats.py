@@ -28,7 +28,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import hidden, lengths_of, require, rows_of, saved, slices, texts_of
+from .common import hidden, lean_worker, lengths_of, require, rows_of, saved, slices, texts_of
 
 LENGTH, ANCHOR = 50, 20
 CELL_BYTES, BUCKET_BYTES, STEP_BYTES = 4 * 2**20, 16 * 2**20, 2**18
@@ -74,6 +74,13 @@ def _rising(values: np.ndarray) -> np.ndarray:
     return np.diff(values, prepend=np.uint64(0))
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted set."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 class Cell:
     """Some whole documents: keys, and their bytes in one buffer."""
 
@@ -123,7 +130,7 @@ class Cell:
         """The distinct contexts of shared anchors: anchors' hashes, contexts (bytes before the anchor, then the context), least
         keys; then document, place, begin and end of each occurrence, and the number of its context."""
         h, doc, place, begin, end = self.anchors()
-        at = np.flatnonzero(np.isin(h >> np.uint64(8), shared))
+        at = np.flatnonzero(_among(h >> np.uint64(8), np.sort(shared)))
         h, doc, place, begin, end = h[at], doc[at], place[at], begin[at], end[at]
         number: dict[bytes, int] = {}
         of = np.empty(len(at), np.int64)
@@ -140,6 +147,7 @@ def _cells(docs: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
     """Documents packed into cells; the columns to keep lie beside them as a batch of their own."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         part, made = TaskContext.get().partitionId(), 0
 
         def cell(parts: list[pa.RecordBatch], texts: list[bytes]) -> pa.RecordBatch:
@@ -177,6 +185,7 @@ def _shared_anchors(cells: DataFrame, buckets: int) -> DataFrame:
     """``cell``, ``anchors``: of each cell, the hashes of anchors that several documents have, in packed parts."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for cell, docs in rows_of(batches):
             c = Cell.of(docs)
             h, doc, *_ = c.anchors()
@@ -201,7 +210,7 @@ def _shared_anchors(cells: DataFrame, buckets: int) -> DataFrame:
         values, counts = np.unique(np.concatenate([x for s in sent for x in (s[0], s[1], s[1])]), return_counts=True)
         shared, cells, out = values[counts > 1], [], []
         for cell, (one, several) in zip(group.column("cell").to_pylist(), sent):
-            found = np.sort(np.concatenate([one[np.isin(one, shared)], several]))
+            found = np.sort(np.concatenate([one[_among(one, shared)], several]))
             if len(found):
                 cells.append(cell)
                 out.append(_packed(_rising(found * np.uint64(buckets) + np.uint64(bucket))))
@@ -353,6 +362,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     marked = cells.select("cell", "docs").join(shared, "cell")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for cell, docs, anchors in rows_of(batches):
             hashes, contexts, least, *_ = Cell.of(docs).contexts(np.concatenate([np.cumsum(_unpacked(v)[0], dtype=np.uint64) for v in anchors]))
             bucket = (hashes % np.uint64(buckets)).astype(np.int64)
@@ -380,6 +390,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     schema = T.StructType([docs.schema[c] if c != text else T.StructField(text, T.StringType()) for c in docs.columns]) if keep else own
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for docs, others, anchors, repeats in rows_of(batches):
             cell = Cell.of(docs)
             gone = _spans(cell, anchors, repeats)

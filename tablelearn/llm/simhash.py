@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import per_slice, removed, require, saved
+from .common import lean_worker, per_slice, removed, require, saved
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
 MIN_SHARED = 8 - MAX_BITS
@@ -56,6 +56,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             found = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
             return pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["__key", "fp"])
 
+        lean_worker()
         yield from per_slice(batches, one)
 
     kind = docs.schema[key].dataType.simpleString()

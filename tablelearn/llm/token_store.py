@@ -54,7 +54,7 @@ class Encoder:
         self.split = regex.compile(_WORD_SPLIT)
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.alphabet = dict(enumerate(byte_alphabet()))
-        self.memo, self.words = Memo(self.chunk), Memo(self.word)
+        self.memo, self.words = Memo(self.chunk, 200_000), Memo(self.word, 200_000)
 
     def word(self, word: str) -> bytes:
         """A word's bytes, in the vocabulary's alphabet, straight to the library's model."""
