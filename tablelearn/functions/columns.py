@@ -99,6 +99,30 @@ def long_array(values: Sequence[int]) -> Column:
     return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<bigint>")
 
 
+def stacked(df: DataFrame, values: Sequence[Column], extra: Sequence[Column] = ()) -> DataFrame:
+    """Several columns under each other in one scan: ``i`` says which, and its cell is in ``c<i>``; missing cells are left out."""
+    wide = df.select(*extra, *[v.alias(f"c{i}") for i, v in enumerate(values)])
+    kinds = {f.name: f.dataType for f in wide.schema.fields}
+
+    def row(i: int) -> Column:
+        cells = [F.col(c) if c == f"c{i}" else F.lit(None).cast(kinds[c]) for c in (f"c{j}" for j in range(len(values)))]
+        return F.when(F.col(f"c{i}").isNotNull(), F.struct(F.lit(i).alias("i"), *[x.alias(f"c{j}") for j, x in enumerate(cells)]))
+
+    rest = wide.columns[: len(wide.columns) - len(values)]
+    rows = F.filter(F.array(*[row(i) for i in range(len(values))]), lambda r: r.isNotNull())
+    return wide.select(*[to_col(c) for c in rest], F.inline(rows))
+
+
+def distinct_values(df: DataFrame, values: Sequence[Column], most: int) -> list[list] | None:
+    """The sorted distinct values of each column, found in one scan; None if any has more than ``most``."""
+    rows = stacked(df, values).distinct().limit((most + 1) * len(values)).collect()
+    out: list[list] = [[] for _ in values]
+    for r in rows:
+        out[r["i"]].append(r[f"c{r['i']}"])
+    # if rows were left out, one of the columns has more than most
+    return None if any(len(x) > most for x in out) else [sorted(x) for x in out]
+
+
 def constant_array(values: Sequence) -> Column:
     """Values of one kind as one constant; text and numbers travel as one literal, other kinds as an array of literals."""
     if values and all(isinstance(v, str) for v in values):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import as_list, constant_array, to_col
+from ..functions.columns import as_list, constant_array, distinct_values, stacked, to_col
 from ..operators.position import shuffle_hash
 from ..operators.quantile import exact_quantiles
 
@@ -31,23 +31,17 @@ class RandomModel(TableEstimator):
         return RandomFitted(params, {"classes": classes})
 
     def _fit(self, dataset: DataFrame) -> "RandomFitted":
-        return self._model([
-            sorted(
-                r["c"]
-                for r in dataset.select(to_col(c).alias("c"))
-                .filter("c IS NOT NULL").distinct().limit(self.max_classes + 1).collect()
-            )
-            for c in self.target_cols
-        ])
+        found = distinct_values(dataset, [to_col(c) for c in self.target_cols], self.max_classes)
+        if found is None:
+            raise ValueError(f"a target of {self.target_cols} has more than {self.max_classes} classes")
+        return self._model(found)
 
     def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, "RandomFitted"]:
-        per_target = []
-        for c in self.target_cols:
-            rows = (
-                df.select(to_col(fold_col).alias("f"), to_col(c).alias("c")).filter("c IS NOT NULL").distinct()
-                .limit((self.max_classes + 1) * (len(folds) + 1)).collect()
-            )
-            per_target.append({i: sorted({r["c"] for r in rows if r["f"] != i}) for i in folds})
+        most = self.max_classes * len(folds) * len(self.target_cols)
+        rows = stacked(df, [to_col(c) for c in self.target_cols], [to_col(fold_col).alias("f")]).distinct().limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"a target of {self.target_cols} has more than {self.max_classes} classes, or there are more folds than given")
+        per_target = [{i: sorted({r[f"c{j}"] for r in rows if r["i"] == j and r["f"] != i}) for i in folds} for j in range(len(self.target_cols))]
         return {i: self._model([t[i] for t in per_target]) for i in folds}
 
 
@@ -83,11 +77,10 @@ class ZeroRule(TableEstimator):
         if self.mode == "regression_median":
             medians = exact_quantiles(dataset, self.target_cols, [0.5])
             return self._model([medians[c][0] for c in self.target_cols])
-        values = []
-        for c in self.target_cols:
-            counts = dataset.groupBy(to_col(c).alias("v")).agg(F.count(F.lit(1)).alias("n")).filter("v IS NOT NULL")
-            values.append(counts.agg(F.min(F.struct(-F.col("n"), "v")).alias("best")).first()["best"]["v"])
-        return self._model(values)
+        cells = [f"c{j}" for j in range(len(self.target_cols))]
+        counts = stacked(dataset, [to_col(c) for c in self.target_cols]).groupBy("i", *cells).agg(F.count(F.lit(1)).alias("n"))
+        row = counts.agg(*[F.min(F.when(F.col("i") == j, F.struct(-F.col("n"), F.col(c).alias("v")))).alias(c) for j, c in enumerate(cells)]).first()
+        return self._model([row[c]["v"] for c in cells])
 
     def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, "ZeroRuleFitted"]:
         if self.mode == "regression_mean":
@@ -103,16 +96,17 @@ class ZeroRule(TableEstimator):
                 for i in folds
             }
         if self.mode == "classification":
-            per_target = []
-            for c in self.target_cols:
-                counts = (
-                    df.groupBy(to_col(fold_col).alias("f"), to_col(c).alias("v"))
-                    .agg(F.count(F.lit(1)).alias("n")).filter("v IS NOT NULL")
-                    .groupBy("v").agg(*[F.coalesce(F.sum(F.when(F.col("f") != i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in folds])
-                )
-                row = counts.agg(*[F.min(F.struct(-F.col(f"n{i}"), "v")).alias(f"b{i}") for i in folds]).first()
-                per_target.append({i: row[f"b{i}"]["v"] for i in folds})
-            return {i: self._model([t[i] for t in per_target]) for i in folds}
+            cells = [f"c{j}" for j in range(len(self.target_cols))]
+            parts = stacked(df, [to_col(c) for c in self.target_cols], [to_col(fold_col).alias("f")]).groupBy("f", "i", *cells).agg(F.count(F.lit(1)).alias("n"))
+            # per value, its rows outside each fold; then the best value per target and fold
+            totals = parts.groupBy("i", *cells).agg(
+                *[F.coalesce(F.sum(F.when(F.col("f") != i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in folds]
+            )
+            best = [
+                F.min(F.when(F.col("i") == j, F.struct(-F.col(f"n{i}"), F.col(c).alias("v")))).alias(f"b{j}_{i}") for j, c in enumerate(cells) for i in folds
+            ]
+            row = totals.agg(*best).first()
+            return {i: self._model([row[f"b{j}_{i}"]["v"] for j in range(len(cells))]) for i in folds}
         return super().fit_folds(df, fold_col, folds)
 
 

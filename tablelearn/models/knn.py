@@ -274,6 +274,12 @@ class KNNRegressor(_NearestEstimator):
 class NearestModel(TableModel):
     row_local = False
 
+    def with_k(self, k: int) -> "NearestModel":
+        """The same fitted table with another number of neighbours; nothing is fitted anew."""
+        if k < 1:
+            raise ValueError("k is at least 1")
+        return NearestModel({**self.params_, "k": k}, self.state, self.tables)
+
     def neighbours(self, df: DataFrame) -> DataFrame:
         p = self.params_
         return nearest_neighbours(

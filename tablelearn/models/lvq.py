@@ -9,12 +9,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..base import TableModel
-from ..functions.columns import feature, to_col
+from ..functions.columns import constant_array, feature, to_col
 from ..functions.metrics import accuracy
 from ..operators.position import lowest_hashes, shuffle_hash
 from .training import StepTrainer
 
-# Codebooks times inputs up to which distances are written out; above, numpy compares a batch with all codebooks.
+# Codebooks times inputs up to which distances are written out; above, numpy compares a batch with all codebooks. Both add
+# up the squares input by input, so near ties fall the same way.
 MAX_TERMS = 600
 MAX_CODEBOOKS = 100_000
 
@@ -40,8 +41,12 @@ def nearest_codebook(xs: list[Column], codebooks: list[list[float]]) -> Column:
         out = np.empty(len(x), dtype="int32")
         step = max(1, 4_000_000 // table.size)
         for at in range(0, len(x), step):
-            gap = x[at : at + step, None, :] - table[None, :, :]
-            out[at : at + step] = (gap * gap).sum(axis=2).argmin(axis=1)
+            part = x[at : at + step]
+            total = np.zeros((len(part), len(table)))
+            for j in range(table.shape[1]):
+                gap = part[:, j, None] - table[None, :, j]
+                total += gap * gap
+            out[at : at + step] = total.argmin(axis=1)
         return pd.Series(out)
 
     return F.pandas_udf(closest, "int")(F.array(*xs))
@@ -51,8 +56,8 @@ class LVQ(StepTrainer):
     """A step finds each row's nearest codebook as of the batch's start and sums, per codebook, the pull of rows
     with its label and the push of the others; the driver gets one row per codebook.
 
-    ``n_codebooks`` is by default a twentieth of the rows, at least 3; as codebooks are model state, more than
-    100,000 must be asked for otherwise. ``init="rows"`` takes whole rows, ``"columns"`` samples every column on
+    ``n_codebooks`` is by default a twentieth of the rows, at least 3 and, as codebooks are model state, at most 100,000;
+    whatever their number, all rows train them. ``init="rows"`` takes whole rows, ``"columns"`` samples every column on
     its own. Both are the rows of least ``md5(seed...:key)``.
     """
 
@@ -70,7 +75,7 @@ class LVQ(StepTrainer):
         }
 
     def initial_state(self, df: DataFrame, n: int) -> dict[str, Any]:
-        wanted = self.n_codebooks or max(n // 20, 3)
+        wanted = self.n_codebooks or min(max(n // 20, 3), MAX_CODEBOOKS)
         if wanted > MAX_CODEBOOKS:
             raise ValueError(f"{wanted} codebooks are more than {MAX_CODEBOOKS}; set n_codebooks")
         keys = [f"__key_{k}" for k in self.row_key]
@@ -96,7 +101,7 @@ class LVQ(StepTrainer):
         xs = [F.col(f"x{i}") for i in range(d)]
         hit = batch.withColumn("cb", nearest_codebook(xs, state["codebooks"]))
         for i in range(t):
-            labels = F.array(*[F.lit(row[i]) for row in state["labels"]])
+            labels = constant_array([row[i] for row in state["labels"]])
             hit = hit.withColumn(f"p{i}", F.get(labels, F.col("cb")))
         same = F.lit(True)
         for i in range(t):
@@ -128,7 +133,7 @@ class LVQModel(TableModel):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset.withColumn("__cb", nearest_codebook([feature(c) for c in self.input_cols], self.state["codebooks"]))
         for i, name in enumerate(self.prediction_cols):
-            labels = F.array(*[F.lit(row[i]) for row in self.state["labels"]])
+            labels = constant_array([row[i] for row in self.state["labels"]])
             out = out.withColumn(name, F.get(labels, F.col("__cb")))
         return out.drop("__cb")
 

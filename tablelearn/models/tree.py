@@ -19,7 +19,7 @@ from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list, constant_array, double_array, feature, long_array, search_bucket, to_col
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGE_DEPTH = 10
+MAX_RANGE_DEPTH = 16
 MAX_OPEN_NODES = 50_000
 # Gini values are compared after rounding, so that splits equal but for the order of summation tie.
 GINI_DIGITS = 12
@@ -51,7 +51,7 @@ def value_ranges(df: DataFrame, d: int, depth: int) -> list[list[float]]:
     """Per feature ``2**depth - 1`` ascending bounds of about equally many rows, from one aggregate."""
     if depth == 0:
         return [[] for _ in range(d)]
-    probs = F.array(*[F.lit(i / 2**depth) for i in range(1, 2**depth)])
+    probs = double_array([i / 2**depth for i in range(1, 2**depth)])
     row = df.agg(*[F.percentile_approx(f"x{j}", probs, F.lit(2 ** (depth + 3))).alias(f"b{j}") for j in range(d)]).first()
     return [list(row[f"b{j}"]) for j in range(d)]
 

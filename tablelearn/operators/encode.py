@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import as_list, to_col
+from ..functions.columns import as_list, distinct_values, to_col
 from ..session import ensure_checkpoint_dir
 from .position import positional
 
@@ -47,13 +47,9 @@ class OneHotEncoder(TableEstimator):
         self.drop_input = drop_input
 
     def _fit(self, dataset: DataFrame) -> "OneHotModel":
-        classes = []
-        for c in self.input_cols:
-            found = dataset.select(category(dataset, c).alias("c")).filter("c IS NOT NULL").distinct()
-            values = [r["c"] for r in found.limit(self.max_categories + 1).collect()]
-            if len(values) > self.max_categories:
-                raise ValueError(f"column {c} has more than {self.max_categories} classes; use OrdinalEncoder")
-            classes.append(sorted(values))
+        classes = distinct_values(dataset, [category(dataset, c) for c in self.input_cols], self.max_categories)
+        if classes is None:
+            raise ValueError(f"a column of {self.input_cols} has more than {self.max_categories} classes; use OrdinalEncoder")
         params = {
             "input_cols": self.input_cols,
             "target_cols": [],

@@ -17,8 +17,8 @@ def spark():
 
 @pytest.fixture(autouse=True, scope="module")
 def interpreted(request, spark):
-    """Hand-made tables are too small to be worth compiling a plan for; the registered queries run compiled."""
-    if request.module.__name__.endswith("test_oracle"):
+    """Hand-made tables are too small to be worth compiling a plan for; the registered queries and the layouts run compiled."""
+    if request.module.__name__.endswith(("test_oracle", "test_layout")):
         yield
         return
     spark.conf.set("spark.sql.codegen.wholeStage", "false")

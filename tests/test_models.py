@@ -337,7 +337,7 @@ def test_lvq_equals_batchwise_brute_force(spark, monkeypatch, terms):
     want = [labels[((r - books) ** 2).sum(axis=1).argmin()] for r in x]
     assert [r["prediction_y"] for r in out.orderBy("id").collect()] == want
     with pytest.raises(ValueError, match="n_codebooks"):
-        LVQ(["a"], "y", "id").initial_state(df, 10**9)
+        LVQ(["a"], "y", "id", n_codebooks=10**6).initial_state(df, 10**9)
 
 
 # -- evaluation ------------------------------------------------------------------------------------
@@ -439,3 +439,21 @@ def test_models_with_dated_and_decimal_classes_are_saved(spark, tmp_path):
     )
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=str(__import__("pathlib").Path(__file__).parents[1]))
     assert "ZeroRuleFitted" in out.stdout, out.stderr[-800:]
+
+
+def test_k_can_be_chosen_at_prediction(spark, flowers):
+    fitted = knn.KNNClassifier(INPUTS, "kind", "id").fit(flowers)
+    for k in (1, 7):
+        own = knn.KNNClassifier(INPUTS, "kind", "id", k=k).fit(flowers)
+        assert rows(fitted.with_k(k).transform(flowers), "id", "prediction") == rows(own.transform(flowers), "id", "prediction")
+
+
+def test_codebooks_are_found_alike_written_out_and_in_numpy(spark, monkeypatch):
+    from tablelearn.models import lvq
+
+    random = np.random.default_rng(8)
+    df = spark.createDataFrame(random.integers(0, 4, (300, 2)).astype(float).tolist(), "a double, b double")  # many ties
+    books = random.integers(0, 4, (9, 2)).astype(float).tolist()
+    written = rows(df.select("a", "b", lvq.nearest_codebook([F.col("a"), F.col("b")], books).alias("cb")))
+    monkeypatch.setattr(lvq, "MAX_TERMS", 0)
+    assert written == rows(df.select("a", "b", lvq.nearest_codebook([F.col("a"), F.col("b")], books).alias("cb")))
