@@ -57,8 +57,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def encode_and_decode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and the text that they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    tokens = bpe.encode(docs, path)
-    return bpe.decode(tokens, path).select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids", "text")
+    return bpe.encode(docs, path, decoded=True).select("doc_id", "n_tokens", "ids", "text")
 
 
 STAGES = [

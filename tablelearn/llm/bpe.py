@@ -99,7 +99,7 @@ class Merges:
 
 
 class Bpe:
-    """A byte-level BPE vocabulary from its file; made once in each task."""
+    """A byte-level BPE vocabulary from its file; a Python worker makes it once."""
 
     def __init__(self, spec: str) -> None:
         j = json.loads(spec)
@@ -113,12 +113,12 @@ class Bpe:
         ids = {raw(t): i for t, i in model["vocab"].items() if t not in added}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.merges = Merges([(raw(a), raw(b)) for a, b in pairs], ids)
-        self.after_space = Memo(lambda word: self.chunk(" " + word), 150_000)
+        self.after_space, self.known = Memo(self.word, 200_000), Memo(lambda piece: self.merges.encode(piece.encode()), 150_000)
         self.added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
         self.added_at = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.bytes_of = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in added.items()}
         self.split = regex.compile(SPLIT)
-        self.lone, self.runs = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\A | \Z| \s|\s ")
+        self.lone, self.spaces = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"[^\S \n]")
         self.uncommon = regex.compile(f"[^{_COMMON}]")
         self.same_class: dict[str, bool] = {}
         self.library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
@@ -136,14 +136,29 @@ class Bpe:
         return self.split.findall(text)
 
     def chunk(self, text: str) -> bytes:
-        return b"".join([self.merges.encode(p.encode()) for p in self.pieces(text)])
+        return b"".join(map(self.known.__getitem__, self.pieces(text)))
+
+    def word(self, word: str) -> bytes:
+        """What follows a lone space, with it. Most are letters, or letters and one mark, and need no search."""
+        if word.isascii() or not self.uncommon.search(word):
+            if word.isalpha():
+                return self.known[" " + word]
+            if word[:-1].isalpha() and not word[-1].isalnum() and not word[-1].isspace():
+                return self.known[" " + word[:-1]] + self.known[word[-1]]
+        return self.chunk(" " + word)
+
+    def ragged(self, text: str) -> bool:
+        """Whether some space lies at an end or beside other white space, where it may not begin a piece."""
+        if text[:1] == " " or text[-1:] == " " or self.spaces.search(text):
+            return True
+        return "  " in text or " \n" in text or "\n " in text
 
     def encode(self, text: str) -> bytes:
         out = []
         for part in self.added_at.split(text) if self.added_at else [text]:
             if part in self.added:
                 out.append(self.added[part])
-            elif self.runs.search(part):
+            elif self.ragged(part):
                 first, *rest = self.lone.split(part)
                 out += [self.chunk(first), *map(self.after_space.__getitem__, rest)]
             else:
@@ -162,9 +177,11 @@ def _spec(path: str) -> str:
     return spec
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """``key``, ``ids`` (binary, little-endian unsigned 32-bit integers) and ``n_tokens`` of every row; nothing is shuffled.
 
+    With ``decoded``, ``text`` as well: what the ids decode to, found in the same pass.
+
     The ids are those of the ``tokenizers`` library for the vocabulary file at ``path`` (read on the driver), without special
     tokens added; strings of added tokens inside a text become those tokens, as there. Null or empty text: no ids. Texts of
     any length: the work is n log n in the longest fragment. Repeated rows are encoded each. Other columns are not read.
@@ -177,12 +194,15 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 
         def one(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
             ids = [bpe.encode(t.decode()) for t in texts]
-            return pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], ["__key", "ids", "n_tokens"])
+            arrays = [part.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+            if decoded:
+                arrays.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
+            return pa.RecordBatch.from_arrays(arrays, ["__key", "ids", "n_tokens", "text"][: len(arrays)])
 
         yield from per_slice(batches, one)
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.selectExpr(f"`{key}` AS __key", f"`{text}` AS __text").mapInArrow(work, f"__key {kind}, ids binary, n_tokens long").withColumnRenamed("__key", key)
+    return docs.selectExpr(f"`{key}` AS __key", f"`{text}` AS __text").mapInArrow(work, f"__key {kind}, ids binary, n_tokens long" + ", text string" * decoded).withColumnRenamed("__key", key)
 
 
 def decode(tokens: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -126,10 +126,9 @@ def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    tokens = bpe.encode(table(spark, folder, "documents"), path)
-    return bpe.decode(tokens, path).select(
+    return bpe.encode(table(spark, folder, "documents"), path, decoded=True).select(
         "doc_id",
-        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
