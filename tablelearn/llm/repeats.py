@@ -339,7 +339,7 @@ def _spans(cell: Cell, anchors: list[bytes] | None, repeats: list[bytes] | None)
             lesser = key < cell.keys[doc[at]]
             np.add.at(delta, (place[at] - left)[lesser], 1)
             np.add.at(delta, (place[at] + right)[lesser], -1)
-    return np.cumsum(delta[:-1]) > 0
+    return np.cumsum(delta[:-1], dtype=np.int32) > 0
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
