@@ -2,7 +2,7 @@
 
 Each round of NN-descent joins every vector's neighbours and reverse neighbours with their vectors and compares them with
 each other: neighbours of neighbours are likely neighbours. What beats a vector's list so far is shuffled to it and merged.
-Vectors travel as one signed byte per component; final scores are exact.
+Vectors travel with the components they came with and are compared in double precision, so near copies keep their order.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import removed, require, saved
 
@@ -21,14 +21,14 @@ BEAM, MAX_HOPS = 24, 8
 GROUP = 128
 SEED = 11
 
-GRAPH_SCHEMA = "node long, code binary, scale float, ids array<long>, sims array<float>, fresh array<boolean>"
-_LIST = "node long, ids array<long>, sims array<float>"
+GRAPH_SCHEMA = "node long, code binary, scale double, ids array<long>, sims array<double>, fresh array<boolean>"
+_LIST = "node long, ids array<long>, sims array<double>"
 
 
-def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors as signed bytes, and the factor that brings each back to length one."""
-    code = np.rint(vectors * (127 / np.abs(vectors).max(axis=1, keepdims=True)))
-    return code.astype(np.int8), (1 / np.linalg.norm(code, axis=1)).astype(np.float32)
+def packed(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors times a power of two each, so that no square overflows, and the factor that brings each to length one."""
+    code = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+    return code, 1 / np.linalg.norm(code.astype(np.float64), axis=1)
 
 
 def best(target: np.ndarray, other: np.ndarray, sim: np.ndarray, fresh: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
@@ -53,9 +53,9 @@ def _lists(target: np.ndarray, *columns: tuple[np.ndarray, pa.DataType]) -> list
     return [pa.array(target[first], pa.int64()), *[pa.ListArray.from_arrays(offsets, pa.array(c, t)) for c, t in columns]]
 
 
-def _vectors(code: pa.Array, scale: pa.Array) -> np.ndarray:
-    rows = np.frombuffer(b"".join(code.to_pylist()), np.int8).reshape(len(code), -1)
-    return rows.astype(np.float32) * np.asarray(scale, np.float32)[:, None]
+def _vectors(code: pa.Array, scale: pa.Array, kind: str) -> np.ndarray:
+    rows = np.frombuffer(b"".join(code.to_pylist()), kind).reshape(len(code), -1)
+    return rows * np.asarray(scale, np.float64)[:, None]
 
 
 def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,8 +74,9 @@ def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(carry).combine_chunks().to_batches()[0]
 
 
-def _local_join(keep: int):
-    """Compares the members of each node's neighbourhood: rows (u, v, fresh, limit, scale, code) sorted by u, then v."""
+def _local_join(keep: int, kind: str):
+    """Compares the members of each node's neighbourhood: rows (u, v, fresh, limit, scale, code) sorted by u, then by the round's
+    order. Of over ``GROUP`` members each group is compared whole, as those that aren't fresh may not have met before."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:  # a neighbourhood cut by a batch's end is compared in two parts
@@ -83,23 +84,24 @@ def _local_join(keep: int):
             if not len(u):
                 continue
             fresh, limit = batch.column(2).to_numpy(zero_copy_only=False), np.asarray(batch.column(3))
-            x = _vectors(batch.column(5), batch.column(4))
+            x = _vectors(batch.column(5), batch.column(4), kind)
             starts = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
             targets, others, sims = [], [], []
             for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(u)]):
                 for b in range(a, z, GROUP):
                     e = min(z, b + GROUP)
-                    if not fresh[b:e].any():
+                    new = fresh[b:e] | (z - a > GROUP)
+                    if not new.any():
                         continue
                     s = x[b:e] @ x[b:e].T
-                    ok = (s > limit[b:e, None]) & (fresh[b:e, None] | fresh[None, b:e]) & (v[b:e, None] != v[None, b:e])
+                    ok = (s > limit[b:e, None]) & (new[:, None] | new[None]) & (v[b:e, None] != v[None, b:e])
                     i, j = np.nonzero(ok)
                     targets.append(v[b:e][i])
                     others.append(v[b:e][j])
                     sims.append(s[i, j])
             if targets:
                 t, o, s, _ = best(*map(np.concatenate, (targets, others, sims)), np.zeros(sum(map(len, targets)), bool), keep)
-                yield pa.RecordBatch.from_arrays(_lists(t, (o, pa.int64()), (s, pa.float32())), ["node", "ids", "sims"])
+                yield pa.RecordBatch.from_arrays(_lists(t, (o, pa.int64()), (s, pa.float64())), ["node", "ids", "sims"])
 
     return work
 
@@ -126,7 +128,7 @@ def _merge(keep: int):
             take = np.concatenate([np.arange(a, z) for a, z in zip(low, high)]) if len(own) else np.zeros(0, np.int64)
             offsets = pa.array(np.r_[0, np.cumsum(high - low)].astype(np.int32))
             rest = batch.take(pa.array(own))
-            columns = [pa.ListArray.from_arrays(offsets, pa.array(c[take], k)) for c, k in ((o, pa.int64()), (s, pa.float32()), (f, pa.bool_()))]
+            columns = [pa.ListArray.from_arrays(offsets, pa.array(c[take], k)) for c, k in ((o, pa.int64()), (s, pa.float64()), (f, pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*rest.columns[:3], *columns], ["node", "code", "scale", "ids", "sims", "fresh"])
 
     return work
@@ -138,25 +140,29 @@ def _merged(rows: DataFrame, keep: int) -> DataFrame:
 
 
 def _as_rows(lists: DataFrame) -> DataFrame:
-    return lists.select("node", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("float").alias("scale"), "ids", "sims")
+    return lists.select("node", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("scale"), "ids", "sims")
 
 
-def _first_lists(nodes: DataFrame, turn: int, keep: int) -> DataFrame:
-    """Neighbours within chunks of nodes that are neighbours in the order of a random projection's signs."""
+def _first_lists(nodes: DataFrame, turn: int, keep: int, kind: str) -> DataFrame:
+    """Neighbours within chunks of nodes that are neighbours in the order of a random projection's signs.
+
+    Near copies have all signs in common; these are in the order of one more projection, another one each turn.
+    """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _vectors(batch.column(1), batch.column(2)) if batch.num_rows else np.zeros((0, 1), np.float32)
-            planes = np.random.default_rng(SEED + turn).standard_normal((x.shape[1], 32)).astype(np.float32)
-            place = (x @ planes > 0) @ (1 << np.arange(31, -1, -1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place, pa.int64())], ["node", "code", "scale", "place"])
+            x = _vectors(batch.column(1), batch.column(2), kind) if batch.num_rows else np.zeros((0, 1))
+            planes = np.random.default_rng(SEED + turn).standard_normal((x.shape[1], 33))
+            at = x @ planes
+            place = (at[:, :32] > 0) @ (1 << np.arange(31, -1, -1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place, pa.int64()), pa.array(at[:, 32])], ["node", "code", "scale", "place", "along"])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node = np.asarray(batch.column(0))
             if len(node) < 2:
                 continue
-            x = _vectors(batch.column(1), batch.column(2))
+            x = _vectors(batch.column(1), batch.column(2), kind)
             for a in range(0, len(node), CHUNK):
                 ids, part = node[a : a + CHUNK], x[a : a + CHUNK]
                 s = part @ part.T
@@ -165,32 +171,34 @@ def _first_lists(nodes: DataFrame, turn: int, keep: int) -> DataFrame:
                 other = t != o
                 t, o, s, _ = best(t[other], o[other], s.ravel()[other], np.zeros(other.sum(), bool), keep)
                 if len(t):
-                    yield pa.RecordBatch.from_arrays(_lists(t, (o, pa.int64()), (s, pa.float32())), ["node", "ids", "sims"])
+                    yield pa.RecordBatch.from_arrays(_lists(t, (o, pa.int64()), (s, pa.float64())), ["node", "ids", "sims"])
 
-    placed = nodes.mapInArrow(keyed, "node long, code binary, scale float, place long")
-    return placed.repartitionByRange("place", "node").sortWithinPartitions("place", "node").mapInArrow(chunks, _LIST)
+    placed = nodes.mapInArrow(keyed, "node long, code binary, scale double, place long, along double")
+    order = ["place", "along", "node"]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(chunks, _LIST)
 
 
-def neighbour_graph(nodes: DataFrame, keep: int = NEIGHBOURS) -> DataFrame:
-    """NN-descent over ``node``, ``code``, ``scale``: each node's ``keep`` most similar others, as found.
+def neighbour_graph(nodes: DataFrame, keep: int = NEIGHBOURS, kind: str = "f4") -> DataFrame:
+    """NN-descent over ``node``, ``code`` (components of numpy's type ``kind``), ``scale``: each node's ``keep`` most similar
+    others, as found.
 
-    Rounds end when under ``SETTLED`` of the entries are new. A node that very many have as their neighbour is compared with
-    them in groups of ``GROUP``, so the work is linear in the lists' entries.
+    Rounds end when under ``SETTLED`` of the entries are new. Those that have one node as their neighbour are compared in groups
+    of ``GROUP`` where they are very many, other groups each round, so the work is linear in the lists' entries.
     """
     spark = nodes.sparkSession
-    rows = nodes.select("node", "code", "scale", F.expr("cast(array() as array<long>)").alias("ids"), F.expr("cast(array() as array<float>)").alias("sims"))
+    rows = nodes.select("node", "code", "scale", F.expr("cast(array() as array<long>)").alias("ids"), F.expr("cast(array() as array<double>)").alias("sims"))
     for turn in range(PROJECTIONS):
-        rows = rows.unionByName(_as_rows(_first_lists(nodes, turn, keep)))
+        rows = rows.unionByName(_as_rows(_first_lists(nodes, turn, keep, kind)))
     graph = saved(_merged(rows, keep), "graph")
-    for _ in range(MAX_ROUNDS):
+    for turn in range(MAX_ROUNDS):
         edges = graph.select("node", F.inline(F.arrays_zip("ids", "fresh")))
         both = edges.select(F.col("node").alias("u"), F.col("ids").alias("v"), "fresh").unionByName(
             edges.select(F.col("ids").alias("u"), F.col("node").alias("v"), "fresh")
         )
-        limit = F.when(F.size("ids") < keep, F.lit(-2.0)).otherwise(F.element_at("sims", -1)).cast("float")
+        limit = F.when(F.size("ids") < keep, F.lit(-2.0)).otherwise(F.element_at("sims", -1))
         members = graph.select(F.col("node").alias("v"), limit.alias("limit"), "scale", "code")
         joined = both.join(members, "v").select("u", "v", "fresh", "limit", "scale", "code")
-        proposals = joined.repartition("u").sortWithinPartitions("u", "v").mapInArrow(_local_join(keep), _LIST)
+        proposals = joined.repartition("u").sortWithinPartitions("u", F.xxhash64("v", F.lit(turn)), "v").mapInArrow(_local_join(keep, kind), _LIST)
         after = saved(_merged(graph.select("node", "code", "scale", "ids", "sims").unionByName(_as_rows(proposals)), keep), "graph")
         removed(spark, graph)
         graph = after
@@ -200,7 +208,7 @@ def neighbour_graph(nodes: DataFrame, keep: int = NEIGHBOURS) -> DataFrame:
     return graph
 
 
-def greedy_search(graph: DataFrame, starts: DataFrame, beam: int = BEAM) -> DataFrame:
+def greedy_search(graph: DataFrame, starts: DataFrame, beam: int = BEAM, kind: str = "f4") -> DataFrame:
     """``query``, ``ids``: the most similar nodes found for each node in ``starts`` (column ``query``), best first, itself excluded.
 
     Every hop looks at the neighbours of all not yet visited nodes among a query's best ``beam``; a query is done when none is
@@ -227,15 +235,15 @@ def greedy_search(graph: DataFrame, starts: DataFrame, beam: int = BEAM) -> Data
             t, o, s, f = q[row], ids, sims, np.zeros(len(row), bool)
             if len(met):
                 other = batch.take(pa.array(met))
-                x, y = _vectors(mine.column(1), mine.column(2)), _vectors(other.column(6), other.column(7))
+                x, y = _vectors(mine.column(1), mine.column(2), kind), _vectors(other.column(6), other.column(7), kind)
                 of = np.searchsorted(q, query[met])
                 found = np.einsum("ij,ij->i", x[of], y)
                 t, o = np.r_[t, query[met]], np.r_[o, np.asarray(other.column(5))]
-                s, f = np.r_[s, found.astype(np.float32)], np.r_[f, np.ones(len(met), bool)]
+                s, f = np.r_[s, found], np.r_[f, np.ones(len(met), bool)]
             t, o, s, f = best(t, o, s, f, beam)
             low, high = np.searchsorted(t, q), np.searchsorted(t, q, "right")
             offsets = pa.array(np.r_[0, np.cumsum(high - low)].astype(np.int32))
-            columns = [pa.ListArray.from_arrays(offsets, pa.array(c, k)) for c, k in ((o, pa.int64()), (s, pa.float32()), (f, pa.bool_()))]
+            columns = [pa.ListArray.from_arrays(offsets, pa.array(c, k)) for c, k in ((o, pa.int64()), (s, pa.float64()), (f, pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*mine.columns[:3], *columns], ["query", "code", "scale", "ids", "sims", "fresh"])
 
     for _ in range(MAX_HOPS):
@@ -282,20 +290,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
         "vector-members",
     )
 
+    kind = "f4" if vectors.schema[embedding].dataType.elementType == T.FloatType() else "f8"
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = np.asarray(batch.column(1).flatten(), np.float64).reshape(batch.num_rows, -1)
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                code, scale = quantise(x)
+                code, scale = packed(np.asarray(batch.column(1).flatten(), kind).reshape(batch.num_rows, -1))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(scale)], ["node", "code", "scale"])
 
-    nodes = saved(classes.select("node", "vector").mapInArrow(pack, "node long, code binary, scale float"), "nodes")
-    graph = neighbour_graph(nodes)
+    nodes = saved(classes.select("node", "vector").mapInArrow(pack, "node long, code binary, scale double"), "nodes")
+    graph = neighbour_graph(nodes, kind=kind)
 
     asked = rows.join(queries.select(F.col(key).cast("long").alias("id")).distinct(), "id")
     asked = saved(asked.join(classes, "vector").select(F.col("id").alias("query_id"), "node", "vector"), "queries")
-    found = greedy_search(graph, asked.select(F.col("node").alias("query")).distinct())
+    found = greedy_search(graph, asked.select(F.col("node").alias("query")).distinct(), kind=kind)
     candidates = found.select("query", F.explode(F.concat("ids", F.array("query"))).alias("node"))
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)

@@ -59,3 +59,15 @@ def test_small_and_empty_tables(spark):
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 0.0), (1, 1, 0, 1.0), (1, 2, 2, 0.0), (2, 1, 0, 0.0), (2, 2, 1, 0.0)]
     none = spark.createDataFrame([], schema)
     assert neighbours.nearest(none, none).collect() == []
+
+
+def test_perturbed_copies_keep_their_order(spark):
+    """A third of the rows are copies of one vector with noise of 0.0005: closer together than bytes can tell."""
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(32)
+    x = np.concatenate([rng.standard_normal((800, 32)), centre + 0.0005 * rng.standard_normal((400, 32))]).astype(np.float32)
+    order = rng.permutation(len(x))
+    rows = [(i, x[j].tolist()) for i, j in enumerate(order)]
+    copies = [i for i, j in enumerate(order) if j >= 800][::10]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    check(neighbours.nearest(table, table.where(table.vec_id.isin(copies))).collect(), brute(rows, copies), 0.95)
