@@ -56,9 +56,9 @@ class LVQ(StepTrainer):
     """A step finds each row's nearest codebook as of the batch's start and sums, per codebook, the pull of rows
     with its label and the push of the others; the driver gets one row per codebook.
 
-    ``n_codebooks`` is by default a twentieth of the rows, at least 3 and, as codebooks are model state, at most 100,000;
-    whatever their number, all rows train them. ``init="rows"`` takes whole rows, ``"columns"`` samples every column on
-    its own. Both are the rows of least ``md5(seed...:key)``.
+    ``n_codebooks`` is by default a twentieth of the rows and at least 3. Codebooks are model state: more than 100,000 are
+    refused, so the default stops with an error above 2,000,000 rows, where a number must be given. ``init="rows"`` takes
+    whole rows, ``"columns"`` samples every column on its own. Both are the rows of least ``md5(seed...:key)``.
     """
 
     def __init__(self, input_cols, target_cols, row_key, loss=accuracy, n_codebooks: int | None = None, init: str = "rows", **kwargs):
@@ -75,7 +75,7 @@ class LVQ(StepTrainer):
         }
 
     def initial_state(self, df: DataFrame, n: int) -> dict[str, Any]:
-        wanted = self.n_codebooks or min(max(n // 20, 3), MAX_CODEBOOKS)
+        wanted = self.n_codebooks or max(n // 20, 3)
         if wanted > MAX_CODEBOOKS:
             raise ValueError(f"{wanted} codebooks are more than {MAX_CODEBOOKS}; set n_codebooks")
         keys = [f"__key_{k}" for k in self.row_key]

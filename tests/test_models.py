@@ -340,6 +340,12 @@ def test_lvq_equals_batchwise_brute_force(spark, monkeypatch, terms):
         LVQ(["a"], "y", "id", n_codebooks=10**6).initial_state(df, 10**9)
 
 
+def test_lvq_default_is_never_cut(spark):
+    df = spark.createDataFrame([(0, 1.0, "p")], "__key_id long, x0 double, y0 string")
+    with pytest.raises(ValueError, match="300000 codebooks"):
+        LVQ(["a"], "y", "id").initial_state(df, 6_000_000)
+
+
 # -- evaluation ------------------------------------------------------------------------------------
 
 
