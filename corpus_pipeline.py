@@ -22,10 +22,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Drops documents in which no language can be told: null, empty, or without a letter. All others stay as they are."""
+    """Drops documents in which no language can be told: null, empty, or without a letter. All others stay as they are.
+
+    That also holds where the network knows no language, as no row that it may learn from has one (``lang`` is null in all of
+    them): documents with a letter stay. The network's prediction drops none.
+    """
     docs = docs.select(*COLUMNS)
-    found = language.identify(docs, language.fit_network(language.training_windows(docs)), keep=True)
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
+    found = language.identify(docs, language.fit_network(language.training_windows(docs)), keep=True, letter="__letter")
+    return found.where("__letter").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

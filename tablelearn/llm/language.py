@@ -173,34 +173,38 @@ def training_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", l
     return [(r.lang, r.text) for r in cut.limit(bound).collect()]
 
 
-def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
+def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "text", keep: bool = False, letter: str | None = None) -> DataFrame:
     """``key``, ``lang_pred`` and ``score`` (its probability) of every row, from its whole text; nothing is shuffled.
 
-    With ``keep``, all columns of the table come along; own ones called ``lang_pred`` or ``score`` give way.
+    With ``keep``, all columns of the table come along; own ones called ``lang_pred`` or ``score`` give way. ``letter`` names one
+    more column: whether the text has a letter, whatever the network knows.
 
     A text that is null, has no letter, or meets a network without languages: ``und`` with score 0. Repeated rows get equal
     results. Ties go to the first language by name. Texts are scored in slices, so none needs more than its own bytes and
     its windows' pooled values. Without ``keep``, other columns are not read.
     """
     require(docs, key, text)
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score")] if keep else [key]
+    given = ["lang_pred", "score", *([letter] if letter else [])]
+    rest = [c for c in docs.columns if c not in given] if keep else [key]
     sent = rest if text in rest else [*rest, text]  # a text travels once
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker()
         scorer = Scorer(net) if net.languages else None
 
         def one(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-            known = [scorer is not None and _LETTER.search(t.decode()) is not None for t in texts]
+            has = [_LETTER.search(t.decode()) is not None for t in texts]
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            at = [i for i, k in enumerate(known) if k]
+            at = [i for i, k in enumerate(has) if k and scorer is not None]
             if at:
                 p = scorer.texts([texts[i] for i in at])
                 for i, best, value in zip(at, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
                     lang[i], score[i] = net.languages[best], min(1.0, value)
-            return pa.RecordBatch.from_arrays([*part.columns[: len(rest)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], schema.names)
+            found = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(has, pa.bool_())][: len(given)]
+            return pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *found], schema.names)
 
         yield from per_slice(batches, one, sent.index(text))
 
     rows = docs.select(*hidden(docs, sent))
-    schema = T.StructType([*[docs.schema[c] for c in rest], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    added = [T.StructField(c, t) for c, t in zip(given, (T.StringType(), T.DoubleType(), T.BooleanType()))]
+    schema = T.StructType([*[docs.schema[c] for c in rest], *added])
     return rows.mapInArrow(work, schema)

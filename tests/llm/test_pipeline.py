@@ -1,3 +1,5 @@
+import zlib
+
 import corpus_pipeline
 import duckdb
 import public_tokenizers
@@ -50,6 +52,14 @@ def test_odd_rows(spark, documents):
     assert len(passages) == 3 and len(tokens) == len(clean)
 
 
+def test_documents_stay_where_no_language_can_be_learned(spark, documents):
+    held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 4 == 2)
+    for lang_of_held in (None, "en"):
+        rows = [(held, "held-out text", lang_of_held, "s", 1), (1000, "plain text", None, "s", 1), (1001, "12 34", None, "s", 1), (1002, None, None, "s", 0)]
+        kept = corpus_pipeline.identify_language(spark, docs_of(spark, rows, SCHEMA), SF).collect()
+        assert sorted(tuple(r) for r in kept) == sorted(rows[:2])
+
+
 def test_empty_table(spark):
     assert all(rows == [] for rows in stages(spark, docs_of(spark, [], SCHEMA)))
 
