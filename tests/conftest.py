@@ -26,8 +26,3 @@ def interpreted(request, spark):
     yield
     spark.conf.unset("spark.sql.codegen.wholeStage")
     spark.conf.unset("spark.sql.codegen.factoryMode")
-
-
-def rows(df, *order):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.select(*order or df.columns).collect()), key=repr)

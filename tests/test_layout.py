@@ -3,7 +3,7 @@
 import hashlib
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from tablelearn.operators import layout, position

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from tablelearn.base import load_model

@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from tablelearn.functions import typing

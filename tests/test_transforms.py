@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
