@@ -23,6 +23,8 @@ from tokenizers import Tokenizer, pre_tokenizers
 from .common import Memo, kept_by_worker, per_slice, require
 
 SHORT = 48
+#: Entries of a generation of each memo: about 230 bytes an entry and two generations, so some 450 MB a worker at most.
+AFTER_SPACE, PIECES = 800_000, 150_000
 #: Fixed value: how the vocabulary's pre-tokenizer splits a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Up to here, and in these blocks, all versions of Unicode agree about letters, numbers and spaces.
@@ -98,6 +100,26 @@ class Merges:
         return [p for p in parts if p != gone]
 
 
+class TokenBytes:
+    """The bytes of all tokens in one buffer, from which those of many ids are gathered at once."""
+
+    def __init__(self, bytes_of: dict[int, bytes]) -> None:
+        self.length = np.full(max(bytes_of, default=-1) + 1, -1, np.int64)
+        self.first = np.zeros(len(self.length), np.int64)
+        self.length[list(bytes_of)] = [len(t) for t in bytes_of.values()]
+        self.first[list(bytes_of)] = np.cumsum([0, *map(len, bytes_of.values())])[:-1]
+        self.buffer = np.frombuffer(b"".join(bytes_of.values()), np.uint8)
+
+    def gather(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of ``ids`` in a row, and where each id's bytes begin, with the end of the last."""
+        if len(ids) and (ids.max() >= len(self.length) or self.length[ids].min() < 0):
+            raise KeyError("the vocabulary lacks some of the ids")
+        lengths = self.length[ids]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.arange(ends[-1]) + np.repeat(self.first[ids] - ends[:-1], lengths)
+        return self.buffer[places].tobytes(), ends
+
+
 class Bpe:
     """A byte-level BPE vocabulary from its file; a Python worker makes it once."""
 
@@ -113,10 +135,10 @@ class Bpe:
         ids = {raw(t): i for t, i in model["vocab"].items() if t not in added}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.merges = Merges([(raw(a), raw(b)) for a, b in pairs], ids)
-        self.after_space, self.known = Memo(self.word, 200_000), Memo(lambda piece: self.merges.encode(piece.encode()), 150_000)
+        self.after_space, self.known = Memo(self.word, AFTER_SPACE), Memo(lambda piece: self.merges.encode(piece.encode()), PIECES)
         self.added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
         self.added_at = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.bytes_of = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in added.items()}
+        self.table = TokenBytes({i: t for t, i in ids.items()} | {i: t.encode() for t, i in added.items()})
         self.split = regex.compile(SPLIT)
         self.lone, self.spaces = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"[^\S \n]")
         self.uncommon = regex.compile(f"[^{_COMMON}]")
@@ -142,9 +164,9 @@ class Bpe:
         """What follows a lone space, with it. Most are letters, or letters and one mark, and need no search."""
         if word.isascii() or not self.uncommon.search(word):
             if word.isalpha():
-                return self.known[" " + word]
+                return self.merges.encode((" " + word).encode())
             if word[:-1].isalpha() and not word[-1].isalnum() and not word[-1].isspace():
-                return self.known[" " + word[:-1]] + self.known[word[-1]]
+                return self.after_space[word[:-1]] + self.known[word[-1]]
         return self.chunk(" " + word)
 
     def ragged(self, text: str) -> bool:
@@ -168,7 +190,13 @@ class Bpe:
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, packed: list[bytes]) -> list[str]:
+        """The text of each list of ids."""
+        raw, ends = self.table.gather(np.frombuffer(b"".join(packed), "<u4"))
+        cuts = ends[np.cumsum([0] + [len(x) // 4 for x in packed])].tolist()
+        return [raw[i:j].decode("utf-8", "replace") for i, j in zip(cuts, cuts[1:])]
 
 
 def _spec(path: str) -> str:
@@ -196,7 +224,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             ids = [bpe.encode(t.decode()) for t in texts]
             arrays = [part.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
             if decoded:
-                arrays.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
+                arrays.append(pa.array(bpe.decode_all(ids), pa.string()))
             return pa.RecordBatch.from_arrays(arrays, ["__key", "ids", "n_tokens", "text"][: len(arrays)])
 
         yield from per_slice(batches, one)
@@ -217,7 +245,7 @@ def decode(tokens: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
         bpe = kept_by_worker(Bpe, spec.value)
 
         def one(part: pa.RecordBatch, packed: list[bytes]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([bpe.decode(x) for x in packed], pa.string())], ["__key", "ids", "text"])
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bpe.decode_all(packed), pa.string())], ["__key", "ids", "text"])
 
         yield from per_slice(batches, one)
 
