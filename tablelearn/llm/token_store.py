@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 from .bpe import byte_alphabet
 from .common import Memo, kept_by_worker, per_slice, require
 
+#: A row per file is sent to the tasks up to here; beyond it the same join is left to the planner.
 MAX_FILES = 100_000
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 16 * 2**20, 64 * 2**10, 1000
 #: Below U+0300 (but for one capital that lowers to two characters) and in general punctuation, NFC changes nothing and
@@ -140,7 +141,8 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", keys: Seque
     ``keys`` are pushed down to row groups and pages. Starts come from the files' totals, a row per file; these are sent to
     the tasks as long as there are at most ``MAX_FILES`` files, so that ids are not shuffled.
     """
-    stored = spark.read.parquet(path).withColumn("__file", F.col("_metadata.file_name"))
+    # tasks are numbered in key order; their numbers outgrow the five digits that names are padded to
+    stored = spark.read.parquet(path).withColumn("__file", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long"))
     totals = stored.groupBy("__file").agg(F.sum("n_tokens").alias("__n"))
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))

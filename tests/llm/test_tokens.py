@@ -119,3 +119,20 @@ def test_store_of_an_empty_table(spark):
     path = scratch(spark, "empty")
     token_store.write_tokens(docs_of(spark, []), path, WORDS, end_id=2)
     assert token_store.read_tokens(spark, path).collect() == []
+
+
+def test_store_of_more_files_than_their_padded_numbers(spark):
+    """Task 100000 writes part-100000, which sorts before part-99999 as text."""
+    import glob
+    import os
+    import shutil
+
+    path, late = scratch(spark, "few"), scratch(spark, "late")
+    docs = docs_of(spark, [(i, f"document {i} " * (i % 7)) for i in range(60)])
+    token_store.write_tokens(docs, path, WORDS, end_id=2, files=2)
+    os.makedirs(late.removeprefix("file:"))
+    parts = sorted(f for f in glob.glob(f"{path.removeprefix('file:')}/part-*"))
+    for number, part in zip(range(100_001 - len(parts), 100_001), parts):
+        shutil.copy(part, f"{late.removeprefix('file:')}/part-{number:05d}{os.path.basename(part)[10:]}")
+    assert len(parts) == 2
+    assert sorted(token_store.read_tokens(spark, late).collect()) == sorted(token_store.read_tokens(spark, path).collect())
