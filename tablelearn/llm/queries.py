@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, language, neighbours, repeats, sharding, simhash, token_store, url_filter
+from . import bpe, chat, decontaminate, language, merkle, neighbours, repeats, sharding, simhash, token_store, url_filter
 from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +152,66 @@ def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.byte_shards(table(spark, folder, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = [F.replace(F.col(c), F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in LEAF_FIELDS]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    signed = merkle.manifest(docs, "doc_id", "source", LEAF_FIELDS, claimed=F.when(even, merkle.leaf_of(tampered)))
+    folded = merkle.fold(F.coalesce("claimed", "leaf"), F.col("proof"))
+    return signed.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root")
+    )
+
+
+def _levels_sql(name: str, leaves: str, depth: int) -> str:
+    """CTEs ``name``k: the nodes (tree, pos, d, n) of level k; ``name``_run k: what stands left and right of each in its run."""
+    rest = "(PARTITION BY tree, pos // 3 ORDER BY pos ROWS BETWEEN {})"
+    left, right = rest.format("UNBOUNDED PRECEDING AND 1 PRECEDING"), rest.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")
+    ctes = [f"{name}0 AS MATERIALIZED ({leaves})"]
+    for k in range(depth):
+        node = "CASE WHEN min(n) = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END"
+        ctes.append(f"{name}{k + 1} AS MATERIALIZED (SELECT tree, pos // 3 AS pos, {node} AS d, (min(n) + 2) // 3 AS n FROM {name}{k} GROUP BY tree, pos // 3)")
+        sides = f"coalesce(string_agg(d, '') OVER {left}, '') AS l, coalesce(string_agg(d, '') OVER {right}, '') AS r"
+        ctes.append(f"{name}_run{k} AS MATERIALIZED (SELECT tree, pos, n > 1 AS live, {sides} FROM {name}{k})")
+    return ",\n".join(ctes)
+
+
+def _fold_sql(out: str, start: str, name: str, depth: int) -> str:
+    """CTEs ``out``k: rows of ``start`` (row_id, tree, pos, proof, node) after k levels of ``name``."""
+    ctes = [f"{out}0 AS MATERIALIZED ({start})"]
+    for k in range(depth):
+        step = "proof || CASE WHEN live THEN l || r ELSE '' END AS proof, CASE WHEN live THEN sha256(l || node || r) ELSE node END AS node"
+        ctes.append(f"{out}{k + 1} AS MATERIALIZED (SELECT row_id, g.tree, g.pos // 3 AS pos, {step} FROM {out}{k} g JOIN {name}_run{k} s ON s.tree = g.tree AND s.pos = g.pos)")
+    return ",\n".join(ctes)
+
+
+def _leaf_sql(text: str) -> str:
+    values = [text if f == "text" else f for f in LEAF_FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values) + ")"
+
+
+#: CRC-32 of decimal digits: 8 shifts a byte, over the reflected polynomial.
+_CRC = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+    lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))))"""
+#: Enough for 3 ** 14 documents of a source, and 3 ** 8 sources.
+_DEPTH, _TOP = 14, 8
+ORACLE["op11_merkle_manifest"] = f"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_id, doc_id, coalesce('s' || source, '') AS tree, {_leaf_sql("text")} AS leaf,
+        CASE WHEN {_CRC} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS claimed
+    FROM documents),
+placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, row_id) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM docs),
+{_levels_sql("low", "SELECT tree, pos, leaf AS d, n FROM placed", _DEPTH)},
+{_fold_sql("up", "SELECT row_id, tree, pos, '' AS proof, coalesce(claimed, leaf) AS node FROM placed", "low", _DEPTH)},
+tops AS MATERIALIZED (SELECT tree AS source, d, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM low{_DEPTH}),
+{_levels_sql("high", "SELECT '' AS tree, pos, d, n FROM tops", _TOP)},
+{_fold_sql("top", f"SELECT row_id, '' AS tree, t.pos, proof, node FROM up{_DEPTH} u JOIN tops t ON t.source = u.tree", "high", _TOP)}
+SELECT doc_id, leaf, t.d AS subroot, r.d AS root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = r.d AS verified
+FROM placed p JOIN tops t ON t.source = p.tree JOIN top{_TOP} f ON f.row_id = p.row_id, high{_TOP} r"""
