@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, language, merkle, neighbours, repeats, sharding, simhash, token_store, url_filter
+from . import bpe, chat, decontaminate, language, merkle, neighbours, repeats, sharding, simhash, token_store, url_filter, whitening
 from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +169,13 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    # beyond the range of a long, null rather than an error
+    return whitening.whiten(vectors, whitening.fit(vectors)).withColumn("deviation", F.expr("try_cast(deviation AS LONG)"))
+
+
 def _levels_sql(name: str, leaves: str, depth: int) -> str:
     """CTEs ``name``k: the nodes (tree, pos, d, n) of level k; ``name``_run k: what stands left and right of each in its run."""
     rest = "(PARTITION BY tree, pos // 3 ORDER BY pos ROWS BETWEEN {})"
