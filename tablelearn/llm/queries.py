@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, language, merkle, neighbours, repeats, sharding, simhash, token_store, url_filter, whitening
+from . import bpe, chat, decontaminate, language, merkle, neighbours, repeats, sharding, simhash, token_store, toxicity, url_filter, whitening
 from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +169,13 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    return found.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @query
 def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
