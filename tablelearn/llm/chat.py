@@ -28,7 +28,7 @@ class Mapping:
 
     ``turns``: (role, path) pairs in order; a role that starts with ``$`` is itself a path. With ``each``, the pairs are
     read from every element of that list. ``optional`` paths may be absent. ``order`` is the path of the turn's number for
-    layouts with one turn per record.
+    layouts with one turn per record. ``renames``: names that the layout gives to roles, and theirs here; others stay as given.
     """
 
     name: str
@@ -37,6 +37,7 @@ class Mapping:
     order: str | None = None
     key: str = "conv_id"
     optional: tuple[str, ...] = ()
+    renames: tuple[tuple[str, str], ...] = ()
 
     def paths(self) -> list[str]:
         inner = [p for role, text in self.turns for p in (role[1:] if role.startswith("$") else None, text) if p]
@@ -58,10 +59,8 @@ MAPPINGS = (
     Mapping("prompt_system", (("system", "system"), ("user", "prompt"), ("assistant", "response")), optional=("system",)),
     Mapping("instruction", (("system", "instruction"), ("user", "input"), ("assistant", "output")), optional=("input",)),
     Mapping("messages", (("$role", "content"),), each="messages"),
-    Mapping("conversations", (("$from", "value"),), each="conversations"),
+    Mapping("conversations", (("$from", "value"),), each="conversations", renames=(("human", "user"), ("prompter", "user"), *((x, "assistant") for x in ("gpt", "bot", "model")))),
 )
-#: Names that layouts give to roles.
-ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
 
 
 def field_paths(value: object, prefix: str = "") -> set[str]:
@@ -90,8 +89,9 @@ def _plain(value: object) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, sort_keys=True)
 
 
-def _turns_of(record: dict, m: Mapping) -> Iterator[tuple[int, int, str, str]]:
+def _turns_of(record: dict, m: Mapping) -> Iterator[tuple[int | None, int, str, str]]:
     number = _at(record, m.order) if m.order else 0
+    names = dict(m.renames)
     items = _at(record, m.each) or [] if m.each else [record]
     step = 0
     for item in items:
@@ -99,14 +99,14 @@ def _turns_of(record: dict, m: Mapping) -> Iterator[tuple[int, int, str, str]]:
             if path in m.optional and path not in record:
                 continue
             name = _plain(_at(item, role[1:])) if role.startswith("$") else role
-            yield (number if isinstance(number, int) else 0), step, ROLE_NAMES.get(name, name), _plain(_at(item, path))
+            yield (number if isinstance(number, int) else None), step, names.get(name, name), _plain(_at(item, path))
             step += 1
 
 
 def canonical_turns(records: DataFrame, record: str = "record", mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
     """The turns of JSON records of mixed layouts: conv_id, turn, step (order within the record), role, text, layout.
 
-    Row-local: nothing is shuffled. Null text: empty. Null or missing role: empty. A record that is null, no JSON object, or
+    Row-local: nothing is shuffled. Null text: empty. Null or missing role: empty. Null turn: before all others. A record that is null, no JSON object, or
     of a fingerprint that no mapping has, gives one row with null role and text and the layout ``unknown`` and its key if it
     has one, so nothing goes unseen. Lists of mixed elements have the union of their paths. Repeated records give repeated
     turns. Other columns are not read.

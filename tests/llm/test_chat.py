@@ -53,6 +53,7 @@ def digest(turns):
 def test_odd_rows_come_back(spark):
     rows = [(k, n, role, t) for k, roles in enumerate([("user", "assistant"), ("a\nb", "assistant"), ("%", "<|im_start|>")]) for n, (role, t) in enumerate((r, t) for t in TRICKY for r in roles)]
     rows += [(7, 0, "user", None), (7, 1, "assistant", None), (8, 0, None, "x"), (None, 0, "user", "x"), (9, 0, "user", "same"), (9, 0, "user", "same")]
+    rows += [(11, None, "human", "first"), (11, 0, "bot", "second"), (12, 0, "gpt", "x"), (12, 1, "model", "y")]  # roles stay as given
     rows += [(10, i, "assistant", f"turn {i} " * 50) for i in range(3000)]
     table = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, piece string")
     pieces = chat.format_turns(chat.canonical_turns(chat.turn_records(table)))
