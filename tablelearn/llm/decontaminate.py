@@ -12,9 +12,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import lean_worker, per_slice, require
+from .common import lean_worker, per_slice, require, saved
 
 WINDOW, SHINGLE = 13, 5
 #: Documents are worked on in slices that stay in a core's cache.
@@ -97,13 +97,13 @@ class Lookup:
         return at[same], where[same]
 
 
-def _windows(items: list[tuple[str, str]]) -> dict[bytes, list[str]]:
-    """The normalised windows of items (id, text), each with the ids of the items that have it."""
+def _windows(items: list[tuple[str | None, str]]) -> dict[bytes, list[str]]:
+    """The normalised windows of items (id, text), each with the ids of the items that have it; null is no id."""
     out: dict[bytes, set[str]] = {}
     for item, text in items:
         words = words_of((text or "").encode())
         for i in range(max(1, len(words) - WINDOW + 1) if words else 0):
-            out.setdefault(b" ".join(words[i : i + WINDOW]), set()).add(item)
+            out.setdefault(b" ".join(words[i : i + WINDOW]), set()).update([] if item is None else [item])
     return {w: sorted(ids) for w, ids in out.items()}
 
 
@@ -112,23 +112,30 @@ def _window_shingles(window: bytes) -> np.ndarray:
     return words.shingles(min(SHINGLE, len(words.ends)), words.hashes())[0]
 
 
-def _item_blocks(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks whose windows take at most ``BLOCK_BYTES``; an item of many windows is cut, windows kept whole."""
+def _item_rows(items: DataFrame, item: str, text: str) -> tuple[DataFrame, int]:
+    """The items (item, text), and in how many blocks they go to the tasks."""
     cost = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") * (WINDOW + 4)  # each word lies in up to 13 windows
-    rows = items.where(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"), cost.alias("cost"))
-    total = rows.agg(F.sum("cost")).first()[0] or 0
-    blocks = int(total // (BLOCK_BYTES // 2)) + 1
+    rows = items.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
+    total = items.agg(F.sum(cost)).first()[0] or 0
+    return rows, int(total // (BLOCK_BYTES // 2)) + 1
+
+
+def _item_blocks(rows: DataFrame, blocks: int) -> Iterator[list[tuple[str | None, str]]]:
+    """The items in blocks whose windows take at most ``BLOCK_BYTES``; an item of many windows is cut, windows kept whole.
+
+    The driver holds one block at a time.
+    """
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b) if blocks > 1 else rows
         held, size = [], 0
-        for r in part.select("item", "text").toLocalIterator():
+        for r in part.toLocalIterator():
             words = words_of((r.text or "").encode())
             step = max(WINDOW, BLOCK_BYTES // (64 * WINDOW))
             for i in range(0, max(1, len(words) - WINDOW + 1), step):
                 piece = b" ".join(words[i : i + step + WINDOW - 1]).decode()
                 held.append((r.item, piece))
                 size += len(piece) * (WINDOW + 4)
-                if size > BLOCK_BYTES:
+                if size > BLOCK_BYTES and blocks > 1:
                     yield held
                     held, size = [], 0
         if held:
@@ -246,42 +253,22 @@ def find_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
     Documents stay where they are: the join's small side, the windows, is sent to the tasks in blocks of bounded bytes, and
     the corpus is scanned twice per block, for the shingles' counts and for the matches. With one block nothing but counts is
-    shuffled; the rows of several blocks meet by document. A common passage costs each document its own matches only.
+    shuffled. Several blocks are searched one after the other, each one's matches written before the next is read, so neither
+    the driver nor a task holds more than one; the matches, with copies counted once, then meet by key and text hash. A common
+    passage costs each document its own matches only.
 
-    Null or empty texts: no words, never contaminated. Null item ids are left out. Repeated documents are judged each
-    (where there are several blocks, rows with equal keys and texts give equal rows). Empty tables: no rows, or rows without
-    hits. Other columns are not read.
+    Null or empty texts: no words, never contaminated. Items without id count for hits, but not in ``items``. Repeated
+    documents are judged each. Empty tables: no rows, or rows without hits. Other columns are not read.
     """
     require(docs, key, text)
     require(items, item, item_text)
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
     key_type = rows.schema["__key"].dataType.simpleString()
-    blocks = list(_item_blocks(items, item, item_text)) or [[]]
-    if len(blocks) > 1:
-        rows = rows.withColumn("__copy", F.row_number().over(_copies()))
-        rows = rows.withColumn("__key", F.struct("__key", F.xxhash64("__text").alias("__hash"), "__copy"))
-        key_type = rows.schema["__key"].dataType.simpleString()
-    found = None
-    for block in blocks:
-        part = _search(rows, block, key_type)
-        found = part if found is None else found.unionByName(part)
-    if len(blocks) > 1:
-        # a document's spans of several blocks: bounded by its own words
-        found = found.groupBy("__key").agg(
-            F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
-        )
-        merged = F.aggregate(
-            F.array_sort("spans"),
-            F.expr("cast(array() as array<struct<first:int,last:int>>)"),
-            lambda done, s: F.when(
-                (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["last"] >= s["first"] - 1),
-                F.concat(
-                    F.slice(done, F.lit(1), F.size(done) - 1),
-                    F.array(F.struct(F.get(done, F.size(done) - 1)["first"].alias("first"), F.greatest(F.get(done, F.size(done) - 1)["last"], s["last"]).alias("last"))),
-                ),
-            ).otherwise(F.concat(done, F.array(s))),
-        )
-        found = found.select(F.col("__key.__key").alias("__key"), "n_words", merged.alias("spans"), "items")
+    item_rows, n_blocks = _item_rows(items, item, item_text)
+    if n_blocks == 1:
+        found = _search(rows, next(_item_blocks(item_rows, 1), []), key_type)
+    else:
+        found = _in_turn(rows, item_rows, n_blocks)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     counted = found.withColumn("n_hit", hit)
     return counted.select(
@@ -294,7 +281,30 @@ def find_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     )
 
 
-def _copies():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("__key", F.xxhash64("__text")).orderBy(F.lit(1))
+def _in_turn(rows: DataFrame, item_rows: DataFrame, blocks: int) -> DataFrame:
+    """``_search`` for several blocks, one after the other; a document's spans of all blocks are merged."""
+    keyed = rows.withColumn("__key", F.struct("__key", F.xxhash64("__text").alias("__hash")))
+    key_type = keyed.schema["__key"].dataType.simpleString()
+    everyone = saved(_search(keyed, [], key_type).select("__key", "n_words"), "decontaminate-rows")
+    hits = None
+    for block in _item_blocks(item_rows, blocks):
+        part = saved(_search(keyed, block, key_type).where(F.size("spans") > 0).distinct(), "decontaminate-hits")
+        hits = part if hits is None else hits.unionByName(part)
+    if hits is None:
+        hits = _search(keyed, [], key_type).where(F.lit(False))
+    # a list per block that hits the document, and no longer than the document
+    hits = hits.groupBy("__key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+
+    def last(done: Column) -> Column:
+        return F.get(done, F.size(done) - 1)
+
+    def add(done: Column, s: Column) -> Column:
+        wider = F.struct(last(done)["first"].alias("first"), F.greatest(last(done)["last"], s["last"]).alias("last"))
+        touches = (F.size(done) > 0) & (last(done)["last"] >= s["first"] - 1)
+        return F.when(touches, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(s)))
+
+    none = F.expr("cast(array() as array<struct<first:int,last:int>>)")
+    merged = hits.select(F.col("__key").alias("__hit"), F.aggregate(F.array_sort("spans"), none, add).alias("spans"), "items")
+    met = everyone.join(merged, F.col("__key").eqNullSafe(F.col("__hit")), "left")
+    no_items = F.expr("cast(array() as array<string>)")
+    return met.select(F.col("__key.__key").alias("__key"), "n_words", F.coalesce("spans", none).alias("spans"), F.coalesce("items", no_items).alias("items"))

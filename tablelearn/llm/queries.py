@@ -47,9 +47,9 @@ WITH turns AS (
     UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 )
 SELECT conv_id, count(*) AS n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST)) AS turns_sha256,
     coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
     sum({_PIECE} + len(role) + len(text) + len(regexp_extract_all(text, '<\\\\*\\|')))::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id"""
 
@@ -77,14 +77,14 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLE["op4_benchmark_decontamination"] = f"""
 WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS w FROM documents),
-    i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
     starts AS (SELECT item, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p FROM i WHERE len(w) > 0),
     windows AS (SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS s FROM starts),
     places AS (SELECT row_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS s
                FROM (SELECT row_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
     found AS (SELECT row_id, p, n, item FROM places JOIN windows USING (n, s)),
     hit AS (SELECT row_id, count(DISTINCT k) AS n_hit FROM (SELECT row_id, unnest(range(p, p + n)) AS k FROM found) GROUP BY 1),
-    ids AS (SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row_id, item FROM found) GROUP BY 1)
+    ids AS (SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row_id, item FROM found WHERE item IS NOT NULL) GROUP BY 1)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (row_id) LEFT JOIN ids USING (row_id)"""

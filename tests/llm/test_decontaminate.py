@@ -34,7 +34,7 @@ def brute(docs, items):
             for i in range(len(w) - n + 1):
                 if tuple(w[i : i + n]) in windows:
                     hit |= set(range(i, i + n))
-                    ids |= windows[tuple(w[i : i + n])]
+                    ids |= windows[tuple(w[i : i + n])] - {"None", None}
         out.append((key, len(w), len(hit), tuple(sorted(ids)), bool(hit) and 20 * len(hit) >= len(w), tuple(sorted(hit))))
     return sorted(out, key=repr)
 
@@ -73,7 +73,13 @@ def test_small_alphabet_in_one_block_and_in_many(spark, monkeypatch, block):
         monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
     df = docs_of(spark, [(k, t, 0, "x") for k, t in docs], "doc_id long, text string, n_words long, items string")
     got = found(decontaminate.find_passages(df, docs_of(spark, [(*i, 1) for i in items], "item_id long, text string, doc_id long")))
-    assert got == brute(docs, [i for i in items if i[0] is not None])
+    assert got == brute(docs, items)
+
+
+def test_an_item_without_id_counts_for_hits(spark):
+    words = " ".join(f"w{i}" for i in range(20))
+    out = decontaminate.find_passages(docs_of(spark, [(1, words)]), docs_of(spark, [(None, words)], "item_id long, text string")).first()
+    assert (out.n_hit, out["items"], out.contaminated) == (20, [], True)
 
 
 def test_empty_tables(spark):
