@@ -13,13 +13,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .common import hidden, lean_worker, per_slice, require
 
 WINDOW, EMBED, FILTERS, WIDTHS = 256, 8, 16, (2, 3, 4)
 #: The bound of the training sample: documents per language, and windows of each.
-SAMPLE_DOCS, SAMPLE_WINDOWS = 500, 2
+SAMPLE_DOCS, SAMPLE_WINDOWS, MAX_LANGUAGES = 500, 2, 500
 EPOCHS, BATCH, RATE, SEED = 8, 64, 0.01, 7
 UNKNOWN = "und"
 _CHUNK = 48
@@ -154,23 +154,27 @@ def held_out(key: str) -> Column:
 
 
 def training_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[str, str]]:
-    """Windows of a bounded sample: about ``SAMPLE_DOCS`` documents of each language, chosen by a hash of key and text.
+    """Windows of a bounded sample: ``SAMPLE_DOCS`` distinct texts of each language (all, if fewer), those of least hash.
 
-    Held-out rows and null languages are never read for it. Places in the texts are drawn by hash as well.
+    Held-out rows and null languages are never read for it. Places in the texts are drawn by hash as well. A text counts once
+    for each language that it is marked with, however often it is there. Over ``MAX_LANGUAGES`` languages are an error.
     """
     rows = docs.where(~held_out(key) & F.col(lang).isNotNull() & F.col(text).rlike("\\p{L}")).select(
-        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h")
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
     )
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
-    if not counts:
+    few = rows.select("lang", "h").distinct().groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(few) > MAX_LANGUAGES:
+        raise ValueError(f"column {lang} has over {MAX_LANGUAGES} values")
+    if not few:
         return []
-    chosen = F.lit(False)
-    for language, n in counts.items():
-        chosen = chosen | ((F.col("lang") == language) & (F.pmod("h", F.lit(1_000_000)) < int(1e6 * SAMPLE_DOCS / n) + 1))
+    share = F.coalesce(*[F.when(F.col("lang") == r.lang, int(1e6 * SAMPLE_DOCS / r["count"]) + 1) for r in few])
+    # of copies one, before the shuffle; then those of least hash in each language
+    some = rows.where(F.pmod("h", F.lit(1_000_000)) < share).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1_000_000)), "h"))
+    chosen = some.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
     starts = [1 + F.pmod(F.xxhash64("h", F.lit(i)), F.greatest(F.lit(1), F.length("text") - WINDOW + 1)).cast("int") for i in range(SAMPLE_WINDOWS)]
-    cut = rows.where(chosen).select("lang", F.explode(F.array_distinct(F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts]))).alias("text"))
-    bound = 2 * SAMPLE_DOCS * SAMPLE_WINDOWS * len(counts)
-    return [(r.lang, r.text) for r in cut.limit(bound).collect()]
+    cut = chosen.select("lang", F.explode(F.array_distinct(F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts]))).alias("text"))
+    return [(r.lang, r.text) for r in cut.collect()]
 
 
 def identify(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "text", keep: bool = False, letter: str | None = None) -> DataFrame:

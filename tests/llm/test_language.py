@@ -1,6 +1,7 @@
 from zlib import crc32
 
 import numpy as np
+import pytest
 from llm_data import ODD, SF, docs_of
 
 from tablelearn.llm import language
@@ -41,6 +42,18 @@ def test_training_never_sees_held_out_or_unlabelled_rows(spark):
     assert seen and all(lang == "x" and "kept" not in t for lang, t in seen)
 
 
+def test_a_text_that_comes_again_hides_no_language(spark):
+    rows = [(i, "der gleiche Text in Deutsch", "de") for i in range(4000)] + [(5000 + i, f"some other text, number {i}", "en") for i in range(1500)]
+    seen = language.training_windows(docs_of(spark, rows, "doc_id long, text string, lang string"))
+    assert sum(lang == "de" for lang, _ in seen) == 1 and 400 <= sum(lang == "en" for lang, _ in seen) <= 2 * language.SAMPLE_DOCS
+
+
+def test_dirty_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="over 3 values"):
+        language.training_windows(docs_of(spark, [(i, "a text", f"label {i}") for i in range(40)], "doc_id long, text string, lang string"))
+
+
 def test_scores_against_brute_force(spark, documents):
     net = language.fit_network([(lang, t[:256]) for _, t, lang in documents[:60]])
     scorer = language.Scorer(net)
