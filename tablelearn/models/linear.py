@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Sequence
 from typing import Any
 
@@ -12,12 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list, double_array, feature, to_col
 from ..functions.metrics import accuracy, mean_absolute_error
-from .training import StepTrainer, TrainingContext, run_callbacks
+from .descent import EPOCHS_AT_ONCE, ComposedRanges, SummedBatches, max_ranges
+from .training import LearningRateScheduler, Run, StepTrainer
 
 # Sums are written out as expressions up to this many; above, each task sums its rows' products with numpy.
 MAX_SUM_EXPRESSIONS = 400
-# Numbers the driver may hold for the batches of a replayed descent.
-MAX_REPLAY_NUMBERS = 20_000_000
 
 
 def gram(df: DataFrame, columns: dict[str, Column], by: str | None = None, shift: Sequence[float] | None = None) -> dict:
@@ -83,9 +83,10 @@ def linear_score(cols: list[str], weights: Sequence[float], bias: float) -> Colu
 class LinearRegression(TableEstimator):
     """R1, ``solver="norm_eq"``: the normal equation with intercept, several targets at once.
 
-    R2, ``solver="mbgd"``: mini-batch descent on squared error. Its gradients need only each batch's sums of
-    products, so all epochs are replayed on the driver from one grouped job; ``loss`` (mean absolute error by
-    default) costs one more. Result and loss history are those of descending row by row.
+    R2, ``solver="mbgd"``: mini-batch descent on squared error, with batches of any size. Steps are affine maps, composed by
+    range of batches where their rows are (see ``descent``): one job for as long as the rate stays, and one for the ``loss``
+    (mean absolute error by default) of ten epochs, or of each where a callback reads it. Result and loss history are those
+    of descending row by row. A callback finds all batch losses of the epoch, or their mean alone beyond some 1,000 batches.
     """
 
     def __init__(
@@ -210,6 +211,16 @@ class _CoefTrainer(StepTrainer):
             self.loss("y", "p").alias("loss"),
         )
 
+    def fold_step(self, batch: DataFrame, states) -> DataFrame:
+        d, run = len(self.input_cols), F.col("run")
+        z = F.get(double_array([s["bias"] for s in states]), run)
+        for j in range(d):
+            z = z + F.col(f"x{j}") * F.get(double_array([s["coefs"][j] for s in states]), run)
+        soft, hard = self.output(z)
+        scored = batch.withColumn("e", soft - F.col("y")).withColumn("p", hard)
+        sums = [F.sum("e").alias("e"), *[F.sum(F.col("e") * F.col(f"x{j}")).alias(f"g{j}") for j in range(d)]]
+        return scored.groupBy("run").agg(*sums, self.loss("y", "p").alias("loss"))
+
     def update(self, state, rows, learning_rate, n):
         (row,) = rows
         rate = learning_rate / n
@@ -221,58 +232,56 @@ class _CoefTrainer(StepTrainer):
 
 class SquaredErrorTrainer(_CoefTrainer):
     def _fit(self, dataset: DataFrame) -> LinearModel:
-        placed, n, batches = self.batched(dataset, clustered=False)
-        d = len(self.input_cols)
-        if batches * (d + 2) ** 2 > MAX_REPLAY_NUMBERS:
-            return super()._fit(dataset)
-        names = [f"x{i}" for i in range(d)] + ["y"]
-        parts = gram(placed, {c: F.col(c) for c in names}, by="batch_id")
-        for c in self.callbacks:
-            if hasattr(c, "reset"):
-                c.reset()
-        # a callback that reads losses needs them epoch by epoch, so then the loss is part of each epoch
-        watched = any(not _ignores_loss(c) for c in self.callbacks)
-        w, b, rate = np.zeros(d), 0.0, self.learning_rate
-        trajectory: list[list[tuple[np.ndarray, float]]] = []
-        history: list[float] = []
-        state = {"coefs": w.tolist(), "bias": b}
-        for epoch in range(self.epochs):
-            before = []
-            for batch_id in range(batches):
-                before.append((w.copy(), b))
-                count, s, m = parts[batch_id]
-                error_x = m[:d, :d] @ w + s[:d] * b - m[:d, d]
-                error = float(s[:d] @ w + count * b - s[d])
-                w = w - rate / n * error_x
-                b = b - rate / n * error
-            trajectory.append(before)
-            losses = self._losses(placed, [before])[0] if watched else []
-            if watched:
-                history.append(sum(losses) / len(losses))
-            state = {"coefs": w.tolist(), "bias": b}
-            ctx = TrainingContext(epoch, self.epochs, losses, rate, state, history)
-            go_on = run_callbacks(self.callbacks, ctx)
-            rate, state = ctx.learning_rate, ctx.state
-            w, b = np.array(state["coefs"]), state["bias"]
-            if not go_on:
-                break
-        if not watched:
-            history = [sum(x) / len(x) for x in self._losses(placed, trajectory)]
-        return self.make_model(state, history)
-
-    def _losses(self, placed: DataFrame, trajectory) -> list[list[float]]:
-        """Batch losses of several epochs in one job: the weights of a batch are looked up in constants by its
-        number, so no row is repeated."""
+        most = max_ranges(len(self.input_cols))
+        many = self.batch_size is not None and dataset.count() > most * self.batch_size
+        placed, n, batches = self.batched(dataset, clustered=many)
+        placed = placed.withColumnRenamed("__pos", "pos").withColumn("run", F.lit(0))
+        (run,) = self._descend(placed, [n], [batches])
+        return self.make_model(run.state, run.history)
+
+    def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, LinearModel]:
+        """All folds at once: a row enters the sums or ranges of all folds but its own."""
+        placed, n, batches = self.batched_folds(df, fold_col, folds)
+        rows = placed.select(*self.columns(), F.inline("at"))
+        return {i: self.make_model(r.state, r.history) for i, r in zip(folds, self._descend(rows, n, batches))}
+
+    def _descend(self, rows: DataFrame, n: list[int], batches: list[int]) -> list[Run]:
         d = len(self.input_cols)
-        aggs = []
-        for e, before in enumerate(trajectory):
-            z = F.get(double_array([b for _, b in before]), F.col("batch_id").cast("int"))
-            for j in range(d):
-                z = z + F.col(f"x{j}") * F.get(double_array([w[j] for w, _ in before]), F.col("batch_id").cast("int"))
-            aggs.append(self.loss(F.col("y"), z).alias(f"e{e}"))
-        rows = placed.groupBy("batch_id").agg(*aggs).collect()
-        rows = sorted(rows, key=lambda r: r["batch_id"])
-        return [[float(r[f"e{e}"]) for r in rows] for e in range(len(trajectory))]
+        few = max(batches) <= max_ranges(d)
+        scan = SummedBatches(rows, d, n, batches, self.loss, gram) if few else ComposedRanges(rows, d, n, batches, self.loss)
+        # a callback that reads losses needs them epoch by epoch; else those of several epochs are found at once
+        watched = any(not isinstance(c, LearningRateScheduler) for c in self.callbacks)
+        start = {"coefs": [0.0] * d, "bias": 0.0}
+        runs = [Run(copy.deepcopy(self.callbacks) if len(n) > 1 else self.callbacks, self.epochs, self.learning_rate, dict(start)) for _ in n]
+        trajectory = []
+        try:
+            while any(r.active for r in runs):
+                going = {j: r for j, r in enumerate(runs) if r.active}
+                if not few:
+                    scan.compose({j: r.rate for j, r in going.items()})
+                epoch = {}
+                for j, r in going.items():
+                    before, after = scan.epoch(j, np.array([*r.state["coefs"], r.state["bias"]]), r.rate)
+                    epoch[j] = before, r.rate
+                    r.state = {"coefs": after[:d].tolist(), "bias": float(after[d])}
+                trajectory.append(epoch)
+                if watched or len(trajectory) == EPOCHS_AT_ONCE:
+                    self._note_losses(scan, trajectory, runs, watched)
+                for j, r in going.items():
+                    r.end_epoch(r.losses if watched else [])
+            self._note_losses(scan, trajectory, runs, False)
+        finally:
+            scan.close()
+        return runs
+
+    def _note_losses(self, scan, trajectory: list, runs: list[Run], watched: bool) -> None:
+        for epoch in scan.losses(trajectory) if trajectory else []:
+            for j, losses in epoch.items():
+                if watched:
+                    runs[j].losses = losses
+                else:
+                    runs[j].history.append(sum(losses) / len(losses))
+        trajectory.clear()
 
     def make_model(self, state, history) -> LinearModel:
         params = {"input_cols": self.input_cols, "target_cols": self.target_cols, "solver": "mbgd"}
@@ -281,12 +290,6 @@ class SquaredErrorTrainer(_CoefTrainer):
         )
 
 
-def _ignores_loss(callback) -> bool:
-    from .training import LearningRateScheduler
-
-    return isinstance(callback, LearningRateScheduler)
-
-
 class LogisticClassifier(_CoefTrainer):
     """The error uses the probability, the loss and the prediction the class at 0.5. Targets are 0 and 1."""
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..base import TableModel
-from ..functions.columns import constant_array, feature, to_col
+from ..functions.columns import constant_array, feature, long_array, to_col
 from ..functions.metrics import accuracy
 from ..operators.position import lowest_hashes, shuffle_hash
 from .training import StepTrainer
@@ -20,6 +20,19 @@ MAX_TERMS = 600
 MAX_CODEBOOKS = 100_000
 
 
+def _closest(x: np.ndarray, table: np.ndarray) -> np.ndarray:
+    out = np.empty(len(x), dtype="int32")
+    step = max(1, 4_000_000 // table.size)
+    for at in range(0, len(x), step):
+        part = x[at : at + step]
+        total = np.zeros((len(part), len(table)))
+        for j in range(table.shape[1]):
+            gap = part[:, j, None] - table[None, :, j]
+            total += gap * gap
+        out[at : at + step] = total.argmin(axis=1)
+    return out
+
+
 def nearest_codebook(xs: list[Column], codebooks: list[list[float]]) -> Column:
     """The number of the nearest codebook, the lowest on ties."""
     if len(codebooks) == 1:
@@ -35,23 +48,25 @@ def nearest_codebook(xs: list[Column], codebooks: list[list[float]]) -> Column:
     table = np.array(codebooks)
 
     def closest(vec: pd.Series) -> pd.Series:
-        if len(vec) == 0:
-            return pd.Series([], dtype="int32")
-        x = np.stack(vec.to_numpy())
-        out = np.empty(len(x), dtype="int32")
-        step = max(1, 4_000_000 // table.size)
-        for at in range(0, len(x), step):
-            part = x[at : at + step]
-            total = np.zeros((len(part), len(table)))
-            for j in range(table.shape[1]):
-                gap = part[:, j, None] - table[None, :, j]
-                total += gap * gap
-            out[at : at + step] = total.argmin(axis=1)
-        return pd.Series(out)
+        return pd.Series(_closest(np.stack(vec.to_numpy()), table) if len(vec) else [], dtype="int32")
 
     return F.pandas_udf(closest, "int")(F.array(*xs))
 
 
+def nearest_by_run(xs: list[Column], run: Column, codebooks: list[list[list[float]]]) -> Column:
+    """The number of the nearest codebook among those of the row's own run, the lowest on ties."""
+    tables = [np.array(c) for c in codebooks]
+
+    def closest(vec: pd.Series, run: pd.Series) -> pd.Series:
+        out = np.zeros(len(vec), dtype="int32")
+        for r in run.unique():
+            at = np.flatnonzero(run.to_numpy() == r)
+            out[at] = _closest(np.stack(vec.to_numpy()[at]), tables[r])
+        return pd.Series(out)
+
+    return F.pandas_udf(closest, "int")(F.array(*xs), run)
+
+
 class LVQ(StepTrainer):
     """A step finds each row's nearest codebook as of the batch's start and sums, per codebook, the pull of rows
     with its label and the push of the others; the driver gets one row per codebook.
@@ -97,19 +112,28 @@ class LVQ(StepTrainer):
         }
 
     def step(self, batch: DataFrame, state) -> DataFrame:
-        d, t = len(self.input_cols), len(self.target_cols)
-        xs = [F.col(f"x{i}") for i in range(d)]
+        xs = [F.col(f"x{i}") for i in range(len(self.input_cols))]
         hit = batch.withColumn("cb", nearest_codebook(xs, state["codebooks"]))
+        return self._pulls(hit, F.col("cb"), state["labels"])
+
+    def fold_step(self, batch: DataFrame, states) -> DataFrame:
+        xs = [F.col(f"x{i}") for i in range(len(self.input_cols))]
+        hit = batch.withColumn("cb", nearest_by_run(xs, F.col("run"), [s["codebooks"] for s in states]))
+        first = long_array([sum(len(s["labels"]) for s in states[:j]) for j in range(len(states))])
+        label = (F.get(first, F.col("run")) + F.col("cb")).cast("int")
+        return self._pulls(hit, label, [row for s in states for row in s["labels"]], "run").filter("run IS NOT NULL")
+
+    def _pulls(self, hit: DataFrame, label: Column, labels: list[list], *by: str) -> DataFrame:
+        """Per codebook the sums that move it; the line without codebook carries the loss."""
+        d, t = len(self.input_cols), len(self.target_cols)
         for i in range(t):
-            labels = constant_array([row[i] for row in state["labels"]])
-            hit = hit.withColumn(f"p{i}", F.get(labels, F.col("cb")))
+            hit = hit.withColumn(f"p{i}", F.get(constant_array([row[i] for row in labels]), label))
         same = F.lit(True)
         for i in range(t):
             same = same & F.col(f"y{i}").eqNullSafe(F.col(f"p{i}"))
         signed = hit.withColumn("s", F.when(same, 1.0).otherwise(-1.0))
         loss = self.loss([f"y{i}" for i in range(t)], [f"p{i}" for i in range(t)])
-        # the total line of the rollup carries the loss of the batch
-        return signed.rollup("cb").agg(
+        return signed.rollup(*by, "cb").agg(
             F.sum("s").alias("s"),
             *[F.sum(F.col("s") * F.col(f"x{i}")).alias(f"sx{i}") for i in range(d)],
             F.when(F.grouping("cb") == 1, loss).alias("loss"),

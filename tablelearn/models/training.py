@@ -7,21 +7,25 @@ is ten large batches per epoch, whatever the size of the table.
 
 from __future__ import annotations
 
+import copy
 import math
 import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import as_list
+from ..functions.columns import as_list, to_col
 from ..operators.position import positional_with_count, rank_groups
 
 DEFAULT_BATCHES = 10
 MANY_STEPS = 1000
+# Rows whose places are counted in one task.
+CHUNK_ROWS = 250_000
 
 
 @dataclass
@@ -34,6 +38,8 @@ class TrainingContext:
     learning_rate: float
     state: dict[str, Any]
     history: list[float] = field(default_factory=list)
+    # what callbacks keep from epoch to epoch of this training, under a key of their own
+    memory: dict[Any, Any] = field(default_factory=dict)
 
 
 # A callback gets the context and says whether training goes on.
@@ -53,40 +59,74 @@ class LearningRateScheduler:
         return True
 
 
+def best_epoch(scores: Sequence[float], mode: str = "min", min_delta: float = 0.0) -> int:
+    """The epoch that holds the record at the end, where a new record must beat the old one by more than ``min_delta``."""
+    gain = (lambda old, new: old - new) if mode == "min" else (lambda old, new: new - old)
+    return reduce(lambda best, e: e if gain(scores[best], scores[e]) > min_delta else best, range(len(scores)), 0)
+
+
 class EarlyStopping:
-    """Stop when the score has not improved by ``min_delta`` for ``patience`` epochs, then restore the best."""
+    """Ends training once the record is ``patience`` epochs old, and then restores the record's state.
+
+    The rule looks at the scores of all epochs so far, which the training keeps; the object itself has settings only.
+    """
 
     def __init__(self, patience: int = 5, mode: str = "min", restore_best: bool = True, min_delta: float = 1e-4):
         if mode not in ("min", "max"):
             raise ValueError("mode is min or max")
         self.patience, self.mode, self.restore_best, self.min_delta = patience, mode, restore_best, min_delta
-        self.reset()
-
-    def reset(self) -> None:
-        self.best_score: float | None = None
-        self.best_state: dict[str, Any] | None = None
-        self.waited = 0
 
     def get_score(self, losses: Sequence[float]) -> float:
         return sum(losses) / len(losses)
 
     def __call__(self, ctx: TrainingContext) -> bool:
-        score = self.get_score(ctx.losses)
-        sign = 1.0 if self.mode == "min" else -1.0
-        self.waited += 1
-        if self.best_score is None or sign * score + self.min_delta < sign * self.best_score:
-            self.best_score, self.best_state, self.waited = score, dict(ctx.state), 0
+        kept = ctx.memory.setdefault(self, {"scores": [], "state": None})
+        kept["scores"].append(self.get_score(ctx.losses))
+        age = len(kept["scores"]) - 1 - best_epoch(kept["scores"], self.mode, self.min_delta)
+        if age == 0:
+            kept["state"] = dict(ctx.state)
+        if age < self.patience:
             return True
-        if self.waited < self.patience:
-            return True
-        if self.restore_best:
-            ctx.state = self.best_state
+        ctx.state = kept["state"] if self.restore_best else ctx.state
         return False
 
 
-def run_callbacks(callbacks: Sequence[Callback], ctx: TrainingContext) -> bool:
-    """All callbacks see the epoch, even when an earlier one asks to stop."""
-    return all([bool(c(ctx)) for c in callbacks])
+class Run:
+    """The course of one training: its state, rate, losses and callbacks from epoch to epoch."""
+
+    def __init__(self, callbacks: Sequence[Callback], epochs: int, learning_rate: float, state: dict[str, Any]):
+        self.callbacks = list(callbacks)
+        for c in self.callbacks:
+            if hasattr(c, "reset"):
+                c.reset()
+        self.context = TrainingContext(-1, epochs, [], learning_rate, state)
+        self.losses: list[float] = []
+        self.active = epochs > 0
+
+    @property
+    def state(self) -> dict[str, Any]:
+        return self.context.state
+
+    @state.setter
+    def state(self, value: dict[str, Any]) -> None:
+        self.context.state = value
+
+    @property
+    def rate(self) -> float:
+        return self.context.learning_rate
+
+    @property
+    def history(self) -> list[float]:
+        return self.context.history
+
+    def end_epoch(self, losses: list[float] | None = None) -> None:
+        """Takes note of the epoch's losses, if they are known yet. All callbacks see it, even when an earlier one asks to stop."""
+        ctx = self.context
+        ctx.epoch, ctx.losses = ctx.epoch + 1, self.losses if losses is None else losses
+        if ctx.losses:
+            ctx.history.append(sum(ctx.losses) / len(ctx.losses))
+        go_on = all([bool(c(ctx)) for c in self.callbacks])
+        self.active, self.losses = go_on and ctx.epoch + 1 < ctx.epochs, []
 
 
 class StepTrainer(TableEstimator):
@@ -95,6 +135,7 @@ class StepTrainer(TableEstimator):
     ``columns()``            the columns training needs, by name
     ``initial_state(df, n)`` a dict of plain values
     ``step(batch, state)``   a DataFrame of bounded size with a ``loss`` column, at least in its first row
+    ``fold_step(batch, states)``  the same for all folds at once, if the model has such a form
     ``update(state, rows, learning_rate, n)``  the next state, from the collected step
     ``make_model(state, history)``
     """
@@ -135,6 +176,10 @@ class StepTrainer(TableEstimator):
     def step(self, batch: DataFrame, state: dict[str, Any]) -> DataFrame:
         raise NotImplementedError
 
+    def fold_step(self, batch: DataFrame, states: list[dict[str, Any]]) -> DataFrame:
+        """``step`` for several trainings at once: ``batch`` says with ``run`` whose state a row meets, and so does the result."""
+        raise NotImplementedError
+
     def update(self, state: dict[str, Any], rows: list, learning_rate: float, n: int) -> dict[str, Any]:
         raise NotImplementedError
 
@@ -143,54 +188,112 @@ class StepTrainer(TableEstimator):
 
     # -- the loop --
 
+    def _keyed(self, df: DataFrame, *more: Column) -> tuple[DataFrame, list[str]]:
+        keyed = df.select(*[c.alias(n) for n, c in self.columns().items()], *[F.col(k).alias(f"__key_{k}") for k in self.row_key], *more)
+        return keyed, [f"__key_{k}" for k in self.row_key]
+
+    def _batch_rows(self, n: int) -> int:
+        if n == 0:
+            raise ValueError("no rows to train on")
+        return self.batch_size or math.ceil(n / DEFAULT_BATCHES)
+
     def batched(self, df: DataFrame, clustered: bool = True) -> tuple[DataFrame, int, int]:
         """The training columns with ``batch_id``; the row count; the number of batches.
 
-        ``clustered`` lays the rows of a batch together, for training that visits batches one by one.
+        ``clustered`` lays the rows of a batch together, in the order of ``__pos``, for training that visits batches one by one.
         """
-        keyed = df.select(*[c.alias(n) for n, c in self.columns().items()], *[F.col(k).alias(f"__key_{k}") for k in self.row_key])
-        keys, seed = [f"__key_{k}" for k in self.row_key], self.seed if self.shuffle else None
-
-        def size_for(n: int) -> int:
-            if n == 0:
-                raise ValueError("no rows to train on")
-            return self.batch_size or math.ceil(n / DEFAULT_BATCHES)
-
+        keyed, keys = self._keyed(df)
+        seed = self.seed if self.shuffle else None
         if not clustered:
-            placed, n = rank_groups(keyed, keys, seed, lambda n: range(size_for(n), n, size_for(n)), "batch_id")
-            return placed, n, math.ceil(n / size_for(n))
+            placed, n = rank_groups(keyed, keys, seed, lambda n: range(self._batch_rows(n), n, self._batch_rows(n)), "batch_id")
+            return placed, n, math.ceil(n / self._batch_rows(n))
         placed, n = positional_with_count(keyed, keys, seed, "__pos")
-        size = size_for(n)
+        size = self._batch_rows(n)
         return placed.withColumn("batch_id", F.floor(F.col("__pos") / size).cast("bigint")), n, math.ceil(n / size)
 
+    def batched_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> tuple[DataFrame, list[int], list[int]]:
+        """The training columns with ``at``: for every fold that a row trains (all but its own), the fold's number ``run``, and the
+        row's ``pos`` and ``batch_id`` among those that train it; rows and batches of each.
+
+        A row's place among the other folds' rows is its place in the table less the rows of that fold before it: those of
+        earlier chunks, which are counted, and those of its own chunk, in which they are summed up.
+        """
+        keyed, keys = self._keyed(df, to_col(fold_col).alias("__fold"))
+        placed, _ = positional_with_count(keyed.where("__fold IS NOT NULL"), keys, self.seed if self.shuffle else None, "__pos")
+        placed = placed.withColumn("__chunk", F.floor(F.col("__pos") / CHUNK_ROWS))
+        ones = [F.when(F.col("__fold") == i, 1).otherwise(0).cast("bigint") for i in folds]
+        counts = placed.groupBy("__chunk").agg(*[F.sum(c).alias(f"n{j}") for j, c in enumerate(ones)], F.count(F.lit(1)).alias("n"))
+        totals = counts.agg(*[F.sum(f"n{j}") for j in range(len(folds))], F.sum("n")).first()
+        n = [(totals[-1] or 0) - (t or 0) for t in totals[:-1]]
+        sizes = [self._batch_rows(x) for x in n]
+        # one row per chunk
+        before = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select("__chunk", *[F.coalesce(F.sum(f"n{j}").over(before), F.lit(0)).alias(f"o{j}") for j in range(len(folds))])
+        inside = Window.partitionBy("__chunk").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
+        counted = placed.withColumns({f"c{j}": F.sum(c).over(inside) for j, c in enumerate(ones)}).join(offsets, "__chunk")
+        places = []
+        for j, i in enumerate(folds):
+            pos = F.col("__pos") - F.col(f"o{j}") - F.col(f"c{j}")
+            place = F.struct(F.lit(j).alias("run"), pos.alias("pos"), F.floor(pos / sizes[j]).cast("bigint").alias("batch_id"))
+            places.append(F.when(F.col("__fold") != i, place))
+        at = F.filter(F.array(*places), lambda a: a.isNotNull())
+        rows = counted.select(*self.columns(), *keys, "__fold", at.alias("at"))
+        return rows, n, [math.ceil(x / s) for x, s in zip(n, sizes)]
+
     def _fit(self, dataset: DataFrame) -> TableModel:
         placed, n, batches = self.batched(dataset)
-        if batches * self.epochs > MANY_STEPS:
-            warnings.warn(f"{batches * self.epochs} steps, each a Spark job; a larger batch_size needs fewer")
-        for c in self.callbacks:
-            if hasattr(c, "reset"):
-                c.reset()
+        self._warn(batches)
         # rows lie in batch order, so cached blocks of other batches are skipped by their min and max
         cached = placed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            state = self.initial_state(cached, n)
-            rate, history = self.learning_rate, []
-            for epoch in range(self.epochs):
-                losses = []
+            run = Run(self.callbacks, self.epochs, self.learning_rate, self.initial_state(cached, n))
+            while run.active:
                 for b in range(batches):
                     part = cached.filter(F.col("batch_id") == b) if batches > 1 else cached
-                    rows = self.step(part, state).collect()
-                    losses.append(next(float(r["loss"]) for r in rows if r["loss"] is not None))
-                    state = self.update(state, rows, rate, n)
-                history.append(sum(losses) / len(losses))
-                ctx = TrainingContext(epoch, self.epochs, losses, rate, state, history)
-                go_on = run_callbacks(self.callbacks, ctx)
-                rate, state = ctx.learning_rate, ctx.state
-                if not go_on:
-                    break
+                    self._advance(run, self.step(part, run.state).collect(), n)
+                run.end_epoch()
+        finally:
+            cached.unpersist()
+        return self.make_model(run.state, run.history)
+
+    def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, TableModel]:
+        """All folds in one course of training: a step is one job over its batch, in which a row meets the states of all folds
+        but its own. The models are those of a training by fold."""
+        if type(self).fold_step is StepTrainer.fold_step:
+            return super().fit_folds(df, fold_col, folds)
+        rows, n, batches = self.batched_folds(df, fold_col, folds)
+        self._warn(max(batches))
+        ids = F.transform("at", lambda a: a["batch_id"])
+        cached = rows.withColumns({"first": F.array_min(ids), "last": F.array_max(ids)}).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            runs = [
+                Run(copy.deepcopy(self.callbacks), self.epochs, self.learning_rate, self.initial_state(cached.filter(F.col("__fold") != i), n[j]))
+                for j, i in enumerate(folds)
+            ]
+            while any(r.active for r in runs):
+                for b in range(max(batches)):
+                    going = [j for j, r in enumerate(runs) if r.active and b < batches[j]]
+                    if not going:
+                        continue
+                    meets = F.filter("at", lambda a: (a["batch_id"] == b) & a["run"].isin(going))
+                    part = cached.filter((F.col("first") <= b) & (F.col("last") >= b)).withColumn("run", F.explode(F.transform(meets, lambda a: a["run"])))
+                    found = self.fold_step(part, [r.state for r in runs]).collect()
+                    for j in going:
+                        self._advance(runs[j], [r for r in found if r["run"] == j], n[j])
+                for r in runs:
+                    if r.active:
+                        r.end_epoch()
         finally:
             cached.unpersist()
-        return self.make_model(state, history)
+        return {i: self.make_model(r.state, r.history) for i, r in zip(folds, runs)}
+
+    def _warn(self, batches: int) -> None:
+        if batches * self.epochs > MANY_STEPS:
+            warnings.warn(f"{batches * self.epochs} steps, each a Spark job; a larger batch_size needs fewer")
+
+    def _advance(self, run: Run, rows: list, n: int) -> None:
+        run.losses.append(next(float(r["loss"]) for r in rows if r["loss"] is not None))
+        run.state = self.update(run.state, rows, run.rate, n)
 
 
 def loss_history(model: TableModel, spark) -> DataFrame:

@@ -116,8 +116,8 @@ def best_splits(scores: DataFrame, classes: int) -> DataFrame:
     return per_range.groupBy("node").agg(F.min("best").alias("best")).select("node", "best.*")
 
 
-def training_rows(df: DataFrame, input_cols: list[str], target: str, max_classes: int) -> tuple[DataFrame, list]:
-    """``y`` as class number and ``x0..``; the sorted classes."""
+def training_rows(df: DataFrame, input_cols: list[str], target: str, max_classes: int, *more: Column) -> tuple[DataFrame, list]:
+    """``y`` as class number, ``x0..`` and further columns; the sorted classes."""
     found = df.select(to_col(target).alias("y")).filter("y IS NOT NULL").distinct().limit(max_classes + 1).collect()
     if len(found) > max_classes:
         raise ValueError(f"more than {max_classes} classes")
@@ -126,13 +126,13 @@ def training_rows(df: DataFrame, input_cols: list[str], target: str, max_classes
     classes = sorted(r["y"] for r in found)
     number = F.array_position(F.array(*[F.lit(c) for c in classes]), to_col(target)) - 1
     rows = df.filter(to_col(target).isNotNull()).select(
-        number.cast("int").alias("y"), *[feature(c).alias(f"x{i}") for i, c in enumerate(input_cols)]
+        number.cast("int").alias("y"), *[feature(c).alias(f"x{i}") for i, c in enumerate(input_cols)], *more
     )
     return rows, classes
 
 
-def descend(df: DataFrame, cols: list[Column], nodes: list[dict[str, Any]], out: str) -> DataFrame:
-    """``out`` = the number of the leaf a row ends in.
+def descend(df: DataFrame, cols: list[Column], nodes: list[dict[str, Any]], out: str, root: Column | None = None) -> DataFrame:
+    """``out`` = the number of the leaf a row ends in, from the first node or the one that ``root`` numbers.
 
     The tree lies in constant arrays. One projection per level follows a branch, which stays in generated code
     for trees of any size.
@@ -144,7 +144,7 @@ def descend(df: DataFrame, cols: list[Column], nodes: list[dict[str, Any]], out:
     bound = double_array([0.0 if l else n["threshold"] for l, n in zip(leaf, nodes)])
     left = long_array([i if l else n["left"] for i, l, n in zip(own, leaf, nodes)])
     right = long_array([i if l else n["right"] for i, l, n in zip(own, leaf, nodes)])
-    df = df.withColumn("__x", F.array(*cols)).withColumn(out, F.lit(0))
+    df = df.withColumn("__x", F.array(*cols)).withColumn(out, F.lit(0) if root is None else root)
     for _ in range(levels):
         at = F.col(out)
         x = F.get(F.col("__x"), F.get(which, at).cast("int"))
@@ -172,9 +172,26 @@ class DecisionTreeClassifier(TableEstimator):
         rows, classes = training_rows(dataset, self.input_cols, self.target_cols[0], self.max_classes)
         cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            nodes = self._grow(cached, d, len(classes))
+            nodes = self._grow(cached.withColumn("run", F.lit(0)), d, len(classes))
         finally:
             cached.unpersist()
+        return self._model(classes, nodes)
+
+    def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, "DecisionTreeModel"]:
+        """One tree per fold, all grown together: a level is one job, with a histogram per (tree, node), that a row enters once
+        for every fold but its own. The trees are those of a training by fold."""
+        d = len(self.input_cols)
+        known = df.filter(to_col(fold_col).isNotNull())
+        rows, classes = training_rows(known, self.input_cols, self.target_cols[0], self.max_classes, to_col(fold_col).alias("fold"))
+        cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        others = F.filter(F.array(*[F.when(F.col("fold") != i, F.lit(j)) for j, i in enumerate(folds)]), lambda j: j.isNotNull())
+        try:
+            nodes = self._grow(cached.withColumn("run", F.explode(others)).drop("fold"), d, len(classes), len(folds))
+        finally:
+            cached.unpersist()
+        return {i: self._model(classes, _one_tree(nodes, j)) for j, i in enumerate(folds)}
+
+    def _model(self, classes: list, nodes: list[dict[str, Any]]) -> "DecisionTreeModel":
         params = {
             "input_cols": self.input_cols,
             "target_cols": self.target_cols,
@@ -183,15 +200,16 @@ class DecisionTreeClassifier(TableEstimator):
         }
         return DecisionTreeModel(params, {"classes": classes, "nodes": _collapsed(nodes)})
 
-    def _grow(self, rows: DataFrame, d: int, classes: int) -> list[dict[str, Any]]:
+    def _grow(self, rows: DataFrame, d: int, classes: int, trees: int = 1) -> list[dict[str, Any]]:
+        """The nodes of all trees, the roots first; ``run`` says which tree a row is for."""
         size = rows.count()
         bounds = None
-        nodes = [{"parent": None, "depth": 1, "feature": None}]
-        open_nodes, depth = [0], 1
+        nodes = [{"parent": None, "depth": 1, "feature": None} for _ in range(trees)]
+        open_nodes, depth = list(range(trees)), 1
         while open_nodes:
             if len(open_nodes) > MAX_OPEN_NODES:
                 raise ValueError(f"more than {MAX_OPEN_NODES} nodes on a level; lower max_depth or raise min_samples")
-            placed = descend(rows, [F.col(f"x{i}") for i in range(d)], nodes, "node")
+            placed = descend(rows, [F.col(f"x{i}") for i in range(d)], nodes, "node", F.col("run"))
             if depth > 1:
                 still = set(open_nodes)
                 is_open = [1 if i in still else 0 for i in range(len(nodes))]
@@ -225,6 +243,16 @@ class DecisionTreeClassifier(TableEstimator):
         return nodes
 
 
+def _one_tree(nodes: list[dict[str, Any]], root: int) -> list[dict[str, Any]]:
+    """The nodes of one of several trees, numbered anew in the same order."""
+    number = {root: 0}
+    for i, node in enumerate(nodes):  # children come after their parent
+        if i in number and node["feature"] is not None:
+            number[node["left"]] = number[node["right"]] = -1
+    number = {i: at for at, i in enumerate(sorted(number))}
+    return [{k: number[v] if k in ("left", "right") or (k == "parent" and v is not None) else v for k, v in nodes[i].items()} for i in number]
+
+
 def _collapsed(nodes: list[dict[str, Any]]) -> list[dict[str, Any]]:
     """Turns inner nodes whose leaves all predict one class into leaves, and renumbers level by level."""
     labels: dict[int, set] = {}

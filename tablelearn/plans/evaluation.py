@@ -13,11 +13,12 @@ from ..models.evaluate import (
     actual_vs_predicted, evaluate, evaluate_baseline, evaluate_model, plot_ranges, predict,
 )
 from ..models.linear import LinearRegression, LogisticClassifier, Perceptron
+from ..models.lvq import LVQ
 from ..models.training import EarlyStopping, LearningRateScheduler, StepTrainer, TrainingContext
 from ..models.knn import KNNClassifier
 from ..models.tree import DecisionTreeClassifier
 from .learning import (
-    BAYES_COLS, BAYES_SQL, NEAR, TREE_COLS, TREE_TARGET, grown_tree_sql, half, step_sql, step_table, tree_table,
+    BAYES_COLS, BAYES_SQL, LVQ_RATE, NEAR, STEP_ROWS, TREE_COLS, TREE_TARGET, grown_tree_sql, half, step_sql, step_table, tree_table,
 )
 from .registry import query, rounded, scratch, shuffled_pos, table
 
@@ -157,6 +158,68 @@ def evaluate_folds_bayes_many(spark, folder):
     return out.withColumn("accuracy", rounded("accuracy", 8))
 
 
+# Trainings by step on the rows of all folds but one (``i``), half the table to a batch.
+_FOLD_STEPS = f"""f AS MATERIALIZED (SELECT *, ({shuffled_pos('o_orderkey')}) // (n // 3) AS fold_id FROM ({STEP_ROWS}) QUALIFY fold_id < n // (n // 3)),
+    i AS MATERIALIZED (SELECT DISTINCT fold_id AS i FROM f),
+    r AS MATERIALIZED (SELECT i, o_orderkey, a, b, y, (row_number() OVER (PARTITION BY i ORDER BY o_orderkey) - 1) // ((n + 1) // 2) AS batch,
+                              count(*) OVER (PARTITION BY i) AS m FROM f, i WHERE fold_id <> i)"""
+
+
+def _fold_logistic_sql(epochs: int, rate: float) -> str:
+    parts = [_FOLD_STEPS, "w0 AS MATERIALIZED (SELECT i, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS w0 FROM i)"]
+    for step in range(2 * epochs):
+        moved = ", ".join(f"any_value({w}) - {rate} * sum(e * {x}) / any_value(m) AS {w}" for w, x in (("wa", "a"), ("wb", "b"), ("w0", "1.0")))
+        error = "1 / (1 + exp(-(w0 + a * wa + b * wb))) - y AS e"
+        parts.append(f"w{step + 1} AS MATERIALIZED (SELECT i, {moved} FROM (SELECT *, {error} FROM r JOIN w{step} USING (i) WHERE batch = {step % 2}) GROUP BY i)")
+    return "WITH " + ",\n".join(parts)
+
+
+@query(
+    "evaluate_folds_logistic",
+    _fold_logistic_sql(2, 2.0)
+    + """ SELECT fold_id, round(avg(CAST(CAST(1 / (1 + exp(-(w0 + a * wa + b * wb))) >= 0.5 AS INTEGER) = y AS DOUBLE)), 8) + 0.0 AS accuracy
+          FROM f JOIN w4 ON fold_id = i GROUP BY 1""",
+)
+def evaluate_folds_logistic(spark, folder):
+    """Trained by step: all folds in one course of training."""
+    df = step_table(spark, folder)
+    trainer = LogisticClassifier(["a", "b"], "y", "o_orderkey", learning_rate=2.0, epochs=2, batch_size=half(df))
+    return evaluate_model(df, trainer, "o_orderkey", sampling="cross_val", folds=3).withColumn("accuracy", rounded("accuracy", 8))
+
+
+def _fold_lvq_sql(epochs: int) -> str:
+    parts = [
+        _FOLD_STEPS,
+        """c0 AS MATERIALIZED (SELECT i, row_number() OVER (PARTITION BY i ORDER BY md5('42:' || o_orderkey), o_orderkey) - 1 AS cb, a AS ca, b AS cc, y AS label
+                               FROM r QUALIFY cb < 6)""",
+    ]
+    nearest = "arg_min({'cb': cb, 'label': label}, {'d': pow(a - ca, 2) + pow(b - cc, 2), 'cb': cb}) AS hit"
+    for step in range(2 * epochs):
+        parts.append(f"h{step} AS MATERIALIZED (SELECT i, o_orderkey, a, b, y, {nearest} FROM r JOIN c{step} USING (i) WHERE batch = {step % 2} GROUP BY ALL)")
+        moved = ", ".join(f"c.{c} + {LVQ_RATE} * coalesce(sum(CASE WHEN h.y = c.label THEN {x} - {c} ELSE {c} - {x} END), 0) AS {c}" for c, x in (("ca", "a"), ("cc", "b")))
+        parts.append(f"c{step + 1} AS MATERIALIZED (SELECT c.i, c.cb, c.label, {moved} FROM c{step} c LEFT JOIN h{step} h ON h.i = c.i AND h.hit.cb = c.cb GROUP BY c.i, c.cb, c.label, c.ca, c.cc)")
+    parts.append(f"p AS (SELECT fold_id, o_orderkey, y, {nearest} FROM f JOIN c{2 * epochs} ON i = fold_id GROUP BY ALL)")
+    return "WITH " + ",\n".join(parts)
+
+
+@query("evaluate_folds_lvq", _fold_lvq_sql(1) + " SELECT fold_id, round(avg(CAST(y = hit.label AS DOUBLE)), 8) + 0.0 AS accuracy FROM p GROUP BY 1")
+def evaluate_folds_lvq(spark, folder):
+    df = step_table(spark, folder)
+    trainer = LVQ(["a", "b"], "y", "o_orderkey", n_codebooks=6, learning_rate=LVQ_RATE, epochs=1, batch_size=half(df))
+    return evaluate_model(df, trainer, "o_orderkey", sampling="cross_val", folds=3).withColumn("accuracy", rounded("accuracy", 8))
+
+
+@query(
+    "evaluate_folds_median",
+    f"""WITH {_FOLDED}, v AS (SELECT i, median(o_totalprice) AS v FROM f, i WHERE fold_id <> i GROUP BY 1)
+        SELECT fold_id, round(avg(abs(o_totalprice - v)), 4) + 0.0 AS mean_absolute_error FROM f JOIN v ON fold_id = i GROUP BY 1""",
+)
+def evaluate_folds_median(spark, folder):
+    """All folds' medians from the scans of one."""
+    out = evaluate_model(_orders(spark, folder), ZeroRule("o_totalprice", "regression_median"), "o_orderkey", "mean_absolute_error", sampling="cross_val", folds=4)
+    return out.withColumn("mean_absolute_error", rounded("mean_absolute_error", 4))
+
+
 _DRAW = "CAST(('0x' || substring(md5('42:' || o_orderkey), 1, 8))::BIGINT % len(v) AS INTEGER) + 1"
 
 

@@ -172,6 +172,43 @@ def linear_loss_history(spark, folder):
     return loss_history(model, spark).withColumn("loss", rounded("loss", 8))
 
 
+# Batches of 32 rows, step by step in a recursion over the sums of each batch.
+SMALL_BATCH, SMALL_EPOCHS = 32, 2
+_SMALL_STEPS = f"""WITH RECURSIVE t AS MATERIALIZED (SELECT * REPLACE (p // {SMALL_BATCH} AS batch) FROM (SELECT *, {natural_pos('o_orderkey')} AS p FROM ({STEP_ROWS}))),
+    g AS MATERIALIZED (SELECT batch, count(*) AS c, sum(a) AS sa, sum(b) AS sb, sum(t) AS st, sum(a * a) AS saa, sum(a * b) AS sab, sum(b * b) AS sbb,
+                              sum(a * t) AS sat, sum(b * t) AS sbt, any_value(n) AS n, (any_value(n) + {SMALL_BATCH - 1}) // {SMALL_BATCH} AS batches FROM t GROUP BY batch),
+    w AS (SELECT 0::BIGINT AS step, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS w0
+          UNION ALL SELECT step + 1, wa - 0.5 / n * (saa * wa + sab * wb + sa * w0 - sat), wb - 0.5 / n * (sab * wa + sbb * wb + sb * w0 - sbt),
+                           w0 - 0.5 / n * (sa * wa + sb * wb + c * w0 - st)
+          FROM w JOIN g ON g.batch = step % batches WHERE step < {SMALL_EPOCHS} * batches)"""
+
+
+def small_batches(spark, folder):
+    df = step_table(spark, folder)
+    return df, LinearRegression(["a", "b"], "t", "mbgd", "o_orderkey", learning_rate=0.5, epochs=SMALL_EPOCHS, batch_size=SMALL_BATCH).fit(df)
+
+
+@query(
+    "linear_small_batches",
+    _SMALL_STEPS + " SELECT o_orderkey, round(w0 + a * wa + b * wb, 6) + 0.0 AS prediction FROM t, w WHERE step = (SELECT max(step) FROM w)",
+)
+def linear_small_batches(spark, folder):
+    df, model = small_batches(spark, folder)
+    return model.transform(df).select("o_orderkey", rounded("prediction").alias("prediction"))
+
+
+@query(
+    "linear_small_batches_history",
+    _SMALL_STEPS
+    + """, l AS (SELECT step, step // any_value(batches) AS epoch, avg(abs(w0 + a * wa + b * wb - t)) AS loss
+             FROM w JOIN g ON g.batch = step % batches JOIN t ON t.batch = g.batch GROUP BY step)
+         SELECT CAST(epoch AS INTEGER) AS epoch, round(avg(loss), 8) + 0.0 AS loss FROM l WHERE epoch < """
+    + f"{SMALL_EPOCHS} GROUP BY epoch",
+)
+def linear_small_batches_history(spark, folder):
+    return loss_history(small_batches(spark, folder)[1], spark).withColumn("loss", rounded("loss", 8))
+
+
 @query(
     "logistic_classifier",
     step_sql("1 / (1 + exp(-z))", "y", "avg(CAST((p >= 0.5)::INTEGER = target AS DOUBLE))", 2.0, 2)

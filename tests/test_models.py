@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.base import load_model
 from tablelearn.functions import metrics
-from tablelearn.models import knn, linear, tree
+from tablelearn.models import descent, knn, linear, training, tree
 from tablelearn.models.baseline import RandomModel, ZeroRule
 from tablelearn.models.bayes import NaiveBayesClassifier
 from tablelearn.models.evaluate import evaluate, evaluate_baseline, evaluate_model
@@ -119,13 +119,11 @@ def descend(x, y, epochs, batch, rate, output=lambda z: z, rates=None):
     return w, b, history
 
 
-@pytest.mark.parametrize("replayed", [True, False])
+@pytest.mark.parametrize("ranges", [1024, 3])
 @pytest.mark.parametrize("batch", [1, 10, 103, 500])
-def test_descent_equals_row_by_row(plane, monkeypatch, replayed, batch):
-    if not replayed:
-        if batch == 1:
-            pytest.skip("a job per row")
-        monkeypatch.setattr(linear, "MAX_REPLAY_NUMBERS", 0)
+def test_descent_equals_row_by_row(plane, monkeypatch, ranges, batch):
+    monkeypatch.setattr(linear, "max_ranges", lambda d: ranges)
+    monkeypatch.setattr(descent, "max_ranges", lambda d: ranges)
     x, y, df = plane
     model = linear.LinearRegression(XS, "y0", "mbgd", "id", learning_rate=5.0, epochs=2, batch_size=batch).fit(df)
     w, b, history = descend(x, y[:, 0], 2, batch, 5.0)
@@ -463,3 +461,86 @@ def test_codebooks_are_found_alike_written_out_and_in_numpy(spark, monkeypatch):
     written = rows(df.select("a", "b", lvq.nearest_codebook([F.col("a"), F.col("b")], books).alias("cb")))
     monkeypatch.setattr(lvq, "MAX_TERMS", 0)
     assert written == rows(df.select("a", "b", lvq.nearest_codebook([F.col("a"), F.col("b")], books).alias("cb")))
+
+
+# -- all folds at once ------------------------------------------------------------------------------
+
+
+def fold_table(spark, n=157, folds=3, seed=2):
+    rng = np.random.default_rng(seed)
+    data = [(int(k), float(a), float(b), float(2 * a - b + rng.normal() / 10), int(a > b), "rgb"[int(3 * c)], int(rng.integers(folds))) for k, a, b, c in zip(rng.permutation(n) * 3, *rng.random((3, n)))]
+    return spark.createDataFrame(data, "id long, a double, b double, t double, y int, kind string, fold int").repartition(5)
+
+
+TRAINERS = {
+    "descent": lambda **kw: linear.LinearRegression(["a", "b"], "t", "mbgd", "id", learning_rate=2.0, epochs=3, **kw),
+    "logistic": lambda **kw: linear.LogisticClassifier(["a", "b"], "y", "id", learning_rate=3.0, epochs=3, **kw),
+    "perceptron": lambda **kw: linear.Perceptron(["a", "b"], "y", "id", learning_rate=1.0, epochs=2, **kw),
+    "lvq": lambda **kw: LVQ(["a", "b"], "kind", "id", n_codebooks=7, learning_rate=0.02, epochs=2, **kw),
+}
+
+
+@pytest.mark.parametrize("name", TRAINERS)
+@pytest.mark.parametrize("batch, shuffle", [(None, False), (9, True)])
+def test_training_of_all_folds_at_once_is_that_of_each(spark, monkeypatch, name, batch, shuffle):
+    monkeypatch.setattr(training, "CHUNK_ROWS", 20)
+    if batch and name == "descent":
+        monkeypatch.setattr(linear, "max_ranges", lambda d: 4)
+        monkeypatch.setattr(descent, "max_ranges", lambda d: 4)
+    if batch and name != "descent":
+        batch = 40
+    df = fold_table(spark)
+    make = lambda: TRAINERS[name](batch_size=batch, shuffle=shuffle, callbacks=[LearningRateScheduler(), EarlyStopping(patience=1)])
+    together = make().fit_folds(df, "fold", [0, 1, 2])
+    for i, model in together.items():
+        alone = make().fit(df.filter(F.col("fold") != i))
+        assert model.state["history"] == pytest.approx(alone.state["history"])
+        for key in ("coefs", "bias", "codebooks"):
+            if key in alone.state:
+                np.testing.assert_allclose(np.array(model.state[key]), np.array(alone.state[key]), rtol=1e-9)
+        assert model.state.get("labels") == alone.state.get("labels")
+
+
+def jobs_of(spark, work):
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{id(work)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(tracker.getJobIdsForGroup(group))
+
+
+def test_folds_take_the_steps_of_one_training(spark):
+    df = fold_table(spark).persist()
+    one = jobs_of(spark, lambda: TRAINERS["logistic"]().fit(df.filter("fold <> 0")))
+    three = jobs_of(spark, lambda: TRAINERS["logistic"]().fit_folds(df, "fold", [0, 1, 2]))
+    assert three <= one + 10  # the setting-up; thirty steps either way
+
+
+def test_trees_and_medians_of_all_folds_at_once(spark):
+    df = fold_table(spark, 400)
+    grown = tree.DecisionTreeClassifier(["a", "b"], "kind", max_depth=4)
+    for i, model in grown.fit_folds(df, "fold", [0, 1, 2]).items():
+        alone = grown.fit(df.filter(F.col("fold") != i))
+        assert rows(model.rules(spark)) == rows(alone.rules(spark))
+    medians = ZeroRule(["t", "a"], "regression_median")
+    for i, model in medians.fit_folds(df, "fold", [0, 1, 2]).items():
+        assert model.state["values"] == medians.fit(df.filter(F.col("fold") != i)).state["values"]
+
+
+def test_small_batches_take_as_many_jobs_as_large_ones(spark, monkeypatch):
+    df = fold_table(spark, 900).persist()
+    monkeypatch.setattr(linear, "max_ranges", lambda d: 20)
+    monkeypatch.setattr(descent, "max_ranges", lambda d: 20)
+    fit = lambda batch, **kw: lambda: linear.LinearRegression(["a", "b"], "t", "mbgd", "id", learning_rate=1.0, epochs=8, batch_size=batch, **kw).fit(df)
+    assert jobs_of(spark, fit(1)) <= 40 and jobs_of(spark, fit(30)) <= 40  # 7,200 steps, and 240
+    seen = []
+    watch = lambda ctx: seen.append((ctx.epoch, len(ctx.losses), len(ctx.history))) or True
+    assert jobs_of(spark, fit(1, callbacks=[watch])) <= jobs_of(spark, fit(1)) + 2 * 8
+    assert seen == [(e, 1, e + 1) for e in range(8)]
+
+
+def test_the_record_is_found_by_a_rule():
+    assert [training.best_epoch(s, "min", 0.1) for s in ([5.0, 3.0, 2.95, 4.0], [1.0], [3.0, 2.95, 2.85, 2.8])] == [1, 0, 2]
+    assert training.best_epoch([1.0, 2.0, 2.05, 3.0], "max", 0.1) == 3
