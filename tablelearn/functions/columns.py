@@ -6,6 +6,7 @@ import json
 import math
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ColumnLike = Column | str
@@ -114,8 +115,27 @@ def stacked(df: DataFrame, values: Sequence[Column], extra: Sequence[Column] = (
 
 
 def distinct_values(df: DataFrame, values: Sequence[Column], most: int) -> list[list] | None:
-    """The sorted distinct values of each column, found in one scan; None if any has more than ``most``."""
-    rows = stacked(df, values).distinct().limit((most + 1) * len(values)).collect()
+    """The sorted distinct values of each column, found in one scan; None if any has more than ``most``.
+
+    A task drops what it has seen before, and sends ``most + 1`` values of a column at most.
+    """
+    wide = df.select(*[v.alias(f"c{i}") for i, v in enumerate(values)])
+    schema = T.StructType([T.StructField("i", T.IntegerType()), *[T.StructField(f.name, f.dataType) for f in wide.schema.fields]])
+
+    def unseen(batches):
+        kept = {}
+        for batch in batches:
+            if batch.num_rows:
+                for i, column in enumerate(batch.columns):
+                    if i not in kept or len(kept[i]) <= most:
+                        new = column.unique() if i not in kept else pa.concat_arrays([kept[i], column.unique()]).unique()
+                        kept[i] = new.drop_null()[: most + 1]
+        for i, found in kept.items():
+            number = pa.array([i] * len(found), pa.int32())
+            others = [found if j == i else pa.nulls(len(found), kept[j].type) for j in sorted(kept)]
+            yield pa.RecordBatch.from_arrays([number, *others], ["i", *[f"c{j}" for j in sorted(kept)]])
+
+    rows = wide.mapInArrow(unseen, schema).distinct().limit((most + 1) * len(values)).collect()
     out: list[list] = [[] for _ in values]
     for r in rows:
         out[r["i"]].append(r[f"c{r['i']}"])

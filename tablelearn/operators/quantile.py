@@ -3,14 +3,15 @@
 Spark's ``percentile`` keeps every distinct value of a group in one task, which is right only for a bounded group. So it
 is used up to ``DIRECT_ROWS`` values. Beyond that a scan with approximate percentiles, whose error in rank is known, brackets
 each wanted rank from both sides; a second scan counts what lies below and at the ends of each bracket, and fetches what lies
-between if that is few, which it is for some hundred million values. Otherwise the bracket is cut again in the same way: 10^12
-values take four scans, whatever their distribution.
+between if that is few, which it is for some ten million values. Otherwise the bracket is cut again in the same way: 10^12
+values take six scans, whatever their distribution.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,7 +20,7 @@ from ..functions.columns import present, to_col
 DIRECT_ROWS = 100_000
 FETCH_ROWS = 10_000
 # One over the share of the values by which an approximate rank may be wrong.
-ACCURACY = 50_000
+ACCURACY = 10_000
 
 # Fixed value: the largest finite double; infinities are searched for as if they were it.
 LARGEST = 1.7976931348623157e308
@@ -62,9 +63,11 @@ class _Search:
     before: int = 0
     inside: int = 0
 
-    def holds(self) -> Column:
+    def value(self) -> Column:
+        """The column's value where it lies in the interval."""
         v = F.col(f"v{self.column}")
-        return (v > F.lit(self.low)) & (v < F.lit(self.high))
+        tests = [v > F.lit(self.low)] * (self.low > -math.inf) + [v < F.lit(self.high)] * (self.high < math.inf)
+        return F.when(reduce(lambda a, b: a & b, tests), v) if tests else v
 
 
 def _narrowed(values: DataFrame, cols: list[str], probs: list[float], bounds: dict) -> dict[str, list]:
@@ -100,41 +103,36 @@ def _narrowed(values: DataFrame, cols: list[str], probs: list[float], bounds: di
 
 
 def _one_round(values: DataFrame, searches: list[_Search], found: dict[tuple[int, int], float]) -> list[_Search]:
-    """Brackets each search's ranks by approximate percentiles, counts exactly, and returns the searches that go on."""
-    brackets = []
+    """Brackets each search's ranks by approximate percentiles, counts exactly, and returns the searches that go on.
+
+    Searches in one interval of a column share a sketch. The ends of their brackets cut the interval into cells; each value is
+    put into its cell once, and cells are counted.
+    """
+    intervals: dict[tuple[int, float, float], list[_Search]] = {}
     for s in searches:
-        slack = 2 * s.inside / ACCURACY + 1
-        places = (s.ranks[0] - s.before - slack) / s.inside, (s.ranks[-1] - s.before + 1 + slack) / s.inside
+        intervals.setdefault((s.column, s.low, s.high), []).append(s)
+    sketches = []
+    for group in intervals.values():
+        places = []
+        for s in group:
+            slack = 2 * s.inside / ACCURACY + 1
+            places += [(s.ranks[0] - s.before - slack) / s.inside, (s.ranks[-1] - s.before + 1 + slack) / s.inside]
         ends = F.array(*[F.lit(min(1.0, max(0.0, p))) for p in places])
-        brackets.append(F.percentile_approx(F.when(s.holds(), F.col(f"v{s.column}")), ends, F.lit(ACCURACY)))
-    row = values.agg(*[b.alias(f"b{j}") for j, b in enumerate(brackets)]).first()
-    ends = [tuple(row[f"b{j}"]) for j in range(len(searches))]
-
-    few = [8 * s.inside / ACCURACY + 8 <= FETCH_ROWS for s in searches]
-    counts = []
-    for j, (s, (a, b)) in enumerate(zip(searches, ends)):
-        v = F.col(f"v{s.column}")
-        tests = (v < a, v <= a, v < b, v <= b)
-        counts += [F.count(F.when(s.holds() & t, 1)).alias(f"c{j}_{k}") for k, t in enumerate(tests)]
-        if few[j]:  # at most about FETCH_ROWS values
-            counts.append(F.sort_array(F.collect_list(F.when((v > a) & (v < b) & s.holds(), v))).alias(f"l{j}"))
-    row = values.agg(*counts).first()
+        sketches.append(F.percentile_approx(group[0].value(), ends, F.lit(ACCURACY)))
+    row = values.agg(*[b.alias(f"b{j}") for j, b in enumerate(sketches)]).first()
+
+    cells = []
+    for j, ((column, _, _), group) in enumerate(intervals.items()):
+        few = 8 * group[0].inside / ACCURACY + 8 <= FETCH_ROWS
+        cells.append(_Cells(j, group, sorted(set(row[f"b{j}"])), [tuple(row[f"b{j}"][2 * i : 2 * i + 2]) for i in range(len(group))] if few else []))
+    placed = values.select(F.inline(F.filter(F.array(*[c.row() for c in cells]), lambda r: r.isNotNull())))
+    counted = placed.groupBy("j", "cell").agg(F.count(F.lit(1)).alias("n"), F.collect_list("fetched").alias("fetched")).collect()
 
     left = []
-    for j, (s, (a, b)) in enumerate(zip(searches, ends)):
-        under_a, upto_a, under_b, upto_b = (row[f"c{j}_{k}"] for k in range(4))
-        parts = [(0, under_a, s.low, a), (upto_a, under_b, a, b), (upto_b, s.inside, b, s.high)]
-        for r in s.ranks:
-            k = r - s.before
-            if under_a <= k < upto_a:
-                found[(s.column, r)] = a
-            elif under_b <= k < upto_b:
-                found[(s.column, r)] = b
-            elif few[j] and upto_a <= k < under_b:
-                found[(s.column, r)] = row[f"l{j}"][k - upto_a]
-            else:
-                first, last, low, high = next(p for p in parts if p[0] <= k < p[1])
-                left.append(_Search(s.column, (r,), low, high, s.before + first, last - first))
+    for c in cells:
+        c.counts = {r["cell"]: r["n"] for r in counted if r["j"] == c.number}
+        c.fetched = {r["cell"]: sorted(r["fetched"]) for r in counted if r["j"] == c.number}
+        left += c.resolve(found)
     merged: dict[tuple, _Search] = {}
     for s in left:
         same = merged.setdefault((s.column, s.low, s.high), s)
@@ -145,3 +143,49 @@ def _one_round(values: DataFrame, searches: list[_Search], found: dict[tuple[int
         for s in merged.values()
         for r in (s.ranks if s.ranks[-1] - s.ranks[0] > 1 else s.ranks[:1])
     ]
+
+
+@dataclass
+class _Cells:
+    """An interval cut at ``cuts``: cell 2k lies below cut k, cell 2k + 1 is the cut itself. Inside ``brackets`` values are fetched."""
+
+    number: int
+    searches: list[_Search]
+    cuts: list[float]
+    brackets: list[tuple[float, float]]
+    counts: dict[int, int] | None = None
+    fetched: dict[int, list[float]] | None = None
+
+    def row(self) -> Column:
+        """(j, cell, fetched) of a row's value; null where it isn't in the interval."""
+        v = self.searches[0].value()
+        cell = F.lit(2 * len(self.cuts))
+        for k, cut in reversed(list(enumerate(self.cuts))):
+            cell = F.when(v < cut, 2 * k).when(v == cut, 2 * k + 1).otherwise(cell)
+        inside = F.lit(False)
+        for a, b in self.brackets:  # at most about FETCH_ROWS values each
+            inside = inside | ((v > a) & (v < b))
+        at_cut = v.isin(self.cuts)
+        return F.when(v.isNotNull(), F.struct(F.lit(self.number).alias("j"), cell.alias("cell"), F.when(inside & ~at_cut, v).alias("fetched")))
+
+    def resolve(self, found: dict[tuple[int, int], float]) -> list[_Search]:
+        """Finds ranks at a cut or among fetched values; the others go on in their cell."""
+        ends, running = [], 0
+        for cell in range(2 * len(self.cuts) + 1):
+            running += self.counts.get(cell, 0)
+            ends.append(running)
+        left = []
+        for s in self.searches:
+            for r in s.ranks:
+                k = r - s.before
+                cell = next(i for i, end in enumerate(ends) if k < end)
+                first = ends[cell] - self.counts[cell]
+                if cell % 2:
+                    found[(s.column, r)] = self.cuts[cell // 2]
+                elif len(self.fetched[cell]) == self.counts[cell]:
+                    found[(s.column, r)] = self.fetched[cell][k - first]
+                else:
+                    low = self.cuts[cell // 2 - 1] if cell else s.low
+                    high = self.cuts[cell // 2] if cell < 2 * len(self.cuts) else s.high
+                    left.append(_Search(s.column, (r,), low, high, s.before + first, self.counts[cell]))
+        return left

@@ -537,7 +537,7 @@ def test_small_batches_take_as_many_jobs_as_large_ones(spark, monkeypatch):
     assert jobs_of(spark, fit(1)) <= 40 and jobs_of(spark, fit(30)) <= 40  # 7,200 steps, and 240
     seen = []
     watch = lambda ctx: seen.append((ctx.epoch, len(ctx.losses), len(ctx.history))) or True
-    assert jobs_of(spark, fit(1, callbacks=[watch])) <= jobs_of(spark, fit(1)) + 2 * 8
+    assert jobs_of(spark, fit(1, callbacks=[watch])) <= jobs_of(spark, fit(1)) + 6 * 8  # one grouped aggregate an epoch, of a few stages
     assert seen == [(e, 1, e + 1) for e in range(8)]
 
 
