@@ -250,10 +250,11 @@ class StepTrainer(TableEstimator):
             while run.active:
                 for b in range(batches):
                     part = cached.filter(F.col("batch_id") == b) if batches > 1 else cached
-                    self._advance(run, self.step(part, run.state).collect(), n)
+                    self.advance(run, part, n)
                 run.end_epoch()
         finally:
             cached.unpersist()
+        self.clean(run)
         return self.make_model(run.state, run.history)
 
     def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, TableModel]:
@@ -279,7 +280,7 @@ class StepTrainer(TableEstimator):
                     part = cached.filter((F.col("first") <= b) & (F.col("last") >= b)).withColumn("run", F.explode(F.transform(meets, lambda a: a["run"])))
                     found = self.fold_step(part, [r.state for r in runs]).collect()
                     for j in going:
-                        self._advance(runs[j], [r for r in found if r["run"] == j], n[j])
+                        self._moved(runs[j], [r for r in found if r["run"] == j], n[j])
                 for r in runs:
                     if r.active:
                         r.end_epoch()
@@ -291,7 +292,14 @@ class StepTrainer(TableEstimator):
         if batches * self.epochs > MANY_STEPS:
             warnings.warn(f"{batches * self.epochs} steps, each a Spark job; a larger batch_size needs fewer")
 
-    def _advance(self, run: Run, rows: list, n: int) -> None:
+    def clean(self, run: Run) -> None:
+        """What is to be done when a training is over."""
+
+    def advance(self, run: Run, batch: DataFrame, n: int) -> None:
+        """One step of a run."""
+        self._moved(run, self.step(batch, run.state).collect(), n)
+
+    def _moved(self, run: Run, rows: list, n: int) -> None:
         run.losses.append(next(float(r["loss"]) for r in rows if r["loss"] is not None))
         run.state = self.update(run.state, rows, run.rate, n)
 

@@ -562,12 +562,12 @@ def tree_deep(spark, folder):
 LVQ_RATE = 0.001
 
 
-def _lvq_sql(epochs: int, batches: int = 2) -> str:
+def _lvq_sql(epochs: int, batches: int = 2, codebooks: str = "6") -> str:
     """CTEs ``t`` (rows), ``c0`` .. (codebooks ``cb, ca, cc, label`` before each step)."""
     parts = [
         f"t AS MATERIALIZED ({STEP_ROWS})",
-        """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY md5('42:' || o_orderkey), o_orderkey) - 1 AS cb, a AS ca, b AS cc, y AS label
-                  FROM t QUALIFY cb < 6)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY md5('42:' || o_orderkey), o_orderkey) - 1 AS cb, a AS ca, b AS cc, y AS label
+                  FROM t QUALIFY cb < {codebooks})""",
     ]
     step = 0
     for _ in range(epochs):
@@ -628,3 +628,15 @@ def lvq_train(spark, folder):
 def lvq_predict(spark, folder):
     df, model = lvq_model(spark, folder, 1)
     return model.transform(df).select("o_orderkey", "prediction")
+
+
+@query(
+    "lvq_codebook_table",
+    _lvq_sql(1, codebooks="n // 20")
+    + """ SELECT o_orderkey, arg_min(label, {'d': pow(a - ca, 2) + pow(b - cc, 2), 'cb': cb}) AS prediction FROM t, c2 GROUP BY o_orderkey""",
+)
+def lvq_codebook_table(spark, folder):
+    """A twentieth of the rows as codebooks, kept and moved as a table."""
+    df = step_table(spark, folder)
+    trainer = LVQ(["a", "b"], "y", "o_orderkey", learning_rate=LVQ_RATE, epochs=1, batch_size=half(df), driver_codebooks=0)
+    return trainer.fit(df).transform(df).select("o_orderkey", "prediction")

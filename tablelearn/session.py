@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -33,3 +34,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured is not None and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of its own in the shared folder, read back: lineage ends there, and a lost executor costs nothing."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a table that ``written`` made and that nothing reads any more."""
+    spark = df.sparkSession
+    for parent in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

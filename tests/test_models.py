@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.base import load_model
 from tablelearn.functions import metrics
-from tablelearn.models import descent, knn, linear, training, tree
+from tablelearn.models import descent, knn, linear, lvq, training, tree
 from tablelearn.models.baseline import RandomModel, ZeroRule
 from tablelearn.models.bayes import NaiveBayesClassifier
 from tablelearn.models.evaluate import evaluate, evaluate_baseline, evaluate_model
@@ -309,8 +309,6 @@ def test_tree_ties_and_pure_tables(spark):
 
 @pytest.mark.parametrize("terms", [0, 600])
 def test_lvq_equals_batchwise_brute_force(spark, monkeypatch, terms):
-    from tablelearn.models import lvq
-
     monkeypatch.setattr(lvq, "MAX_TERMS", terms)
     random = np.random.default_rng(9)
     x = random.normal(size=(60, 2)).round(3)
@@ -334,14 +332,29 @@ def test_lvq_equals_batchwise_brute_force(spark, monkeypatch, terms):
     out = model.transform(df)
     want = [labels[((r - books) ** 2).sum(axis=1).argmin()] for r in x]
     assert [r["prediction_y"] for r in out.orderBy("id").collect()] == want
-    with pytest.raises(ValueError, match="n_codebooks"):
-        LVQ(["a"], "y", "id", n_codebooks=10**6).initial_state(df, 10**9)
 
 
-def test_lvq_default_is_never_cut(spark):
-    df = spark.createDataFrame([(0, 1.0, "p")], "__key_id long, x0 double, y0 string")
-    with pytest.raises(ValueError, match="300000 codebooks"):
-        LVQ(["a"], "y", "id").initial_state(df, 6_000_000)
+def test_lvq_default_is_a_twentieth_at_any_size():
+    assert [LVQ(["a"], "y", "id")._wanted(n) for n in (10, 6_000_000, 10**10)] == [3, 300_000, 500_000_000]
+
+
+@pytest.mark.parametrize("init, batch, stop", [("rows", 40, False), ("columns", None, True)])
+def test_codebooks_as_a_table_are_those_as_numbers(spark, tmp_path, init, batch, stop):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, *map(float, rng.normal(size=2).round(3)), int(i % 3), "xy"[i % 2]) for i in range(110)], "id long, a double, b double, y int, z string").repartition(4)
+    make = lambda **kw: LVQ(
+        ["a", "b"], ["y", "z"], "id", n_codebooks=8, init=init, learning_rate=0.05, epochs=3, batch_size=batch,
+        callbacks=[EarlyStopping(patience=1, mode="max", min_delta=2.0)] if stop else [], **kw,
+    )
+    numbers, table = make().fit(df), make(driver_codebooks=3).fit(df)
+    assert isinstance(table, lvq.LVQTableModel) and table.state["history"] == pytest.approx(numbers.state["history"])
+    flat = lambda m: np.array([[r["codebook"], *r["position"]] for r in m.codebooks(spark).orderBy("codebook").collect()])
+    np.testing.assert_allclose(flat(table), flat(numbers), rtol=1e-9)
+    assert rows(table.transform(df)) == rows(numbers.transform(df))
+    table.save(str(tmp_path / "model"))
+    assert rows(load_model(spark, str(tmp_path / "model")).transform(df)) == rows(numbers.transform(df))
+    by_fold = make(driver_codebooks=3).fit_folds(df, "y", [0, 1])
+    np.testing.assert_allclose(flat(by_fold[1]), flat(make().fit_folds(df, "y", [0, 1])[1]), rtol=1e-9)
 
 
 # -- evaluation ------------------------------------------------------------------------------------
@@ -453,8 +466,6 @@ def test_k_can_be_chosen_at_prediction(spark, flowers):
 
 
 def test_codebooks_are_found_alike_written_out_and_in_numpy(spark, monkeypatch):
-    from tablelearn.models import lvq
-
     random = np.random.default_rng(8)
     df = spark.createDataFrame(random.integers(0, 4, (300, 2)).astype(float).tolist(), "a double, b double")  # many ties
     books = random.integers(0, 4, (9, 2)).astype(float).tolist()
