@@ -1,11 +1,10 @@
 """Exact k nearest neighbours (K-NN1 to K-NN4) as a pruned, block-wise join.
 
-No pair of rows is emitted unless it is among a block's k nearest. The training rows are divided among pivots
-(each row to its nearest one). The distances of the k training rows nearest to each pivot bound how far a
-query's k-th neighbour can be, and by the triangle inequality a query needs only the cells that reach into that
-radius; it is sent to those and no others (after Lu, Shen, Chen and Ooi, "Efficient Processing of k Nearest
-Neighbor Joins using MapReduce", VLDB 2012). Cells are cut into blocks on both sides, so a cell that holds a
-third of all rows is many tasks. Within a block numpy keeps the k best per query, and a last grouping merges the
+No pair of rows is emitted unless it is among a block's k nearest. The training rows lie in the cells of a metric index (see
+``cells``). The rows nearest to a pivot bound how far a query's k-th neighbour can be, and by the triangle inequality a query
+needs only the cells that reach into that radius; it is sent to those and no others (after Lu, Shen, Chen and Ooi, "Efficient
+Processing of k Nearest Neighbor Joins using MapReduce", VLDB 2012). Cells are cut into blocks on both sides, so a cell that
+holds a third of all rows is many tasks. Within a block numpy keeps the k best per query, and a last grouping merges the
 blocks. The result is exact and complete whatever the pivots are; they only decide how much work is saved.
 """
 
@@ -16,14 +15,11 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
-from pyspark.storagelevel import StorageLevel
 
 from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list, feature, long_array, to_col
-from ..operators.position import lowest_hashes, shuffle_hash
+from .cells import Cells, ask, build, nearest_in_block
 
-MAX_PIVOTS = 256
-ROWS_PER_CELL = 2_000
 BLOCK_BYTES = 32 * 2**20
 BLOCK_ROWS = 50_000
 SMALL_BLOCK = 200
@@ -44,53 +40,6 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack(series.to_numpy()).astype("float64", copy=False)
 
 
-def _distances(points: np.ndarray, row: np.ndarray) -> np.ndarray:
-    gap = points - row
-    return np.sqrt((gap * gap).sum(axis=1))
-
-
-def _pivot_distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.column_stack([_distances(points, p) for p in pivots])
-
-
-def _pivots(train: DataFrame, wanted: int, n: int) -> np.ndarray:
-    """Training rows with the smallest key hashes: at most ``MAX_PIVOTS`` rows, the same on every run."""
-    rows = lowest_hashes(train.select("s_key", "s_vec"), shuffle_hash("pivot", ["s_key"]), ["s_key"], wanted, n)
-    return np.array([r["s_vec"] for r in rows], dtype="float64")
-
-
-def _with_cell(train: DataFrame, pivots: np.ndarray) -> DataFrame:
-    def nearest(vec: pd.Series) -> pd.DataFrame:
-        if len(vec) == 0:
-            return pd.DataFrame({"cell": np.array([], dtype="int32"), "reach": np.array([], dtype="float64")})
-        d = _pivot_distances(_matrix(vec), pivots)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "reach": d[np.arange(len(cell)), cell]})
-
-    cell = F.pandas_udf(nearest, "cell int, reach double")
-    return train.withColumn("c", cell("s_vec")).select("*", "c.cell", "c.reach").drop("c")
-
-
-def _candidate_cells(queries: DataFrame, pivots: np.ndarray, near: list[np.ndarray], low: np.ndarray, high: np.ndarray, need: int) -> DataFrame:
-    """Each query once per cell that may hold one of its neighbours."""
-
-    def cells_of(vec: pd.Series) -> pd.Series:
-        if len(vec) == 0:
-            return pd.Series([], dtype="object")
-        to_pivot = _pivot_distances(_matrix(vec), pivots)
-        out = []
-        for d in to_pivot:
-            # every training row in ``near`` lies within its pivot's distance plus its own reach
-            upper = np.concatenate([d[j] + near[j] for j in range(len(near))])
-            bound = np.partition(upper, need - 1)[need - 1] if len(upper) >= need else np.inf
-            slack = bound * (1 + 1e-9) + 1e-9
-            hit = (d - high <= slack) & (low - d <= slack)
-            out.append(np.nonzero(hit)[0].astype("int32").tolist())
-        return pd.Series(out)
-
-    return queries.withColumn("cell", F.explode(F.pandas_udf(cells_of, "array<int>")("q_vec")))
-
-
 def nearest_neighbours(
     train: DataFrame,
     queries: DataFrame,
@@ -103,33 +52,36 @@ def nearest_neighbours(
     pivots: int | None = None,
     train_block: int | None = None,
     query_block: int | None = None,
+    index: Cells | None = None,
 ) -> DataFrame:
     """``(query, neighbour, distance, rank[, payload])`` for the k nearest training rows of every query.
 
     Euclidean; ties go to the smaller key. ``exclude_self`` leaves out the training row with the query's own key.
-    Keys are unique. Fewer than k training rows give fewer neighbours.
+    Keys are unique. Fewer than k training rows give fewer neighbours. ``index`` is that of ``train``, where it is built already.
     """
     if k < 1:
         raise ValueError("k is at least 1")
     cols = as_list(input_cols)
-    s = train.select(
-        to_col(train_key).alias("s_key"), feature_vector(train, cols).alias("s_vec"),
-        *([to_col(payload).alias("payload")] if payload else []),
-    )
+    s = indexable(train, cols, train_key, payload)
     q = queries.select(to_col(query_key).alias("q_key"), feature_vector(queries, cols).alias("q_vec"))
-    size = s.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("s_vec")).alias("width")).first()
-    rows = size["n"]
     q_type, s_type = dict(q.dtypes)["q_key"], dict(s.dtypes)["s_key"]
     names = f"query {q_type}, neighbour {s_type}, distance double, rank int" + (
         f", payload {dict(s.dtypes)['payload']}" if payload else ""
     )
-    if rows == 0:
+    need = k + (1 if exclude_self else 0)  # a query's own row may be among the nearest to a pivot
+    if index is None:
+        index = index_of(s, need, pivots)
+    if index is None:
         return train.sparkSession.createDataFrame([], names)
-    fits = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * max(1, size["width"]))))
+    fits = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * max(1, index.width))))
     train_block, query_block = train_block or fits, query_block or max(1, fits // 5)
-    wanted = pivots or max(1, min(MAX_PIVOTS, rows // ROWS_PER_CELL))
-    # a query's own row may be among the nearest to a pivot, so one more is needed
-    placed, asked, counts, loads = _cells(s, q, rows, wanted, k + (1 if exclude_self else 0))
+    placed, asked, counts = index.rows, ask(index, q, need), index.counts.tolist()
+    if len(index) == 1:
+        loads = [asked.count()]
+    else:
+        loads = [0] * len(index)
+        for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per cell
+            loads[r["cell"]] = r["n"]
     s_blocks = [max(1, math.ceil(c / train_block)) for c in counts]
     # few cells still make enough blocks for all cores
     spread = math.ceil(train.sparkSession.sparkContext.defaultParallelism / len(loads))
@@ -151,24 +103,9 @@ def nearest_neighbours(
         if len(train_part) == 0 or len(query_part) == 0:
             return pd.DataFrame({n: [] for n in names})
         train_part = train_part.sort_values("s_key", kind="stable")  # so that ties fall to the smaller key
-        points, keys = _matrix(train_part["s_vec"]), train_part["s_key"].to_numpy()
-        who, picked, how_far = [], [], []
-        for key, vec in zip(query_part["q_key"].to_numpy(), _matrix(query_part["q_vec"])):
-            d = _distances(points, vec)
-            if exclude_self:
-                d[keys == key] = np.inf
-            if len(d) > k:
-                reach = np.partition(d, k - 1)[k - 1]
-                pool = np.nonzero(d <= reach)[0]
-            else:
-                pool = np.arange(len(d))
-            pool = pool[np.argsort(d[pool], kind="stable")][:k]
-            pool = pool[np.isfinite(d[pool])]
-            who += [key] * len(pool)
-            picked.append(pool)
-            how_far.append(d[pool])
-        at = np.concatenate(picked) if picked else np.array([], dtype="int64")
-        out = {"q_key": who, "s_key": keys[at], "distance": np.concatenate(how_far)}
+        keys, q_keys = train_part["s_key"].to_numpy(), query_part["q_key"].to_numpy()
+        who, at, how_far = nearest_in_block(keys, _matrix(train_part["s_vec"]), q_keys, _matrix(query_part["q_vec"]), k, exclude_self)
+        out = {"q_key": q_keys[who], "s_key": keys[at], "distance": how_far}
         if payload:
             out["payload"] = train_part["payload"].to_numpy()[at]
         return pd.DataFrame(out)
@@ -188,42 +125,24 @@ def nearest_neighbours(
     )
 
 
-def _cells(s: DataFrame, q: DataFrame, rows: int, wanted: int, need: int):
-    """Training rows with their cell, queries once per cell they need, and the rows of both per cell."""
-    if wanted == 1:
-        one = F.lit(0).alias("cell")
-        return s.select("*", one), q.select("*", one), [rows], [q.count()]
-    centre = _pivots(s, wanted, rows)
-    size = len(centre)
-    placed = _with_cell(s, centre)
-    reaches = placed.select("cell", "reach").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        summary = (
-            reaches.groupBy("cell")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high"))
-            .collect()
-        )  # one row per pivot
-        by_reach = Window.partitionBy("cell").orderBy("reach")
-        close = (
-            reaches.withColumn("r", F.row_number().over(by_reach)).filter(F.col("r") <= need).collect()
-        )  # k or k + 1 rows per pivot
-    finally:
-        reaches.unpersist()
-    counts, low, high = [0] * size, np.full(size, np.inf), np.full(size, -np.inf)
-    for r in summary:
-        counts[r["cell"]], low[r["cell"]], high[r["cell"]] = r["n"], r["low"], r["high"]
-    near: list[list[float]] = [[] for _ in range(size)]
-    for r in close:
-        near[r["cell"]].append(r["reach"])
-    asked = _candidate_cells(q, centre, [np.array(x) for x in near], low, high, need)
-    loads = [0] * size
-    for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
-        loads[r["cell"]] = r["n"]
-    return placed.drop("reach"), asked, counts, loads
+def indexable(train: DataFrame, cols: list[str], key: str, payload: str | None) -> DataFrame:
+    return train.select(
+        to_col(key).alias("s_key"), feature_vector(train, cols).alias("s_vec"), *([to_col(payload).alias("payload")] if payload else [])
+    )
+
+
+def index_of(s: DataFrame, need: int, pivots: int | None = None) -> Cells | None:
+    """The metric index of rows (s_key, s_vec, ...), to be asked for ``need`` neighbours at most; None for no rows."""
+    size = s.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("s_vec")).alias("width")).first()
+    if size["n"] == 0:
+        return None
+    index = build(s, size["n"], size["width"], need, pivots)
+    index.width = size["width"]
+    return index
 
 
 class _NearestEstimator(TableEstimator):
-    """Fitting keeps the training table; the work is done in ``transform``.
+    """Fitting keeps the training table, and writes its metric index once it is asked; all further questions use that.
 
     ``row_key`` identifies rows on both sides. With ``exclude_self`` a scored row never counts itself, found by key.
     """
@@ -278,12 +197,26 @@ class NearestModel(TableModel):
         """The same fitted table with another number of neighbours; nothing is fitted anew."""
         if k < 1:
             raise ValueError("k is at least 1")
-        return NearestModel({**self.params_, "k": k}, self.state, self.tables)
+        model = NearestModel({**self.params_, "k": k}, self.state, self.tables)
+        model._index = self._index  # shared: a list of what was built so far
+        return model
+
+    def __init__(self, params, state, tables=None):
+        super().__init__(params, state, tables)
+        self._index: list[tuple[int, Cells | None]] = []
+
+    def index(self, need: int) -> Cells | None:
+        """The training table's index, built at the first question and again only for one that needs more neighbours."""
+        if not self._index or self._index[-1][0] < need:
+            s = indexable(self.tables["train"], self.input_cols, self.params_["row_key"], self.target_cols[0])
+            self._index.append((need, index_of(s, need)))
+        return self._index[-1][1]
 
     def neighbours(self, df: DataFrame) -> DataFrame:
         p = self.params_
         return nearest_neighbours(
-            self.tables["train"], df, self.input_cols, p["k"], p["row_key"], p["row_key"], p["exclude_self"], self.target_cols[0]
+            self.tables["train"], df, self.input_cols, p["k"], p["row_key"], p["row_key"], p["exclude_self"], self.target_cols[0],
+            index=self.index(p["k"] + (1 if p["exclude_self"] else 0)),
         )
 
     def predictions(self, df: DataFrame) -> DataFrame:
