@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import as_list, distinct_values, to_col
-from ..session import ensure_checkpoint_dir
+from ..functions.columns import as_list, distinct_values, stacked, to_col
+from ..session import dropped, written
 from .position import positional
 
 # A missing text cell is a category of its own, under this name.
@@ -98,8 +100,8 @@ class OneHotModel(TableModel):
 class OrdinalEncoder(TableEstimator):
     """Each distinct value becomes its rank among the sorted distinct values.
 
-    The dictionary is a table per column, so it may be larger than a driver. It is checkpointed, as it is read at
-    every use. Up to ``broadcast_bytes`` it is broadcast. Beyond that the rows whose value is among the most
+    The dictionary is a table, so it may be larger than a driver. It is written to the shared folder once, for all
+    columns, as it is read at every use. Up to ``broadcast_bytes`` it is broadcast. Beyond that the rows whose value is among the most
     frequent ones use a small broadcast part, as one value may fill a large share of the rows, and only the rest
     are shuffled to the dictionary.
     """
@@ -114,20 +116,23 @@ class OrdinalEncoder(TableEstimator):
         self.hot_values = hot_values
 
     def _fit(self, dataset: DataFrame) -> "OrdinalModel":
-        ensure_checkpoint_dir(dataset.sparkSession)
+        # the values of all columns are counted in one grouping and numbered in one ranking, by column and value
+        cells = [f"c{i}" for i in range(len(self.input_cols))]
+        counts = stacked(dataset, [category(dataset, c) for c in self.input_cols]).groupBy("i", *cells).agg(F.count(F.lit(1)).alias("n"))
+        counted = written(counts, "values")
+        ranked = written(positional(counted, ["i", *cells], pos="place"), "dictionary")
+        dropped(counted)
+        weights = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in cells]
+        weight = reduce(lambda a, b: a + b, weights) + ENTRY_BYTES
+        summary = {r["i"]: r for r in ranked.groupBy("i").agg(F.sum(weight).alias("b"), F.min("place").alias("first")).collect()}
         tables, sizes, hot = {}, [], []
-        for i, c in enumerate(self.input_cols):
-            counted = (
-                dataset.groupBy(category(dataset, c).alias("value"))
-                .agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("value").isNotNull())
-            )
-            # counted once, before it is numbered, so that the data is grouped once
-            ranked = positional(counted.checkpoint(), ["value"], pos="code").checkpoint()
-            tables[f"values_{i}"] = ranked
-            weight = F.octet_length(F.col("value").cast("string")) + ENTRY_BYTES
-            sizes.append(int(ranked.agg(F.sum(weight).alias("b")).first()["b"] or 0))
-            hot.append(self._hot_codes(ranked.withColumn("weight", weight)) if sizes[-1] > self.broadcast_bytes else [])
+        for i, c in enumerate(cells):
+            found = summary.get(i, {"b": 0, "first": 0})
+            own = ranked.filter(F.col("i") == i).select(F.col(c).alias("value"), "n", (F.col("place") - found["first"]).alias("code"))
+            tables[f"values_{i}"] = own
+            sizes.append(int(found["b"]))
+            own_weight = F.octet_length(F.col("value").cast("string")) + ENTRY_BYTES
+            hot.append(self._hot_codes(own.withColumn("weight", own_weight)) if sizes[-1] > self.broadcast_bytes else [])
         params = {
             "input_cols": self.input_cols,
             "output_cols": self.output_cols,
