@@ -8,6 +8,7 @@ built in two parts, inside value ranges and across them, so that no task takes a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from typing import Any
@@ -17,6 +18,8 @@ from pyspark.storagelevel import StorageLevel
 
 from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list, constant_array, double_array, feature, long_array, search_bucket, to_col
+from ..operators.quantile import exact_quantiles
+from ..session import dropped, written
 
 ROWS_PER_RANGE = 250_000
 MAX_RANGE_DEPTH = 16
@@ -116,6 +119,40 @@ def best_splits(scores: DataFrame, classes: int) -> DataFrame:
     return per_range.groupBy("node").agg(F.min("best").alias("best")).select("node", "best.*")
 
 
+def binned(rows: DataFrame, d: int, bins: int) -> DataFrame:
+    """``rows`` with every input replaced by the lower end of its bin: the greatest of ``bins`` exact quantiles that isn't above it.
+
+    A split at the lower end of a bin parts the bins as it parts the values themselves.
+    """
+    quantiles = exact_quantiles(rows, [f"x{j}" for j in range(d)], [i / bins for i in range(bins)])
+    for j in range(d):
+        ends = sorted(set(quantiles[f"x{j}"]))
+        depth = len(ends).bit_length()
+        padded = double_array(ends + [math.inf] * (2**depth - 1 - len(ends)))
+        rows = search_bucket(rows, F.col(f"x{j}"), lambda i, padded=padded: F.get(padded, i), depth, "__bin")
+        # the least value is an end; infinity as a value lies in the bin of the last one
+        rows = rows.withColumn(f"x{j}", F.get(padded, F.least(F.col("__bin"), F.lit(len(ends))) - 1)).drop("__bin")
+    return rows
+
+
+def _is_smaller(nodes: list[dict[str, Any]], i: int) -> bool:
+    parent = nodes[nodes[i]["parent"]]
+    return parent["left_smaller"] == (i == parent["left"])
+
+
+def _with_siblings(histogram: DataFrame, above: DataFrame, nodes: list[dict[str, Any]], open_nodes: list[int], classes: int) -> DataFrame:
+    """The histogram of the counted nodes, and of their siblings: what their parents have besides."""
+    larger = {nodes[i]["parent"]: i for i in open_nodes if not _is_smaller(nodes, i)}
+    smaller = {i: larger[nodes[i]["parent"]] for i in open_nodes if _is_smaller(nodes, i)}
+    counts = [f"c{k}" for k in range(classes)]
+    sibling = long_array([smaller.get(i, -1) for i in range(len(nodes))])
+    child = long_array([larger.get(i, -1) for i in range(len(nodes))])
+    taken = histogram.select(F.get(sibling, F.col("node")).cast("int").alias("node"), "f", "v", *[(-F.col(c)).alias(c) for c in counts])
+    whole = above.select(F.get(child, F.col("node")).cast("int").alias("node"), "f", "v", *counts).filter("node >= 0")
+    rest = whole.unionByName(taken).groupBy("node", "f", "v").agg(*[F.sum(c).alias(c) for c in counts])
+    return histogram.unionByName(rest.filter(" + ".join(counts) + " > 0"))
+
+
 def training_rows(df: DataFrame, input_cols: list[str], target: str, max_classes: int, *more: Column) -> tuple[DataFrame, list]:
     """``y`` as class number, ``x0..`` and further columns; the sorted classes."""
     found = df.select(to_col(target).alias("y")).filter("y IS NOT NULL").distinct().limit(max_classes + 1).collect()
@@ -155,10 +192,17 @@ def descend(df: DataFrame, cols: list[Column], nodes: list[dict[str, Any]], out:
 class DecisionTreeClassifier(TableEstimator):
     """A node stays a leaf when no split lowers its gini, a child would have fewer than ``min_samples`` rows,
     or its depth (the root's is 1) exceeds ``max_depth``. Siblings that predict one and the same class collapse.
-    Inputs must have no missing values."""
+    Inputs must have no missing values.
+
+    By default every value of an input is a candidate. With ``max_bins`` only so many are, at exact quantiles of the input: a node's
+    histogram then has no more than ``max_bins`` lines an input, and of two siblings only the smaller one is counted, as the other
+    is their parent less that one."""
 
-    def __init__(self, input_cols, target_cols, max_depth: int = 3, min_samples: int = 5, max_classes: int = 100):
+    def __init__(self, input_cols, target_cols, max_depth: int = 3, min_samples: int = 5, max_classes: int = 100, max_bins: int | None = None):
         super().__init__()
+        if max_bins is not None and max_bins < 2:
+            raise ValueError("there are at least 2 bins")
+        self.max_bins = max_bins
         self.input_cols = as_list(input_cols)
         self.target_cols = as_list(target_cols)
         if len(self.target_cols) != 1:
@@ -170,6 +214,7 @@ class DecisionTreeClassifier(TableEstimator):
     def _fit(self, dataset: DataFrame) -> "DecisionTreeModel":
         d = len(self.input_cols)
         rows, classes = training_rows(dataset, self.input_cols, self.target_cols[0], self.max_classes)
+        rows = binned(rows, d, self.max_bins) if self.max_bins else rows
         cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             nodes = self._grow(cached.withColumn("run", F.lit(0)), d, len(classes))
@@ -180,6 +225,8 @@ class DecisionTreeClassifier(TableEstimator):
     def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, "DecisionTreeModel"]:
         """One tree per fold, all grown together: a level is one job, with a histogram per (tree, node), that a row enters once
         for every fold but its own. The trees are those of a training by fold."""
+        if self.max_bins:  # each fold's bins are those of its own training rows
+            return super().fit_folds(df, fold_col, folds)
         d = len(self.input_cols)
         known = df.filter(to_col(fold_col).isNotNull())
         rows, classes = training_rows(known, self.input_cols, self.target_cols[0], self.max_classes, to_col(fold_col).alias("fold"))
@@ -202,8 +249,8 @@ class DecisionTreeClassifier(TableEstimator):
 
     def _grow(self, rows: DataFrame, d: int, classes: int, trees: int = 1) -> list[dict[str, Any]]:
         """The nodes of all trees, the roots first; ``run`` says which tree a row is for."""
-        size = rows.count()
-        bounds = None
+        size = 0 if self.max_bins else rows.count()
+        bounds = above = None
         nodes = [{"parent": None, "depth": 1, "feature": None} for _ in range(trees)]
         open_nodes, depth = list(range(trees)), 1
         while open_nodes:
@@ -211,19 +258,26 @@ class DecisionTreeClassifier(TableEstimator):
                 raise ValueError(f"more than {MAX_OPEN_NODES} nodes on a level; lower max_depth or raise min_samples")
             placed = descend(rows, [F.col(f"x{i}") for i in range(d)], nodes, "node", F.col("run"))
             if depth > 1:
-                still = set(open_nodes)
-                is_open = [1 if i in still else 0 for i in range(len(nodes))]
-                placed = placed.filter(F.get(long_array(is_open), F.col("node")) == 1)
+                # of siblings with bins only the smaller one's rows are counted
+                counted = {i for i in open_nodes if not self.max_bins or _is_smaller(nodes, i)}
+                placed = placed.filter(F.get(long_array([1 if i in counted else 0 for i in range(len(nodes))]), F.col("node")) == 1)
             histogram = class_histogram(placed, d, classes)
             large = False
-            if range_depth(size) > 0:
+            if self.max_bins:
+                # a line per node, input and bin; kept for the level below
+                level = written(histogram if above is None else _with_siblings(histogram, above, nodes, open_nodes, classes), "tree-level")
+                if above is not None:
+                    dropped(above)
+                histogram = above = level
+            elif range_depth(size) > 0:
                 # many rows may still have few values; the way by ranges reads the histogram twice
                 histogram = histogram.persist(StorageLevel.MEMORY_AND_DISK)
                 large = range_depth(histogram.count()) > 0
                 if large and bounds is None:
                     bounds = value_ranges(rows, d, range_depth(size))
             found = best_splits(split_scores(histogram, classes, bounds if large else [[]] * d), classes).collect()
-            histogram.unpersist()
+            if not self.max_bins:
+                histogram.unpersist()
             following = []
             for r in sorted(found, key=lambda r: r["node"]):
                 node = nodes[r["node"]]
@@ -236,10 +290,12 @@ class DecisionTreeClassifier(TableEstimator):
                 no_split = n_left == 0 or n_left < self.min_samples or n - n_left < self.min_samples
                 if no_split or depth > self.max_depth:
                     continue
-                node.update(feature=r["f"], threshold=r["v"], left=len(nodes), right=len(nodes) + 1)
+                node.update(feature=r["f"], threshold=r["v"], left=len(nodes), right=len(nodes) + 1, left_smaller=2 * n_left <= n)
                 following += [len(nodes), len(nodes) + 1]
                 nodes += [{"parent": r["node"], "depth": depth + 1, "feature": None} for _ in range(2)]
             open_nodes, depth = following, depth + 1
+        if above is not None:
+            dropped(above)
         return nodes
 
 
@@ -274,6 +330,7 @@ def _collapsed(nodes: list[dict[str, Any]]) -> list[dict[str, Any]]:
     for i in kept:
         node = dict(nodes[i])
         node["parent"] = None if node["parent"] is None else new_number[node["parent"]]
+        node.pop("left_smaller", None)
         if node["feature"] is None:
             for name in ("threshold", "left", "right"):
                 node.pop(name, None)

@@ -557,6 +557,37 @@ def tree_deep(spark, folder):
     return nodes.select("depth", "feature", "threshold", "label", "samples", rounded("impurity", 9).alias("impurity"), "correct")
 
 
+_BINS = 6
+
+
+def _binned_sql(columns: list[str], inputs: list[str]) -> str:
+    """CTE ``ends`` (j, e): the ends of the bins, exact quantiles. ``inputs``: what the columns are called then."""
+    probs = "[" + ", ".join(repr(i / _BINS) for i in range(_BINS)) + "]"
+    ends = " UNION ".join(f"SELECT {j} AS j, unnest(quantile_cont({c}::DOUBLE, {probs})) AS e FROM lineitem" for j, c in enumerate(columns))
+    low = ", ".join(f"(SELECT max(e) FROM ends WHERE j = {j} AND e <= {c}) AS {x}" for j, (c, x) in enumerate(zip(columns, inputs)))
+    return f"ends AS MATERIALIZED ({ends}), r AS MATERIALIZED (SELECT 0 AS p, {low}, l_returnflag AS y FROM lineitem)"
+
+
+@query(
+    "tree_binned",
+    f"""WITH {_binned_sql(['l_quantity', 'l_extendedprice'], ['x0', 'x1']).replace('ends ', 'bin_ends ').replace('FROM ends', 'FROM bin_ends')},
+        {grown_tree_sql('r', 2, 'ANR', 3, 5)},
+        e AS (SELECT g.y, ends.node FROM g3 g JOIN ends ON ends.leaf = g.node),
+        mix AS (SELECT a AS node, y, count(*) AS n FROM (SELECT y, node >> j AS a FROM (SELECT *, unnest(range(4)) AS j FROM e) WHERE node >> j > 0) GROUP BY ALL),
+        inner_nodes AS (SELECT DISTINCT node >> j AS node FROM (SELECT *, unnest(range(1, 4)) AS j FROM e) WHERE node >> j > 0)
+        SELECT CAST(floor(log2(node)) + 1 AS INTEGER) AS depth, CASE WHEN i.node IS NOT NULL THEN ['l_quantity', 'l_extendedprice'][s.f + 1] END AS feature,
+               CASE WHEN i.node IS NOT NULL THEN round(s.v, 6) + 0.0 END AS threshold, CAST(sum(mix.n) AS BIGINT) AS samples,
+               round(1 - sum(mix.n * mix.n) / pow(sum(mix.n), 2), 9) + 0.0 AS impurity
+        FROM mix LEFT JOIN split s USING (node) LEFT JOIN inner_nodes i USING (node)
+        GROUP BY node, s.f, s.v, i.node""",
+)
+def tree_binned(spark, folder):
+    """Candidates at quantiles only; of siblings the smaller one is counted."""
+    li = table(spark, folder, "lineitem")
+    nodes = tree.DecisionTreeClassifier(["l_quantity", "l_extendedprice"], "l_returnflag", max_bins=_BINS).fit(li).report(li)
+    return nodes.select("depth", "feature", rounded("threshold").alias("threshold"), "samples", rounded("impurity", 9).alias("impurity"))
+
+
 # -- learning vector quantization ------------------------------------------------------------------
 
 LVQ_RATE = 0.001

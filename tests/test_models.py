@@ -555,3 +555,21 @@ def test_small_batches_take_as_many_jobs_as_large_ones(spark, monkeypatch):
 def test_the_record_is_found_by_a_rule():
     assert [training.best_epoch(s, "min", 0.1) for s in ([5.0, 3.0, 2.95, 4.0], [1.0], [3.0, 2.95, 2.85, 2.8])] == [1, 0, 2]
     assert training.best_epoch([1.0, 2.0, 2.05, 3.0], "max", 0.1) == 3
+
+
+def test_binned_trees_split_as_trees_of_binned_values(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(700, 2)).round(2)
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] > -0.2)).astype(int) + (rng.random(700) < 0.1)
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, y int").repartition(4)
+    ends = [np.unique(np.quantile(x[:, j], [i / 8 for i in range(8)])) for j in range(2)]
+    low = np.column_stack([ends[j][np.searchsorted(ends[j], x[:, j], "right") - 1] for j in range(2)])
+    by_hand = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(low, y)], "a double, b double, y int")
+    make = lambda **kw: tree.DecisionTreeClassifier(["a", "b"], "y", max_depth=5, **kw)
+    model, want = make(max_bins=8).fit(df), make().fit(by_hand)
+    assert rows(model.rules(spark).select("node", "feature", F.round("threshold", 9), "fit_samples", "label")) == rows(want.rules(spark).select("node", "feature", F.round("threshold", 9), "fit_samples", "label"))
+    assert len({n["threshold"] for n in model.state["nodes"] if n["feature"] is not None}) > 3
+    whole = make(max_bins=2000).fit(df)  # a bin a value
+    assert [n["samples"] for n in whole.state["nodes"]] == [n["samples"] for n in make().fit(df).state["nodes"]]
+    with pytest.raises(ValueError, match="2 bins"):
+        make(max_bins=1)
