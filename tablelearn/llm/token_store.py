@@ -17,12 +17,24 @@ from .common import Memo, kept_by_worker, per_slice, require
 
 #: A row per file is sent to the tasks up to here; beyond it the same join is left to the planner.
 MAX_FILES = 100_000
+#: Entries of a generation of each memo: some 230 bytes an entry, and two generations.
+CHUNKS, PIECES = 450_000, 50_000
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 16 * 2**20, 64 * 2**10, 1000
 #: Below U+0300 (but for one capital that lowers to two characters) and in general punctuation, NFC changes nothing and
 #: lower-casing goes character by character, so such texts may be cut into words before they are normalised.
 _PLAIN = re.compile(r"[\x00-\u012f\u0131-\u02ff\u2010-\u2027]*")
+#: UTF-8 bytes of which all characters below U+0300 are made.
+_LOW_BYTES = bytes(range(0xCC))
 #: White space to Python, but not to the tokenizer.
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+
+
+def is_plain(text: str) -> bool:
+    """Whether ``_PLAIN`` matches; most texts need no search character by character."""
+    if text.isascii() or ("\u0130" not in text and not text.encode().translate(None, _LOW_BYTES)):
+        return True
+    return _PLAIN.fullmatch(text) is not None
+
 #: Fixed value: how the vocabulary's pre-tokenizer splits a normalised text.
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -55,7 +67,7 @@ class Encoder:
         self.split = regex.compile(_WORD_SPLIT)
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.alphabet = dict(enumerate(byte_alphabet()))
-        self.memo, self.words = Memo(self.chunk), Memo(self.word)
+        self.memo, self.pieces = Memo(self.chunk, CHUNKS), Memo(self.word, PIECES)
 
     def word(self, word: str) -> bytes:
         """A word's bytes, in the vocabulary's alphabet, straight to the library's model."""
@@ -64,16 +76,17 @@ class Encoder:
         return b"".join([self.packed[t.id] for t in self.model.tokenize(word)])
 
     def chunk(self, text: str) -> bytes:
-        """A run without white space: its words. Most runs are letters, or letters and one mark, and need no search."""
+        """A run without white space: its words. Most runs are letters, or letters and one mark, and need no search; what they
+        have in common with other runs is looked up among these, so no word is kept twice."""
         lower = text.lower()
         if lower.isalpha():
-            return self.words[lower]
+            return self.word(lower) if lower == text else self.memo[lower]
         if lower[:-1].isalpha() and not lower[-1].isalnum():
-            return self.words[lower[:-1]] + self.words[lower[-1]]
-        return b"".join(map(self.words.__getitem__, self.split.findall(lower)))
+            return self.memo[lower[:-1]] + self.pieces[lower[-1]]
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(lower)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.by_word and "<|" not in t and (t.isascii() or _PLAIN.fullmatch(t) is not None) and not _SEPARATORS.search(t) for t in texts]
+        plain = [self.by_word and "<|" not in t and is_plain(t) and not any(c in t for c in _SEPARATORS) for t in texts]
         known = self.memo.__getitem__
         odd = [i for i, p in enumerate(plain) if not p]
         whole = self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False)
