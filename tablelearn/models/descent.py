@@ -201,3 +201,45 @@ class ComposedRanges:
         by_batch = scored.groupBy("run", "batch_id").agg(*[self.loss(F.col("y"), F.col(f"z{e}")).cast("double").alias(f"e{e}") for e in range(epochs)])
         means = {r["run"]: r for r in by_batch.groupBy("run").agg(*[F.avg(f"e{e}").alias(f"e{e}") for e in range(epochs)]).collect()}
         return [{run: [means[run][f"e{e}"]] for run in epoch} for e, epoch in enumerate(trajectory)]
+
+
+def shard_descent(start: np.ndarray, rate: float, n: dict[int, int], batch_size: int, output: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]):
+    """For rows (shard, x0.., y) sorted by shard: each shard's own descent from ``start``, in batches of so many rows.
+
+    Gives (shard, batch_id, y, p, t): every row with what the weights before its batch make of it, and for each shard a line with
+    ``batch_id`` -1 and the weights at the end.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, t, seen, pull = None, start, 0, np.zeros_like(start)
+
+        def line(what: int, end: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array([what], pa.int32()), pa.array([-1], pa.int64()), *[pa.array([None], pa.float64())] * 2, pa.array([end.tolist()], pa.list_(pa.float64()))]
+            return pa.RecordBatch.from_arrays(columns, ["shard", "batch_id", "y", "p", "t"])
+
+        for part in batches:
+            if not part.num_rows:
+                continue
+            shards, *columns = (np.asarray(c) for c in part.columns)
+            u, y = np.column_stack([*columns[:-1], np.ones(part.num_rows)]), columns[-1]
+            hard, number = np.empty(len(y)), np.empty(len(y), np.int64)
+            at = 0
+            while at < len(y):
+                if shards[at] != shard:
+                    if shard is not None:
+                        yield line(shard, t - rate / n[shard] * pull)
+                    shard, t, seen, pull = int(shards[at]), start, 0, np.zeros_like(start)
+                end = min(at + batch_size - seen % batch_size, int(np.searchsorted(shards, shard, "right")))
+                soft, hard[at:end] = output(u[at:end] @ t)
+                pull += u[at:end].T @ (soft - y[at:end])
+                number[at:end] = seen // batch_size
+                seen += end - at
+                if seen % batch_size == 0:  # the batch is full
+                    t, pull = t - rate / n[shard] * pull, np.zeros_like(start)
+                at = end
+            none = pa.nulls(len(y), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(number), pa.array(y), pa.array(hard), none], ["shard", "batch_id", "y", "p", "t"])
+        if shard is not None:
+            yield line(shard, t - rate / n[shard] * pull)
+
+    return work

@@ -9,11 +9,13 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..base import TableEstimator, TableModel
 from ..functions.columns import as_list, double_array, feature, to_col
 from ..functions.metrics import accuracy, mean_absolute_error
-from .descent import EPOCHS_AT_ONCE, ComposedRanges, SummedBatches, max_ranges
+from ..operators.position import shuffle_hash
+from .descent import EPOCHS_AT_ONCE, ComposedRanges, SummedBatches, max_ranges, shard_descent
 from .training import LearningRateScheduler, Run, StepTrainer
 
 # Sums are written out as expressions up to this many; above, each task sums its rows' products with numpy.
@@ -291,12 +293,58 @@ class SquaredErrorTrainer(_CoefTrainer):
 
 
 class LogisticClassifier(_CoefTrainer):
-    """The error uses the probability, the loss and the prediction the class at 0.5. Targets are 0 and 1."""
+    """The error uses the probability, the loss and the prediction the class at 0.5. Targets are 0 and 1.
 
-    def __init__(self, input_cols, target_cols, row_key, loss=accuracy, **kwargs):
+    With ``shards`` rows are dealt to so many shards by a hash of their key, whatever the partitioning. In an epoch every shard
+    descends on its own from the common weights, batch after batch (of 32 rows, if no other size is given), as if it were the
+    table; the weights that they reach are averaged by rows. An epoch is one job at any batch size. One shard is plain descent.
+    """
+
+    def __init__(self, input_cols, target_cols, row_key, loss=accuracy, shards: int | None = None, **kwargs):
         super().__init__(input_cols, target_cols, row_key, loss, **kwargs)
         if len(self.target_cols) != 1:
             raise ValueError("a binary classifier takes one target")
+        if shards is not None and shards < 1:
+            raise ValueError("there is at least 1 shard")
+        self.shards = shards
+
+    def _fit(self, dataset: DataFrame) -> "BinaryModel":
+        return super()._fit(dataset) if self.shards is None else self._fit_shards(dataset)
+
+    def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, "BinaryModel"]:
+        return super().fit_folds(df, fold_col, folds) if self.shards is None else TableEstimator.fit_folds(self, df, fold_col, folds)
+
+    def _fit_shards(self, dataset: DataFrame) -> "BinaryModel":
+        keyed, keys = self._keyed(dataset)
+        order = [shuffle_hash(self.seed, keys).alias("__hash")] if self.shuffle else []
+        dealt = keyed.select("*", F.pmod(F.xxhash64(*keys), F.lit(self.shards)).cast("int").alias("shard"), *order)
+        laid = dealt.repartition("shard").sortWithinPartitions("shard", *(["__hash"] if order else []), *keys)
+        inputs = [f"x{i}" for i in range(len(self.input_cols))]
+        cached = laid.select("shard", *inputs, "y").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n = {r["shard"]: r["count"] for r in cached.groupBy("shard").count().collect()}
+            if not n:
+                raise ValueError("no rows to train on")
+            run = Run(self.callbacks, self.epochs, self.learning_rate, {"coefs": [0.0] * len(inputs), "bias": 0.0})
+            while run.active:
+                t = np.array([*run.state["coefs"], run.state["bias"]])
+                descent = cached.mapInArrow(
+                    shard_descent(t, run.rate, n, self.batch_size or 32, self.numpy_output), "shard int, batch_id long, y double, p double, t array<double>"
+                )
+                by_batch = descent.groupBy("shard", "batch_id").agg(F.when(F.col("batch_id") >= 0, self.loss("y", "p")).alias("loss"), F.max("t").alias("t"))
+                ends = by_batch.groupBy("shard").agg(F.sum("loss").alias("loss"), F.count("loss").alias("batches"), F.max("t").alias("t")).collect()
+                ends.sort(key=lambda r: r["shard"])  # sums in one order, so that runs agree to the last bit
+                mean = sum(n[r["shard"]] * np.array(r["t"]) for r in ends) / sum(n.values())
+                run.state = {"coefs": mean[:-1].tolist(), "bias": float(mean[-1])}
+                run.end_epoch([sum(r["loss"] for r in ends) / sum(r["batches"] for r in ends)])
+        finally:
+            cached.unpersist()
+        return self.make_model(run.state, run.history)
+
+    def numpy_output(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``output`` for an array."""
+        p = 1 / (1 + np.exp(-z))
+        return p, (p >= 0.5).astype(float)
 
     def target_column(self) -> Column:
         y = feature(self.target_cols[0])
@@ -320,6 +368,10 @@ class Perceptron(LogisticClassifier):
         super().__init__(input_cols, target_cols, row_key, loss, **kwargs)
         self.threshold = threshold
 
+    def numpy_output(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hard = (z > self.threshold).astype(float)
+        return hard, hard
+
     def output(self, z: Column) -> tuple[Column, Column]:
         hard = (z > F.lit(self.threshold)).cast("double")
         return hard, hard

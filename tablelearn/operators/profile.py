@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.columns import nan_to_null, resolve, to_col
 from ..functions.typing import categorical_columns, numeric_columns
 from .quantile import DIRECT_ROWS, exact_quantiles
+from .sketch import column_sketches, distinct_of_sketches, profile_of_sketches
 
 # The statistics of the numeric profile in their order of display.
 NUMERIC_STATS = ("count", "mean", "std_dev", "min", "25%", "50%", "75%", "max")
@@ -15,8 +16,13 @@ NUMERIC_STATS = ("count", "mean", "std_dev", "min", "25%", "50%", "75%", "max")
 MISSING_LABEL = "nan"
 
 
-def numeric_profile(df: DataFrame, key=None, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    """One row per numeric column: type, non-missing count, mean, population deviation, min, exact quartiles, max."""
+def numeric_profile(df: DataFrame, key=None, direct_rows: int = DIRECT_ROWS, approximate: bool = False) -> DataFrame:
+    """One row per numeric column: type, non-missing count, mean, population deviation, min, exact quartiles, max.
+
+    With ``approximate`` the quartiles come from sketches, in one scan (see ``sketch``).
+    """
+    if approximate and (key is not None or numeric_columns(df)):
+        return profile_of_sketches(column_sketches(df, key if key is not None else numeric_columns(df)))
     cols = resolve(df, key) if key is not None else numeric_columns(df)
     fields = "column string, dtype string, count bigint, " + ", ".join(f"`{n}` double" for n in NUMERIC_STATS[1:])
     if not cols:
@@ -62,8 +68,13 @@ def value_frequencies(df: DataFrame, key=None) -> DataFrame:
     return df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def categorical_profile(df: DataFrame, key=None) -> DataFrame:
-    """Per categorical column the non-missing count, the distinct values (missing is one) and their ratio."""
+def categorical_profile(df: DataFrame, key=None, approximate: bool = False) -> DataFrame:
+    """Per categorical column the non-missing count, the distinct values (missing is one) and their ratio.
+
+    With ``approximate`` the distinct values come from sketches, and nothing else is shuffled (see ``sketch``).
+    """
+    if approximate and (key is not None or categorical_columns(df)):
+        return distinct_of_sketches(column_sketches(df, key if key is not None else categorical_columns(df)))
     freq = value_frequencies(df, key)
     return freq.groupBy("column").agg(
         F.coalesce(F.sum(F.when(F.col("value") != MISSING_LABEL, F.col("n"))), F.lit(0)).alias("count"),

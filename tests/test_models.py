@@ -573,3 +573,47 @@ def test_binned_trees_split_as_trees_of_binned_values(spark):
     assert [n["samples"] for n in whole.state["nodes"]] == [n["samples"] for n in make().fit(df).state["nodes"]]
     with pytest.raises(ValueError, match="2 bins"):
         make(max_bins=1)
+
+
+def shard_twin(data, shards, batch, rate, epochs, output, shard_of):
+    """Local descent by the plain definition; ``data``: key -> (x, y)."""
+    t, history = np.zeros(3), []
+    for _ in range(epochs):
+        ends, sizes, losses = [], [], []
+        for s in range(shards):
+            mine = [data[k] for k in sorted(data) if shard_of[k] == s]
+            w = t.copy()
+            for i in range(0, len(mine), batch):
+                u = np.array([[*x, 1.0] for x, _ in mine[i : i + batch]])
+                y = np.array([v for _, v in mine[i : i + batch]], float)
+                soft, hard = output(u @ w)
+                losses.append(np.mean(hard == y))
+                w = w - rate / len(mine) * u.T @ (soft - y)
+            ends.append(w)
+            sizes.append(len(mine))
+        t = sum(n * w for n, w in zip(sizes, ends)) / sum(sizes)
+        history.append(np.mean(losses))
+    return t, history
+
+
+@pytest.mark.parametrize("kind", ["logistic", "perceptron"])
+def test_local_descent_against_a_twin_and_under_any_partitioning(spark, kind):
+    df = fold_table(spark, 400)
+    make = TRAINERS[kind]
+    fit = lambda d, **kw: make(shards=5, batch_size=32, **kw).fit(d)
+    one, eight = fit(df.coalesce(1)), fit(df.repartition(8))
+    assert one.state == eight.state
+    found = df.select("id", "a", "b", "y", F.pmod(F.xxhash64("id"), F.lit(5)).alias("s")).collect()
+    data, shard_of = {r.id: ((r.a, r.b), r.y) for r in found}, {r.id: r.s for r in found}
+    sigmoid = lambda z: (1 / (1 + np.exp(-z)), (z >= 0).astype(float))
+    step = lambda z: ((z > 0).astype(float),) * 2
+    rate, epochs, output = (3.0, 3, sigmoid) if kind == "logistic" else (1.0, 2, step)
+    t, history = shard_twin(data, 5, 32, rate, epochs, output, shard_of)
+    np.testing.assert_allclose([*one.state["coefs"], one.state["bias"]], t, rtol=1e-9)
+    assert one.state["history"] == pytest.approx(history)
+    plain, single = make(batch_size=50).fit(df), make(batch_size=50, shards=1).fit(df)
+    np.testing.assert_allclose(single.state["coefs"], plain.state["coefs"], rtol=1e-9)
+    assert single.state["history"] == pytest.approx(plain.state["history"])
+    assert jobs_of(spark, lambda: fit(df)) <= 3 + 4 * epochs
+    with pytest.raises(ValueError, match="shard"):
+        make(shards=0)
