@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .common import removed, require, saved
 
@@ -261,6 +261,15 @@ def greedy_search(graph: DataFrame, starts: DataFrame, beam: int = BEAM, kind: s
     return state.select("query", "ids")
 
 
+def _in_range(vector: str) -> Column:
+    """The vector as doubles, times the power of two that brings its largest component near one: no square overflows or vanishes,
+    and no digit is lost, so cosines are those of the vector itself."""
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))
+    exponent = F.floor(F.log2(largest)).cast("int")
+    half = F.floor(exponent / 2).cast("int")  # in two steps, each a power that doubles can hold
+    return F.transform(vector, lambda x: x.cast("double") * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - exponent))
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """The ``k`` nearest rows, by cosine, found for the rows of ``vectors`` whose keys are in ``queries`` (column ``key``).
 
@@ -270,6 +279,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     Equal vectors are one node of the graph. Of the rows behind a node the k+1 smallest keys are kept beside it, which is all
     that a query can return of them; so a vector that a third of all rows share costs no more than any other.
 
+    ``MAX_ROUNDS``, ``MAX_HOPS``, ``BEAM`` and ``NEIGHBOURS`` bound the search, which is why some neighbours may be missed.
     Rows take no part whose key is null or whose vector is null, empty, zero, or holds null or non-finite components.
     Repeated rows (equal key and vector) count once. Vectors of different lengths fail the job. Empty table: no rows. Other
     columns are not read.
@@ -305,12 +315,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     asked = saved(asked.join(classes, "vector").select(F.col("id").alias("query_id"), "node", "vector"), "queries")
     found = greedy_search(graph, asked.select(F.col("node").alias("query")).distinct(), kind=kind)
     candidates = found.select("query", F.explode(F.concat("ids", F.array("query"))).alias("node"))
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     scored = (
-        asked.select("query_id", F.col("node").alias("query"), F.col("vector").alias("a"))
+        asked.select("query_id", F.col("node").alias("query"), _in_range("vector").alias("a"))
         .join(candidates, "query")
-        .join(classes.select("node", F.col("vector").alias("b")), "node")
+        .join(classes.select("node", _in_range("vector").alias("b")), "node")
         .select("query_id", "node", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot / (norm("a") * norm("b")))).alias("score"))
     )
     expanded = scored.join(members, "node").where("id <> query_id")

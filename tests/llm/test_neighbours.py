@@ -1,5 +1,6 @@
 import duckdb
 import numpy as np
+import pytest
 from llm_data import SF
 
 from tablelearn.llm import neighbours
@@ -71,3 +72,12 @@ def test_perturbed_copies_keep_their_order(spark):
     copies = [i for i, j in enumerate(order) if j >= 800][::10]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     check(neighbours.nearest(table, table.where(table.vec_id.isin(copies))).collect(), brute(rows, copies), 0.95)
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-170, 5e-324, 1.0])
+def test_scores_of_very_large_and_very_small_components(spark, size):
+    data = [(0, [size, 0.0]), (1, [size, size]), (2, [0.0, size]), (3, [-size, 0.0])]
+    vectors = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    rows = neighbours.nearest(vectors, vectors.where("vec_id = 0")).collect()
+    assert [(r["rank"], r.vec_id) for r in sorted(rows, key=lambda r: r["rank"])] == [(1, 1), (2, 2), (3, 3)]
+    assert sorted((r.score for r in rows), reverse=True) == pytest.approx([0.5**0.5, 0.0, -1.0], abs=1e-15)
