@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import require, saved
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-BITS_PER_KEY = 10
-HASHES = 4
+#: Bits a key and hashes of the first level and of all others. The first lets one key in some two million through that isn't
+#: listed, so the second, which holds these, stays small however many keys the corpus has.
+FIRST, LATER = (32, 16), (10, 4)
 MAX_LEVELS = 64
-#: A level's words travel in the plan, so their size is checked; more rules than fit are joined by key.
-MAX_FILTER_BYTES = 2**20
+#: A level's words travel in the plan, so the size of every level is checked before it is built.
+MAX_FILTER_BYTES = 256 * 2**20
 
 
 def url_host(url: Column) -> Column:
@@ -28,22 +29,23 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _bits(key: Column, bits: int, seed: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(seed), F.lit(i)), F.lit(bits).cast("long")) for i in range(HASHES)]
+def _bits(key: Column, bits: int, seed: int, hashes: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(seed), F.lit(i)), F.lit(bits).cast("long")) for i in range(hashes)]
 
 
 @dataclass(frozen=True)
 class Level:
-    """One Bloom filter: 64-bit words, and the seed of its hashes."""
+    """One Bloom filter: 64-bit words, and the seed and number of its hashes."""
 
     words: tuple[int, ...]
     seed: int
+    hashes: int
 
     def holds(self, key: Column) -> Column:
         words = F.from_json(F.lit("[" + ",".join(map(str, self.words)) + "]"), "array<bigint>")
         tests = [
             F.bit_get(F.get(words, F.shiftright(bit, 6).cast("int")), (bit % 64).cast("int")) == 1
-            for bit in _bits(key, 64 * len(self.words), self.seed)
+            for bit in _bits(key, 64 * len(self.words), self.seed, self.hashes)
         ]
         out = tests[0]
         for t in tests[1:]:
@@ -51,13 +53,16 @@ class Level:
         return out
 
 
-def filter_bytes(keys: int) -> int:
-    return 8 * max(1, math.ceil(keys * BITS_PER_KEY / 64))
+def filter_bytes(keys: int, bits: int) -> int:
+    return 8 * max(1, math.ceil(keys * bits / 64))
 
 
 def _level(keys: DataFrame, count: int, seed: int) -> Level:
-    size = filter_bytes(count) // 8
-    bit = F.explode(F.array(*_bits(F.col("key"), 64 * size, seed)))
+    bits, hashes = LATER if seed else FIRST
+    size = filter_bytes(count, bits) // 8
+    if 8 * size > MAX_FILTER_BYTES:
+        raise ValueError(f"a filter of {count} keys takes {8 * size} bytes, more than {MAX_FILTER_BYTES}")
+    bit = F.explode(F.array(*_bits(F.col("key"), 64 * size, seed, hashes)))
     words = (
         keys.select(bit.alias("bit"))
         .groupBy(F.shiftright("bit", 6).alias("word"))
@@ -65,7 +70,7 @@ def _level(keys: DataFrame, count: int, seed: int) -> Level:
         .collect()  # size words at most
     )
     found = {r.word: r.value for r in words}
-    return Level(tuple(found.get(i, 0) for i in range(size)), seed)
+    return Level(tuple(found.get(i, 0) for i in range(size)), seed, hashes)
 
 
 @dataclass(frozen=True)
@@ -133,8 +138,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     (``default`` where none fits), one row per input row; no row is shuffled.
 
     The universe of the cascades is every key that any of these urls could be listed under, so membership is exact for
-    all of them. There is one cascade per verdict. Beyond ``MAX_FILTER_BYTES`` of filter, rules are joined by key instead,
-    with the same result.
+    all of them. There is one cascade per verdict, up to ``MAX_FILTER_BYTES`` a level (some 64 million rules), beyond which
+    the job fails.
 
     Null url, or one without ``://``: host and path are empty, no rule fits. Rules with a null host or path never fit.
     Repeated rows are judged each. Empty tables: no rows, or all rows with ``default``. Other columns are not read.
@@ -154,9 +159,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     if shape.n == 0:
         return rows.withColumn("rule", F.lit(None).cast("string")).select(*columns, F.lit(default).alias("verdict"))
     keyed = rows.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), sorted(shape.labels), sorted(shape.lengths)))
-    if filter_bytes(shape.n) > MAX_FILTER_BYTES:
-        return _joined(keyed, rules, columns, default)
-
     universe = keyed.select(F.explode("keys").alias("key"))
     block = build_cascade(rules.where("verdict = 'block'"), universe)
     allow = build_cascade(rules.where("verdict = 'allow'"), universe)
@@ -172,21 +174,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     )
 
 
-def _joined(keyed: DataFrame, rules: DataFrame, columns: list, default: str) -> DataFrame:
-    """The same by a join of the distinct candidate keys, for more rules than a filter may hold."""
-    verdicts = rules.groupBy("key").agg(F.max("verdict").alias("verdict"))
-    found = (
-        keyed.select("host", "path", "keys")
-        .distinct()
-        .select("host", "path", F.posexplode("keys").alias("at", "key"))
-        .join(verdicts, "key")
-        .groupBy("host", "path")
-        .agg(F.min(F.struct("at", "key", "verdict")).alias("first"))
-        .select("host", "path", F.col("first.key").alias("rule"), F.col("first.verdict").alias("verdict"))
-    )
-    return keyed.join(found, ["host", "path"], "left").select(*columns, F.coalesce("verdict", F.lit(default)).alias("verdict"))
-
-
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
     """Rules (host, path, verdict) as a table."""
     return spark.createDataFrame(rules, "host string, path string, verdict string")

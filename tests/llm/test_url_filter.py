@@ -44,12 +44,21 @@ def judged(spark, urls, rules):
     return {r.page_id: tuple(r)[1:] for r in url_filter.judge_urls(pages, url_filter.rule_table(spark, rules)).collect()}
 
 
-@pytest.mark.parametrize("limit", [url_filter.MAX_FILTER_BYTES, 0])
-def test_odd_urls_by_filters_and_by_join(spark, monkeypatch, limit):
-    monkeypatch.setattr(url_filter, "MAX_FILTER_BYTES", limit)
+@pytest.mark.parametrize("first", [url_filter.FIRST, (1, 1)])
+def test_odd_urls(spark, monkeypatch, first):
+    monkeypatch.setattr(url_filter, "FIRST", first)
     assert judged(spark, URLS, RULES) == {i: brute(u, RULES) for i, u in enumerate(URLS)}
 
 
+@pytest.mark.parametrize("bound", [0, 16])
+def test_every_level_is_measured(spark, monkeypatch, bound):
+    """With a bit a rule the first level takes 8 bytes, and what it lets through wants more than 16."""
+    monkeypatch.setattr(url_filter, "FIRST", (1, 1))
+    monkeypatch.setattr(url_filter, "MAX_FILTER_BYTES", bound)
+    with pytest.raises(ValueError, match="more than"):
+        judged(spark, [f"https://w{i}.net/" for i in range(400)], RULES)
+
+
 def test_many_rules_and_urls_stay_exact(spark):
     rules = [(f"h{i}.example", f"/p{i % 7}/", "block" if i % 3 else "allow") for i in range(150)]
     urls = [f"https://w.h{i}.example/p{i % 5}/x{i}" for i in range(400)] * 2
@@ -57,7 +66,8 @@ def test_many_rules_and_urls_stay_exact(spark):
 
 
 def test_a_cascade_has_levels_and_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(url_filter, "BITS_PER_KEY", 1)
+    monkeypatch.setattr(url_filter, "FIRST", (1, 1))
+    monkeypatch.setattr(url_filter, "LATER", (1, 1))
     listed = spark.range(100).selectExpr("cast(id as string) AS key")
     universe = spark.range(3000).selectExpr("cast(id as string) AS key")
     cascade = url_filter.build_cascade(listed, universe)
