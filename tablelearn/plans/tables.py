@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import typing
 from ..operators import edit
 from ..operators.position import positional
+from ..operators.stored import StoredTable
 from ..sources import declare_schema, load_delimited
 from .registry import natural_pos, query, scratch, table
 
@@ -363,3 +364,21 @@ def info(spark, folder):
         "o_orderpriority",
     )
     return edit.info(o)
+
+
+_STORED = f"""WITH a AS (SELECT o_orderkey, o_totalprice, {natural_pos('o_orderkey')} AS p, count(*) OVER () AS n FROM orders),
+    b AS (SELECT o_orderkey, o_totalprice, p - 10 AS p FROM a WHERE p BETWEEN 10 AND n - 11),
+    c AS (SELECT o_orderkey, o_totalprice, p - 100 AS p FROM b WHERE p >= 100),
+    d AS (SELECT o_orderkey, o_totalprice, p - CASE WHEN p > 7 THEN 2 WHEN p > 5 THEN 1 ELSE 0 END AS p FROM c WHERE p NOT IN (5, 7)),
+    e AS (SELECT o_orderkey, o_totalprice, CASE WHEN p >= 50 THEN p + 3 ELSE p END AS p FROM d
+          UNION ALL SELECT o_orderkey, o_totalprice, 50 + p FROM a WHERE p < 3)
+    SELECT o_orderkey, CASE WHEN p BETWEEN 20 AND 51 THEN 0.0 ELSE o_totalprice END AS o_totalprice, p // 2 AS pos FROM e WHERE p % 2 = 0"""
+
+
+@query("stored_edits", _STORED)
+def stored_edits(spark, folder):
+    """Six edits of a table stored by position: its keys are read once, and its rows once."""
+    o = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    first = edit.head(o, 3, "o_orderkey")
+    kept = StoredTable.write(o, "o_orderkey").select(slice(10, -10)).drop(slice(0, 100)).drop([5, 7]).insert(first, 50, "o_orderkey")
+    return kept.set(slice(20, 52), "o_totalprice", 0.0).select(slice(None, None, 2)).rows()
