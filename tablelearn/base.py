@@ -61,7 +61,7 @@ class TableModel(Model):
         """Parameters as one line of JSON, tables as Parquet, under any path Spark writes."""
         spark = SparkSession.active()
         exported = {**self.get_params(), "module": type(self).__module__, "tables": sorted(self.tables)}
-        text = json.dumps(exported, default=_written)
+        text = json.dumps(exported, default=written_value)
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/params")
         for name, table in self.tables.items():
             table.write.mode("overwrite").parquet(f"{path}/table_{name}")
@@ -87,7 +87,7 @@ class TableModel(Model):
 _KINDS = {"date": datetime.date, "timestamp": datetime.datetime, "decimal": decimal.Decimal}
 
 
-def _written(value: Any) -> dict[str, str]:
+def written_value(value: Any) -> dict[str, str]:
     """Class values that JSON has no form for."""
     for kind in ("timestamp", "date", "decimal"):  # a timestamp is a date as well
         if isinstance(value, _KINDS[kind]):
@@ -95,7 +95,7 @@ def _written(value: Any) -> dict[str, str]:
     raise TypeError(f"cannot save {value!r}")
 
 
-def _read(value: dict) -> Any:
+def read_value(value: dict) -> Any:
     kind = value.get("__kind")
     if kind is None:
         return value
@@ -107,7 +107,7 @@ def prediction_names(targets: list[str]) -> list[str]:
 
 
 def load_model(spark: SparkSession, path: str) -> TableModel:
-    exported = json.loads(spark.read.text(f"{path}/params").first()[0], object_hook=_read)
+    exported = json.loads(spark.read.text(f"{path}/params").first()[0], object_hook=read_value)
     if exported["model"] not in _MODELS:
         importlib.import_module(exported["module"])
     tables = {name: spark.read.parquet(f"{path}/table_{name}") for name in exported["tables"]}

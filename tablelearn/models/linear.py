@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import copy
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 import numpy as np
@@ -104,6 +104,7 @@ class LinearRegression(TableEstimator):
         shuffle: bool = False,
         seed: int = 42,
         callbacks=(),
+        progress: str | None = None,
     ):
         super().__init__()
         if solver not in ("norm_eq", "mbgd"):
@@ -117,7 +118,7 @@ class LinearRegression(TableEstimator):
             if len(self.target_cols) != 1 or not as_list(row_key):
                 raise ValueError("mbgd takes one target and a row_key")
             self.trainer = SquaredErrorTrainer(
-                input_cols, target_cols, row_key, loss, learning_rate, epochs, batch_size, shuffle, seed, callbacks
+                input_cols, target_cols, row_key, loss, learning_rate, epochs, batch_size, shuffle, seed, callbacks, progress
             )
 
     def _columns(self) -> dict[str, Column]:
@@ -238,7 +239,7 @@ class SquaredErrorTrainer(_CoefTrainer):
         many = self.batch_size is not None and dataset.count() > most * self.batch_size
         placed, n, batches = self.batched(dataset, clustered=many)
         placed = placed.withColumnRenamed("__pos", "pos").withColumn("run", F.lit(0))
-        (run,) = self._descend(placed, [n], [batches])
+        (run,) = self._descend(placed, [n], [batches], self.progress)
         return self.make_model(run.state, run.history)
 
     def fit_folds(self, df: DataFrame, fold_col: str, folds: list[int]) -> dict[int, LinearModel]:
@@ -247,14 +248,17 @@ class SquaredErrorTrainer(_CoefTrainer):
         rows = placed.select(*self.columns(), F.inline("at"))
         return {i: self.make_model(r.state, r.history) for i, r in zip(folds, self._descend(rows, n, batches))}
 
-    def _descend(self, rows: DataFrame, n: list[int], batches: list[int]) -> list[Run]:
+    def _descend(self, rows: DataFrame, n: list[int], batches: list[int], progress: str | None = None) -> list[Run]:
         d = len(self.input_cols)
         few = max(batches) <= max_ranges(d)
         scan = SummedBatches(rows, d, n, batches, self.loss, gram) if few else ComposedRanges(rows, d, n, batches, self.loss)
         # a callback that reads losses needs them epoch by epoch; else those of several epochs are found at once
-        watched = any(not isinstance(c, LearningRateScheduler) for c in self.callbacks)
-        start = {"coefs": [0.0] * d, "bias": 0.0}
-        runs = [Run(copy.deepcopy(self.callbacks) if len(n) > 1 else self.callbacks, self.epochs, self.learning_rate, dict(start)) for _ in n]
+        watched = progress is not None or any(not isinstance(c, LearningRateScheduler) for c in self.callbacks)
+        start = lambda: {"coefs": [0.0] * d, "bias": 0.0}
+        if progress is not None:
+            runs = [self.run(rows.sparkSession, n[0], start)]
+        else:
+            runs = [Run(copy.deepcopy(self.callbacks) if len(n) > 1 else self.callbacks, self.epochs, self.learning_rate, start) for _ in n]
         trajectory = []
         try:
             while any(r.active for r in runs):
@@ -325,11 +329,11 @@ class LogisticClassifier(_CoefTrainer):
             n = {r["shard"]: r["count"] for r in cached.groupBy("shard").count().collect()}
             if not n:
                 raise ValueError("no rows to train on")
-            run = Run(self.callbacks, self.epochs, self.learning_rate, {"coefs": [0.0] * len(inputs), "bias": 0.0})
+            run = self.run(dataset.sparkSession, sum(n.values()), lambda: {"coefs": [0.0] * len(inputs), "bias": 0.0})
             while run.active:
                 t = np.array([*run.state["coefs"], run.state["bias"]])
                 descent = cached.mapInArrow(
-                    shard_descent(t, run.rate, n, self.batch_size or 32, self.numpy_output), "shard int, batch_id long, y double, p double, t array<double>"
+                    shard_descent(t, run.rate, n, self.batch_size or 32, self.numpy_output()), "shard int, batch_id long, y double, p double, t array<double>"
                 )
                 by_batch = descent.groupBy("shard", "batch_id").agg(F.when(F.col("batch_id") >= 0, self.loss("y", "p")).alias("loss"), F.max("t").alias("t"))
                 ends = by_batch.groupBy("shard").agg(F.sum("loss").alias("loss"), F.count("loss").alias("batches"), F.max("t").alias("t")).collect()
@@ -341,10 +345,14 @@ class LogisticClassifier(_CoefTrainer):
             cached.unpersist()
         return self.make_model(run.state, run.history)
 
-    def numpy_output(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``output`` for an array."""
-        p = 1 / (1 + np.exp(-z))
-        return p, (p >= 0.5).astype(float)
+    def numpy_output(self) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """``output`` for arrays, as a function that travels without the estimator."""
+
+        def output(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            p = 1 / (1 + np.exp(-z))
+            return p, (p >= 0.5).astype(float)
+
+        return output
 
     def target_column(self) -> Column:
         y = feature(self.target_cols[0])
@@ -368,9 +376,9 @@ class Perceptron(LogisticClassifier):
         super().__init__(input_cols, target_cols, row_key, loss, **kwargs)
         self.threshold = threshold
 
-    def numpy_output(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hard = (z > self.threshold).astype(float)
-        return hard, hard
+    def numpy_output(self) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        threshold = self.threshold
+        return lambda z: ((z > threshold).astype(float),) * 2
 
     def output(self, z: Column) -> tuple[Column, Column]:
         hard = (z > F.lit(self.threshold)).cast("double")

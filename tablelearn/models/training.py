@@ -8,6 +8,7 @@ is ten large batches per epoch, whatever the size of the table.
 from __future__ import annotations
 
 import copy
+import json
 import math
 import warnings
 from collections.abc import Callable, Sequence
@@ -15,10 +16,10 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..base import TableEstimator, TableModel
+from ..base import TableEstimator, TableModel, read_value, written_value
 from ..functions.columns import as_list, to_col
 from ..operators.position import positional_with_count, rank_groups
 
@@ -91,17 +92,69 @@ class EarlyStopping:
         return False
 
 
+class Progress:
+    """The state after each epoch as a line of JSON in a folder of its own, so that a training outlives its driver.
+
+    A state that is a table stays where it was written, and is named. ``settings`` tell trainings apart: another table or other
+    settings are not continued. Of callbacks, what they keep in the context's ``memory`` under themselves is kept.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, settings: dict[str, Any]):
+        self.spark, self.path, self.settings = spark, path, settings
+
+    def save(self, run: Run) -> None:
+        ctx = run.context
+        kept = {
+            "settings": self.settings, "epoch": ctx.epoch, "rate": ctx.learning_rate, "state": ctx.state, "history": ctx.history,
+            "memory": [ctx.memory.get(c) for c in run.callbacks], "active": run.active,
+        }
+        line = self.spark.createDataFrame([(json.dumps(kept, default=_named),)], "value string")
+        line.coalesce(1).write.mode("overwrite").text(f"{self.path}/epoch-{ctx.epoch:05d}")
+
+    def restore(self, run: Run) -> bool:
+        """Puts a run where the last whole epoch left it, if there is one."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return False
+        lines = self.spark.read.option("recursiveFileLookup", "true").text(self.path).collect()  # a line per epoch
+        if not lines:
+            return False
+        last = max((json.loads(r[0]) for r in lines), key=lambda k: k["epoch"])
+        if not last["active"]:  # tables of other epochs are gone
+            last["memory"] = []
+        kept = json.loads(json.dumps(last), object_hook=self._found)
+        if kept["settings"] != json.loads(json.dumps(self.settings)):
+            raise ValueError(f"{self.path} holds the progress of another training: {kept['settings']}, not {self.settings}")
+        ctx = run.context
+        ctx.epoch, ctx.learning_rate, ctx.state, ctx.history = kept["epoch"], kept["rate"], kept["state"], kept["history"]
+        ctx.memory = {c: m for c, m in zip(run.callbacks, kept["memory"]) if m is not None}
+        run.active = kept["active"]
+        return True
+
+    def _found(self, value: dict) -> Any:
+        return self.spark.read.parquet(value["__table"]) if "__table" in value else read_value(value)
+
+
+def _named(value: Any) -> dict[str, str]:
+    return {"__table": value.inputFiles()[0].rpartition("/")[0]} if isinstance(value, DataFrame) else written_value(value)
+
+
 class Run:
     """The course of one training: its state, rate, losses and callbacks from epoch to epoch."""
 
-    def __init__(self, callbacks: Sequence[Callback], epochs: int, learning_rate: float, state: dict[str, Any]):
+    def __init__(
+        self, callbacks: Sequence[Callback], epochs: int, learning_rate: float, start: Callable[[], dict[str, Any]], progress: Progress | None = None
+    ):
         self.callbacks = list(callbacks)
         for c in self.callbacks:
             if hasattr(c, "reset"):
                 c.reset()
-        self.context = TrainingContext(-1, epochs, [], learning_rate, state)
+        self.progress = progress
+        self.context = TrainingContext(-1, epochs, [], learning_rate, {})
         self.losses: list[float] = []
         self.active = epochs > 0
+        if progress is None or not progress.restore(self):
+            self.state = start()
 
     @property
     def state(self) -> dict[str, Any]:
@@ -127,6 +180,8 @@ class Run:
             ctx.history.append(sum(ctx.losses) / len(ctx.losses))
         go_on = all([bool(c(ctx)) for c in self.callbacks])
         self.active, self.losses = go_on and ctx.epoch + 1 < ctx.epochs, []
+        if self.progress is not None:
+            self.progress.save(self)
 
 
 class StepTrainer(TableEstimator):
@@ -138,6 +193,9 @@ class StepTrainer(TableEstimator):
     ``fold_step(batch, states)``  the same for all folds at once, if the model has such a form
     ``update(state, rows, learning_rate, n)``  the next state, from the collected step
     ``make_model(state, history)``
+
+    ``progress`` names a folder that keeps the state after every epoch; a training that finds one there goes on from it. Folds
+    are trained without.
     """
 
     def __init__(
@@ -152,8 +210,10 @@ class StepTrainer(TableEstimator):
         shuffle: bool = False,
         seed: int = 42,
         callbacks: Sequence[Callback] = (),
+        progress: str | None = None,
     ):
         super().__init__()
+        self.progress = progress
         self.input_cols = as_list(input_cols)
         self.target_cols = as_list(target_cols)
         self.row_key = as_list(row_key)
@@ -246,7 +306,7 @@ class StepTrainer(TableEstimator):
         # rows lie in batch order, so cached blocks of other batches are skipped by their min and max
         cached = placed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            run = Run(self.callbacks, self.epochs, self.learning_rate, self.initial_state(cached, n))
+            run = self.run(dataset.sparkSession, n, lambda: self.initial_state(cached, n))
             while run.active:
                 for b in range(batches):
                     part = cached.filter(F.col("batch_id") == b) if batches > 1 else cached
@@ -268,7 +328,7 @@ class StepTrainer(TableEstimator):
         cached = rows.withColumns({"first": F.array_min(ids), "last": F.array_max(ids)}).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             runs = [
-                Run(copy.deepcopy(self.callbacks), self.epochs, self.learning_rate, self.initial_state(cached.filter(F.col("__fold") != i), n[j]))
+                Run(copy.deepcopy(self.callbacks), self.epochs, self.learning_rate, lambda i=i, j=j: self.initial_state(cached.filter(F.col("__fold") != i), n[j]))
                 for j, i in enumerate(folds)
             ]
             while any(r.active for r in runs):
@@ -288,6 +348,14 @@ class StepTrainer(TableEstimator):
             cached.unpersist()
         return {i: self.make_model(r.state, r.history) for i, r in zip(folds, runs)}
 
+    def run(self, spark: SparkSession, n: int, start: Callable[[], dict[str, Any]]) -> Run:
+        """A training of this estimator, from its start or from where ``progress`` says it got to."""
+        settings = {"trainer": type(self).__name__, "rows": n} | {
+            k: getattr(self, k) for k in ("input_cols", "target_cols", "row_key", "learning_rate", "epochs", "batch_size", "shuffle", "seed")
+        }
+        kept = Progress(spark, self.progress, settings) if self.progress else None
+        return Run(self.callbacks, self.epochs, self.learning_rate, start, kept)
+
     def _warn(self, batches: int) -> None:
         if batches * self.epochs > MANY_STEPS:
             warnings.warn(f"{batches * self.epochs} steps, each a Spark job; a larger batch_size needs fewer")

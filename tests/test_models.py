@@ -617,3 +617,43 @@ def test_local_descent_against_a_twin_and_under_any_partitioning(spark, kind):
     assert jobs_of(spark, lambda: fit(df)) <= 3 + 4 * epochs
     with pytest.raises(ValueError, match="shard"):
         make(shards=0)
+
+
+class Breaks:
+    """The driver's end, the first time that an epoch is over."""
+
+    def __init__(self, epoch):
+        self.epoch = epoch
+
+    def __call__(self, ctx):
+        if ctx.epoch == self.epoch:
+            raise RuntimeError("gone")
+        return True
+
+
+RESUMED = {**TRAINERS, "shards": lambda **kw: TRAINERS["logistic"](shards=3, **kw), "table": lambda **kw: TRAINERS["lvq"](driver_codebooks=2, **kw)}
+
+
+@pytest.mark.parametrize("name", RESUMED)
+def test_a_broken_training_goes_on_from_its_last_epoch(spark, tmp_path, name):
+    df = fold_table(spark)
+    make = lambda *more, **kw: RESUMED[name](batch_size=60, callbacks=[LearningRateScheduler(), EarlyStopping(patience=2), *more], **kw)
+    path = str(tmp_path / "progress")
+    with pytest.raises(RuntimeError, match="gone"):
+        make(Breaks(1), progress=path).fit(df)
+    seen = []
+    note = lambda ctx: seen.append(ctx.epoch) or True
+    model, whole = make(note, progress=path).fit(df), make().fit(df)
+    assert seen[0] == 1 and model.state["history"] == pytest.approx(whole.state["history"])
+    if name == "table":
+        got, want = (np.array([[r["codebook"], *r["position"]] for r in m.codebooks(spark).orderBy("codebook").collect()]) for m in (model, whole))
+        np.testing.assert_allclose(got, want, rtol=1e-9)
+    else:
+        for key in ("coefs", "bias", "codebooks"):
+            if key in whole.state:
+                np.testing.assert_allclose(np.array(model.state[key]), np.array(whole.state[key]), rtol=1e-9)
+    seen.clear()
+    again = make(note, progress=path).fit(df)  # it is over; nothing is trained
+    assert seen == [] and again.state["history"] == model.state["history"]
+    with pytest.raises(ValueError, match="another training"):
+        make(progress=path).fit(df.limit(100))
