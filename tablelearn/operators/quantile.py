@@ -10,9 +10,12 @@ values take six scans, whatever their distribution.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import present, to_col
@@ -125,8 +128,9 @@ def _one_round(values: DataFrame, searches: list[_Search], found: dict[tuple[int
     for j, ((column, _, _), group) in enumerate(intervals.items()):
         few = 8 * group[0].inside / ACCURACY + 8 <= FETCH_ROWS
         cells.append(_Cells(j, group, sorted(set(row[f"b{j}"])), [tuple(row[f"b{j}"][2 * i : 2 * i + 2]) for i in range(len(group))] if few else []))
-    placed = values.select(F.inline(F.filter(F.array(*[c.row() for c in cells]), lambda r: r.isNotNull())))
-    counted = placed.groupBy("j", "cell").agg(F.count(F.lit(1)).alias("n"), F.collect_list("fetched").alias("fetched")).collect()
+    used = sorted({c.searches[0].column for c in cells})
+    found_here = values.select(*[f"v{i}" for i in used]).mapInArrow(_counted([c.plain(used) for c in cells]), "j int, cell int, n bigint, fetched array<double>")
+    counted = found_here.groupBy("j", "cell").agg(F.sum("n").alias("n"), F.flatten(F.collect_list("fetched")).alias("fetched")).collect()
 
     left = []
     for c in cells:
@@ -156,17 +160,9 @@ class _Cells:
     counts: dict[int, int] | None = None
     fetched: dict[int, list[float]] | None = None
 
-    def row(self) -> Column:
-        """(j, cell, fetched) of a row's value; null where it isn't in the interval."""
-        v = self.searches[0].value()
-        cell = F.lit(2 * len(self.cuts))
-        for k, cut in reversed(list(enumerate(self.cuts))):
-            cell = F.when(v < cut, 2 * k).when(v == cut, 2 * k + 1).otherwise(cell)
-        inside = F.lit(False)
-        for a, b in self.brackets:  # at most about FETCH_ROWS values each
-            inside = inside | ((v > a) & (v < b))
-        at_cut = v.isin(self.cuts)
-        return F.when(v.isNotNull(), F.struct(F.lit(self.number).alias("j"), cell.alias("cell"), F.when(inside & ~at_cut, v).alias("fetched")))
+    def plain(self, used: list[int]) -> tuple:
+        s = self.searches[0]
+        return self.number, used.index(s.column), s.low, s.high, self.cuts, self.brackets
 
     def resolve(self, found: dict[tuple[int, int], float]) -> list[_Search]:
         """Finds ranks at a cut or among fetched values; the others go on in their cell."""
@@ -189,3 +185,31 @@ class _Cells:
                     high = self.cuts[cell // 2] if cell < 2 * len(self.cuts) else s.high
                     left.append(_Search(s.column, (r,), low, high, s.before + first, self.counts[cell]))
         return left
+
+
+def _counted(cells: list[tuple]):
+    """Per interval and cell the values of a task, and those that are fetched: at most about ``FETCH_ROWS`` a bracket in all."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [np.zeros(2 * len(cuts) + 1, np.int64) for _, _, _, _, cuts, _ in cells]
+        fetched: list[dict[int, list[np.ndarray]]] = [{} for _ in cells]
+        for batch in batches:
+            columns = [np.asarray(c.drop_null()) for c in batch.columns]
+            for count, kept, (_, column, low, high, cuts, brackets) in zip(counts, fetched, cells):
+                v = columns[column]
+                if low > -math.inf or high < math.inf:
+                    v = v[(v > low) & (v < high)]
+                below = np.searchsorted(cuts, v)
+                cell = below + np.searchsorted(cuts, v, "right")
+                count += np.bincount(cell, minlength=len(count))
+                inside = np.zeros(len(v), bool)
+                for a, b in brackets:
+                    inside |= (v > a) & (v < b)
+                inside &= cell % 2 == 0
+                for c in np.unique(cell[inside]).tolist():
+                    kept.setdefault(c, []).append(v[inside & (cell == c)])
+        rows = [(spec[0], c, n, np.concatenate(kept[c]).tolist() if c in kept else []) for spec, count, kept in zip(cells, counts, fetched) for c, n in enumerate(count.tolist()) if n]
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, types)], ["j", "cell", "n", "fetched"])
+
+    return work
