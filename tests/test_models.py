@@ -526,7 +526,7 @@ def test_folds_take_the_steps_of_one_training(spark):
     df = fold_table(spark).persist()
     one = jobs_of(spark, lambda: TRAINERS["logistic"]().fit(df.filter("fold <> 0")))
     three = jobs_of(spark, lambda: TRAINERS["logistic"]().fit_folds(df, "fold", [0, 1, 2]))
-    assert three <= one + 10  # the setting-up; thirty steps either way
+    assert three < 2 * one  # thirty steps either way; the rest is for setting up
 
 
 def test_trees_and_medians_of_all_folds_at_once(spark):
