@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import missing, profile
+from ..operators.sketch import column_sketches, merged_sketches, profile_of_sketches
 from .registry import query, rounded, table
 
 # Orders with holes: the tables themselves have none, so both sides punch the same ones.
@@ -161,3 +162,15 @@ def top_values(spark, folder):
 )
 def value_frequencies(spark, folder):
     return profile.value_frequencies(table(spark, folder, "documents"), ["lang", "source", "text"])
+
+
+def _moments(column: str) -> str:
+    return f"SELECT '{column}' AS column, count({column}) AS count, round(avg({column}), 4) + 0.0 AS mean, round(stddev_pop({column}), 4) + 0.0 AS std_dev, min({column})::DOUBLE AS min, max({column})::DOUBLE AS max FROM orders"
+
+
+@query("merged_sketches", _moments("o_totalprice") + " UNION ALL " + _moments("o_custkey"))
+def merged_sketches_query(spark, folder):
+    """The exact part of a profile that is merged from the sketches of each order status."""
+    lines = column_sketches(table(spark, folder, "orders"), ["o_totalprice", "o_custkey"], by="o_orderstatus")
+    profile = profile_of_sketches(merged_sketches(lines))
+    return profile.select("column", "count", rounded("mean", 4).alias("mean"), rounded("std_dev", 4).alias("std_dev"), "min", "max")
