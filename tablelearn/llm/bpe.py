@@ -23,8 +23,8 @@ from tokenizers import Tokenizer, pre_tokenizers
 from .common import Memo, kept_by_worker, per_slice, require
 
 SHORT = 48
-#: Entries of a generation of each memo: about 230 bytes an entry and two generations, so some 450 MB a worker at most.
-AFTER_SPACE, PIECES = 800_000, 150_000
+#: Entries of a generation of each memo: about 230 bytes an entry and two generations, so some 250 MB a worker at most.
+AFTER_SPACE, PIECES = 450_000, 100_000
 #: Fixed value: how the vocabulary's pre-tokenizer splits a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Up to here, and in these blocks, all versions of Unicode agree about letters, numbers and spaces.
