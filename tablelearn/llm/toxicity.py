@@ -349,14 +349,16 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     and null keys stay. Other columns are not read.
     """
     require(docs, key, text)
-    spec = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a task needs no copy of this package to read them
+    spec = docs.sparkSession.sparkContext.broadcast((model.weights, model.mean, model.scale, model.slopes))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker()
-        lexicon, grammar = Lexicon(spec.value.weights), Grammar()
+        model = Model(*spec.value)
+        lexicon, grammar = Lexicon(model.weights), Grammar()
 
         def one(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-            scores = spec.value.scores([features(lexicon, grammar, t.decode()) for t in texts])
+            scores = model.scores([features(lexicon, grammar, t.decode()) for t in texts])
             return pa.RecordBatch.from_arrays([part.column(0), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], ["__key", "score", "predicted"])
 
         yield from per_slice(batches, one)
