@@ -2,44 +2,38 @@
 
 No pair of rows is emitted unless it is among a block's k nearest. The training rows lie in the cells of a metric index (see
 ``cells``). The rows nearest to a pivot bound how far a query's k-th neighbour can be, and by the triangle inequality a query
-needs only the cells that reach into that radius; it is sent to those and no others (after Lu, Shen, Chen and Ooi, "Efficient
-Processing of k Nearest Neighbor Joins using MapReduce", VLDB 2012). Cells are cut into blocks on both sides, so a cell that
-holds a third of all rows is many tasks. Within a block numpy keeps the k best per query, and a last grouping merges the
-blocks. The result is exact and complete whatever the pivots are; they only decide how much work is saved.
+needs only the cells that reach into that radius; it meets those and no others (after Lu, Shen, Chen and Ooi, "Efficient
+Processing of k Nearest Neighbor Joins using MapReduce", VLDB 2012). Large cells are cut on both sides, so a cell that
+holds a third of all rows is many tasks. Within a tile of both numpy keeps the k best per query, and a last grouping merges the
+tiles. The result is exact and complete whatever the pivots are; they only decide how much work is saved.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..base import TableEstimator, TableModel
-from ..functions.columns import as_list, feature, long_array, to_col
-from .cells import Cells, ask, build, nearest_in_block
+from ..functions.columns import as_list, feature, to_col
+from .cells import Cells, Tile, ask, build, from_numbers, index_numbers, matrix, tiles
 
 BLOCK_BYTES = 32 * 2**20
 BLOCK_ROWS = 50_000
-SMALL_BLOCK = 200
 MAX_TASKS = 20_000
 
 
 def feature_vector(df: DataFrame, cols: list[str]) -> Column:
-    """The inputs as one array of DOUBLE; a single array column is taken as it is."""
+    """The inputs as one array of DOUBLE; a single array column is taken as it is, one of FLOAT as such."""
     if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, T.ArrayType):
-        c = to_col(cols[0]).cast("array<double>")
+        kind = "array<float>" if isinstance(df.schema[cols[0]].dataType.elementType, T.FloatType) else "array<double>"
+        c = to_col(cols[0]).cast(kind)
         return F.when(c.isNotNull() & ~F.exists(c, lambda x: x.isNull() | F.isnan(x)), c).otherwise(
-            F.raise_error(F.lit(f"missing value in model column {cols[0]}; repair it first")).cast("array<double>")
+            F.raise_error(F.lit(f"missing value in model column {cols[0]}; repair it first")).cast(kind)
         )
     return F.array(*[feature(c) for c in cols])
 
 
-def _matrix(series: pd.Series) -> np.ndarray:
-    return np.stack(series.to_numpy()).astype("float64", copy=False)
-
-
 def nearest_neighbours(
     train: DataFrame,
     queries: DataFrame,
@@ -58,6 +52,7 @@ def nearest_neighbours(
 
     Euclidean; ties go to the smaller key. ``exclude_self`` leaves out the training row with the query's own key.
     Keys are unique. Fewer than k training rows give fewer neighbours. ``index`` is that of ``train``, where it is built already.
+    ``train_block`` and ``query_block`` are the most rows that are compared at once.
     """
     if k < 1:
         raise ValueError("k is at least 1")
@@ -75,46 +70,39 @@ def nearest_neighbours(
         return train.sparkSession.createDataFrame([], names)
     fits = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * max(1, index.width))))
     train_block, query_block = train_block or fits, query_block or max(1, fits // 5)
-    placed, asked, counts = index.rows, ask(index, q, need), index.counts.tolist()
-    if len(index) == 1:
-        loads = [asked.count()]
-    else:
-        loads = [0] * len(index)
-        for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per cell
-            loads[r["cell"]] = r["n"]
-    s_blocks = [max(1, math.ceil(c / train_block)) for c in counts]
-    # few cells still make enough blocks for all cores
-    spread = math.ceil(train.sparkSession.sparkContext.defaultParallelism / len(loads))
-    q_blocks = [max(1, math.ceil(c / query_block), min(spread, c // SMALL_BLOCK)) for c in loads]
-
-    def block_of(key: str, blocks: list[int]) -> Column:
-        return F.pmod(F.xxhash64(key), F.get(long_array(blocks), F.col("cell"))).cast("int")
-
-    def copies(blocks: list[int]) -> Column:
-        return F.explode(F.sequence(F.lit(0), (F.get(long_array(blocks), F.col("cell")) - 1).cast("int")))
-
-    left = placed.withColumn("sb", block_of("s_key", s_blocks)).withColumn("qb", copies(q_blocks))
-    right = asked.withColumn("qb", block_of("q_key", q_blocks)).withColumn("sb", copies(s_blocks))
+    sc = train.sparkSession.sparkContext
+    left, right, n = tiles(index, ask(index, q, need), sc.defaultParallelism)
+    spec = sc.broadcast(index_numbers(index))
 
     fields = f"q_key {q_type}, s_key {s_type}, distance double" + (f", payload {dict(s.dtypes)['payload']}" if payload else "")
 
-    def best(train_part: pd.DataFrame, query_part: pd.DataFrame) -> pd.DataFrame:
+    def best(train_part: pa.Table, query_part: pa.Table) -> pa.Table:
+        taken = {"q_key": query_part.column("q_key"), "s_key": train_part.column("s_key")}
+        taken |= {"payload": train_part.column("payload")} if payload else {}
+        who, at, how_far = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        if train_part.num_rows and query_part.num_rows:
+            keys = train_part.column("s_key").to_pandas()
+            order = np.empty(len(keys), int)  # of the keys, as ties fall to the smaller one
+            order[keys.reset_index(drop=True).sort_values(kind="stable").index.to_numpy()] = np.arange(len(keys))
+            cell = train_part.column("cell").to_numpy()
+            sort = np.lexsort((order, cell))
+            home = query_part.column("home").to_numpy()
+            tile = Tile(
+                from_numbers(spec.value), cell[sort], keys.to_numpy()[sort], order[sort], matrix(train_part.column("s_vec"))[sort],
+                query_part.column("q_key").to_pandas().to_numpy(), matrix(query_part.column("q_vec")),
+                query_part.column("bound").to_numpy(), k, exclude_self, train_block, query_block,
+            )
+            who, at, how_far = tile.found(home)
+            at = sort[at]
+        places = {"q_key": who, "s_key": at, "payload": at}
+        columns = {c: v.take(pa.array(places[c])) for c, v in taken.items()}
         names = ["q_key", "s_key", "distance"] + (["payload"] if payload else [])
-        if len(train_part) == 0 or len(query_part) == 0:
-            return pd.DataFrame({n: [] for n in names})
-        train_part = train_part.sort_values("s_key", kind="stable")  # so that ties fall to the smaller key
-        keys, q_keys = train_part["s_key"].to_numpy(), query_part["q_key"].to_numpy()
-        who, at, how_far = nearest_in_block(keys, _matrix(train_part["s_vec"]), q_keys, _matrix(query_part["q_vec"]), k, exclude_self)
-        out = {"q_key": q_keys[who], "s_key": keys[at], "distance": how_far}
-        if payload:
-            out["payload"] = train_part["payload"].to_numpy()[at]
-        return pd.DataFrame(out)
-
-    group = ["cell", "sb", "qb"]
-    # blocks are few bytes and much work, so their number, not their size, sets the tasks
-    tasks = min(MAX_TASKS, sum(a * b for a, b in zip(s_blocks, q_blocks)))
-    left, right = left.repartition(tasks, *group), right.repartition(tasks, *group)
-    partial = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(best, fields)
+        return pa.table({c: columns[c] if c in columns else pa.array(how_far) for c in names})
+
+    # tiles are few bytes and much work, so their number, not their size, sets the tasks
+    tasks = min(MAX_TASKS, max(1, 2 * n))
+    left, right = left.repartition(tasks, "tile"), right.repartition(tasks, "tile")
+    partial = left.groupBy("tile").cogroup(right.groupBy("tile")).applyInArrow(best, fields)
     order = Window.partitionBy("q_key").orderBy("distance", "s_key")
     return (
         partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.base import load_model
 from tablelearn.functions import metrics
-from tablelearn.models import descent, knn, linear, lvq, training, tree
+from tablelearn.models import cells, descent, knn, linear, lvq, training, tree
 from tablelearn.models.baseline import RandomModel, ZeroRule
 from tablelearn.models.bayes import NaiveBayesClassifier
 from tablelearn.models.evaluate import evaluate, evaluate_baseline, evaluate_model
@@ -220,6 +220,56 @@ def test_neighbours_with_copies_and_a_hot_spot(spark, pivots, train_block, query
     assert {(r[0], r[1], round(r[2], 9), r[3]) for r in got.collect()} == brute_neighbours(points, points, 4, skip_self)
 
 
+def exchanged(df):
+    """The rows that the exchanges of an executed plan have written."""
+    def below(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return below(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return below(plan.plan())
+        mine = plan.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+        return mine + sum(below(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    df.collect()
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("pivots,train_block,query_block", [(12, 30, 50), (60, None, None)])
+def test_rows_are_sent_by_tile_not_by_cell_or_block(spark, pivots, train_block, query_block):
+    """Twelve inputs without structure: every query needs every cell."""
+    n, random = 3000, np.random.default_rng(4)
+    points = [(i, [float(v) for v in random.normal(size=12)]) for i in range(n)]
+    df = spark.createDataFrame(points, "id bigint, v array<float>")
+    got = knn.nearest_neighbours(
+        df, df, "v", 3, "id", "id", True, pivots=pivots, train_block=train_block, query_block=query_block
+    )
+    cores = spark.sparkContext.defaultParallelism
+    # rows once a group, queries once a bin, and k lines of a query from each of its bins
+    assert 2 * n <= exchanged(got) <= n * (4 * cores + 10)
+    few = [points[i] for i in range(0, n, 100)]
+    floats = [(i, [float(np.float32(x)) for x in v]) for i, v in points]
+    some = {(r[0], r[1], round(r[2], 9), r[3]) for r in got.filter("query % 100 = 0").collect()}
+    assert some == brute_neighbours(floats, [floats[i] for i, _ in few], 3, True)
+
+
+def test_tiles_hold_no_more_than_they_may(spark, monkeypatch):
+    """Large cells are cut on both sides, and the result is that of one tile."""
+    random = np.random.default_rng(5)
+    points = [(i, [1.0, 2.0] if i % 2 else [float(v) for v in random.integers(0, 9, 2)]) for i in range(400)]
+    df = spark.createDataFrame(points, "id bigint, v array<double>")
+    want = brute_neighbours(points, points, 4, True)
+    for pivots in (1, 9):
+        with monkeypatch.context() as m:
+            m.setattr(cells, "TILE_ROWS", 60)
+            got = knn.nearest_neighbours(df, df, "v", 4, "id", "id", True, pivots=pivots)
+        assert {(r[0], r[1], round(r[2], 9), r[3]) for r in got.collect()} == want
+    loads = np.array([10, 0, 500, 5, 60])
+    found = cells.shares(loads, np.array([4, 3, 2, 1, 0]), 100)
+    numbers = Counter(int(found.of(np.array([c]), np.array([h]))[0]) for c, many in enumerate(loads) for h in range(many))
+    assert len(numbers) == found.n == 7 and max(numbers.values()) <= 100
+
+
 def test_fewer_rows_than_neighbours(spark):
     df = spark.createDataFrame([(1, 0.0, "b"), (2, 1.0, "a")], "id int, x double, y string")
     asked = spark.createDataFrame([(1, 0.1), (7, 9.0)], "id int, x double")
