@@ -270,6 +270,20 @@ def test_tiles_hold_no_more_than_they_may(spark, monkeypatch):
     assert len(numbers) == found.n == 7 and max(numbers.values()) <= 100
 
 
+def test_queries_look_at_few_rows_of_a_cell_where_these_lie_apart(monkeypatch):
+    random = np.random.default_rng(6)
+    points, asked = random.random((4000, 2)), random.random((1500, 2))
+    looked, squares = [], cells.squares
+    monkeypatch.setattr(cells, "squares", lambda a, b: looked.append(len(a) * len(b)) or squares(a, b))
+    keys, none = np.arange(len(points)), np.zeros((1, 1))
+    index = cells.Cells(None, none, np.zeros(1, int), none, np.zeros(1), np.array([len(points)]))
+    tile = cells.Tile(index, np.zeros(len(points), int), keys, keys, points, np.arange(len(asked)), asked, np.full(len(asked), np.inf), 1, False, 50_000, 10_000)
+    who, at, far = tile.found(np.zeros(len(asked), int))
+    every = np.sqrt(((asked[:, None] - points[None]) ** 2).sum(axis=2))
+    assert who.tolist() == list(range(len(asked))) and at.tolist() == every.argmin(axis=1).tolist() and np.allclose(far, every.min(axis=1))
+    assert sum(looked) < len(points) * len(asked) / 6
+
+
 def test_fewer_rows_than_neighbours(spark):
     df = spark.createDataFrame([(1, 0.0, "b"), (2, 1.0, "a")], "id int, x double, y string")
     asked = spark.createDataFrame([(1, 0.1), (7, 9.0)], "id int, x double")
