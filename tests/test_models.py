@@ -284,6 +284,18 @@ def test_queries_look_at_few_rows_of_a_cell_where_these_lie_apart(monkeypatch):
     assert sum(looked) < len(points) * len(asked) / 6
 
 
+def unstructured(spark, n):
+    random = np.random.default_rng(7)
+    return spark.createDataFrame([(i, [float(v) for v in random.normal(size=12)], "ab"[i % 2]) for i in range(n)], "id bigint, v array<float>, y string")
+
+
+def test_a_classifier_sends_rows_by_tile(spark, monkeypatch):
+    monkeypatch.setattr(cells, "ROWS_PER_CELL", 50)
+    df = unstructured(spark, 3000)
+    out = knn.KNNClassifier("v", "y", "id", 3, exclude_self=True).fit(df).transform(df)
+    assert 2 * 3000 <= exchanged(out) <= 3000 * (4 * spark.sparkContext.defaultParallelism + 30)
+
+
 def test_fewer_rows_than_neighbours(spark):
     df = spark.createDataFrame([(1, 0.0, "b"), (2, 1.0, "a")], "id int, x double, y string")
     asked = spark.createDataFrame([(1, 0.1), (7, 9.0)], "id int, x double")
