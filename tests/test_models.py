@@ -296,6 +296,13 @@ def test_a_classifier_sends_rows_by_tile(spark, monkeypatch):
     assert 2 * 3000 <= exchanged(out) <= 3000 * (4 * spark.sparkContext.defaultParallelism + 30)
 
 
+def test_rows_sent_grow_with_the_table(spark, monkeypatch):
+    """And not with the product of queries and cells."""
+    monkeypatch.setattr(cells, "ROWS_PER_CELL", 50)
+    few, many = (exchanged(knn.nearest_neighbours(df, df, "v", 3, exclude_self=True)) for df in (unstructured(spark, 1500), unstructured(spark, 3000)))
+    assert many <= 2.5 * few
+
+
 def test_fewer_rows_than_neighbours(spark):
     df = spark.createDataFrame([(1, 0.0, "b"), (2, 1.0, "a")], "id int, x double, y string")
     asked = spark.createDataFrame([(1, 0.1), (7, 9.0)], "id int, x double")
