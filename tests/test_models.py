@@ -303,6 +303,16 @@ def test_rows_sent_grow_with_the_table(spark, monkeypatch):
     assert many <= 2.5 * few
 
 
+def test_a_loaded_classifier_sends_rows_by_tile(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(cells, "ROWS_PER_CELL", 50)
+    df = unstructured(spark, 3000)
+    model = knn.KNNClassifier("v", "y", "id", 3, exclude_self=True).fit(df)
+    model.save(str(tmp_path / "m"))
+    out = load_model(spark, str(tmp_path / "m")).transform(df)
+    assert exchanged(out) <= 3000 * (4 * spark.sparkContext.defaultParallelism + 30)
+    assert rows(out.filter("id % 100 = 0"), "id", "prediction") == rows(model.transform(df).filter("id % 100 = 0"), "id", "prediction")
+
+
 def test_fewer_rows_than_neighbours(spark):
     df = spark.createDataFrame([(1, 0.0, "b"), (2, 1.0, "a")], "id int, x double, y string")
     asked = spark.createDataFrame([(1, 0.1), (7, 9.0)], "id int, x double")
