@@ -450,30 +450,42 @@ class Tile:
         """Queries against rows, block by block. ``own`` is the row that a query leaves out."""
         for b in range(0, len(rows), self.rows_at_once):
             some = rows[b : b + self.rows_at_once]
+            points = self.points[some]
+            centre = points.mean(axis=0)
+            points = points - centre
+            size = (points * points).sum(axis=1)
+            # a query (x, 1) times a column (-2 y, y.y) is the squared distance less x.x, which is the same for all rows
+            columns = np.concatenate([-2 * points, size[:, None]], axis=1).T
             step = max(1, min(self.queries_at_once, BLOCK_CELLS // len(some)))
             for a in range(0, len(who), step):
-                self._block(who[a : a + step], own[a : a + step], some)
-
-    def _block(self, who: np.ndarray, own: np.ndarray, rows: np.ndarray) -> None:
-        points, asked, k = self.points[rows], self.asked[who], self.k
-        centre = points.mean(axis=0)
-        a, b = asked - centre, points - centre
-        d2 = squares(a, b)
+                self._block(who[a : a + step], own[a : a + step], some, centre, columns, size.max())
+
+    def _block(self, who: np.ndarray, own: np.ndarray, rows: np.ndarray, centre: np.ndarray, columns: np.ndarray, size: float) -> None:
+        k, asked = self.k, self.asked[who]
+        a = np.ones((len(who), asked.shape[1] + 1))
+        np.subtract(asked, centre, out=a[:, :-1])
+        less = (a[:, :-1] ** 2).sum(axis=1)
+        d2 = a @ columns
         if self.exclude_self:
             at = np.minimum(np.searchsorted(rows, own), len(rows) - 1)
             mine = np.flatnonzero(rows[at] == own)
             d2[mine, at[mine]] = np.inf
-        margin = max(1e-12, 1e-15 * a.shape[1]) * ((a * a).sum(axis=1) + (b * b).sum(axis=1).max())
-        most = np.minimum(self.limit[who], self.distance[who, -1]) ** 2 + margin
+        margin = max(1e-12, 1e-15 * asked.shape[1]) * (less + size)
+        most = np.minimum(self.limit[who], self.distance[who, -1]) ** 2 + margin - less
+        if k == 1:  # most queries have found something nearer before
+            least = d2.min(axis=1)
+            hit = np.flatnonzero(least <= most)
+            who, asked, d2 = who[hit], asked[hit], d2[hit]
+            most = np.minimum(most, least + margin)[hit]
         near = d2 <= most[:, None]
         if self.exclude_self and np.isinf(most).any():
             near &= d2 < np.inf
-        if d2.shape[1] > k and np.count_nonzero(near) > 4 * k * len(who):
+        if k > 1 and d2.shape[1] > k and np.count_nonzero(near) > 4 * k * len(who):
             near &= d2 <= (np.partition(d2, k - 1, axis=1)[:, k - 1] + margin)[:, None]
         q, s = np.divmod(np.flatnonzero(near), len(rows))
         if len(q) == 0:
             return
-        gap = points[s] - asked[q]
+        gap = self.points[rows[s]] - asked[q]
         d = np.sqrt((gap * gap).sum(axis=1))
         # these and what was found before, in order
         mark = np.flatnonzero(np.append(True, q[1:] != q[:-1]))

@@ -284,6 +284,27 @@ def test_queries_look_at_few_rows_of_a_cell_where_these_lie_apart(monkeypatch):
     assert sum(looked) < len(points) * len(asked) / 6
 
 
+@pytest.mark.parametrize("width,k", [(2, 1), (12, 3)])
+def test_a_block_is_one_product_and_keeps_few(monkeypatch, width, k):
+    """Distances of all pairs are not filled in after the product, and of one neighbour no more than the nearest is sorted."""
+    random = np.random.default_rng(6)
+    points, asked = random.random((4000, width)), random.random((1500, width))
+    looked, filled, kept = [], [], []
+    block, squares, lexsort = cells.Tile._block, cells.squares, np.lexsort
+    monkeypatch.setattr(cells.Tile, "_block", lambda self, who, own, rows, *more: looked.append(len(who) * len(rows)) or block(self, who, own, rows, *more))
+    monkeypatch.setattr(cells, "squares", lambda a, b: filled.append(len(a) * len(b)) or squares(a, b))
+    monkeypatch.setattr(np, "lexsort", lambda by: kept.append(len(by[0])) or lexsort(by))
+    keys, none = np.arange(len(points)), np.zeros((1, 1))
+    index = cells.Cells(None, none, np.zeros(1, int), none, np.zeros(1), np.array([len(points)]))
+    tile = cells.Tile(index, np.zeros(len(points), int), keys, keys, points, np.arange(len(asked)), asked, np.full(len(asked), np.inf), k, False, 50_000, 10_000)
+    who, at, far = tile.found(np.zeros(len(asked), int))
+    every = np.sort(np.sqrt(((asked[:, None] - points[None]) ** 2).sum(axis=2)), axis=1)[:, :k]
+    assert who.tolist() == np.repeat(np.arange(len(asked)), k).tolist() and np.allclose(far.reshape(-1, k), every)
+    parts = 63  # the root of 4000
+    assert sum(filled) <= parts * (len(points) + len(asked)) and sum(looked) <= len(points) * len(asked) / (10 if width == 2 else 1)
+    assert k > 1 or sum(kept) <= 4 * len(asked)
+
+
 def unstructured(spark, n):
     random = np.random.default_rng(7)
     return spark.createDataFrame([(i, [float(v) for v in random.normal(size=12)], "ab"[i % 2]) for i in range(n)], "id bigint, v array<float>, y string")
